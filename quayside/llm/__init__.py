@@ -5,7 +5,9 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
+    "op4_token_ids",
     "op6_jaccard_join",
+    "op10_best_fit_packing",
 )
 
 
