@@ -1,7 +1,77 @@
-"""Corpus pipeline: to follow."""
-STAGES = []
+"""The corpus pipeline: keep identifiable languages, one of each group of near copies, drop
+benchmark leaks, pack what is left into training sequences.
+
+``STAGES`` holds (name, function) pairs; each function takes ``(spark, docs, sf_dir)`` and returns
+a DataFrame, which ``run`` writes to the shared folder and reads again as the next one's ``docs``.
+All stages but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quayside.llm.common import only, table, written
+from quayside.llm.op5_language_id import predict, train
+from quayside.llm.op6_jaccard_join import jaccard_components
+from quayside.llm.op9_decontamination import contaminated
+from quayside.llm.op10_best_fit_packing import best_fit_packing
+
+COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
+#: Below this share of the best language a text is no running text of any learned language.
+LEAST_SCORE = 0.3
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop texts that are null, have no letter, or look like none of the learned languages. If
+    there is nothing to learn from, only the first two are dropped."""
+    docs = only(docs, **COLUMNS)
+    model = train(docs)
+    found = predict(docs, model, keep_text=True)
+    good = (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE) if model[0] else F.col("text").rlike(r"\p{L}")
+    return found.filter(good).select(*COLUMNS)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest doc_id of every component; of rows that share a doc_id
+    the one whose text hashes lowest. Rows without doc_id stay."""
+    docs = only(docs, **COLUMNS)
+    classes = written(jaccard_components(docs), "classes")
+    drop = classes.filter("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(drop, "doc_id", "left_anti")
+    again = written(docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"), "again")
+    if again.take(1):
+        few = kept.join(again, "doc_id")
+        first = few.groupBy("doc_id").agg(F.min_by(F.struct("text", "lang", "source", "n_chars"), F.xxhash64("text", "lang", "source", "n_chars")).alias("r"))
+        kept = kept.join(again, "doc_id", "left_anti").unionByName(first.select("doc_id", "r.*"))
+    return kept.select(*COLUMNS)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    docs = only(docs, **COLUMNS)
+    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(written(leaks, "leaks"), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document: its bin and its place there."""
+    return best_fit_packing(docs)
+
+
+STAGES = [
+    ("language_id", identify),
+    ("jaccard_join", one_of_each),
+    ("decontamination", decontaminate),
+    ("packing", pack),
+]
+
+#: Kernel scores, fingerprints and packing are not SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,7 +6,9 @@ from importlib import import_module
 
 MODULES = (
     "op4_token_ids",
+    "op5_language_id",
     "op6_jaccard_join",
+    "op9_decontamination",
     "op10_best_fit_packing",
 )
 

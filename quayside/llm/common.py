@@ -75,17 +75,20 @@ class WordHasher:
 
     A word's hash is a polynomial modulo 2**64 in fixed random numbers of its bytes, mixed with its
     length. All come from one running sum over the text: a word's part of the sum, times the
-    inverse power of the place where it begins. Long texts go in pieces cut at white space.
+    inverse power of the place where it begins. Long texts go in pieces cut between words.
+    With ``plain`` all ASCII signs but letters and digits separate words, too.
     """
 
     BASE = 0x9E3779B97F4A7C15 | 1
     PIECE = 1 << 20
 
-    def __init__(self):
+    def __init__(self, plain: bool = False):
         byte = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95)) | U64(1)
         byte[65:91] = byte[97:123]  # A-Z as a-z
         space = np.zeros(256, bool)
         space[[9, 10, 11, 12, 13, 32]] = True
+        if plain:
+            space[:128] = [not chr(c).isalnum() for c in range(128)]
         self.byte, self.space = byte, space
         self._powers(1 << 12)
 
