@@ -5,6 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
+    "op3_topk_search",
     "op4_token_ids",
     "op5_language_id",
     "op6_jaccard_join",
