@@ -25,10 +25,10 @@ families together lose nothing.
 
 *Groups.* Sets (not documents: copies have one set) that share a signature meet in a bucket.
 Small groups give their pairs, large ones the pairs with one anchor. After these are verified
-exactly, large groups whose members are not all connected yet go through a second step, which
-compares members of different components in blocks of parity bitmaps, whose Hamming distance never
-exceeds the true difference, and sends on only pairs that the bitmaps allow. Every pair that goes
-on is verified on the exact sets.
+exactly, large groups whose members are not all connected yet go through rounds, in which members
+of different components are compared by parity bitmaps, whose Hamming distance never exceeds the
+true difference. A round proposes pairs that the bitmaps allow, at most one for each component of
+a group, and ends when none is left. Every proposed pair is verified on the exact sets.
 
 Signatures travel as packed blobs, one for each task and bucket. Nothing whole passes the driver.
 """
@@ -81,7 +81,7 @@ def places(n: int) -> list[tuple[int, int]]:
 def bitmap(shingles: np.ndarray) -> bytes:
     """Parity bits of the set: bit ``h mod size`` flips for each member. Its size depends on the
     set's size only through the power of two above it, so bitmaps fold onto each other."""
-    size = 1 << max(6, int(len(shingles) * 2 - 1).bit_length())
+    size = 1 << max(6, int(len(shingles) * 4 - 1).bit_length())
     bits = (np.bincount((shingles & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
     return np.packbits(bits, bitorder="little").tobytes()
 
@@ -308,25 +308,74 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def apart_in_groups(groups: DataFrame) -> DataFrame:
-    """groups(grp, sid, comp, n, bits) -> pairs of different components that the bitmaps allow."""
+    """groups(grp, sid, root, n_shingles, bits, refuted) -> (grp, a, b): pairs of different
+    components that sizes and bitmaps allow and that were not refuted before.
+
+    A group gives at most one pair fewer than it has components: a pair whose components hang
+    together through other pairs of this round waits for their verdict.
+    """
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        n, comp, sid = (frame[c].to_numpy(np.int64) for c in ("n_shingles", "comp", "sid"))
+        frame = frame.sort_values("sid")
+        n, root, sid = (frame[c].to_numpy(np.int64) for c in ("n_shingles", "root", "sid"))
+        comp = np.unique(root, return_inverse=True)[1]
         size = min(len(x) for x in frame["bits"]) // 8
         bits = np.stack([fold(x, size) for x in frame["bits"]])
+        refuted = [None if x is None or not len(x) else np.asarray(x, np.int64) for x in frame["refuted"]]
         found = []
         for i in range(len(n)):
-            rest = slice(i + 1, None)
-            ok = (comp[rest] != comp[i]) & (LINK_NUM * np.maximum(n[rest], n[i]) <= LINK_DEN * np.minimum(n[rest], n[i]))
-            where = np.flatnonzero(ok) + i + 1
-            if len(where):
-                far = np.bitwise_count(bits[where] ^ bits[i]).sum(axis=1)
-                where = where[far <= most_apart(n[where], n[i])]
-                found.append(np.stack((np.minimum(sid[where], sid[i]), np.maximum(sid[where], sid[i]))))
-        p = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"a": p[0], "b": p[1]})
-
-    return groups.groupBy("grp").applyInPandas(compare, "a long, b long")
+            ok = (comp != comp[i]) & (LINK_NUM * np.maximum(n, n[i]) <= LINK_DEN * np.minimum(n, n[i]))
+            ok[:i] = False
+            if refuted[i] is not None:
+                ok &= ~np.isin(sid, refuted[i])
+            where = np.flatnonzero(ok)
+            if not len(where):
+                continue
+            far = np.bitwise_count(bits[where] ^ bits[i]).sum(axis=1)
+            near = far <= most_apart(n[where], n[i])
+            where, far = where[near], far[near]
+            closest = where[np.argsort(far, kind="stable")]
+            _, first = np.unique(comp[closest], return_index=True)
+            for j in closest[np.sort(first)].tolist():
+                found.append((sid[i], sid[j]))
+                comp[comp == comp[j]] = comp[i]
+        p = np.array(found, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"grp": np.full(len(p), frame["grp"].iloc[0]), "a": p[:, 0], "b": p[:, 1]})
+
+    return groups.groupBy("grp").applyInPandas(compare, "grp long, a long, b long")
+
+
+def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels(sid, root) after more links (a, b): only the roots are connected anew."""
+    ends = links.join(labels.select(F.col("sid").alias("a"), F.col("root").alias("ra")), "a")
+    ends = ends.join(labels.select(F.col("sid").alias("b"), F.col("root").alias("rb")), "b")
+    up = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).withColumnRenamed("root", "up")
+    out = labels.join(up, labels.root == up.node, "left").select("sid", F.coalesce("up", labels.root).alias("root"))
+    return written(out, "labels")
+
+
+def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """Labels after all links inside groups(grp, sid). Each round every group that may still hold a
+    link proposes pairs; each is verified, and either joins two components or is refuted for good.
+    Groups that propose nothing are done."""
+    refuted = None
+    while True:
+        named = groups.join(labels, "sid")
+        apart = named.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("grp")
+        named = named.join(apart, "grp").join(sets.select("sid", "n_shingles", "bits"), "sid")
+        if refuted is None:
+            named = named.withColumn("refuted", F.lit(None).cast("array<long>"))
+        else:
+            named = named.join(refuted.groupBy(F.col("a").alias("sid")).agg(F.collect_list("b").alias("refuted")), "sid", "left")
+        proposed = written(apart_in_groups(named), "proposed")
+        pairs = proposed.select("a", "b").distinct()
+        if not pairs.take(1):
+            return labels
+        good = written(verified(pairs, sets, docs), "links")
+        bad = pairs.join(good, ["a", "b"], "left_anti")
+        refuted = written(bad if refuted is None else refuted.union(bad), "refuted")
+        labels = joined_up(labels, good)
+        groups = groups.join(proposed.select("grp").distinct(), "grp", "left_semi")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -346,20 +395,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         sets.filter("sid is not null").groupBy("sid", "n_shingles").agg(F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id")), "distinct"
     )
     links = written(verified(found.filter("not big").select("a", "b").distinct(), distinct, docs), "links")
-    groups = found.filter("big").select("grp", F.col("a").alias("sid")).distinct()
-    if groups.take(1):
-        roots = components(links).withColumnRenamed("node", "sid")
-        groups = groups.join(roots, "sid", "left").withColumn("comp", F.coalesce("root", "sid"))
-        apart = groups.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("grp")
-        open_groups = written(groups.join(apart, "grp").select("grp", "sid", "comp"), "groups")
-        open_groups = open_groups.join(distinct.select("sid", "n_shingles", "bits"), "sid")
-        more = written(apart_in_groups(open_groups).distinct(), "more")
-        if more.take(1):
-            links = links.union(written(verified(more, distinct, docs), "links"))
-    # copies share a set, rows of one document share a doc_id: both are links through the set
-    roots = components(links)
-    named = distinct.select("sid", "doc_id").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
-    named = named.withColumn("root", F.coalesce("root", "sid"))
+    labels = joined_up(distinct.select("sid", F.col("sid").alias("root")), links)
+    labels = within_groups(found.filter("big").select("grp", F.col("a").alias("sid")).distinct(), labels, distinct, docs)
+    # copies have one set, so they are one node; a component is named by its least document
+    named = distinct.select("sid", "doc_id").join(labels, "sid")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_set = named.select("sid", "root").join(least, "root").select("sid", "component_id")
     out = sets.select("doc_id", "n_shingles", "sid").join(by_set, "sid", "left")
