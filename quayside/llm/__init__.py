@@ -5,10 +5,13 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
+    "op1_lm_scoring",
     "op3_topk_search",
     "op4_token_ids",
     "op5_language_id",
     "op6_jaccard_join",
+    "op7_license_scans",
+    "op8_url_filters",
     "op9_decontamination",
     "op10_best_fit_packing",
 )

@@ -29,6 +29,7 @@ FIXED_RULES = (
     ("allow", "org", "/fr/"),
 )
 MIN_SUPPORT = 0.001
+MIN_COUNT = 20  # labelled URLs behind a rule, at least
 MIN_CONFIDENCE = 0.5
 MIN_LIFT = 1.2
 BROADCAST_ROWS = 500_000  # of the rule index: a token and two numbers each
@@ -78,13 +79,14 @@ def url_tokens(host: Column, path: Column, url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(parts)))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, min_count: int = MIN_COUNT) -> DataFrame:
     """labelled(tokens, cls) -> (rule_tokens, cls, confidence, support)."""
     baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("class:"), "cls"))).alias("items"))
     schema = "rule_tokens array<string>, cls string, confidence double, support double"
-    if not baskets.take(1):
+    n = baskets.count()
+    if n < min_count:
         return labelled.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence).fit(baskets)
     to = F.col("consequent")[0]
     rules = model.associationRules.filter(to.startswith("class:") & (F.col("lift") >= min_lift))
     rules = rules.select(F.array_sort("antecedent").alias("rule_tokens"), F.substring(to, 7, 99).alias("cls"), "confidence", "support")
