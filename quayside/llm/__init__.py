@@ -6,6 +6,7 @@ from importlib import import_module
 
 MODULES = (
     "op1_lm_scoring",
+    "op2_html_extraction",
     "op3_topk_search",
     "op4_token_ids",
     "op5_language_id",
