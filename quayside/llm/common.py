@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 import numpy as np
@@ -52,6 +54,12 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[(df[c] if c in have else F.lit(None)).cast(t).alias(c) for c, t in columns.items()])
 
 
+def worker_cache() -> dict:
+    """What a Python worker keeps from task to task. (Functions of this package reach workers by
+    value, so their own globals last for one task only.)"""
+    return sys.modules.setdefault("_quayside_worker", types.ModuleType("_quayside_worker")).__dict__
+
+
 # ---------------------------------------------------------------- words and shingles
 
 

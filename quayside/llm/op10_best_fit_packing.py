@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import only, table, written
-from .tokens import Encoder
+from .tokens import encoder as encoder_of
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 GROUP_PIECES = 4096
@@ -96,7 +96,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, end: int = 1) ->
     """(doc_id, n_tokens): ids of each whole text and ``end`` end marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             n = [len(x) + end for x in encoder.encode(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])

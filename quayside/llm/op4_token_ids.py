@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import only, table, written
-from .tokens import Encoder
+from .tokens import encoder as encoder_of
 
 BLOCK = 16_384
 CHUNK_IDS = 262_144
@@ -91,7 +91,7 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, bl
         from pyspark import TaskContext
 
         shard, chunk, first = TaskContext.get().partitionId(), 0, 0
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         names: list = []
         held: list[np.ndarray] = []
         size = 0

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from .common import U64, mix, spans
+from .common import U64, mix, spans, worker_cache
 
 DEFAULT = "byte_bpe_50k.json"
 
@@ -19,6 +19,14 @@ def default_path() -> str:
     return public_tokenizers.path(DEFAULT)
 
 
+def encoder(path: str | None = None) -> Encoder:
+    """This worker's encoder, with the pieces that earlier tasks met."""
+    cache = worker_cache()
+    if ("encoder", path) not in cache:
+        cache["encoder", path] = Encoder(path)
+    return cache["encoder", path]
+
+
 class Encoder:
     """Encodes texts as ``Tokenizer.encode(text, add_special_tokens=False)`` does, special strings
     in a text being ordinary text.
@@ -27,7 +35,7 @@ class Encoder:
     its pieces crosses from a non-space to a white space character. So a text may be cut before a
     single space that a visible character follows, and around a single line feed between visible
     characters, without changing an id. Pieces are hashed by one running sum; only pieces never
-    seen before (in this task, since the table last filled up) go through the tokenizer.
+    seen before (by this worker, since the table last filled up) go through the tokenizer.
     """
 
     LIMIT = 1_000_000  # pieces kept
@@ -89,7 +97,7 @@ class Encoder:
         return begin, mix((total[end] - total[begin]) * self.down[begin] + (end - begin).astype(U64))
 
     def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
-        """Encode new pieces. Those without inner white space are encoded many at a time, and the
+        """Encode new pieces, in the order of their keys. Those without inner white space are encoded many at a time, and the
         ids are dealt out by the tokens' lengths in bytes."""
         plain = [i for i, p in enumerate(pieces) if p.strip() and len(p[p[:1] == b" " :].split()) == 1 and self.solid[p[p[:1] == b" "]] and p[-1] < 0x80 and p[-1] > 32]
         ids: list[np.ndarray] = [None] * len(pieces)
@@ -117,11 +125,10 @@ class Encoder:
         size = np.array([len(x) for x in ids], np.int64)
         at = len(self.pool) + np.concatenate(([0], np.cumsum(size)[:-1]))
         self.pool = np.concatenate([self.pool, *ids])
-        key = np.concatenate((self.key, keys))
-        order = np.argsort(key)
-        self.key = key[order]
-        self.at = np.concatenate((self.at, at))[order]
-        self.size = np.concatenate((self.size, size))[order]
+        where = np.searchsorted(self.key, keys)
+        self.key = np.insert(self.key, where, keys)
+        self.at = np.insert(self.at, where, at)
+        self.size = np.insert(self.size, where, size)
 
     def _some(self, raws: list[bytes]) -> list[np.ndarray]:
         cuts = [self._cut(np.frombuffer(r, np.uint8)) if r else (np.zeros(0, np.int64), np.zeros(0, U64)) for r in raws]
