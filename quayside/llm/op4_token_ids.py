@@ -49,7 +49,7 @@ def decode_block(planes: list[bytes], n: int, bits: bool) -> np.ndarray:
         rows = np.zeros((32, n), np.uint8)
         for i, p in enumerate(planes):
             rows[i] = np.unpackbits(np.frombuffer(p, np.uint8))[:n]
-        return np.packbits(rows.T, axis=1, bitorder="little").view("<u4").reshape(n)
+        return np.ascontiguousarray(np.packbits(rows.T, axis=1, bitorder="little")).view("<u4").reshape(n)
     out = np.zeros((n, 4), np.uint8)
     for i, p in enumerate(planes):
         out[:, i] = np.frombuffer(p, np.uint8)
