@@ -211,7 +211,7 @@ def signature_blobs(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
 
 
 def meetings(blobs: DataFrame) -> DataFrame:
-    """(grp, a, b): pairs to verify (grp null), and members a of large groups (b null)."""
+    """(grp, a, b, big): pairs (a, b) to verify, and, where big, members a of large groups grp."""
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         sig, sid = [], []
@@ -225,24 +225,25 @@ def meetings(blobs: DataFrame) -> DataFrame:
         keep = np.concatenate(([True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])))
         sig, sid = sig[keep], sid[keep]
         i, j = spans(sig)
-        several = j - i > 1
-        i, j = i[several], j[several]
-        pairs, grp, member, known = [], [], [], set()
-        for begin, end in zip(i.tolist(), j.tolist(), strict=True):
-            m = sid[begin:end]
-            n = len(m)
-            if n <= PAIRS_UP_TO:
-                x, y = np.triu_indices(n, 1)
-                pairs.append(np.stack((m[x], m[y])))
-                continue
-            pairs.append(np.stack((np.full(n - 1, m[0]), m[1:])))
-            if (name := set_id(m)) not in known:  # the same members again: nothing new to compare
-                known.add(name)
-                grp.append(np.full(n, name))
-                member.append(m)
-        p = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.zeros((2, 0), np.int64)
-        g = np.concatenate(grp) if grp else np.zeros(0, np.int64)
-        m = np.concatenate(member) if member else np.zeros(0, np.int64)
+        n = j - i
+        pairs = [np.zeros((2, 0), np.int64)]
+        for size in range(2, PAIRS_UP_TO + 1):
+            m = sid[i[n == size][:, None] + np.arange(size)]
+            x, y = np.triu_indices(size, 1)
+            pairs.append(np.stack((m[:, x].ravel(), m[:, y].ravel())))
+        big = n > max(1, PAIRS_UP_TO)
+        i, n = i[big], n[big]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(i, n)
+        pairs.append(np.stack((np.repeat(sid[i], n), sid[at]))[:, at != np.repeat(i, n)])
+        p = np.concatenate(pairs, axis=1)
+        p = p[:, np.lexsort((p[1], p[0]))]
+        p = p[:, np.concatenate(([True], (p[:, 1:] != p[:, :-1]).any(axis=0)))[: p.shape[1]]]
+        # a group is named by its members: the same members again are nothing new to compare
+        name = np.add.reduceat(mix(sid[at].astype(U64)), np.cumsum(n) - n).astype(np.int64) if len(n) else np.zeros(0, np.int64)
+        first = np.zeros(len(n), bool)
+        first[np.unique(name, return_index=True)[1]] = True
+        once = np.repeat(first, n)
+        g, m = np.repeat(name, n)[once], sid[at][once]
         return pd.DataFrame(
             {
                 "grp": pd.array(np.concatenate((np.zeros(p.shape[1], np.int64), g)), "Int64"),
@@ -277,13 +278,16 @@ def linked(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the distinct pairs (a, b) that link, first by bitmaps, then by their texts."""
+def hopeful_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose sizes and bitmaps allow a link."""
     one = sets.select("sid", "n_shingles", "bits")
     left = one.select(F.col("sid").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("ba"))
     right = one.select(F.col("sid").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("bb"))
-    hopeful = pairs.join(left, "a").join(right, "b").filter(may_link("na", "nb", "ba", "bb")).select("a", "b")
-    hopeful = written(hopeful, "hopeful")
+    return pairs.join(left, "a").join(right, "b").filter(may_link("na", "nb", "ba", "bb")).select("a", "b")
+
+
+def verified(hopeful: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the written pairs (a, b) that link, by their texts."""
     wanted = hopeful.select(F.col("a").alias("sid")).union(hopeful.select("b")).distinct()
     wanted = written(sets.select("sid", "doc_id").join(wanted, "sid"), "wanted")
     few = wanted.count() <= BROADCAST_IDS
@@ -368,7 +372,7 @@ def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, docs: D
         else:
             named = named.join(refuted.groupBy(F.col("a").alias("sid")).agg(F.collect_list("b").alias("refuted")), "sid", "left")
         proposed = written(apart_in_groups(named), "proposed")
-        pairs = proposed.select("a", "b").distinct()
+        pairs = written(proposed.select("a", "b").distinct(), "pairs")
         if not pairs.take(1):
             return labels
         good = written(verified(pairs, sets, docs), "links")
@@ -394,7 +398,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     distinct = written(
         sets.filter("sid is not null").groupBy("sid", "n_shingles").agg(F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id")), "distinct"
     )
-    links = written(verified(found.filter("not big").select("a", "b").distinct(), distinct, docs), "links")
+    pairs = written(hopeful_pairs(found.filter("not big").select("a", "b").distinct(), distinct), "pairs")
+    links = written(verified(pairs, distinct, docs), "links")
     labels = joined_up(distinct.select("sid", F.col("sid").alias("root")), links)
     labels = within_groups(found.filter("big").select("grp", F.col("a").alias("sid")).distinct(), labels, distinct, docs)
     # copies have one set, so they are one node; a component is named by its least document
