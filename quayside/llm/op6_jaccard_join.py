@@ -27,8 +27,8 @@ families together lose nothing.
 Small groups give their pairs, large ones the pairs with one anchor. After these are verified
 exactly, large groups whose members are not all connected yet go through rounds, in which members
 of different components are compared by parity bitmaps, whose Hamming distance never exceeds the
-true difference. A round proposes pairs that the bitmaps allow, at most one for each component of
-a group, and ends when none is left. Every proposed pair is verified on the exact sets.
+true difference. A round proposes pairs that the bitmaps allow, at most one for each member of a
+group; the rounds end when none is left. Every proposed pair is verified on the exact sets.
 
 Signatures travel as packed blobs, one for each task and bucket. Nothing whole passes the driver.
 """
@@ -311,12 +311,15 @@ def verified(hopeful: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     return hopeful.join(a, "a").join(b, "b").filter(linked("ca", "cb")).select("a", "b")
 
 
-def apart_in_groups(groups: DataFrame) -> DataFrame:
+def apart_in_groups(groups: DataFrame, first: bool) -> DataFrame:
     """groups(grp, sid, root, n_shingles, bits, refuted) -> (grp, a, b): pairs of different
     components that sizes and bitmaps allow and that were not refuted before.
 
-    A group gives at most one pair fewer than it has components: a pair whose components hang
-    together through other pairs of this round waits for their verdict.
+    The first round takes the closest pairs; a pair whose components hang together through other
+    pairs of the round waits for their verdict. What is left then are mostly pairs just below the
+    threshold, and the same two sets meet in many groups: later rounds take one pair for each
+    member, by a hash that differs from group to group, so the groups share the work. Either way a
+    group gives at most as many pairs as it has members, and at least one if it has any.
     """
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
@@ -326,10 +329,12 @@ def apart_in_groups(groups: DataFrame) -> DataFrame:
         size = min(len(x) for x in frame["bits"]) // 8
         bits = np.stack([fold(x, size) for x in frame["bits"]])
         refuted = [None if x is None or not len(x) else np.asarray(x, np.int64) for x in frame["refuted"]]
+        turn = frame["grp"].to_numpy(np.int64)[:1].astype(U64)
         found = []
         for i in range(len(n)):
             ok = (comp != comp[i]) & (LINK_NUM * np.maximum(n, n[i]) <= LINK_DEN * np.minimum(n, n[i]))
-            ok[:i] = False
+            if first:
+                ok[:i] = False
             if refuted[i] is not None:
                 ok &= ~np.isin(sid, refuted[i])
             where = np.flatnonzero(ok)
@@ -338,12 +343,17 @@ def apart_in_groups(groups: DataFrame) -> DataFrame:
             far = np.bitwise_count(bits[where] ^ bits[i]).sum(axis=1)
             near = far <= most_apart(n[where], n[i])
             where, far = where[near], far[near]
+            if not first:
+                if len(where):
+                    order = mix(sid[where].astype(U64) ^ mix(sid[i : i + 1].astype(U64) + turn))
+                    found.append((sid[i], sid[where[order.argmin()]]))
+                continue
             closest = where[np.argsort(far, kind="stable")]
-            _, first = np.unique(comp[closest], return_index=True)
-            for j in closest[np.sort(first)].tolist():
+            _, nearest = np.unique(comp[closest], return_index=True)
+            for j in closest[np.sort(nearest)].tolist():
                 found.append((sid[i], sid[j]))
                 comp[comp == comp[j]] = comp[i]
-        p = np.array(found, np.int64).reshape(-1, 2)
+        p = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
         return pd.DataFrame({"grp": np.full(len(p), frame["grp"].iloc[0]), "a": p[:, 0], "b": p[:, 1]})
 
     return groups.groupBy("grp").applyInPandas(compare, "grp long, a long, b long")
@@ -370,8 +380,9 @@ def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, docs: D
         if refuted is None:
             named = named.withColumn("refuted", F.lit(None).cast("array<long>"))
         else:
-            named = named.join(refuted.groupBy(F.col("a").alias("sid")).agg(F.collect_list("b").alias("refuted")), "sid", "left")
-        proposed = written(apart_in_groups(named), "proposed")
+            both = refuted.union(refuted.select("b", "a"))
+            named = named.join(both.groupBy(F.col("a").alias("sid")).agg(F.collect_list("b").alias("refuted")), "sid", "left")
+        proposed = written(apart_in_groups(named, refuted is None), "proposed")
         pairs = written(proposed.select("a", "b").distinct(), "pairs")
         if not pairs.take(1):
             return labels
