@@ -1,7 +1,5 @@
 """Row types of the landing zone."""
 
-from pyspark.sql import types as T
-
 LISTING = "path string, mtime timestamp, length long"
 RESOURCE = "bid string, name string, url string, content_type string, status_code int, derived_from string, content binary"
 REQUEST_META = "url string, depth int, referer string, headers map<string,string>, flags map<string,boolean>"
@@ -15,7 +13,7 @@ _UNIT = (
 )
 _SITE = "siren string, siret string, dateCreationEtablissement string, codePostalEtablissement string, libelleCommuneEtablissement string"
 #: An API page; the cursor may stand in the header or beside it, counts likewise.
-PAGE = T.StructType.fromDDL(
+PAGE = (
     "header struct<statut:int,message:string,total:long,debut:long,nombre:long,curseurSuivant:string>,"
     f" unitesLegales array<struct<{_UNIT.replace(' string', ':string').replace(' int', ':int')},"
     f"etablissements:array<struct<{_SITE.replace(' string', ':string')}>>>>,"
