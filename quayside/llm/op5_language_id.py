@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import only, table
 
 SAMPLE = 400  # labelled rows of each language
-LANDMARKS = 100  # of these, landmarks
+LANDMARKS = 64  # of these, landmarks
 MAX_LANGUAGES = 1000
 BUCKET_BITS = 17
 ORDERS = (1, 2, 3, 4)
@@ -95,7 +95,11 @@ def fit(rows: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: f
     value, vector = np.linalg.eigh(k_mm)
     ok = value > 1e-8 * value[-1]
     whiten = vector[:, ok] / np.sqrt(value[ok])
-    k_nm = np.stack([z[b].sum(axis=0) / np.sqrt(len(b)) for _, b in rows]).astype(np.float64)
+    k_nm = np.zeros((len(rows), len(chosen)))
+    for i, (_, b) in enumerate(rows):
+        for at in range(0, len(b), 4096):  # a few MB at a time
+            k_nm[i] += z[b[at : at + 4096]].sum(axis=0)
+        k_nm[i] /= np.sqrt(len(b))
     phi = k_nm @ whiten
     size = np.bincount(y, minlength=len(langs))
     weight = (1 / size[y]) / len(langs)  # every language counts alike
@@ -103,7 +107,7 @@ def fit(rows: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: f
     mean, aim = weight @ phi, weight @ target
     a, t = phi - mean, target - aim
     beta = np.linalg.solve(a.T @ (a * weight[:, None]) + ridge * np.eye(a.shape[1]), a.T @ (t * weight[:, None]))
-    return langs, (z @ (whiten @ beta)).astype(np.float32), (aim - mean @ beta).astype(np.float32)
+    return langs, z @ (whiten @ beta).astype(np.float32), (aim - mean @ beta).astype(np.float32)
 
 
 def scores(buckets: list[np.ndarray], weights: np.ndarray, offset: np.ndarray) -> np.ndarray:
@@ -139,10 +143,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) ->
 
     # at most sample * languages ids: a bounded broadcast
     picked = usable.join(F.broadcast(ids), "doc_id").filter("lang = picked").select("lang", "doc_id", "text")
-    got = picked.mapInArrow(run, "lang string, doc_id long, found binary").toPandas()
-    got = got.sort_values(["lang", "doc_id"])
-    rows = [(lang, np.frombuffer(b, np.int32).astype(np.int64)) for lang, b in zip(got["lang"], got["found"], strict=True)]
-    rows = [r for r in rows if len(r[1])]
+    got = picked.mapInArrow(run, "lang string, doc_id long, found binary").toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])
+    rows = [(lang.as_py(), np.frombuffer(b.as_buffer(), np.int32)) for lang, b in zip(got["lang"], got["found"], strict=True) if len(b.as_buffer())]
     if not rows:
         return [], np.zeros((_N, 0), np.float32), np.zeros(0, np.float32)
     return fit(rows, landmarks)
