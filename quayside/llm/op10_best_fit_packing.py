@@ -29,6 +29,7 @@ from .tokens import encoder as encoder_of
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 GROUP_PIECES = 4096
+ROWS = 1000  # texts that a task takes at a time
 BIN_COST = 16  # of opening a bin, in tokens: sequences have a fixed overhead
 
 
@@ -98,7 +99,8 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, end: int = 1) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
         for batch in batches:
-            n = [len(x) + end for x in encoder.encode(batch.column("text").to_pylist())]
+            parts = (batch.column("text").slice(at, ROWS).to_pylist() for at in range(0, len(batch), ROWS))
+            n = [len(x) + end for part in parts for x in encoder.encode(part)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long")

@@ -1,6 +1,6 @@
 """Token-ID output: bit-plane shuffled, zstandard-compressed id files with a chunk index.
 
-Texts are dealt by ranges of doc_id and sorted, so shard after shard and chunk after chunk the ids
+Ids are dealt by ranges of doc_id and sorted, so shard after shard and chunk after chunk the ids
 stand in ascending doc_id order. A chunk holds whole documents. Its ids are cut in blocks of a
 fixed number of ids; each block is transposed into byte planes (plane ``j`` holds byte ``j`` of
 every id) or bit planes, planes that are zero throughout are left out, and every plane is
@@ -23,11 +23,12 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, table, written
+from .common import only, pack, table, unpack, written
 from .tokens import encoder as encoder_of
 
 BLOCK = 16_384
 CHUNK_IDS = 262_144
+ROWS = 1000  # texts that a task takes at a time
 CHUNK_SCHEMA = (
     "shard int, chunk int, first long, n_ids long, doc_ids array<long>, doc_sizes array<long>,"
     " block int, bits boolean, width int, plane_ends array<int>, planes binary"
@@ -80,18 +81,39 @@ def decode_chunk(n: int, block: int, bits: bool, width: int, ends: list[int], pl
     return np.concatenate(blocks) if blocks else np.zeros(0, np.uint32)
 
 
+def encoded(docs: DataFrame, bounds: list[float], tokenizer: str | None, end_id: int) -> DataFrame:
+    """(shard, doc_id, h, ids): ids packed, h a hash of the text; the shard is the range of doc_id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, cuts = encoder_of(tokenizer), np.array(bounds)
+        for batch in batches:
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                blobs = []
+                for ids in encoder.encode(part.column("text").to_pylist()):
+                    ids = np.append(ids, np.uint32(end_id))
+                    blobs.append(pack(ids.astype(np.uint16) if ids.max() < 1 << 16 else ids))
+                name = part.column("doc_id")
+                shard = np.searchsorted(cuts, name.cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy(zero_copy_only=False), side="right")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int32()), name, part.column("h"), pa.array(blobs, pa.binary())], ["shard", "doc_id", "h", "ids"]
+                )
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(run, "shard int, doc_id long, h long, ids binary")
+
+
 def write_ids(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, block: int = BLOCK, bits: bool = False) -> DataFrame:
     """Write ``docs(doc_id, text)`` to shards; returns the table of chunks.
 
     A null text is empty (its ids are the end id alone). Rows of one doc_id stand in the order of
     their texts' hashes, each as a document of its own; rows without doc_id come first.
+
+    Shards are ranges of doc_id, as many as the session has shuffle partitions; their bounds come
+    from approximate quantiles of doc_id, so texts are encoded once, and packed ids are shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        shard, chunk, first = TaskContext.get().partitionId(), 0, 0
-        encoder = encoder_of(tokenizer)
+        shard, chunk, first = None, 0, 0
         names: list = []
         held: list[np.ndarray] = []
         size = 0
@@ -103,20 +125,23 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, bl
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, _ARROW, strict=True)], schema=_ARROW)
 
         for batch in batches:
-            ids_of = encoder.encode(batch.column("text").to_pylist())
-            for name, ids in zip(batch.column("doc_id").to_pylist(), ids_of, strict=True):
-                names.append(name)
-                held.append(np.append(ids, np.uint32(end_id)))
-                size += len(held[-1])
-                if size >= CHUNK_IDS:
+            for own, name, blob in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "ids")), strict=True):
+                if held and (own != shard or size >= CHUNK_IDS):
                     yield emit()
                     chunk, first = chunk + 1, first + size
                     names, held, size = [], [], 0
+                if own != shard:
+                    shard, chunk, first = own, 0, 0
+                names.append(name)
+                held.append(unpack(blob)[0].astype(np.uint32))
+                size += len(held[-1])
         if held:
             yield emit()
 
     docs = only(docs, doc_id="long", text="string")
-    dealt = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bounds = docs.select("doc_id").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
+    dealt = encoded(docs, sorted(set(bounds)), tokenizer, end_id).repartition(n, "shard").sortWithinPartitions("shard", "doc_id", "h")
     return written(dealt.mapInArrow(run, CHUNK_SCHEMA), "ids")
 
 

@@ -38,9 +38,9 @@ class Encoder:
     seen before (by this worker, since the table last filled up) go through the tokenizer.
     """
 
-    LIMIT = 1_000_000  # pieces kept
+    LIMIT = 800_000  # pieces kept
     BASE = 0x9E3779B97F4A7C15 | 1
-    BATCH = 4 << 20
+    BATCH = 2 << 20
 
     def __init__(self, path: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
