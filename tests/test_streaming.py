@@ -7,10 +7,14 @@ from quayside.operators import bundles
 from quayside.streaming import streams
 
 
-def run(stream, spark, name, mode="append"):
+def run(stream, spark, name, mode="append", rows=1):
+    """What the query gives: waits for so many rows, half a minute at most. (A query with a time to
+    live keeps running batches, so it never counts as idle.)"""
     q = stream.writeStream.format("memory").queryName(name).outputMode(mode).start()
     try:
-        q.processAllAvailable()
+        end = time.time() + 30
+        while time.time() < end and q.isActive and spark.table(name).count() < rows:
+            time.sleep(0.3)
     finally:
         q.stop()
     return spark.table(name).collect()
@@ -24,7 +28,7 @@ def write(folder, rows, n):
 def test_watch(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"f{i}.txt").write_text(str(i))
-    got = run(streams.watch_files(spark, str(tmp_path), max_files=1).select("path", "length"), spark, "watched")
+    got = run(streams.watch_files(spark, str(tmp_path), max_files=1).select("path", "length"), spark, "watched", rows=3)
     assert len(got) == 3
 
 
@@ -32,10 +36,10 @@ def test_dedup_and_rates(spark, tmp_path):
     d = tmp_path / "in"
     write(d, ['{"source":"a","ts":"2024-01-01 00:00:00.1"}', '{"source":"a","ts":"2024-01-01 00:00:00.7"}', '{"source":"b","ts":"2024-01-01 00:00:01"}'], 1)
     src = spark.readStream.schema("source string, ts timestamp").json(str(d))
-    assert sorted(r["source"] for r in run(streams.dedup_within(src, ["source"], "ts", "1 minute"), spark, "dedup")) == ["a", "b"]
-    rates = run(streams.request_rates(src), spark, "rates", "complete")
+    assert sorted(r["source"] for r in run(streams.dedup_within(src, ["source"], "ts", "1 minute"), spark, "dedup", rows=2)) == ["a", "b"]
+    rates = run(streams.request_rates(src), spark, "rates", "complete", 2)
     assert sorted((r["source"], r["count"]) for r in rates) == [("a", 2), ("b", 1)]
-    once = run(streams.dedup_with_ttl(src, "source", 3600), spark, "once")
+    once = run(streams.dedup_with_ttl(src, "source", 3600), spark, "once", rows=2)
     assert sorted(r["source"] for r in once) == ["a", "b"]
 
 
@@ -45,7 +49,7 @@ def test_modified_since(spark, tmp_path):
     write(d, ['{"path":"f1","mtime":"2024-01-01"}', '{"path":"f2","mtime":"2024-01-01"}'], 1)
     time.sleep(1.1)
     write(d, ['{"path":"f1","mtime":"2024-01-01"}', '{"path":"f2","mtime":"2024-01-02"}'], 2)
-    got = sorted((r["path"], r["mtime"].day) for r in run(streams.modified_since(src), spark, "modified"))
+    got = sorted((r["path"], r["mtime"].day) for r in run(streams.modified_since(src), spark, "modified", rows=3))
     assert got == [("f1", 1), ("f2", 1), ("f2", 2)]
 
 
@@ -53,7 +57,7 @@ def test_counters(spark, tmp_path):
     d = tmp_path / "in"
     write(d, ['{"name":"x","amount":2}', '{"name":"x"}', '{"name":"y"}'], 1)
     src = spark.readStream.schema("name string, amount int").json(str(d))
-    assert {r["name"]: r["value"] for r in run(streams.running_counters(src), spark, "counted", "complete")} == {"x": 3, "y": 1}
+    assert {r["name"]: r["value"] for r in run(streams.running_counters(src), spark, "counted", "complete", 2)} == {"x": 3, "y": 1}
 
 
 def test_completion_is_once(spark, tmp_path):
