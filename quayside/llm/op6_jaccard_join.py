@@ -81,7 +81,7 @@ def places(n: int) -> list[tuple[int, int]]:
 def bitmap(shingles: np.ndarray) -> bytes:
     """Parity bits of the set: bit ``h mod size`` flips for each member. Its size depends on the
     set's size only through the power of two above it, so bitmaps fold onto each other."""
-    size = 1 << max(6, int(len(shingles) * 4 - 1).bit_length())
+    size = 1 << max(6, int(len(shingles) * 2 - 1).bit_length())
     bits = (np.bincount((shingles & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
     return np.packbits(bits, bitorder="little").tobytes()
 
@@ -176,19 +176,21 @@ def signature_blobs(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, hot, sigs, sids, seen, size = WordHasher(), shared.value, [], [], set(), 0
+        hasher, hot, sigs, sids, ns, seen, size = WordHasher(), shared.value, [], [], [], set(), 0
 
         def emit():
-            sig, sid = np.concatenate(sigs), np.repeat(np.array(sids, np.int64), [len(x) for x in sigs])
+            times = [len(x) for x in sigs]
+            sig, sid = np.concatenate(sigs), np.repeat(np.array(sids, np.int64), times)
+            n = np.repeat(np.array(ns, np.uint32), times)
             bucket = (sig % U64(buckets)).astype(np.int32)
             order = np.lexsort((sig, bucket))
-            sig, sid, bucket = sig[order] >> U64(24), sid[order], bucket[order]
+            sig, sid, n, bucket = sig[order] >> U64(24), sid[order], n[order], bucket[order]
             name, blob = [], []
             for i, j in zip(*spans(bucket), strict=True):
-                own, local = np.unique(sid[i:j], return_inverse=True)
+                own, at, local = np.unique(sid[i:j], return_index=True, return_inverse=True)
                 kept = np.sort(sig[i:j]), local[np.argsort(sig[i:j], kind="stable")]
                 name.append(int(bucket[i]))
-                blob.append(pack(np.diff(kept[0], prepend=U64(0)), kept[1].astype(np.uint32), own))
+                blob.append(pack(np.diff(kept[0], prepend=U64(0)), kept[1].astype(np.uint32), own, n[i:j][at]))
             return pa.RecordBatch.from_arrays([pa.array(name, pa.int32()), pa.array(blob, pa.binary())], ["bucket", "blob"])
 
         for batch in batches:
@@ -198,11 +200,12 @@ def signature_blobs(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
                     continue
                 seen.add(sid)
                 sids.append(sid)
+                ns.append(len(s))
                 sigs.append(signatures(s, hot))
                 size += len(sigs[-1])
                 if size > FLUSH:
                     yield emit()
-                    sigs, sids, size = [], [], 0
+                    sigs, sids, ns, size = [], [], [], 0
                     seen.clear()
         if sids:
             yield emit()
@@ -214,28 +217,31 @@ def meetings(blobs: DataFrame) -> DataFrame:
     """(grp, a, b, big): pairs (a, b) to verify, and, where big, members a of large groups grp."""
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
-        sig, sid = [], []
+        sig, sid, length = [], [], []
         for raw in frame["blob"]:
-            d, local, own = unpack(raw)
+            d, local, own, sizes = unpack(raw)
             sig.append(np.cumsum(d, dtype=U64))
             sid.append(own[local])
-        sig, sid = np.concatenate(sig), np.concatenate(sid)
+            length.append(sizes[local])
+        sig, sid, length = np.concatenate(sig), np.concatenate(sid), np.concatenate(length).astype(np.int64)
         order = np.lexsort((sid, sig))
-        sig, sid = sig[order], sid[order]
+        sig, sid, length = sig[order], sid[order], length[order]
         keep = np.concatenate(([True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])))
-        sig, sid = sig[keep], sid[keep]
+        sig, sid, length = sig[keep], sid[keep], length[keep]
         i, j = spans(sig)
         n = j - i
         pairs = [np.zeros((2, 0), np.int64)]
         for size in range(2, PAIRS_UP_TO + 1):
-            m = sid[i[n == size][:, None] + np.arange(size)]
+            m = i[n == size][:, None] + np.arange(size)
             x, y = np.triu_indices(size, 1)
             pairs.append(np.stack((m[:, x].ravel(), m[:, y].ravel())))
         big = n > max(1, PAIRS_UP_TO)
         i, n = i[big], n[big]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(i, n)
-        pairs.append(np.stack((np.repeat(sid[i], n), sid[at]))[:, at != np.repeat(i, n)])
+        pairs.append(np.stack((np.repeat(i, n), at))[:, at != np.repeat(i, n)])
         p = np.concatenate(pairs, axis=1)
+        lo, hi = np.sort(length[p], axis=0)
+        p = sid[p[:, LINK_NUM * hi <= LINK_DEN * lo]]  # of sizes that can link
         p = p[:, np.lexsort((p[1], p[0]))]
         p = p[:, np.concatenate(([True], (p[:, 1:] != p[:, :-1]).any(axis=0)))[: p.shape[1]]]
         # a group is named by its members: the same members again are nothing new to compare
@@ -372,7 +378,7 @@ def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, docs: D
     """Labels after all links inside groups(grp, sid). Each round every group that may still hold a
     link proposes pairs; each is verified, and either joins two components or is refuted for good.
     Groups that propose nothing are done."""
-    refuted = None
+    refuted, groups = None, written(groups, "groups")
     while True:
         named = groups.join(labels, "sid")
         apart = named.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("grp")
@@ -390,7 +396,7 @@ def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, docs: D
         bad = pairs.join(good, ["a", "b"], "left_anti")
         refuted = written(bad if refuted is None else refuted.union(bad), "refuted")
         labels = joined_up(labels, good)
-        groups = groups.join(proposed.select("grp").distinct(), "grp", "left_semi")
+        groups = written(groups.join(proposed.select("grp").distinct(), "grp", "left_semi"), "groups")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
