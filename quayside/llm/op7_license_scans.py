@@ -5,7 +5,8 @@ whole text where it has more than one paragraph. Text is lower-cased, everything
 digits parts words. With ``n`` and ``m`` distinct bigrams, the Dice coefficient is at most
 ``2 * min(n, m) / (n + m)``, so a template of ``m`` bigrams can only reach the threshold ``t`` for
 ``m * t / (2 - t) <= n <= m * (2 - t) / t``: a unit whose word count rules out every template is
-dropped at once, and of the others only the templates within bounds are counted. Bigrams meet the
+dropped at once, and of the others only the templates within bounds are counted. Before that, texts without any
+of a few telling words, one of which every match must have, are passed over. Bigrams meet the
 templates' bigrams in a broadcast join (a fixed list of a few thousand), and only bigrams that
 occur in a template within bounds are shuffled.
 
@@ -14,6 +15,11 @@ DataFrame functions only; no Python runs in tasks.
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +27,8 @@ from .common import only, table
 from .licence_templates import TEMPLATES
 
 THRESHOLD = 0.8
+#: Frequent words, which tell little.
+COMMON = frozenset("a an and any as at be but by for from in is it may not of on or that the this to under with you".split())
 
 
 def words(text: Column) -> Column:
@@ -43,6 +51,30 @@ def template_bigrams(spark, templates, threshold: float) -> tuple[DataFrame, int
     return t.select("licence", "template", "m", "low", "high", F.explode("b").alias("bigram")), int(lo or 1), int(hi or 0)
 
 
+def telling_words(templates, threshold: float) -> list[str]:
+    """Words of which every unit that matches any template has at least one.
+
+    A unit that reaches the threshold shares at least the lower size bound of a template's ``m``
+    bigrams, so it misses few of them: words that stand in more bigrams than may be missed
+    cannot all be absent. Words chosen before and long words come first, to keep the list short, frequent ones last.
+    """
+    chosen: list[str] = []
+    for _, _, body in templates:
+        w = re.findall(r"[^\W_]+", body.lower())
+        grams = set(itertools.pairwise(w))
+        if not grams:
+            continue
+        may_miss = len(grams) - math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
+        touched: set = set()
+        for word in sorted(set(w), key=lambda x: (x in COMMON, x not in chosen, -len(x), x)):
+            if len(touched) > may_miss:
+                break
+            touched |= {g for g in grams if word in g}
+            if word not in chosen:
+                chosen.append(word)
+    return chosen
+
+
 def units(docs: DataFrame) -> DataFrame:
     """(doc_id, kind, unit_no, unit): lines, paragraphs of several lines, texts of several paragraphs."""
     text = F.regexp_replace("text", r"\r\n?", "\n")
@@ -63,6 +95,9 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESH
     """
     index, low, high = template_bigrams(docs.sparkSession, templates, threshold)
     docs = only(docs, doc_id="long", text="string").filter("text is not null")
+    some = telling_words(templates, threshold)
+    has_one = lambda t: functools.reduce(lambda a, b: a | b, [t.contains(w) for w in some], F.lit(False))
+    docs = docs.filter(F.exists(F.array(F.lower("text")), has_one))  # lower-cased once a text
     u = units(docs).withColumn("w", words(F.col("unit"))).filter(F.size("w") > low)
     u = u.withColumn("b", bigrams(F.col("w"))).withColumn("n", F.size("b")).filter((F.col("n") >= low) & (F.col("n") <= high))
     u = u.select("doc_id", "kind", "unit_no", "n", F.xxhash64("unit").alias("unit_hash"), F.explode("b").alias("bigram"))
