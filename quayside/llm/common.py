@@ -187,7 +187,7 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     for num, size in meta.tolist():
         kind = _TYPES[num]
         planes = np.frombuffer(raw, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
-        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(size) if size else np.zeros(0, kind))
+        out.append(planes.T.copy(order="C").view(kind).reshape(size) if size else np.zeros(0, kind))
         at += size * kind.itemsize
     return out
 

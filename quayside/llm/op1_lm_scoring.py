@@ -5,7 +5,7 @@ one vocabulary, one order and one smoothing; a document's score is the mean diff
 tokens' losses, target minus background, in nats (lower: more like the target). Counts are over all
 documents and whole texts.
 
-* Vocabulary: the ``VOCABULARY`` most frequent words; every other word is one unknown token.
+* Vocabulary: the most frequent words, ``VOCABULARY`` at most; every other word is one unknown token.
 * ``P(w | h) = (c(h, w) + MU * P(w)) / (c(h) + MU)``, ``P(w) = (c(w) + 1) / (tokens + vocabulary)``.
 * A document's own occurrences of a bigram are taken out of its model's counts before the bigram
   is scored there, so documents do not vouch for themselves.
@@ -79,6 +79,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text", "target").mapInArrow(run, "h long, t long, b long").groupBy("h").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
 
 
+def vocabulary_cut(words: DataFrame) -> int:
+    """The least count of a word in the vocabulary: words of one count go in together or not at
+    all, as long as there are no more than ``VOCABULARY``. Only the numbers of words by count reach
+    the driver, of which there are few (k different counts need k * k / 2 tokens)."""
+    by_count = words.groupBy("n").agg(F.count("*").alias("words")).toPandas().sort_values("n", ascending=False)
+    fits = by_count["n"][by_count["words"].cumsum() <= VOCABULARY]
+    return int(fits.iloc[-1]) if len(fits) else 1 << 62
+
+
 class Model:
     """Vocabulary, unigrams and hot bigrams of both models (index 0: target, 1: background)."""
 
@@ -260,7 +269,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     one, rest = words.filter("h = 0").select("t", "b").first(), words.filter("h <> 0").withColumn("n", n)
     sums = rest.agg(F.sum("t"), F.sum("b")).first()
     total = (sums[0] or 0, sums[1] or 0)
-    top = rest.orderBy(F.desc("n"), "h").limit(VOCABULARY).toPandas()  # a bounded number of rows
+    least = vocabulary_cut(rest)
+    top = rest.filter(F.col("n") >= least).toPandas()  # VOCABULARY rows at most
     model = Model(top, total, (one[0], one[1]) if one else (0, 0))
     hot = hot_counts(docs, model).toPandas()  # HOT * HOT rows at most
     for m, c in enumerate(("t", "b")):
