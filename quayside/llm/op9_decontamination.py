@@ -2,9 +2,9 @@
 
 A document is contaminated by a benchmark item if one of its windows, as long in words as the item,
 has a weighted shingle similarity of at least 0.75 with it. Shingles are five words (lower-cased,
-ASCII signs dropped; an item of fewer words is one shingle); one weighs more the fewer items hold it;
-the similarity is the cosine of the two weighted shingle sets, the quantity that SimHash
-estimates.
+ASCII signs dropped; an item of fewer words is one shingle, found wherever a document has just these
+words in a row); one weighs more the fewer items of the whole benchmark hold it; the similarity is
+the cosine of the two weighted shingle sets, the quantity that SimHash estimates.
 
 *Windows.* A window can only be similar to an item if they share a shingle. So windows are laid
 where a document's shingle occurs in an item, at the offset that lines the two up, for each
@@ -17,7 +17,9 @@ than three deviations away; equal texts have distance 0.) *Verification.* The fu
 exact similarity decide.
 
 Items are taken in blocks of bounded size, each broadcast; documents are read once for each block,
-whole, and nothing is shuffled but matches.
+whole. Where there are several blocks, Spark counts the items of each shingle once over all of them,
+and documents are read once more for each block, to learn which shingles of other blocks' items its
+windows hold: with their counts the weights are those of the whole benchmark.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WordHasher, mix, only, shingle_hashes, spans, table
+from .common import U64, WordHasher, mix, only, shingle_hashes, table, written
 
 WIDTH = 5
 SIMILARITY = 0.75
@@ -49,7 +51,9 @@ def shingle_bits(shingles: np.ndarray) -> np.ndarray:
 class Items:
     """Benchmark items, their fingerprints, and the tables of blocks."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], total: int | None = None, counts: tuple[np.ndarray, np.ndarray] | None = None):
+        """``total`` items hold words in the whole benchmark; ``counts``: sorted shingles and the
+        numbers of items that hold them, where these are not the block's own."""
         hasher = WordHasher(plain=True)
         rows = sorted((i, t) for i, t in rows if i is not None and t)
         self.ids, self.words, self.seq = [], [], []
@@ -64,12 +68,20 @@ class Items:
         place = np.concatenate([np.arange(len(s)) for s in self.seq]) if self.seq else np.zeros(0, np.int64)
         pairs = np.unique(np.stack((flat, owner.astype(U64))), axis=1) if len(flat) else np.zeros((2, 0), U64)
         self.known, df = np.unique(pairs[0], return_counts=True)
-        self.weight = 1 + np.log((1 + len(self.ids)) / (1 + df))
+        total = len(self.ids) if total is None else total
+        self.foreign, self.foreign_weight = np.zeros(0, U64), np.zeros(0)
+        if counts is not None and len(counts[0]):
+            i = np.minimum(np.searchsorted(counts[0], self.known), len(counts[0]) - 1)
+            df = np.where(counts[0][i] == self.known, counts[1][i], df)
+            other = ~np.isin(counts[0], self.known, assume_unique=True)
+            self.foreign, self.foreign_weight = counts[0][other], 1 + np.log((1 + total) / (1 + counts[1][other]))
+        self.weight = 1 + np.log((1 + total) / (1 + df))
         order = np.argsort(flat, kind="stable")
         self.owner, self.place = owner[order], place[order]
         self.begin = np.searchsorted(flat[order], self.known)
         self.end = np.searchsorted(flat[order], self.known, side="right")
-        self.rare = float(1 + np.log(1 + len(self.ids)))  # of a shingle in no item
+        self.rare = float(1 + np.log(1 + total))  # of a shingle in no item
+        self.short = sorted({n for n in self.words if n < WIDTH})
         self.sets = [np.unique(s) for s in self.seq]
         self.norms = [float(np.sqrt((self.weights(s) ** 2).sum())) for s in self.sets]
         self.prints = np.stack([self.fingerprint(s) for s in self.sets]) if self.sets else np.zeros((0, 16), np.uint8)
@@ -84,37 +96,64 @@ class Items:
     def weights(self, shingles: np.ndarray) -> np.ndarray:
         i = np.minimum(np.searchsorted(self.known, shingles), max(0, len(self.known) - 1))
         hit = self.known[i] == shingles
-        return np.where(hit, self.weight[i], self.rare)
+        out = np.where(hit, self.weight[i], self.rare)
+        if len(self.foreign):
+            i = np.minimum(np.searchsorted(self.foreign, shingles), len(self.foreign) - 1)
+            out = np.where(self.foreign[i] == shingles, self.foreign_weight[i], out)
+        return out
 
     def fingerprint(self, shingles: np.ndarray) -> np.ndarray:
         """16 bytes of the distinct shingles of one window."""
         return np.packbits(self.weights(shingles) @ shingle_bits(shingles) > 0)
 
-    def matches(self, shingles: np.ndarray, n_words: int) -> dict[int, tuple[float, int, int]]:
-        """item -> (similarity, first word, distance) of the document's best window."""
+    def matches(self, hashes: np.ndarray) -> dict[int, tuple[float, int, int]]:
+        """item -> (similarity, first word, distance) of the best window of a document's words."""
         best: dict[int, tuple[float, int, int]] = {}
-        if not len(self.known) or not len(shingles):
-            return best
+        seen: dict[bytes, list] = {}
+        for start, raw in self.windows(hashes):
+            key = raw.tobytes()
+            if key not in seen:
+                seen[key] = self._look_up(np.unique(raw))
+            for item, sim, far in seen[key]:
+                if item not in best or (sim, -start) > (best[item][0], -best[item][1]):
+                    best[item] = (sim, start, far)
+        return best
+
+    def windows(self, hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(first word, shingles) of the windows that share a shingle with an item."""
+        if not len(self.known) or not len(hashes):
+            return
+        yield from self._windows(shingle_hashes(hashes, WIDTH), len(hashes), WIDTH)
+        for width in self.short:  # a document of so many words is one shingle, above
+            if width < len(hashes):
+                yield from self._windows(shingle_hashes(hashes, width), len(hashes), width)
+
+    def _windows(self, shingles: np.ndarray, n_words: int, width: int) -> Iterator[tuple[int, np.ndarray]]:
         i = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
         hits = np.flatnonzero(self.known[i] == shingles)
         if not len(hits):
-            return best
+            return
         size = self.end[i[hits]] - self.begin[i[hits]]
         at = np.repeat(hits, size)
         which = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.begin[i[hits]], size)
         length = np.array(self.words)[self.owner[which]]
         start = np.clip(at - self.place[which], 0, np.maximum(0, n_words - length))
-        windows = np.unique(np.stack((start, length)), axis=1)
-        seen: dict[bytes, list] = {}
-        for s, n in windows.T.tolist():
-            raw = shingles[s : s + max(1, n - WIDTH + 1)]
-            key = raw.tobytes()
-            if key not in seen:
-                seen[key] = self._look_up(np.unique(raw))
-            for item, sim, far in seen[key]:
-                if item not in best or sim > best[item][0]:
-                    best[item] = (sim, s, far)
-        return best
+        for s, n in np.unique(np.stack((start, length)), axis=1).T.tolist():
+            yield s, shingles[s : s + max(1, n - width + 1)]
+
+    def foreign_shingles(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """The shingles of no item of this block in the windows that may be similar to one. With K
+        the squared weights of a window's other shingles and W those of all, no similarity is above
+        sqrt(K / W); a shingle weighs 1 at least."""
+        out = []
+        for _, raw in self.windows(hashes):
+            window = np.unique(raw)
+            i = np.minimum(np.searchsorted(self.known, window), len(self.known) - 1)
+            own = self.known[i] == window
+            k = float((self.weight[i[own]] ** 2).sum())
+            if not own.all() and k >= (SIMILARITY**2 - 1e-9) * (k + (~own).sum()):
+                out.append(window[~own])
+        return out
 
     def _look_up(self, window: np.ndarray) -> list[tuple[int, float, int]]:
         f = self.fingerprint(window)
@@ -145,27 +184,77 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield held
 
 
+def item_shingles(items: DataFrame) -> DataFrame:
+    """(h, first): the distinct shingles of each item of ``items(text)``; one of each is first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher(plain=True)
+        for batch in batches:
+            held = [np.unique(shingle_hashes(hasher((t.as_py() or "").lower()), WIDTH)) for t in batch.column("text")]
+            first = np.concatenate([np.zeros(0, bool), *(np.arange(len(x)) == 0 for x in held)])
+            h = np.concatenate([np.zeros(0, U64), *held]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(first)], ["h", "first"])
+
+    return items.select("text").mapInArrow(run, "h long, first boolean")
+
+
+def gathered(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """counts(h, df) as sorted arrays."""
+    got = counts.toPandas()
+    h, df = got["h"].to_numpy(np.int64).astype(U64), got["df"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], df[order]
+
+
+def foreign_counts(docs: DataFrame, shared, total: int, counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of items by shingle, for the shingles of documents' windows that only other blocks
+    hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, own = shared.value
+        items, hasher = Items(rows, total, own), WordHasher(plain=True)
+        for batch in batches:
+            held = [x for t in batch.column("text") for x in items.foreign_shingles(hasher((t.as_py() or "").lower()))]
+            h = np.unique(np.concatenate([np.zeros(0, U64), *held]))
+            yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64))], ["h"])
+
+    return gathered(counts.join(docs.select("text").mapInArrow(run, "h long").distinct(), "h", "left_semi"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, distance, similarity): a row for each document and
     item that match, with the most similar window (ties: the first).
 
     Null or empty texts and items match nothing; rows of one doc_id each give their own rows; equal
-    items each match. An empty benchmark or corpus gives an empty result. Weights are taken within
-    a block of items.
+    items each match. An empty benchmark or corpus gives an empty result. Weights are those of the
+    whole benchmark, whatever its blocks.
     """
     docs = only(docs, doc_id="long", text="string")
     schema = "doc_id long, item_id long, first_word long, n_words long, distance int, similarity double"
-    out = None
+    spark, out, total, counts = docs.sparkSession, None, None, None
+    items = only(benchmark, item_id="long", text="string").filter("item_id is not null and text is not null")
+    n, size = items.agg(F.count("*"), F.sum(F.length("text"))).first()
+    if n > ITEM_BLOCK or (size or 0) > ITEM_BYTES:
+        shingled = written(item_shingles(items), "shingles")
+        counts = written(shingled.groupBy("h").agg(F.count("*").alias("df")), "counts")
+        total = shingled.filter("first").count()
     for rows in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
+        own = None
+        if counts is not None:
+            mine = item_shingles(spark.createDataFrame(rows, "item_id long, text string")).select("h").distinct()
+            own = gathered(counts.filter("df > 1").join(mine, "h", "left_semi"))
+            more = foreign_counts(docs, spark.sparkContext.broadcast((rows, own)), total, counts)
+            h, df = (np.concatenate(x) for x in zip(own, more, strict=True))
+            own = h[np.argsort(h)], df[np.argsort(h)]
+        shared = spark.sparkContext.broadcast((rows, own))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items, hasher = Items(shared.value), WordHasher(plain=True)
+            rows, own = shared.value
+            items, hasher = Items(rows, total, own), WordHasher(plain=True)
             for batch in batches:
                 found = []
                 for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                    h = hasher((text.as_py() or "").lower())
-                    got = items.matches(shingle_hashes(h, WIDTH), len(h))
+                    got = items.matches(hasher((text.as_py() or "").lower()))
                     found += [(doc.as_py(), items.ids[j], s, items.words[j], d, round(sim, 6)) for j, (sim, s, d) in sorted(got.items())]
                 cols = list(zip(*found, strict=True)) if found else [[]] * 6
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64())
@@ -176,7 +265,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         part = docs.mapInArrow(run, schema)
         out = part if out is None else out.union(part)
-    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

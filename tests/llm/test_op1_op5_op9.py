@@ -167,3 +167,29 @@ def test_blocks_of_items_and_nothing(spark, monkeypatch):
     items = spark.createDataFrame([(1, "one two three four five six"), (2, "Ten, eleven! twelve thirteen FOURTEEN")], "item_id long, text string")
     assert {(r["doc_id"], r["item_id"]) for r in op9.contaminated(docs, items).collect()} == {(1, 1), (2, 2)}
     assert op9.contaminated(docs, items.limit(0)).collect() == [] and op9.contaminated(docs.limit(0), items).collect() == []
+
+
+def test_short_items_in_longer_documents(spark):
+    docs = [(1, "one two three four five six seven"), (2, "two three"), (3, "six Seven! eight nine"), (4, "three two"), (5, "a b c d e f")]
+    items = [(1, "two THREE"), (2, "six seven eight nine"), (3, "seven"), (4, "b c d"), (5, "c b d")]
+    got = op9.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["first_word"], r["n_words"]) for r in got} == {(1, 1, 1, 2), (2, 1, 0, 2), (1, 3, 6, 1), (3, 3, 1, 1), (3, 2, 0, 4), (5, 4, 1, 3)}
+    assert all((r["similarity"], r["distance"]) == (1.0, 0) for r in got)
+
+
+def test_blocks_change_nothing(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    common = [text(12) for _ in range(3)]
+    items = [(i, f"{text(10)} {common[i % 3]} {text(14)}" if i % 4 else text(3)) for i in range(24)] + [(50, " ")]
+    docs = []
+    for d in range(60):
+        w = rng.choice(items[:24])[1].split()
+        if len(w) > 9:  # cut in another item's words at one end
+            w[: rng.randrange(9)] = rng.choice(items[:24])[1].split()[:8]
+        docs.append((d, f"{text(30)} {' '.join(w)} {text(5)}"))
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, op9.contaminated(docs, items).collect()))
+    monkeypatch.setattr(op9, "ITEM_BLOCK", 5)
+    assert one and sorted(map(tuple, op9.contaminated(docs, items).collect())) == one
