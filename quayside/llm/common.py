@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
 
 import numpy as np
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shared import shared_dir, written  # noqa: F401
+
 U64 = np.uint64
 _MASK = (1 << 64) - 1
 
@@ -20,32 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (where the session
-    names none, as in tests) a temporary folder of our own."""
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("quayside.scratch.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-quayside-")
-        spark.conf.set("quayside.scratch.dir", root)
-    return root.rstrip("/")
-
-
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` to a new table in the shared folder and read it back.
-
-    Cuts lineage with files that outlive a lost executor; the schema is given on reading, so an
-    empty table keeps its columns.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quayside-{name}-{uuid.uuid4().hex[:12]}"
-    w = df.write.option("compression", "zstd")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns cast to their types (absent ones null): extra columns never clash."""
     from pyspark.sql import functions as F

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.names import query_string, registry_query
 from ..operators.filters import more_pages, too_broad
 from ..schemas import PAGE
+from ..shared import written
 
 PREFIXES = 100
 
@@ -98,30 +99,72 @@ def next_requests(requests: DataFrame, pages: DataFrame, max_records: int = 20_0
 def crawl(plan: DataFrame, fetch: Callable[[DataFrame], DataFrame], land: Callable[[DataFrame], DataFrame], max_rounds: int = 10_000) -> DataFrame:
     """Follow cursors until no search has a next page. ``fetch`` turns requests into pages(day,
     prefix, cursor, body); ``land`` stores a round's parsed pages and returns them as stored. Each
-    round is one Spark job over all searches; the driver sees only whether any is left."""
+    round is one Spark job over all searches; the driver sees only whether any is left. Pages that are
+    left after ``max_rounds`` are an error; what was landed is stored."""
     landed, todo = None, plan
     for _ in range(max_rounds):
         pages = land(parsed_pages(fetch(todo)).drop("page"))
         landed = pages if landed is None else landed.unionByName(pages)
         todo = next_requests(todo, pages)
         if not todo.take(1):
-            break
-    return landed
+            return landed
+    raise RuntimeError(f"searches have next pages after {max_rounds} rounds")
 
 
-def cursor_chain(pages: DataFrame, root: Column, max_depth: int = 1000) -> DataFrame:
+def cursor_chain(pages: DataFrame, root: Column, max_depth: int | None = None) -> DataFrame:
     """pages(chain, cursor, next_cursor) followed from each chain's root: (chain, cursor, depth,
-    cyclic), by a recursive query. A cursor met again is marked and not followed."""
+    cyclic). A cursor met again is marked and not followed; rows that are equal count once. A walk
+    that goes beyond ``max_depth``, if given, is an error.
+
+    Pointers double: after k rounds a walk has the pages of its first 2**k steps, and each page
+    knows the one 2**k steps on, so a chain of n pages takes log2(n) rounds of joins, each written.
+    Where a page has several next cursors, a recursive query follows all branches; it fails where
+    it meets its limit of levels (``max_depth`` or 1000) or Spark's of rows.
+    """
+    pages = pages.select("chain", "cursor", "next_cursor", F.coalesce(root, F.lit(False)).alias("is_root"))
+    once = pages.select("chain", "cursor", "next_cursor").distinct()
+    if once.groupBy("chain", "cursor").count().filter("count > 1").take(1):
+        return _branches(pages.distinct(), 1000 if max_depth is None else max_depth)
+    landed = once.select("chain", F.col("cursor").alias("far")).distinct()
+    first = written(once.withColumnRenamed("next_cursor", "far").join(landed, ["chain", "far"]).select("chain", "cursor", "far"), "steps")
+    walk = pages.filter("is_root").select("chain", F.col("cursor").alias("root"), "cursor", F.lit(0).cast("long").alias("depth")).distinct()
+    walk, step, length = written(walk, "walk"), first, 1
+
+    def on(t: DataFrame, s: DataFrame) -> Column:
+        return (t.chain == s.chain) & t.cursor.eqNullSafe(s.cursor)  # a first page may have no cursor
+
+    while True:
+        s = step.alias("s")
+        ahead = walk.join(s, on(walk, step)).select(walk.chain, "root", F.col("s.far").alias("cursor"), (F.col("depth") + length).alias("depth"))
+        ahead = ahead.groupBy("chain", "root", "cursor").agg(F.min("depth").alias("depth"))
+        known = walk.select("chain", F.col("root").alias("r"), F.col("cursor").alias("c"))
+        same = (ahead.chain == known.chain) & ahead.root.eqNullSafe(known.r) & (ahead.cursor == known.c)
+        new = written(ahead.join(known, same, "left_anti"), "ahead")
+        if not new.take(1):
+            break
+        walk, length = written(walk.unionByName(new), "walk"), 2 * length
+        far = step.select("chain", F.col("cursor").alias("far"), F.col("far").alias("farther"))
+        step = written(step.join(far, ["chain", "far"]).select("chain", "cursor", F.col("farther").alias("far")), "steps")
+    # a walk's last page has no landed next page, or one that was met before
+    last = walk.groupBy("chain", "root").agg(F.max(F.struct("depth", "cursor")).alias("m")).select("chain", F.col("m.cursor").alias("cursor"), F.col("m.depth").alias("depth"))
+    again = last.join(first.alias("s"), on(last, first)).select(last.chain, F.col("s.far").alias("cursor"), (F.col("depth") + 1).alias("depth"), F.lit(True).alias("cyclic"))
+    out = walk.select("chain", "cursor", "depth", F.lit(False).alias("cyclic")).unionByName(again)
+    if max_depth is not None and out.filter(F.col("depth") > max_depth).take(1):
+        raise RuntimeError(f"a chain goes on beyond {max_depth} steps")
+    return out.withColumn("depth", F.col("depth").cast("int"))
+
+
+def _branches(pages: DataFrame, max_depth: int) -> DataFrame:
     spark = pages.sparkSession
-    pages.withColumn("is_root", root).createOrReplaceTempView("_chain_pages")
+    pages.createOrReplaceTempView("_chain_pages")
     spark.conf.set("spark.sql.cteRecursionLevelLimit", str(max_depth + 1))
-    return spark.sql(f"""
+    return spark.sql("""
         WITH RECURSIVE walk(chain, cursor, next_cursor, depth, seen, cyclic) AS (
           SELECT chain, cursor, next_cursor, 0, array(cursor), false FROM _chain_pages WHERE is_root
           UNION ALL
           SELECT p.chain, p.cursor, p.next_cursor, w.depth + 1, array_append(w.seen, p.cursor), array_contains(w.seen, p.cursor)
           FROM walk w JOIN _chain_pages p ON p.chain = w.chain AND p.cursor = w.next_cursor
-          WHERE NOT w.cyclic AND w.depth < {max_depth})
+          WHERE NOT w.cyclic)
         SELECT chain, cursor, depth, cyclic FROM walk""")
 
 

@@ -249,6 +249,37 @@ def test_chains(spark):
     assert sorted(by["a"]) == [(0, False), (1, False), (2, False)] and max(by["b"]) == (2, True) and by["c"] == [(0, False)]
 
 
+def test_long_chains(spark):
+    n = 1500
+    rows = [("a", i, i + 1) for i in range(n)] + [("b", i, (i + 1) % 700 if i < 699 else 300) for i in range(700)] + [("c", 0, 1), ("c", 0, 1), ("d", 5, 6)]
+    df = spark.createDataFrame(rows, "chain string, cursor int, next_cursor int")
+    got = requests.cursor_chain(df, F.col("cursor") == 0).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["chain"], []).append((r["depth"], r["cursor"], r["cyclic"]))
+    assert sorted(by.pop("a")) == [(i, i, False) for i in range(n)]
+    assert sorted(by.pop("b")) == [(i, i, False) for i in range(700)] + [(700, 300, True)]
+    assert by == {"c": [(0, 0, False)]}
+    with pytest.raises(RuntimeError, match="beyond 1000"):
+        requests.cursor_chain(df, F.col("cursor") == 0, 1000)
+
+
+def test_branching_chains(spark):
+    df = spark.createDataFrame([("a", "*", "1"), ("a", "*", "2"), ("a", "1", "3"), ("a", "2", "3"), ("a", "3", None)], "chain string, cursor string, next_cursor string")
+    got = requests.cursor_chain(df, F.col("cursor") == "*")
+    assert sorted((r["cursor"], r["depth"]) for r in got.collect()) == [("*", 0), ("*", 0), ("1", 1), ("2", 1), ("3", 2), ("3", 2)]
+    with pytest.raises(Exception, match="(?i)recursion"):
+        requests.cursor_chain(df, F.col("cursor") == "*", 1).collect()
+
+
+def test_crawl_that_does_not_end(spark):
+    day = dt.date(2025, 9, 7)
+    fetch = lambda todo: todo.select("day", "prefix", "cursor", F.lit(page(50, 2, "c1")).alias("body"))
+    plan = requests.day_plan(spark, day, day).withColumn("prefix", F.lit(None).cast("string"))
+    with pytest.raises(RuntimeError, match="after 3 rounds"):
+        requests.crawl(plan, fetch, lambda p: p, 3)
+
+
 def test_paged_source(spark):
     def transport(url, cursor):
         pages = {"*": {"header": {"total": 3, "nombre": 2}, "curseurSuivant": "n"}, "n": {"total": 3, "nombre": 1, "curseurSuivant": None}}
