@@ -5,17 +5,23 @@ one vocabulary, one order and one smoothing; a document's score is the mean diff
 tokens' losses, target minus background, in nats (lower: more like the target). Counts are over all
 documents and whole texts.
 
-* Vocabulary: the most frequent words, ``VOCABULARY`` at most; every other word is one unknown token.
+* Vocabulary: every word. (If ``VOCABULARY`` is set to a number, the so many most frequent words;
+  every other word is then one unknown token.)
 * ``P(w | h) = (c(h, w) + MU * P(w)) / (c(h) + MU)``, ``P(w) = (c(w) + 1) / (tokens + vocabulary)``.
 * A document's own occurrences of a bigram are taken out of its model's counts before the bigram
   is scored there, so documents do not vouch for themselves.
 
-Unigram counts (one row a vocabulary word) and the counts of bigrams of two ``HOT`` words are small
+Unigram counts of the ``COMMON`` most frequent words and the counts of bigrams of two ``HOT`` words are small
 tables of fixed size; both are broadcast, and such bigrams are scored where the text is read. They
 are the most frequent ones, so no other bigram is in more than a small share of the text. Counts of
 all the others, which grow with the corpus, are never gathered in one place: postings (bigram,
 document, times) go, packed, to buckets by bigram; a bucket adds up its counts and sends each
 document's part of the losses back, summed, to the chunk that the document came from.
+
+Of the other words ("rare" here, whatever their number) no count is gathered either. A bigram with a
+rare word goes to a bucket of that word, of its second one if both are rare: all bigrams that end in
+a word meet there, and their times add up to its unigram count. If both are rare, a second posting
+goes to a bucket of the first one, whose count is known there, for the loss's denominator.
 """
 
 from __future__ import annotations
@@ -31,10 +37,12 @@ from pyspark.sql import functions as F
 
 from .common import U64, WordHasher, distinct_sorted, mix, only, pack, spans, table, unpack, written
 
-VOCABULARY = 65_536
+VOCABULARY: int | None = None  # all words
+COMMON = 65_536  # words whose counts are broadcast
 HOT = 512
 MU = 100.0
 UNKNOWN, START, FIRST = 0, 1, 2  # ids; words follow by falling frequency
+RARE = U64(1 << 63)  # marks the hash of a word that has no id
 POSTINGS_PER_BUCKET = 1_000_000
 FLUSH = 1_500_000  # postings or words that a task holds
 BROADCAST_IDS = 2_000_000
@@ -79,51 +87,81 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text", "target").mapInArrow(run, "h long, t long, b long").groupBy("h").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
 
 
-def vocabulary_cut(words: DataFrame) -> int:
-    """The least count of a word in the vocabulary: words of one count go in together or not at
-    all, as long as there are no more than ``VOCABULARY``. Only the numbers of words by count reach
+def least_count(words: DataFrame, most: int) -> int:
+    """The least count of a word that gets an id: words of one count get one together or not at
+    all, as long as there are no more than ``most``. Only the numbers of words by count reach
     the driver, of which there are few (k different counts need k * k / 2 tokens)."""
     by_count = words.groupBy("n").agg(F.count("*").alias("words")).toPandas().sort_values("n", ascending=False)
-    fits = by_count["n"][by_count["words"].cumsum() <= VOCABULARY]
+    fits = by_count["n"][by_count["words"].cumsum() <= most]
     return int(fits.iloc[-1]) if len(fits) else 1 << 62
 
 
 class Model:
-    """Vocabulary, unigrams and hot bigrams of both models (index 0: target, 1: background)."""
+    """Ids, their unigrams and hot bigrams of both models (index 0: target, 1: background). The
+    vocabulary has ``size`` entries; if it is open, words without id are words of their own."""
 
-    def __init__(self, words: pd.DataFrame, total: tuple[int, int], documents: tuple[int, int]):
+    def __init__(self, words: pd.DataFrame, total: tuple[int, int], documents: tuple[int, int], distinct: int | None = None):
         words = words.sort_values(["n", "h"], ascending=[False, True])
         h = words["h"].to_numpy(np.int64).astype(U64)
         order = np.argsort(h)
         self.key, self.id_of = h[order], (order + FIRST).astype(np.int64)
-        self.total = total
+        self.total, self.open = total, distinct is not None
+        self.size = (distinct if self.open else len(words)) + FIRST
         known = [words["t"].to_numpy(np.int64), words["b"].to_numpy(np.int64)]
         self.uni = [np.concatenate(([total[m] - known[m].sum(), documents[m]], known[m])) for m in (0, 1)]
         self.hot = [np.zeros(HOT * HOT, np.int64)] * 2
 
-    def ids(self, h: np.ndarray) -> np.ndarray:
+    def tokens(self, h: np.ndarray) -> np.ndarray:
+        """Ids of words, or, for words without id, marked hashes or the unknown token."""
+        other = h | RARE if self.open else np.full(len(h), U64(UNKNOWN))
         if not len(self.key):
-            return np.zeros(len(h), np.int64)
+            return other
         i = np.minimum(np.searchsorted(self.key, h), len(self.key) - 1)
-        return np.where(self.key[i] == h, self.id_of[i], UNKNOWN)
-
-    def bigrams(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A document's distinct bigrams (before << 20 | word) and their times."""
-        w = self.ids(h)
-        keys = np.sort(np.concatenate(([START], w[:-1])) << 20 | w)
+        return np.where(self.key[i] == h, self.id_of[i].astype(U64), other)
+
+    def bigrams(self, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """A document's distinct bigrams of ids (before << 20 | word) and their times; those with a
+        rare word (before, word) and their times."""
+        w = self.tokens(h)
+        before = np.concatenate((np.array([START], U64), w[:-1]))
+        rare = (before | w) >= RARE
+        keys = np.sort((before[~rare] << U64(20) | w[~rare]).astype(np.int64))
         begin, end = spans(keys)
-        return keys[begin], end - begin
+        x, y = before[rare], w[rare]
+        _, at, times = np.unique(mix(x) * U64(3) + mix(y ^ RARE), return_index=True, return_counts=True)
+        return keys[begin], end - begin, x[at], y[at], times
 
     def losses(self, keys: np.ndarray, times: np.ndarray, counts: list[np.ndarray], own: list[np.ndarray]) -> list[np.ndarray]:
         """Loss of all occurrences under each model; own: how many of a model's are the document's."""
         before, word = keys >> 20, keys & 0xFFFFF
         out = []
         for m in (0, 1):
-            p = (self.uni[m][word] - own[m] + 1) / (self.total[m] + len(self.uni[m]))
+            p = (self.uni[m][word] - own[m] + 1) / (self.total[m] + self.size)
             out.append(-times * np.log((counts[m] - own[m] + MU * p) / (np.maximum(self.uni[m][before] - own[m], 0) + MU)))
         return out
 
 
+    def rare_losses(self, role: np.ndarray, rare: np.ndarray, other: np.ndarray, times: np.ndarray, good: np.ndarray) -> list[np.ndarray]:
+        """As losses, of all postings of some rare words. Role 0: bigrams (other, rare), without the
+        denominator if other is rare, too; 1: (rare, other); 2: only the denominator of role 0."""
+        ends, full = role == 0, role < 2
+        known = other < RARE
+        _, word = np.unique(rare, return_inverse=True)
+        _, pair = np.unique(mix(rare) * U64(3) + mix(other ^ RARE) + role.astype(U64), return_inverse=True)
+        at = np.where(known, other, U64(0)).astype(np.int64)
+        out = []
+        for m in (0, 1):
+            own = times * (good == (m == 0))
+            seen = np.bincount(word, own * ends)[word] if len(word) else own
+            pairs = np.bincount(pair, own)[pair] if len(pair) else own
+            p = (np.where(ends, seen, self.uni[m][at]) - own + 1) / (self.total[m] + self.size)
+            before = np.where(ends, self.uni[m][at], seen)
+            loss = np.where(~ends | known, np.log(np.maximum(before - own, 0) + MU), 0.0)
+            # (the count of a rare word includes the document's own, so p is above 0 where it counts)
+            out.append(times * (loss - np.log(np.where(full, pairs - own + MU * p, 1.0))))
+        return out
+
+
 def hot_counts(docs: DataFrame, model: Model) -> DataFrame:
     """(k, t, b): occurrences of bigrams of two hot words."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -135,7 +173,7 @@ def hot_counts(docs: DataFrame, model: Model) -> DataFrame:
             for text, good in zip(batch.column("text"), batch.column("target"), strict=True):
                 h = hasher(text.as_py())
                 if len(h):
-                    keys, times = model.bigrams(h)
+                    keys, times = model.bigrams(h)[:2]
                     before, word = keys >> 20, keys & 0xFFFFF
                     hot = (before < HOT) & (word < HOT)
                     table[0 if good.as_py() else 1, before[hot] * HOT + word[hot]] += times[hot]
@@ -147,7 +185,7 @@ def hot_counts(docs: DataFrame, model: Model) -> DataFrame:
 
 def postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
     """(bucket, chunk, blob). Negative buckets hold a chunk's documents: ids, tokens and the losses
-    of their hot bigrams. Others hold postings of the rest."""
+    of their hot bigrams. Others hold postings of the rest, from ``buckets`` on those with a rare word."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +193,7 @@ def postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
 
         hasher, model = WordHasher(), shared.value
         part, chunk = TaskContext.get().partitionId(), 0
-        docs_, keys_, rows_, times_, size = [], [], [], [], 0
+        docs_, keys_, rows_, times_, rare_, size = [], [], [], [], [], 0
 
         def emit():
             name = part * 1_000_000 + chunk
@@ -174,6 +212,20 @@ def postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
                     own, local = np.unique(row[i:j], return_inverse=True)
                     blob = pack(np.diff(key[i:j], prepend=U64(0)), local.astype(np.uint32), times[i:j].astype(np.uint32), own, good[own])
                     out.append((int(bucket[i]), blob))
+            if rare_:
+                x, y, times = (np.concatenate([r[i] for r in rare_]) for i in (1, 2, 3))
+                row = np.repeat(np.array([r[0] for r in rare_], np.uint32), [len(r[1]) for r in rare_])
+                last, two = y >= RARE, (x & y) >= RARE
+                role = np.concatenate((np.where(last, 0, 1), np.full(two.sum(), 2))).astype(np.uint8)
+                word, other = np.concatenate((np.where(last, y, x), x[two])), np.concatenate((np.where(last, x, y), y[two]))
+                times, row = (np.concatenate((z, z[two])) for z in (times, row))
+                bucket = (mix(word) % U64(buckets)).astype(np.int64) + buckets
+                order = np.lexsort((word, bucket))
+                role, word, other, times, row, bucket = (z[order] for z in (role, word, other, times, row, bucket))
+                for i, j in zip(*spans(bucket), strict=True):
+                    own, local = np.unique(row[i:j], return_inverse=True)
+                    blob = pack(role[i:j], np.diff(word[i:j], prepend=U64(0)), other[i:j], local.astype(np.uint32), times[i:j].astype(np.uint32), own, good[own])
+                    out.append((int(bucket[i]), blob))
             return pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in out], pa.int64()), pa.array([name] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary())],
                 ["bucket", "chunk", "blob"],
@@ -184,7 +236,7 @@ def postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
                 h, good = hasher(text.as_py()), good.as_py()
                 a = b = 0.0
                 if len(h):
-                    keys, times = model.bigrams(h)
+                    keys, times, *rare = model.bigrams(h)
                     before, word = keys >> 20, keys & 0xFFFFF
                     hot = (before < HOT) & (word < HOT)
                     at = before[hot] * HOT + word[hot]
@@ -194,10 +246,13 @@ def postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
                     times_.append(times[~hot])
                     rows_.append(len(docs_))
                     size += len(keys_[-1])
+                    if len(rare[0]):
+                        rare_.append((len(docs_), *rare))
+                        size += 2 * len(rare[0])
                 docs_.append((doc.as_py(), len(h), a, b, good))
                 if size > FLUSH or len(docs_) >= 100_000:
                     yield emit()
-                    docs_, keys_, rows_, times_, size = [], [], [], [], 0
+                    docs_, keys_, rows_, times_, rare_, size = [], [], [], [], [], 0
                     chunk += 1
         if docs_:
             yield emit()
@@ -205,7 +260,7 @@ def postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket long, chunk long, blob binary")
 
 
-def bucket_losses(posts: DataFrame, model: Model) -> DataFrame:
+def bucket_losses(posts: DataFrame, model: Model, buckets: int) -> DataFrame:
     """(chunk, base, blob): documents as they are, and parts of their losses from each bucket."""
     shared = posts.sparkSession.sparkContext.broadcast(model)
 
@@ -213,19 +268,28 @@ def bucket_losses(posts: DataFrame, model: Model) -> DataFrame:
         if frame["bucket"].iloc[0] < 0:
             return pd.DataFrame({"chunk": frame["chunk"], "base": True, "blob": frame["blob"]})
         model = shared.value
-        key, local, times, own, good = [], [], [], [], []
+        rare = frame["bucket"].iloc[0] >= buckets
+        roles, others, key, local, times, own, good = [], [], [], [], [], [], []
         for raw in frame["blob"]:
-            d, r, t, o, g = unpack(raw)
+            if rare:
+                role, d, other, r, t, o, g = unpack(raw)
+                roles.append(role)
+                others.append(other)
+            else:
+                d, r, t, o, g = unpack(raw)
             key.append(np.cumsum(d, dtype=U64))
             local.append(r)
             times.append(t.astype(np.int64))
             own.append(o)
             good.append(g[r])
         k, t, g = np.concatenate(key), np.concatenate(times), np.concatenate(good).astype(bool)
-        known = distinct_sorted(k)
-        i = np.searchsorted(known, k)
-        counts = [np.bincount(i, t * c, len(known)).astype(np.int64)[i] for c in (g, ~g)]
-        a, b = model.losses(k.astype(np.int64), t, counts, [t * g, t * ~g])
+        if rare:
+            a, b = model.rare_losses(np.concatenate(roles), k, np.concatenate(others), t, g)
+        else:
+            known = distinct_sorted(k)
+            i = np.searchsorted(known, k)
+            counts = [np.bincount(i, t * c, len(known)).astype(np.int64)[i] for c in (g, ~g)]
+            a, b = model.losses(k.astype(np.int64), t, counts, [t * g, t * ~g])
         blobs, at = [], 0
         for r, o in zip(local, own, strict=True):
             part = slice(at, at + len(r))
@@ -267,17 +331,17 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     words = written(word_counts(docs), "words")
     n = F.col("t") + F.col("b")
     one, rest = words.filter("h = 0").select("t", "b").first(), words.filter("h <> 0").withColumn("n", n)
-    sums = rest.agg(F.sum("t"), F.sum("b")).first()
+    sums = rest.agg(F.sum("t"), F.sum("b"), F.count("*")).first()
     total = (sums[0] or 0, sums[1] or 0)
-    least = vocabulary_cut(rest)
-    top = rest.filter(F.col("n") >= least).toPandas()  # VOCABULARY rows at most
-    model = Model(top, total, (one[0], one[1]) if one else (0, 0))
+    most = COMMON if VOCABULARY is None else VOCABULARY
+    top = rest.filter(F.col("n") >= least_count(rest, most)).toPandas()  # that many rows at most
+    model = Model(top, total, (one[0], one[1]) if one else (0, 0), sums[2] if VOCABULARY is None else None)
     hot = hot_counts(docs, model).toPandas()  # HOT * HOT rows at most
     for m, c in enumerate(("t", "b")):
         model.hot[m] = np.zeros(HOT * HOT, np.int64)
         model.hot[m][hot["k"].to_numpy(np.int64)] = hot[c].to_numpy(np.int64)
     buckets = max(8, math.ceil(0.6 * sum(total) / POSTINGS_PER_BUCKET))
-    return chunk_scores(bucket_losses(postings(docs, model, buckets), model)).replace(float("nan"), None)
+    return chunk_scores(bucket_losses(postings(docs, model, buckets), model, buckets)).replace(float("nan"), None)
 
 
 def op1_lm_scoring(spark, sf_dir: str) -> DataFrame:

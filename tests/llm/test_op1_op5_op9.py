@@ -67,6 +67,31 @@ def test_bounded_vocabulary(spark, monkeypatch):
         assert (r["loss_target"], r["loss_background"]) == pytest.approx(want[r["doc_id"]][2:], abs=2e-5)
 
 
+@pytest.mark.parametrize(("common", "flush"), [(0, 10**6), (6, 50), (20, 10**6)])
+def test_words_without_broadcast_counts(spark, monkeypatch, common, flush):
+    """Every word is scored as itself, however few words are broadcast."""
+    monkeypatch.setattr(op1, "COMMON", common, raising=False)
+    monkeypatch.setattr(op1, "HOT", 4)
+    monkeypatch.setattr(op1, "FLUSH", flush)
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(60)], weights=[1 / (j + 1) for j in range(60)], k=rng.randint(1, 50)))) for i in range(60)]
+    rows += [(100, "once upon w1"), (101, "w1 rare rare rare w2"), (102, "rare rare"), (103, None)]
+    target = set(range(0, 30))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in op1.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()}
+    for d, n, *want in brute_scores(rows, target, {w for _, t in rows for w in words_of(t)}):
+        assert got[d]["n_tokens"] == n
+        assert [got[d]["loss_target"], got[d]["loss_background"]] == (want if n == 0 else pytest.approx(want, abs=2e-5))
+
+
+def test_more_words_than_are_broadcast(spark):
+    """70,000 words of equal counts, which do not fit the broadcast table, are all told apart."""
+    words = [f"w{i}" for i in range(70_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join(words[::-1]))]
+    got = {r["doc_id"]: r["loss_background"] for r in op1.cross_entropy_difference(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(9,)], "doc_id long")).collect()}
+    assert got[1] == got[2] < got[3] - 0.001
+
+
 def test_no_documents(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert op1.cross_entropy_difference(none, none.select("doc_id")).collect() == []
