@@ -51,6 +51,7 @@ from .graph import components
 LINK_NUM, LINK_DEN = 75, 100
 BAND = (4 / 3) ** 4
 PAIRS_UP_TO = 8  # groups up to this size give all their pairs
+GROUP_BLOCK = 1024  # members of a large group that one task compares with as many others
 FLUSH = 1_500_000  # signatures that a task gathers before it emits blobs
 SIGNATURES_PER_BUCKET = 1_500_000
 HOT_SHARE = 1000  # a shingle in more than 1/1000 of the documents counts as frequent
@@ -326,6 +327,12 @@ def apart_in_groups(groups: DataFrame, first: bool) -> DataFrame:
     threshold, and the same two sets meet in many groups: later rounds take one pair for each
     member, by a hash that differs from group to group, so the groups share the work. Either way a
     group gives at most as many pairs as it has members, and at least one if it has any.
+
+    Groups of more than ``GROUP_BLOCK`` members are dealt into blocks of about that many, and each
+    pair of blocks is compared as a group of its own: all pairs of members meet, and one call holds
+    two blocks. A member is sent once for each block, so rows and comparisons still grow with the
+    square of a group. The refuted partners of a set travel with it as one array, and the rows of a
+    signature still meet in one bucket.
     """
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
@@ -335,10 +342,14 @@ def apart_in_groups(groups: DataFrame, first: bool) -> DataFrame:
         size = min(len(x) for x in frame["bits"]) // 8
         bits = np.stack([fold(x, size) for x in frame["bits"]])
         refuted = [None if x is None or not len(x) else np.asarray(x, np.int64) for x in frame["refuted"]]
+        block = frame["block"].to_numpy(np.int64)
+        across = frame["lo"].iloc[0] != frame["hi"].iloc[0]
         turn = frame["grp"].to_numpy(np.int64)[:1].astype(U64)
         found = []
         for i in range(len(n)):
             ok = (comp != comp[i]) & (LINK_NUM * np.maximum(n, n[i]) <= LINK_DEN * np.minimum(n, n[i]))
+            if across:
+                ok &= block != block[i]
             if first:
                 ok[:i] = False
             if refuted[i] is not None:
@@ -362,7 +373,11 @@ def apart_in_groups(groups: DataFrame, first: bool) -> DataFrame:
         p = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
         return pd.DataFrame({"grp": np.full(len(p), frame["grp"].iloc[0]), "a": p[:, 0], "b": p[:, 1]})
 
-    return groups.groupBy("grp").applyInPandas(compare, "grp long, a long, b long")
+    sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / GROUP_BLOCK).alias("blocks"))
+    dealt = groups.join(sizes, "grp").withColumn("block", F.expr("CASE WHEN blocks = 1 THEN 0L ELSE pmod(xxhash64(sid, grp), blocks) END"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    dealt = dealt.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
+    return dealt.groupBy("grp", "lo", "hi").applyInPandas(compare, "grp long, a long, b long")
 
 
 def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -69,6 +69,27 @@ def test_like_brute_force(spark, seed, small, monkeypatch):
     assert {d: n for d, (n, _) in got.items()} == {d: len(shingles(t)) for d, t in rows}
 
 
+def test_large_groups_in_blocks(spark, monkeypatch):
+    """All pairs of a large group meet, in tasks of two blocks at most."""
+    monkeypatch.setattr(op6, "GROUP_BLOCK", 5, raising=False)
+    bits = bytes(8)
+    rows = [(1, i, i, 20, bits, None) for i in range(40)]
+    groups = spark.createDataFrame(rows, "grp long, sid long, root long, n_shingles long, bits binary, refuted array<long>")
+    got = op6.apart_in_groups(groups, False)
+    units = got.select("a").union(got.select("b")).distinct().count()
+    assert units == 40 and got.count() > 40  # each block pair proposes for itself
+    two = groups.withColumn("root", F.when(F.col("sid").isin(3, 31), F.col("sid")).otherwise(0)).filter("sid in (3, 31) or root = 0")
+    pairs = {(r["a"], r["b"]) for r in op6.apart_in_groups(two.filter("sid in (3, 31)").unionByName(two.filter("root = 0").withColumn("n_shingles", F.lit(1).cast("long"))), True).collect()}
+    assert pairs == {(3, 31)}
+
+
+def test_blocks_like_brute_force(spark, monkeypatch):
+    rows = corpus(3, 90)
+    monkeypatch.setattr(op6, "GROUP_BLOCK", 4, raising=False)
+    monkeypatch.setattr(op6, "PAIRS_UP_TO", 1)
+    assert {d: c for d, (_, c) in result(spark, rows).items()} == brute(rows)
+
+
 def test_signatures_meet():
     """Any two linked sets share a signature, whatever the frequent shingles are."""
     import numpy as np
