@@ -28,6 +28,15 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[(df[c] if c in have else F.lit(None)).cast(t).alias(c) for c, t in columns.items()])
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, so that only live ones take disk."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def worker_cache() -> dict:
     """What a Python worker keeps from task to task. (Functions of this package reach workers by
     value, so their own globals last for one task only.)"""

@@ -3,32 +3,40 @@
 A document's set is its distinct five-word shingles. Two sets link when
 ``100 * |intersection| >= 75 * |union|``; the result is the connected components of all links.
 
+*Shared shingles.* A set whose partner differs keeps at least three quarters of its shingles in that
+partner. So half of all shingles (by a bit of their hash) are met in hash buckets, and a set of which
+more than a quarter was seen in this set alone can have no partner: it is settled. Most documents of
+a corpus end here; the others' sets are written once, and all that follows reads them, not the texts.
+
 *Bands.* Sets are put in size bands ``(r, r * 3.16]``; a set is signed in its own band (where its
 partner may be the larger or the smaller) and, if a linked partner could be that large, in the
 next one. Two linked sets of ``a`` and ``b`` shingles differ in at most ``(a + b) / 7`` shingles,
 so a set that is signed in a band knows the largest difference ``k`` it may have there.
 
-*Partitions.* The band hashes the shingle domain into ``n`` partitions. A difference of ``k``
-shingles touches at most ``k`` partitions, so of a set's first ``k + 1`` non-empty partitions at
-least one has the same content in any linked set. Each of these ``k + 1`` one-partition subsets,
-hashed with band and partition, is a signature; both sets emit the one that they share first.
+*Partitions and their subsets.* The band hashes the shingle domain into groups, each of ``PARTS`` = 3
+partitions. A set goes through the groups in order and signs, in each, the contents of every subset
+of ``PARTS - SPOILT`` = 2 partitions (where it has any), until it has met ``k // (SPOILT + 1) + 1``
+groups in which it occupies more than ``SPOILT`` partitions ("thick" groups). In a group where two
+sets differ in at most ``SPOILT`` shingles some subset is untouched, and if one of them is thick
+there it has content. So, before the first subset that both share, each thick group of either has
+``SPOILT + 1`` differences or more, and there are at most ``k // (SPOILT + 1)`` of these: linked sets
+both sign the first subset that they share.
 
 *Frequent shingles.* Any fixed set H of shingles can be left out of both sets without raising the
-difference. H holds the shingles that very many documents repeat (boilerplate, large groups of
-near copies), so unrelated documents with a common passage do not meet. H is found by counting
-over all documents; as each of its members was seen in at least ``1/1000`` of the documents, its
-size is bounded by 1000 times a document's mean size, and it is broadcast. Sets that keep too
-few shingles for the argument above (``k`` non-empty partitions or less) are signed a second
-time, in a family of their own, on their whole content: the first ``k + 1`` shingles in order of
-rarity. A pair is only missed by the first family if both its sets are of this kind, so the two
-families together lose nothing.
-
-*Groups.* Sets (not documents: copies have one set) that share a signature meet in a bucket.
-Small groups give their pairs, large ones the pairs with one anchor. After these are verified
-exactly, large groups whose members are not all connected yet go through rounds, in which members
-of different components are compared by parity bitmaps, whose Hamming distance never exceeds the
-true difference. A round proposes pairs that the bitmaps allow, at most one for each member of a
-group; the rounds end when none is left. Every proposed pair is verified on the exact sets.
+difference. H holds the shingles that very many of the sets repeat (boilerplate, large groups of near
+copies), so unrelated documents with a common passage do not meet. Each of its members was seen in at
+least 1/1000 of the sets, so its size is at most 1000 times a set's mean size, and it is broadcast.
+Sets that are left with too few thick groups are signed a second time, in a family of their own, on
+their whole content: the first ``k + 1`` shingles in order of rarity. A pair is only missed by the
+first family if both its sets are of this kind, so the two families together lose nothing.
+
+*Groups.* Sets (not documents: copies have one set) that share a signature are a group. Each member
+is first paired with the group's first member, and the pairs are verified on the exact sets. Groups
+whose members are not all connected by then are compared in blocks: parity bitmaps, whose Hamming
+distance never exceeds the true difference, leave few pairs of different components, and these are
+verified. A pair of blocks with many such pairs (sets just below the threshold) gets the exact sets
+themselves, counts all intersections by matrix products, and gives a spanning forest of its links.
+So every pair that shares a signature is settled once, without rounds.
 
 Signatures travel as packed blobs, one for each task and bucket. Nothing whole passes the driver.
 """
@@ -37,25 +45,30 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WordHasher, distinct_sorted, mix, only, pack, set_id, shingle_hashes, spans, table, unpack, written
+from .common import U64, WordHasher, discard, distinct_sorted, mix, only, pack, set_id, shingle_hashes, spans, table, unpack, written
 from .graph import components
 
 LINK_NUM, LINK_DEN = 75, 100
 BAND = (4 / 3) ** 4
-PAIRS_UP_TO = 8  # groups up to this size give all their pairs
-GROUP_BLOCK = 1024  # members of a large group that one task compares with as many others
-FLUSH = 1_500_000  # signatures that a task gathers before it emits blobs
-SIGNATURES_PER_BUCKET = 1_500_000
-HOT_SHARE = 1000  # a shingle in more than 1/1000 of the documents counts as frequent
-BROADCAST_IDS = 4_000_000  # 8 bytes each: at most 32 MB
+PARTS, SPOILT = 3, 1  # partitions of a group, and how many of them a difference may touch
+GROUPS = 0.2  # groups of a band, as a share of its largest size
+GROUP_BLOCK = 2048  # members of a large group that one task compares with as many others
+MANY = 4  # pairs for each member beyond which a pair of blocks gets the exact sets
+COLUMNS = 4096  # of a matrix of members and shingles
+FLUSH = 1_500_000  # shingles or signatures that a task gathers before it emits blobs
+PER_BUCKET = 3_000_000
+HOT_SHARE = 1000  # a shingle in more than 1/1000 of the sets counts as frequent
+BROADCAST_IDS = 4_000_000  # 16 bytes each: at most 64 MB
 
 
 def shingle_set(text: str | None, hasher: WordHasher) -> np.ndarray:
@@ -82,7 +95,7 @@ def places(n: int) -> list[tuple[int, int]]:
 def bitmap(shingles: np.ndarray) -> bytes:
     """Parity bits of the set: bit ``h mod size`` flips for each member. Its size depends on the
     set's size only through the power of two above it, so bitmaps fold onto each other."""
-    size = 1 << max(6, int(len(shingles) * 2 - 1).bit_length())
+    size = 1 << max(6, int(len(shingles) * 8 - 1).bit_length())
     bits = (np.bincount((shingles & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
     return np.packbits(bits, bitorder="little").tobytes()
 
@@ -110,15 +123,27 @@ def signatures(shingles: np.ndarray, hot: np.ndarray) -> np.ndarray:
         rare = shingles[~is_hot]
     for band, k in places(len(shingles)):
         salt = U64((band + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1)
-        keys = np.sort(mix(rare ^ salt))
-        part = ((keys >> U64(32)) * U64(max(1, band_top(band)))) >> U64(32)  # keys in order: parts in order
-        begins, _ = spans(part)
-        if len(begins):
-            stop = begins[k + 1] if len(begins) > k + 1 else len(keys)
-            first = begins[: k + 1]
-            content = np.add.reduceat(mix(keys[:stop] + U64(1)), first)
-            out.append(mix(content ^ mix(part[first] + salt)))
-        if len(begins) <= k:
+        need, thick = k // (SPOILT + 1) + 1, 0
+        if len(rare):
+            keys = np.sort(mix(rare ^ salt))
+            group = ((keys >> U64(32)) * U64(max(1, int(band_top(band) * GROUPS)))) >> U64(32)  # in order, as the keys are
+            begin, end = spans(group)
+            row = np.repeat(np.arange(len(begin)), end - begin)
+            cell = row * PARTS + (keys % U64(PARTS)).astype(np.int64)
+            order = np.argsort(cell, kind="stable")
+            first, _ = spans(cell[order])
+            content, full = np.zeros(len(begin) * PARTS, U64), np.zeros(len(begin) * PARTS, bool)
+            content[cell[order][first]] = np.add.reduceat(mix(keys[order] + U64(1)), first)
+            full[cell] = True
+            content, full = content.reshape(-1, PARTS), full.reshape(-1, PARTS)
+            met = np.cumsum(full.sum(axis=1) > SPOILT)
+            thick = int(met[-1])
+            stop = int(np.searchsorted(met, need)) + 1  # all of them, if there are too few thick ones
+            for i, subset in enumerate(combinations(range(PARTS), PARTS - SPOILT)):
+                has = full[:stop, subset].any(axis=1)
+                name = mix(group[begin][:stop][has] + salt) + U64(i)
+                out.append(mix(content[:stop, subset].sum(axis=1, dtype=U64)[has] ^ mix(name)))
+        if thick < need:
             whole = np.sort(rare)
             if len(hot):
                 whole = np.concatenate((whole, np.sort(shingles[is_hot])))
@@ -126,32 +151,145 @@ def signatures(shingles: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, U64)
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, sid, bits): sid and bits are null for a document without words."""
+# ---------------------------------------------------------------- sets that may have a partner
+
+
+def halved(shingles: np.ndarray) -> np.ndarray:
+    """The half of the shingles whose document counts are taken."""
+    return shingles[(mix(shingles) & U64(1)) == 0]
+
+
+def met(docs: DataFrame, buckets: int, bits: int) -> DataFrame:
+    """Rows of three kinds. bucket -2: a document (doc_id, n_shingles, sid; sid is null if it has no
+    words). bucket -1: the sets of a chunk, in order. Others: a chunk's shingles of the bucket, each
+    with the place of the set that has it, or -1 where several sets of the chunk do."""
+    schema = "bucket int, chunk long, doc_id long, n_shingles long, sid long, blob binary"
+    arrow = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("blob", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher, held, sids, ns, seen, size = WordHasher(), [], [], [], set(), 0
+        chunk = TaskContext.get().partitionId() << 24
+
+        def emit():
+            h = np.concatenate(held) >> U64(64 - bits)
+            place = np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for x in held])
+            order = np.argsort(h, kind="stable")
+            h, place = h[order], place[order]
+            begin, end = spans(h)
+            h, place = h[begin], np.where(end - begin > 1, -1, place[begin]).astype(np.int32)
+            cut = np.searchsorted(h, (np.arange(buckets + 1, dtype=np.float64) * (2.0**bits / buckets)).astype(U64))
+            names, blobs = [-1], [pack(np.array(sids, np.int64), np.array(ns, np.uint32))]
+            for b, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+                if i < j:
+                    names.append(b)
+                    blobs.append(pack(np.diff(h[i:j], prepend=U64(0)), place[i:j].astype(np.uint16) if len(held) < 65_536 else place[i:j]))
+            none = pa.nulls(len(names), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int32()), pa.array([chunk] * len(names), pa.int64()), none, none, none, pa.array(blobs, pa.binary())], schema=arrow
+            )
+
         for batch in batches:
-            n, sid, bits = [], [], []
+            n, own = [], []
             for text in batch.column("text"):
                 s = shingle_set(text.as_py(), hasher)
                 n.append(len(s))
-                sid.append(set_id(s) if len(s) else None)
-                bits.append(bitmap(s) if len(s) else None)
+                own.append(set_id(s) if len(s) else None)
+                if not len(s) or own[-1] in seen:
+                    continue
+                seen.add(own[-1])
+                sids.append(own[-1])
+                ns.append(len(s))
+                held.append(halved(s))
+                size += len(held[-1])
+                if size > FLUSH:
+                    yield emit()
+                    held, sids, ns, size, chunk = [], [], [], 0, chunk + 1
+                    seen.clear()
+            none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(bits, pa.binary())],
-                ["doc_id", "n_shingles", "sid", "bits"],
+                [pa.array([-2] * len(n), pa.int32()), none, batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.nulls(len(n), pa.binary())],
+                schema=arrow,
             )
+        if sids:
+            yield emit()
+
+    return docs.mapInArrow(run, schema)
+
+
+def partnered(rows: DataFrame) -> DataFrame:
+    """(sid): the sets of which at most a quarter is known to be in no other set."""
+
+    def alone(frame: pd.DataFrame) -> pd.DataFrame:
+        h, place, row = [], [], []
+        for i, raw in enumerate(frame["blob"]):
+            d, p = unpack(raw)
+            h.append(np.cumsum(d, dtype=U64))
+            place.append(np.where(p == np.iinfo(p.dtype).max, -1, p.astype(np.int64)) if p.dtype == np.uint16 else p.astype(np.int64))
+            row.append(np.full(len(p), i, np.int32))
+        sizes = [int(p.max(initial=-1)) + 1 for p in place]
+        h, place, row = np.concatenate(h), np.concatenate(place), np.concatenate(row)
+        order = np.argsort(h)
+        h, place, row = h[order], place[order], row[order]
+        begin, end = spans(h)
+        one = begin[end - begin == 1]
+        one = one[place[one] >= 0]
+        base = np.concatenate(([0], np.cumsum(sizes)))
+        counts = np.bincount(base[row[one]] + place[one], minlength=base[-1])
+        blobs = [pack(counts[a:b].astype(np.uint32)) for a, b in zip(base[:-1], base[1:], strict=True)]
+        return pd.DataFrame({"chunk": frame["chunk"], "bucket": frame["bucket"], "blob": blobs})
+
+    def summed(frame: pd.DataFrame) -> pd.DataFrame:
+        sids = ns = None
+        parts = []
+        for b, raw in zip(frame["bucket"], frame["blob"], strict=True):
+            if b == -1:
+                sids, ns = unpack(raw)
+            else:
+                parts.append(unpack(raw)[0])
+        total = np.zeros(len(sids), np.int64)
+        for p in parts:
+            total[: len(p)] += p
+        return pd.DataFrame({"sid": sids[4 * total <= ns]})
+
+    blobs = rows.filter("bucket >= 0").select("bucket", "chunk", "blob")
+    counts = blobs.groupBy("bucket").applyInPandas(alone, "chunk long, bucket int, blob binary")
+    named = rows.filter("bucket = -1").select("chunk", "bucket", "blob")
+    return named.unionByName(counts).groupBy("chunk").applyInPandas(summed, "sid long").distinct()
+
+
+def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sid, n_shingles, bits, content) of the written wanted(sid, doc_id), a row for each sid:
+    content is the sorted shingles. doc_id tells which rows to read, the set itself decides."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch in batches:
+            found = [(sid, s) for sid, t in zip(batch.column("sid").to_pylist(), batch.column("text"), strict=True)
+                     if len(s := shingle_set(t.as_py(), hasher)) and set_id(s) == sid]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sid for sid, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int64()),
+                 pa.array([bitmap(s) for _, s in found], pa.binary()), pa.array([s.tobytes() for _, s in found], pa.binary())],
+                ["sid", "n_shingles", "bits", "content"],
+            )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long, bits binary")
+    few = wanted.count() <= BROADCAST_IDS
+    need = wanted.select(F.col("doc_id").alias("want"), "sid")
+    texts = docs.join(F.broadcast(need) if few else need, F.expr("doc_id <=> want")).select("sid", "text")
+    out = written(texts.mapInArrow(run, "sid long, n_shingles long, bits binary, content binary"), "contents")
+    rows, sids = out.agg(F.count("*"), F.countDistinct("sid")).first()
+    if rows == sids:
+        return out
+    once = written(out.dropDuplicates(["sid"]), "contents")  # rows that share a doc_id and a set
+    discard(out)
+    return once
 
 
-def frequent(docs: DataFrame, least: int) -> np.ndarray:
-    """Sorted shingles that documents repeat very often, fewest first broken by hash. Tasks send
-    on only those that they saw twice, so the counts are lower bounds; any set would be right."""
+def frequent(sets: DataFrame, least: int) -> np.ndarray:
+    """Sorted shingles that sets(content) repeat very often. Tasks send on only those that they saw
+    twice, so the counts are lower bounds; any set of shingles would be right."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, size = WordHasher(), [], 0
+        held, size = [], 0
 
         def emit():
             h, c = np.unique(np.concatenate(held), return_counts=True)
@@ -159,8 +297,8 @@ def frequent(docs: DataFrame, least: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(h[keep].astype(np.int64)), pa.array(c[keep].astype(np.int64))], ["h", "c"])
 
         for batch in batches:
-            for text in batch.column("text"):
-                held.append(shingle_set(text.as_py(), hasher))
+            for content in batch.column("content"):
+                held.append(np.frombuffer(content.as_py(), U64))
                 size += len(held[-1])
                 if size > 4_000_000:
                     yield emit()
@@ -168,54 +306,52 @@ def frequent(docs: DataFrame, least: int) -> np.ndarray:
         if held:
             yield emit()
 
-    found = docs.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
+    found = sets.select("content").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
     got = found.select("h").toPandas()["h"].to_numpy(np.int64)
     return np.sort(got.astype(U64))
 
 
-def signature_blobs(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+# ---------------------------------------------------------------- sets that share a signature
+
+
+def signature_blobs(sets: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+    shared = sets.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, hot, sigs, sids, ns, seen, size = WordHasher(), shared.value, [], [], [], set(), 0
+        hot, sigs, sids, ns, size = shared.value, [], [], [], 0
 
         def emit():
             times = [len(x) for x in sigs]
-            sig, sid = np.concatenate(sigs), np.repeat(np.array(sids, np.int64), times)
-            n = np.repeat(np.array(ns, np.uint32), times)
+            sig = np.concatenate(sigs)
+            owner = np.repeat(np.arange(len(sids)), times)
             bucket = (sig % U64(buckets)).astype(np.int32)
             order = np.lexsort((sig, bucket))
-            sig, sid, n, bucket = sig[order] >> U64(24), sid[order], n[order], bucket[order]
+            sig, owner, bucket = sig[order] >> U64(20), owner[order], bucket[order]
             name, blob = [], []
             for i, j in zip(*spans(bucket), strict=True):
-                own, at, local = np.unique(sid[i:j], return_index=True, return_inverse=True)
-                kept = np.sort(sig[i:j]), local[np.argsort(sig[i:j], kind="stable")]
+                own, local = np.unique(owner[i:j], return_inverse=True)
                 name.append(int(bucket[i]))
-                blob.append(pack(np.diff(kept[0], prepend=U64(0)), kept[1].astype(np.uint32), own, n[i:j][at]))
+                blob.append(pack(np.diff(sig[i:j], prepend=U64(0)), local.astype(np.uint32), np.array(sids, np.int64)[own], np.array(ns, np.uint32)[own]))
             return pa.RecordBatch.from_arrays([pa.array(name, pa.int32()), pa.array(blob, pa.binary())], ["bucket", "blob"])
 
         for batch in batches:
-            for text in batch.column("text"):
-                s = shingle_set(text.as_py(), hasher)
-                if not len(s) or (sid := set_id(s)) in seen:
-                    continue
-                seen.add(sid)
+            for sid, n, content in zip(batch.column("sid").to_pylist(), batch.column("n_shingles").to_pylist(), batch.column("content"), strict=True):
                 sids.append(sid)
-                ns.append(len(s))
-                sigs.append(signatures(s, hot))
+                ns.append(n)
+                sigs.append(signatures(np.frombuffer(content.as_py(), U64), hot))
                 size += len(sigs[-1])
                 if size > FLUSH:
                     yield emit()
                     sigs, sids, ns, size = [], [], [], 0
-                    seen.clear()
         if sids:
             yield emit()
 
-    return docs.select("text").mapInArrow(run, "bucket int, blob binary")
+    return sets.select("sid", "n_shingles", "content").mapInArrow(run, "bucket int, blob binary")
 
 
 def meetings(blobs: DataFrame) -> DataFrame:
-    """(grp, a, b, big): pairs (a, b) to verify, and, where big, members a of large groups grp."""
+    """(grp, a, b): pairs (a, b) of a group's first member and another, and, where b is null, the
+    members a of groups grp of three or more."""
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         sig, sid, length = [], [], []
@@ -230,17 +366,9 @@ def meetings(blobs: DataFrame) -> DataFrame:
         keep = np.concatenate(([True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])))
         sig, sid, length = sig[keep], sid[keep], length[keep]
         i, j = spans(sig)
-        n = j - i
-        pairs = [np.zeros((2, 0), np.int64)]
-        for size in range(2, PAIRS_UP_TO + 1):
-            m = i[n == size][:, None] + np.arange(size)
-            x, y = np.triu_indices(size, 1)
-            pairs.append(np.stack((m[:, x].ravel(), m[:, y].ravel())))
-        big = n > max(1, PAIRS_UP_TO)
-        i, n = i[big], n[big]
+        i, n = i[j - i > 1], (j - i)[j - i > 1]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(i, n)
-        pairs.append(np.stack((np.repeat(i, n), at))[:, at != np.repeat(i, n)])
-        p = np.concatenate(pairs, axis=1)
+        p = np.stack((np.repeat(i, n), at))[:, at != np.repeat(i, n)]
         lo, hi = np.sort(length[p], axis=0)
         p = sid[p[:, LINK_NUM * hi <= LINK_DEN * lo]]  # of sizes that can link
         p = p[:, np.lexsort((p[1], p[0]))]
@@ -249,18 +377,20 @@ def meetings(blobs: DataFrame) -> DataFrame:
         name = np.add.reduceat(mix(sid[at].astype(U64)), np.cumsum(n) - n).astype(np.int64) if len(n) else np.zeros(0, np.int64)
         first = np.zeros(len(n), bool)
         first[np.unique(name, return_index=True)[1]] = True
-        once = np.repeat(first, n)
+        once = np.repeat(first & (n > 2), n)
         g, m = np.repeat(name, n)[once], sid[at][once]
         return pd.DataFrame(
             {
                 "grp": pd.array(np.concatenate((np.zeros(p.shape[1], np.int64), g)), "Int64"),
                 "a": np.concatenate((p[0], m)),
-                "b": pd.array(np.concatenate((p[1], np.zeros(len(m), np.int64))), "Int64"),
-                "big": np.concatenate((np.zeros(p.shape[1], bool), np.ones(len(m), bool))),
+                "b": pd.arrays.IntegerArray(np.concatenate((p[1], np.zeros(len(m), np.int64))), np.arange(p.shape[1] + len(m)) >= p.shape[1]),
             }
         )
 
-    return blobs.groupBy("bucket").applyInPandas(meet, "grp long, a long, b long, big boolean")
+    return blobs.groupBy("bucket").applyInPandas(meet, "grp long, a long, b long")
+
+
+# ---------------------------------------------------------------- links
 
 
 @F.pandas_udf(T.BooleanType())
@@ -280,12 +410,12 @@ def linked(a: pd.Series, b: pd.Series) -> pd.Series:
     out = np.zeros(len(a), bool)
     for i, (p, q) in enumerate(zip(a, b, strict=True)):
         x, y = np.frombuffer(p, U64), np.frombuffer(q, U64)
-        both = len(np.intersect1d(x, y, assume_unique=True))
+        both = len(x) + len(y) - len(distinct_sorted(np.concatenate((x, y))))
         out[i] = LINK_DEN * both >= LINK_NUM * (len(x) + len(y) - both)
     return pd.Series(out)
 
 
-def hopeful_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def hopeful(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the distinct pairs (a, b) whose sizes and bitmaps allow a link."""
     one = sets.select("sid", "n_shingles", "bits")
     left = one.select(F.col("sid").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("ba"))
@@ -293,91 +423,131 @@ def hopeful_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(may_link("na", "nb", "ba", "bb")).select("a", "b")
 
 
-def verified(hopeful: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the written pairs (a, b) that link, by their texts."""
-    wanted = hopeful.select(F.col("a").alias("sid")).union(hopeful.select("b")).distinct()
-    wanted = written(sets.select("sid", "doc_id").join(wanted, "sid"), "wanted")
-    few = wanted.count() <= BROADCAST_IDS
-    need = F.broadcast(wanted) if few else wanted
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the written distinct pairs (a, b) that link."""
+    need = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    some = sets.join(need, "sid", "left_semi")
+    a = some.select(F.col("sid").alias("a"), F.col("content").alias("ca"))
+    b = some.select(F.col("sid").alias("b"), F.col("content").alias("cb"))
+    return pairs.join(a, "a").join(b, "b").filter(linked("ca", "cb")).select("a", "b")
+
+
+def gathered(df: DataFrame, keys: list[str], columns: list[str], schema: str, work) -> DataFrame:
+    """``work(key, columns)`` on each group of keys, a group in memory at a time: rows are dealt and
+    sorted by Spark, and a task takes its groups one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in batches:
-            content = [shingle_set(t.as_py(), hasher) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_id(s) if len(s) else None for s in content], pa.int64()), pa.array([s.tobytes() for s in content], pa.binary())],
-                ["sid", "content"],
-            )
+        key, held = None, []
 
-    # doc_id picks the rows to read; where rows share a doc_id, the set itself decides
-    texts = docs.join(need.select("doc_id").distinct(), "doc_id").select("text").mapInArrow(run, "sid long, content binary")
-    texts = texts.join(need.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"])
-    texts = written(texts, "sets")
-    a = texts.select(F.col("sid").alias("a"), F.col("content").alias("ca"))
-    b = texts.select(F.col("sid").alias("b"), F.col("content").alias("cb"))
-    return hopeful.join(a, "a").join(b, "b").filter(linked("ca", "cb")).select("a", "b")
-
-
-def apart_in_groups(groups: DataFrame, first: bool) -> DataFrame:
-    """groups(grp, sid, root, n_shingles, bits, refuted) -> (grp, a, b): pairs of different
-    components that sizes and bitmaps allow and that were not refuted before.
-
-    The first round takes the closest pairs; a pair whose components hang together through other
-    pairs of the round waits for their verdict. What is left then are mostly pairs just below the
-    threshold, and the same two sets meet in many groups: later rounds take one pair for each
-    member, by a hash that differs from group to group, so the groups share the work. Either way a
-    group gives at most as many pairs as it has members, and at least one if it has any.
-
-    Groups of more than ``GROUP_BLOCK`` members are dealt into blocks of about that many, and each
-    pair of blocks is compared as a group of its own: all pairs of members meet, and one call holds
-    two blocks. A member is sent once for each block, so rows and comparisons still grow with the
-    square of a group. The refuted partners of a set travel with it as one array, and the rows of a
-    signature still meet in one bucket.
-    """
+        def done():
+            cols = {c: pa.chunked_array([b.column(c) for b in held]) for c in columns}
+            return pa.RecordBatch.from_pandas(work(key, cols), preserve_index=False)
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("sid")
-        n, root, sid = (frame[c].to_numpy(np.int64) for c in ("n_shingles", "root", "sid"))
-        comp = np.unique(root, return_inverse=True)[1]
-        size = min(len(x) for x in frame["bits"]) // 8
-        bits = np.stack([fold(x, size) for x in frame["bits"]])
-        refuted = [None if x is None or not len(x) else np.asarray(x, np.int64) for x in frame["refuted"]]
-        block = frame["block"].to_numpy(np.int64)
-        across = frame["lo"].iloc[0] != frame["hi"].iloc[0]
-        turn = frame["grp"].to_numpy(np.int64)[:1].astype(U64)
-        found = []
-        for i in range(len(n)):
-            ok = (comp != comp[i]) & (LINK_NUM * np.maximum(n, n[i]) <= LINK_DEN * np.minimum(n, n[i]))
-            if across:
-                ok &= block != block[i]
-            if first:
-                ok[:i] = False
-            if refuted[i] is not None:
-                ok &= ~np.isin(sid, refuted[i])
-            where = np.flatnonzero(ok)
-            if not len(where):
-                continue
-            far = np.bitwise_count(bits[where] ^ bits[i]).sum(axis=1)
-            near = far <= most_apart(n[where], n[i])
-            where, far = where[near], far[near]
-            if not first:
-                if len(where):
-                    order = mix(sid[where].astype(U64) ^ mix(sid[i : i + 1].astype(U64) + turn))
-                    found.append((sid[i], sid[where[order.argmin()]]))
+        for batch in batches:
+            if not len(batch):
                 continue
-            closest = where[np.argsort(far, kind="stable")]
-            _, nearest = np.unique(comp[closest], return_index=True)
-            for j in closest[np.sort(nearest)].tolist():
-                found.append((sid[i], sid[j]))
-                comp[comp == comp[j]] = comp[i]
-        p = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
-        return pd.DataFrame({"grp": np.full(len(p), frame["grp"].iloc[0]), "a": p[:, 0], "b": p[:, 1]})
+            names = np.stack([batch.column(k).to_numpy() for k in keys])
+            cut = [0, *(np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1).tolist(), len(batch)]
+            for i, j in zip(cut, cut[1:], strict=False):
+                own = tuple(names[:, i].tolist())
+                if held and own != key:
+                    yield done()
+                    held = []
+                key = own
+                held.append(batch.slice(i, j - i))
+        if held:
+            yield done()
+
+    return df.select(*keys, *columns).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
+
+def in_blocks(groups: DataFrame) -> DataFrame:
+    """groups(grp, sid, ...) with lo and hi: a group is dealt into blocks of about ``GROUP_BLOCK``
+    members, and every member gets a row for each pair of blocks that its own is part of."""
     sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / GROUP_BLOCK).alias("blocks"))
     dealt = groups.join(sizes, "grp").withColumn("block", F.expr("CASE WHEN blocks = 1 THEN 0L ELSE pmod(xxhash64(sid, grp), blocks) END"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    dealt = dealt.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
-    return dealt.groupBy("grp", "lo", "hi").applyInPandas(compare, "grp long, a long, b long")
+    return dealt.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
+
+
+def close_pairs(dealt: DataFrame) -> DataFrame:
+    """(grp, lo, hi, a, b) of dealt(grp, lo, hi, block, sid, root, n_shingles, bits): the pairs of
+    different components that sizes and bitmaps allow; a and b are null where a pair of blocks has
+    more than ``MANY`` for each member."""
+
+    def work(key: tuple, cols: dict) -> pd.DataFrame:
+        n, root, sid, block = (cols[c].to_numpy() for c in ("n_shingles", "root", "sid", "block"))
+        raw = cols["bits"].to_pylist()
+        size = min(len(x) for x in raw) // 8
+        bits = np.stack([fold(x, size) for x in raw])
+        step, many, found = max(1, 2_000_000 // (len(n) * size)), MANY * len(n), []
+        for i in range(0, len(n), step):
+            own = slice(i, i + step)
+            rest = slice(i + 1, None)
+            ok = (root[own, None] != root[None, rest]) & (sid[own, None] != sid[None, rest])
+            if key[1] != key[2]:
+                ok &= block[own, None] != block[None, rest]
+            lo, hi = np.minimum(n[own, None], n[None, rest]), np.maximum(n[own, None], n[None, rest])
+            ok &= LINK_NUM * hi <= LINK_DEN * lo
+            ok &= np.arange(i, min(i + step, len(n)))[:, None] < np.arange(i + 1, len(n))[None, :]
+            if ok.any():
+                x, y = np.nonzero(ok)
+                x, y = x + i, y + i + 1
+                for k in range(0, len(x), 4_000_000 // size + 1):
+                    p, q = x[k : k + 4_000_000 // size + 1], y[k : k + 4_000_000 // size + 1]
+                    near = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64) <= most_apart(n[p], n[q])
+                    found.append(np.stack((sid[p[near]], sid[q[near]])))
+                if sum(f.shape[1] for f in found) > many:
+                    found = None
+                    break
+        if found is None:
+            p, gone = np.zeros((2, 1), np.int64), np.ones(1, bool)
+        else:
+            p = np.sort(np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1), axis=0)
+            gone = np.zeros(p.shape[1], bool)
+        grp, lo, hi = (np.full(p.shape[1], k, np.int64) for k in key)
+        return pd.DataFrame({"grp": grp, "lo": lo, "hi": hi, "a": pd.arrays.IntegerArray(p[0], gone), "b": pd.arrays.IntegerArray(p[1], gone.copy())})
+
+    return gathered(dealt, ["grp", "lo", "hi"], ["sid", "root", "n_shingles", "bits", "block"], "grp long, lo long, hi long, a long, b long", work)
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all pairs' intersections, by products of a 0/1 matrix of members and shingles."""
+    flat = np.concatenate(sets)
+    member = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    name, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    keep = times[column] > 1  # others are in no intersection
+    shared = np.cumsum(times > 1) - 1
+    column, member = shared[column[keep]], member[keep]
+    order = np.argsort(column, kind="stable")
+    column, member = column[order], member[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for i in range(0, int((times > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(column, (i, i + COLUMNS))
+        x = np.zeros((len(sets), COLUMNS), np.float32)
+        x[member[a:b], column[a:b] - i] = 1
+        out += x @ x.T
+    return out.astype(np.int64)  # whole numbers far below 2**24: exact
+
+
+def dense_links(dealt: DataFrame) -> DataFrame:
+    """(a, b): a spanning forest of the links between different components in each pair of blocks of
+    dealt(grp, lo, hi, sid, root, content)."""
+
+    def work(key: tuple, cols: dict) -> pd.DataFrame:
+        root, sid = (cols[c].to_numpy() for c in ("root", "sid"))
+        sets = [np.frombuffer(x, U64) for x in cols["content"].to_pylist()]
+        both, n = intersections(sets), np.array([len(s) for s in sets])
+        comp, found = np.unique(root, return_inverse=True)[1], []
+        for i in range(len(n)):
+            for j in np.flatnonzero((LINK_DEN * both[i] >= LINK_NUM * (n + n[i] - both[i])) & (comp != comp[i])).tolist():
+                if comp[j] != comp[i]:
+                    found.append((sid[i], sid[j]))
+                    comp[comp == comp[j]] = comp[i]
+        p = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
+        return pd.DataFrame({"a": p[:, 0], "b": p[:, 1]})
+
+    return gathered(dealt, ["grp", "lo", "hi"], ["sid", "root", "content"], "a long, b long", work)
 
 
 def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -389,29 +559,19 @@ def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(out, "labels")
 
 
-def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """Labels after all links inside groups(grp, sid). Each round every group that may still hold a
-    link proposes pairs; each is verified, and either joins two components or is refuted for good.
-    Groups that propose nothing are done."""
-    refuted, groups = None, written(groups, "groups")
-    while True:
-        named = groups.join(labels, "sid")
-        apart = named.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("grp")
-        named = named.join(apart, "grp").join(sets.select("sid", "n_shingles", "bits"), "sid")
-        if refuted is None:
-            named = named.withColumn("refuted", F.lit(None).cast("array<long>"))
-        else:
-            both = refuted.union(refuted.select("b", "a"))
-            named = named.join(both.groupBy(F.col("a").alias("sid")).agg(F.collect_list("b").alias("refuted")), "sid", "left")
-        proposed = written(apart_in_groups(named, refuted is None), "proposed")
-        pairs = written(proposed.select("a", "b").distinct(), "pairs")
-        if not pairs.take(1):
-            return labels
-        good = written(verified(pairs, sets, docs), "links")
-        bad = pairs.join(good, ["a", "b"], "left_anti")
-        refuted = written(bad if refuted is None else refuted.union(bad), "refuted")
-        labels = joined_up(labels, good)
-        groups = written(groups.join(proposed.select("grp").distinct(), "grp", "left_semi"), "groups")
+def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Labels after all links inside groups(grp, sid)."""
+    named = groups.join(labels, "sid")
+    apart = named.groupBy("grp").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("grp")
+    dealt = written(in_blocks(named.join(apart, "grp", "left_semi")), "groups")
+    close = written(close_pairs(dealt.join(sets.select("sid", "n_shingles", "bits"), "sid")), "close")
+    links = verified(written(close.filter("a is not null").select("a", "b").distinct(), "pairs"), sets)
+    dense = close.filter("a is null").select("grp", "lo", "hi")
+    if dense.take(1):
+        links = links.union(dense_links(dealt.join(dense, ["grp", "lo", "hi"], "left_semi").join(sets.select("sid", "content"), "sid")))
+    out = joined_up(labels, written(links.distinct(), "links"))
+    discard(dealt, close)
+    return out
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -422,23 +582,27 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ignored; an empty table gives an empty result.
     """
     docs = only(docs, doc_id="long", text="string")
-    sets = written(sets_of(docs), "members")
-    total = sets.agg(F.count("*"), F.sum("n_shingles")).first()
-    hot = frequent(docs, max(20, total[0] // HOT_SHARE))
-    buckets = max(8, math.ceil(0.45 * (total[1] or 0) / SIGNATURES_PER_BUCKET))
-    found = written(meetings(signature_blobs(docs, hot, buckets)), "meetings")
-    distinct = written(
-        sets.filter("sid is not null").groupBy("sid", "n_shingles").agg(F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id")), "distinct"
-    )
-    pairs = written(hopeful_pairs(found.filter("not big").select("a", "b").distinct(), distinct), "pairs")
-    links = written(verified(pairs, distinct, docs), "links")
-    labels = joined_up(distinct.select("sid", F.col("sid").alias("root")), links)
-    labels = within_groups(found.filter("big").select("grp", F.col("a").alias("sid")).distinct(), labels, distinct, docs)
+    rows, chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()
+    shingles = chars // 5 + rows  # about; it only sets the sizes of tasks, and how often hashes meet by chance
+    bits = min(60, max(30, (64 * shingles).bit_length()))
+    seen = written(met(docs, max(16, math.ceil(shingles / 2 / PER_BUCKET)), bits), "members")
+    members = seen.filter("bucket = -2").select("doc_id", "n_shingles", "sid")
+    wanted = members.join(partnered(seen), "sid").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    wanted = written(wanted, "wanted")
+    sets = contents(docs, wanted)
+    total = sets.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    hot = frequent(sets, max(20, total[0] // HOT_SHARE))
+    found = written(meetings(signature_blobs(sets, hot, max(16, math.ceil(total[1] / PER_BUCKET)))), "meetings")
+    stars = written(hopeful(found.filter("b is not null").select("a", "b").distinct(), sets), "pairs")
+    labels = joined_up(sets.select("sid", F.col("sid").alias("root")), written(verified(stars, sets), "links"))
+    labels = within_groups(found.filter("b is null").select("grp", F.col("a").alias("sid")).distinct(), labels, sets)
+    discard(found, stars, sets)
     # copies have one set, so they are one node; a component is named by its least document
-    named = distinct.select("sid", "doc_id").join(labels, "sid")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_set = named.select("sid", "root").join(least, "root").select("sid", "component_id")
-    out = sets.select("doc_id", "n_shingles", "sid").join(by_set, "sid", "left")
+    own = members.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
+    named = own.join(labels, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_set = named.select("sid", "root").join(roots, "root").select("sid", "component_id")
+    out = members.join(by_set, "sid", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
