@@ -169,21 +169,74 @@ def test_leaks_are_found_and_clean_left(spark):
     assert all(r["similarity"] >= 0.75 and r["distance"] <= op9.RADIUS for r in got)
 
 
-def test_all_within_radius():
-    """The block tables find every item whose fingerprint is within the radius."""
+@pytest.mark.parametrize("direct", [0, 4096])
+def test_all_within_radius(monkeypatch, direct):
+    """The multi-index finds every item whose fingerprint is within the radius, by tables or not."""
     import numpy as np
 
+    monkeypatch.setattr(op9, "DIRECT", direct)
     rng = np.random.default_rng(2)
-    items = op9.Items([(i, " ".join(f"t{i}x{j}" for j in range(20))) for i in range(50)])
-    for _ in range(200):
-        j = int(rng.integers(50))
-        f = items.prints[j].copy()
-        flips = rng.permutation(128)[: int(rng.integers(0, op9.RADIUS + 1))]
-        for b in flips:
-            f[b // 8] ^= np.uint8(1 << (b % 8))
-        found = np.unique(np.concatenate([items.near[b][int(f[b])] for b in range(op9.BLOCKS)]))
-        near = np.flatnonzero(np.bitwise_count(items.prints ^ f).sum(axis=1) <= op9.RADIUS)
-        assert set(near.tolist()) <= set(found.tolist()) and j in near
+    weights = op9.Weights(50, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    items = op9.Items(op9.item_tables([(i, " ".join(f"t{i}x{j}" for j in range(20))) for i in range(50)], weights), weights)
+    prints = []
+    for _ in range(100):
+        f = items.t["prints"][int(rng.integers(50))].copy()
+        for b in rng.permutation(128)[: int(rng.integers(0, op9.RADIUS + 1))]:
+            f[b // 16] ^= np.uint16(1 << (b % 16))
+        prints.append(f)
+    far = np.bitwise_count(np.stack(prints)[:, None] ^ items.t["prints"][None]).sum(axis=2)
+    want = {(int(w), int(j), int(far[w, j])) for w, j in zip(*np.nonzero(far <= op9.RADIUS))}
+    assert len(want) >= 100 and set(zip(*items.close(20, np.stack(prints)))) == want
+    w, j = items.met(20, np.stack(prints))
+    assert len(w) < 0.45 * 100 * 50  # of random fingerprints a quarter is met
+
+
+def brute_leaks(docs, items):
+    """(doc, item) -> best similarity of all windows as long as the item, at least 0.75."""
+    words = lambda t: "".join(c if c.isalnum() or ord(c) > 127 else " " for c in (t or "").lower()).split()
+    cut = lambda w, n: [tuple(w[i : i + n]) for i in range(len(w) - n + 1)]
+    items = [(i, w) for i, t in items if (w := words(t))]
+    sets = {i: set(cut(w, min(5, len(w)))) for i, w in items}
+    df = Counter(s for i, _ in items for s in sets[i])
+    weight = lambda s: 1 + math.log((1 + len(items)) / (1 + max(1, df[s])))
+    out = {}
+    for d, t in docs:
+        w = words(t)
+        for i, body in items:
+            n = len(body)
+            for k in range(max(1, len(w) - n + 1)):
+                own = set(cut(w[k : k + n], min(5, n, max(1, len(w)))))
+                both = sum(weight(s) ** 2 for s in own & sets[i])
+                sim = both and both / math.sqrt(sum(weight(s) ** 2 for s in own) * sum(weight(s) ** 2 for s in sets[i]))
+                if sim >= 0.75:
+                    out[d, i] = max(sim, out.get((d, i), 0))
+    return out
+
+
+def test_recall_of_all_windows(spark):
+    """Against brute force over every window: nothing false, and at least 0.9 of what there is (texts
+    are made to lie about the threshold, where the fingerprints' distances spread most)."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(60)]
+    text = lambda n: rng.choices(vocabulary, k=n)
+    items = [(i, " ".join(text(rng.choice((2, 7, 12, 20, 20, 35))))) for i in range(30)]
+    docs = []
+    for d in range(300):
+        w = rng.choice(items)[1].split()
+        for _ in range(rng.choice((0, 0, 1, 1, 2))):
+            w[rng.randrange(len(w))] = "other"
+        if d % 5 == 0:  # words left out: no window lines up
+            del w[len(w) // 2]
+        docs.append((d, " ".join([*text(rng.randint(0, 15)), *w, *text(rng.randint(0, 15))])))
+    docs += [(900, "a b a b a b a b a b a b a b a b a b a b a b a b"), (901, None), (902, "x " * 3000)]
+    items += [(90, "a b " * 10), (91, "x " * 12), (92, None)]
+    want = brute_leaks(docs, items)
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in op9.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) <= set(want) and len(got) >= 0.9 * len(want) > 100
+    assert {k for k, v in want.items() if v > 0.9} <= set(got)
+    for k, v in got.items():
+        assert v <= want[k] + 1e-5
 
 
 def test_blocks_of_items_and_nothing(spark, monkeypatch):

@@ -56,38 +56,78 @@ def result(spark, rows, **kw):
     return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in op6.jaccard_components(df).collect()}
 
 
-@pytest.mark.parametrize(("seed", "small"), [(1, False), (2, True)])
-def test_like_brute_force(spark, seed, small, monkeypatch):
+@pytest.mark.parametrize(("seed", "hot"), [(1, False), (2, True)])
+def test_like_brute_force(spark, seed, hot, monkeypatch):
     rows = corpus(seed)
-    if small:  # every group is a large one, most shingles are frequent
-        monkeypatch.setattr(op6, "PAIRS_UP_TO", 1)
+    if hot:  # most shingles are frequent
         monkeypatch.setattr(op6, "HOT_SHARE", 10**9)
-        monkeypatch.setattr(op6, "frequent", lambda docs, least, f=op6.frequent: f(docs, 2))
+        monkeypatch.setattr(op6, "frequent", lambda sets, least, f=op6.frequent: f(sets, 2))
     got = result(spark, rows)
     want = brute(rows)
     assert {d: c for d, (_, c) in got.items()} == want
     assert {d: n for d, (n, _) in got.items()} == {d: len(shingles(t)) for d, t in rows}
 
 
-def test_large_groups_in_blocks(spark, monkeypatch):
-    """All pairs of a large group meet, in tasks of two blocks at most."""
-    monkeypatch.setattr(op6, "GROUP_BLOCK", 5, raising=False)
-    bits = bytes(8)
-    rows = [(1, i, i, 20, bits, None) for i in range(40)]
-    groups = spark.createDataFrame(rows, "grp long, sid long, root long, n_shingles long, bits binary, refuted array<long>")
-    got = op6.apart_in_groups(groups, False)
-    units = got.select("a").union(got.select("b")).distinct().count()
-    assert units == 40 and got.count() > 40  # each block pair proposes for itself
-    two = groups.withColumn("root", F.when(F.col("sid").isin(3, 31), F.col("sid")).otherwise(0)).filter("sid in (3, 31) or root = 0")
-    pairs = {(r["a"], r["b"]) for r in op6.apart_in_groups(two.filter("sid in (3, 31)").unionByName(two.filter("root = 0").withColumn("n_shingles", F.lit(1).cast("long"))), True).collect()}
-    assert pairs == {(3, 31)}
-
-
-def test_blocks_like_brute_force(spark, monkeypatch):
-    rows = corpus(3, 90)
-    monkeypatch.setattr(op6, "GROUP_BLOCK", 4, raising=False)
-    monkeypatch.setattr(op6, "PAIRS_UP_TO", 1)
-    assert {d: c for d, (_, c) in result(spark, rows).items()} == brute(rows)
+def near_threshold(n=60, seed=4):
+    """Copies of one text with so many edits that some pairs link and many just fail to."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    base = [word() for _ in range(80)]
+    texts = []
+    for _ in range(n):
+        w = list(base)
+        for _ in range(rng.choice((1, 2, 2, 3))):
+            w[rng.randrange(len(w))] = word()
+        texts.append(" ".join(w))
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize(("block", "many"), [(2048, 4), (7, 4), (7, 0), (2048, -1)])
+def test_groups_in_blocks(spark, block, many, monkeypatch):
+    """Pairs of blocks, with bitmaps or with the exact sets, settle all pairs of a group."""
+    monkeypatch.setattr(op6, "GROUP_BLOCK", block)
+    monkeypatch.setattr(op6, "MANY", many)
+    rows = near_threshold()
+    want = brute(rows)
+    assert 1 < len(set(want.values())) < len(want)
+    assert {d: c for d, (_, c) in result(spark, rows).items()} == want
+
+
+def test_all_pairs_of_a_group_meet(spark, monkeypatch):
+    monkeypatch.setattr(op6, "GROUP_BLOCK", 5)
+    rows = [(1, i, i, 20, bytes(8)) for i in range(40)]
+    groups = spark.createDataFrame(rows, "grp long, sid long, root long, n_shingles long, bits binary")
+    monkeypatch.setattr(op6, "MANY", 1000)
+    got = {(r["a"], r["b"]) for r in op6.close_pairs(op6.in_blocks(groups)).collect()}
+    assert got == set(combinations(range(40), 2))
+
+
+def test_intersections():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 300, n)).astype(np.uint64) for n in (1, 5, 80, 200, 80)]
+    op6.COLUMNS, before = 16, op6.COLUMNS
+    try:
+        got = op6.intersections(sets)
+    finally:
+        op6.COLUMNS = before
+    for i, j in combinations(range(5), 2):
+        assert got[i, j] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_sets_with_partners_stay(spark):
+    """A set with a link to a different one is never settled early; lone ones are."""
+    rows = [*near_threshold(20), *((100 + i, t) for i, t in corpus(5, 60)), *((1000 + i, " ".join(f"{i}w{k}" for k in range(90))) for i in range(50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen = op6.met(docs, 4, 40).cache()
+    kept = {r["sid"] for r in op6.partnered(seen).collect()}
+    of = {r["doc_id"]: r["sid"] for r in seen.filter("bucket = -2").collect()}
+    sets = {d: shingles(t) for d, t in rows}
+    for a, b in combinations(sets, 2):
+        if sets[a] and sets[a] != sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            assert {of[a], of[b]} <= kept
+    assert not kept & {of[1000 + i] for i in range(50)}
 
 
 def test_signatures_meet():
