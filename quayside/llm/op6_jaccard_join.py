@@ -23,20 +23,23 @@ there it has content. So, before the first subset that both share, each thick gr
 both sign the first subset that they share.
 
 *Frequent shingles.* Any fixed set H of shingles can be left out of both sets without raising the
-difference. H holds the shingles that very many of the sets repeat (boilerplate, large groups of near
-copies), so unrelated documents with a common passage do not meet. Each of its members was seen in at
-least 1/1000 of the sets, so its size is at most 1000 times a set's mean size, and it is broadcast.
-Sets that are left with too few thick groups are signed a second time, in a family of their own, on
-their whole content: the first ``k + 1`` shingles in order of rarity. A pair is only missed by the
-first family if both its sets are of this kind, so the two families together lose nothing.
+difference. H holds the shingles that most of these sets repeat (boilerplate, large groups of near
+copies), so unrelated documents with a common passage do not meet. It is broadcast: at most
+``HOT_MOST`` shingles, the most frequent ones in ``HOT_LEAST`` sets or more; a larger corpus has a
+higher bar, never another result. Sets that are left with too few thick groups are signed a second
+time, in a family of their own, on their whole content: the first ``k + 1`` shingles in order of
+rarity. A pair is only missed by the first family if both its sets are of this kind, so the two
+families together lose nothing.
 
 *Groups.* Sets (not documents: copies have one set) that share a signature are a group. Each member
 is first paired with the group's first member, and the pairs are verified on the exact sets. Groups
-whose members are not all connected by then are compared in blocks: parity bitmaps, whose Hamming
-distance never exceeds the true difference, leave few pairs of different components, and these are
-verified. A pair of blocks with many such pairs (sets just below the threshold) gets the exact sets
-themselves, counts all intersections by matrix products, and gives a spanning forest of its links.
-So every pair that shares a signature is settled once, without rounds.
+whose members are not all connected by then are compared in blocks. Similar sets share many groups;
+each set knows the ``FIRST`` lowest names of its groups, and a pair is left to the lowest group that
+both know. Where a pair is compared, parity bitmaps, whose Hamming distance never exceeds the true
+difference, leave few pairs of different components, and these are verified. A pair of blocks with
+many such pairs (sets just below the threshold) gets the exact sets themselves, counts all
+intersections by matrix products, and gives a spanning forest of its links. So every pair that shares
+a signature is settled, without rounds.
 
 Signatures travel as packed blobs, one for each task and bucket. Nothing whole passes the driver.
 """
@@ -51,7 +54,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,7 +70,9 @@ MANY = 4  # pairs for each member beyond which a pair of blocks gets the exact s
 COLUMNS = 4096  # of a matrix of members and shingles
 FLUSH = 1_500_000  # shingles or signatures that a task gathers before it emits blobs
 PER_BUCKET = 3_000_000
-HOT_SHARE = 1000  # a shingle in more than 1/1000 of the sets counts as frequent
+HOT_LEAST, HOT_MOST = 8, 2_000_000  # sets that hold a frequent shingle; frequent shingles (16 MB)
+HOT_BITS = 40  # of a shingle's hash that tell whether it is frequent
+FIRST = 8  # groups that a set knows
 BROADCAST_IDS = 4_000_000  # 16 bytes each: at most 64 MB
 
 
@@ -112,15 +117,17 @@ def most_apart(a, b):
     return (a + b) // 7
 
 
-def signatures(shingles: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """All signatures of one set, given the sorted frequent shingles."""
+def signatures(shingles: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """All signatures of one set; hot: the first bits of the frequent shingles, sorted; rank: their
+    places in order of rarity."""
     out = []
-    rare = shingles
+    rare, rest = shingles, shingles[:0]
     if len(hot):
-        at = np.searchsorted(hot, shingles)
+        head = shingles >> U64(64 - HOT_BITS)
+        at = np.searchsorted(hot, head)
         at[at == len(hot)] = 0
-        is_hot = hot[at] == shingles
-        rare = shingles[~is_hot]
+        is_hot = hot[at] == head
+        rare, rest = shingles[~is_hot], shingles[is_hot][np.lexsort((shingles[is_hot], rank[at[is_hot]]))]
     for band, k in places(len(shingles)):
         salt = U64((band + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1)
         need, thick = k // (SPOILT + 1) + 1, 0
@@ -144,9 +151,7 @@ def signatures(shingles: np.ndarray, hot: np.ndarray) -> np.ndarray:
                 name = mix(group[begin][:stop][has] + salt) + U64(i)
                 out.append(mix(content[:stop, subset].sum(axis=1, dtype=U64)[has] ^ mix(name)))
         if thick < need:
-            whole = np.sort(rare)
-            if len(hot):
-                whole = np.concatenate((whole, np.sort(shingles[is_hot])))
+            whole = np.concatenate((rare, rest))
             out.append(mix(whole[: k + 1] ^ mix(np.array([salt ^ U64(0xD6E8FEB86659FD93)]))))
     return np.concatenate(out) if out else np.zeros(0, U64)
 
@@ -284,37 +289,52 @@ def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return once
 
 
-def frequent(sets: DataFrame, least: int) -> np.ndarray:
-    """Sorted shingles that sets(content) repeat very often. Tasks send on only those that they saw
-    twice, so the counts are lower bounds; any set of shingles would be right."""
+def frequent(sets: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """First bits of the shingles that most of sets(content) hold, sorted, and their places in order of
+    rarity. (Any set of shingles would be right, and any order.)"""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def emit():
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            keep = c > 1
-            return pa.RecordBatch.from_arrays([pa.array(h[keep].astype(np.int64)), pa.array(c[keep].astype(np.int64))], ["h", "c"])
+            h, c = np.unique(np.concatenate(held) >> U64(64 - HOT_BITS), return_counts=True)
+            cut = np.searchsorted(h, (np.arange(buckets + 1, dtype=np.float64) * (2.0**HOT_BITS / buckets)).astype(U64)).tolist()
+            own = [(b, i, j) for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if i < j]
+            blobs = [pack(np.diff(h[i:j], prepend=U64(0)), c[i:j].astype(np.uint32)) for _, i, j in own]
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _, _ in own], pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
         for batch in batches:
             for content in batch.column("content"):
                 held.append(np.frombuffer(content.as_py(), U64))
                 size += len(held[-1])
-                if size > 4_000_000:
+                if size > FLUSH:
                     yield emit()
                     held, size = [], 0
         if held:
             yield emit()
 
-    found = sets.select("content").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
-    got = found.select("h").toPandas()["h"].to_numpy(np.int64)
-    return np.sort(got.astype(U64))
+    def count(frame: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(raw) for raw in frame["blob"]]
+        h, c = np.concatenate([np.cumsum(d, dtype=U64) for d, _ in parts]), np.concatenate([x for _, x in parts])
+        order = np.argsort(h)
+        begin, _ = spans(h[order])
+        h, c = h[order][begin], np.add.reduceat(c[order].astype(np.int64), begin)
+        return pd.DataFrame({"h": h[c >= HOT_LEAST].astype(np.int64), "c": c[c >= HOT_LEAST]})
+
+    blobs = sets.select("content").mapInArrow(run, "bucket int, blob binary")
+    found = written(blobs.groupBy("bucket").applyInPandas(count, "h long, c long"), "frequent")
+    by_count = found.groupBy("c").agg(F.count("*").alias("n")).toPandas().sort_values("c", ascending=False)  # as many rows as different counts
+    fits = by_count["c"][by_count["n"].cumsum() <= HOT_MOST]
+    got = found.filter(F.col("c") >= (int(fits.iloc[-1]) if len(fits) else 1 << 62)).toPandas().sort_values(["c", "h"])
+    h = got["h"].to_numpy(np.int64).astype(U64)
+    order = np.argsort(h)
+    return h[order], order.astype(np.int32)
 
 
 # ---------------------------------------------------------------- sets that share a signature
 
 
-def signature_blobs(sets: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+def signature_blobs(sets: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
     shared = sets.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +358,7 @@ def signature_blobs(sets: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
             for sid, n, content in zip(batch.column("sid").to_pylist(), batch.column("n_shingles").to_pylist(), batch.column("content"), strict=True):
                 sids.append(sid)
                 ns.append(n)
-                sigs.append(signatures(np.frombuffer(content.as_py(), U64), hot))
+                sigs.append(signatures(np.frombuffer(content.as_py(), U64), *hot))
                 size += len(sigs[-1])
                 if size > FLUSH:
                     yield emit()
@@ -433,15 +453,18 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def gathered(df: DataFrame, keys: list[str], columns: list[str], schema: str, work) -> DataFrame:
-    """``work(key, columns)`` on each group of keys, a group in memory at a time: rows are dealt and
+    """``work(key, columns)``, which returns columns, on each group of keys, a group in memory at a time: rows are dealt and
     sorted by Spark, and a task takes its groups one after the other."""
+    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64())}
+    arrow = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def done():
             cols = {c: pa.chunked_array([b.column(c) for b in held]) for c in columns}
-            return pa.RecordBatch.from_pandas(work(key, cols), preserve_index=False)
+            made = work(key, cols)
+            return pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
 
         for batch in batches:
             if not len(batch):
@@ -470,45 +493,86 @@ def in_blocks(groups: DataFrame) -> DataFrame:
     return dealt.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
 
 
+def own_pairs(key: tuple, sid: np.ndarray, root: np.ndarray, block: np.ndarray, known: np.ndarray, own: slice) -> np.ndarray:
+    """Which pairs of the rows ``own`` and all rows are to be compared here: of different components,
+    of different blocks if there are two, once each, and no lower group is known to both."""
+    ok = (root[own, None] != root[None]) & (np.arange(own.start, own.start + len(sid[own]))[:, None] < np.arange(len(sid))[None])
+    if key[1] != key[2]:
+        ok &= block[own, None] != block[None]
+    x, y = np.nonzero(ok)
+    for k in range(0, len(x), 1 << 18):
+        p, q = x[k : k + (1 << 18)], y[k : k + (1 << 18)]
+        a, b = known[own][p], known[q]
+        lower = np.zeros(len(p), bool)
+        for i in range(known.shape[1]):
+            lower |= ((a == b[:, i : i + 1]) & (b[:, i : i + 1] < key[0])).any(axis=1)
+        ok[p[lower], q[lower]] = False
+    return ok
+
+
+def known_groups(cols: dict) -> np.ndarray:
+    """A row of the groups that each member knows; the rest is the largest number, lower than none."""
+    rows = cols["known"].combine_chunks()
+    sizes = rows.value_lengths().to_numpy().astype(np.int64)
+    out = np.full((len(sizes), FIRST), np.iinfo(np.int64).max)
+    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = rows.flatten().to_numpy()
+    return out
+
+
+def steps(rows: int) -> Iterator[slice]:
+    width = max(1, 2_000_000 // max(1, rows))
+    return (slice(i, min(i + width, rows)) for i in range(0, rows, width))
+
+
+def with_pairs(dealt: DataFrame) -> DataFrame:
+    """The rows of dealt(grp, lo, hi, block, sid, root, known) that have a pair to compare."""
+
+    def work(key: tuple, cols: dict) -> dict:
+        root, sid, block = (cols[c].to_numpy() for c in ("root", "sid", "block"))
+        known, has = known_groups(cols), np.zeros(len(sid), bool)
+        for own in steps(len(sid)):
+            ok = own_pairs(key, sid, root, block, known, own)
+            has[own] |= ok.any(axis=1)
+            has |= ok.any(axis=0)
+        at = np.flatnonzero(has)
+        grp, lo, hi = (np.full(len(at), k, np.int64) for k in key)
+        return {"grp": grp, "lo": lo, "hi": hi, "block": block[at], "sid": sid[at], "root": root[at], "known": list(known[at])}
+
+    return gathered(dealt, ["grp", "lo", "hi"], ["sid", "root", "block", "known"], "grp long, lo long, hi long, block long, sid long, root long, known array<long>", work)
+
+
 def close_pairs(dealt: DataFrame) -> DataFrame:
-    """(grp, lo, hi, a, b) of dealt(grp, lo, hi, block, sid, root, n_shingles, bits): the pairs of
-    different components that sizes and bitmaps allow; a and b are null where a pair of blocks has
-    more than ``MANY`` for each member."""
+    """(grp, lo, hi, a, b) of dealt(grp, lo, hi, block, sid, root, known, n_shingles, bits): the pairs
+    to compare here that sizes and bitmaps allow; a and b are null where a pair of blocks has more
+    than ``MANY`` for each member."""
 
-    def work(key: tuple, cols: dict) -> pd.DataFrame:
+    def work(key: tuple, cols: dict) -> dict:
         n, root, sid, block = (cols[c].to_numpy() for c in ("n_shingles", "root", "sid", "block"))
-        raw = cols["bits"].to_pylist()
+        raw, known = cols["bits"].to_pylist(), known_groups(cols)
         size = min(len(x) for x in raw) // 8
         bits = np.stack([fold(x, size) for x in raw])
-        step, many, found = max(1, 2_000_000 // (len(n) * size)), MANY * len(n), []
-        for i in range(0, len(n), step):
-            own = slice(i, i + step)
-            rest = slice(i + 1, None)
-            ok = (root[own, None] != root[None, rest]) & (sid[own, None] != sid[None, rest])
-            if key[1] != key[2]:
-                ok &= block[own, None] != block[None, rest]
-            lo, hi = np.minimum(n[own, None], n[None, rest]), np.maximum(n[own, None], n[None, rest])
-            ok &= LINK_NUM * hi <= LINK_DEN * lo
-            ok &= np.arange(i, min(i + step, len(n)))[:, None] < np.arange(i + 1, len(n))[None, :]
-            if ok.any():
-                x, y = np.nonzero(ok)
-                x, y = x + i, y + i + 1
-                for k in range(0, len(x), 4_000_000 // size + 1):
-                    p, q = x[k : k + 4_000_000 // size + 1], y[k : k + 4_000_000 // size + 1]
-                    near = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64) <= most_apart(n[p], n[q])
-                    found.append(np.stack((sid[p[near]], sid[q[near]])))
-                if sum(f.shape[1] for f in found) > many:
-                    found = None
-                    break
+        many, found = MANY * len(n), []
+        for own in steps(len(n)):
+            x, y = np.nonzero(own_pairs(key, sid, root, block, known, own))
+            x = x + own.start
+            fits = LINK_NUM * np.maximum(n[x], n[y]) <= LINK_DEN * np.minimum(n[x], n[y])
+            x, y = x[fits], y[fits]
+            for k in range(0, len(x), 4_000_000 // size + 1):
+                p, q = x[k : k + 4_000_000 // size + 1], y[k : k + 4_000_000 // size + 1]
+                near = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64) <= most_apart(n[p], n[q])
+                found.append(np.stack((sid[p[near]], sid[q[near]])))
+            if sum(f.shape[1] for f in found) > many:
+                found = None
+                break
         if found is None:
             p, gone = np.zeros((2, 1), np.int64), np.ones(1, bool)
         else:
             p = np.sort(np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1), axis=0)
             gone = np.zeros(p.shape[1], bool)
         grp, lo, hi = (np.full(p.shape[1], k, np.int64) for k in key)
-        return pd.DataFrame({"grp": grp, "lo": lo, "hi": hi, "a": pd.arrays.IntegerArray(p[0], gone), "b": pd.arrays.IntegerArray(p[1], gone.copy())})
+        return {"grp": grp, "lo": lo, "hi": hi, "a": pd.arrays.IntegerArray(p[0], gone), "b": pd.arrays.IntegerArray(p[1], gone)}
 
-    return gathered(dealt, ["grp", "lo", "hi"], ["sid", "root", "n_shingles", "bits", "block"], "grp long, lo long, hi long, a long, b long", work)
+    return gathered(dealt, ["grp", "lo", "hi"], ["sid", "root", "n_shingles", "bits", "block", "known"], "grp long, lo long, hi long, a long, b long", work)
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -534,7 +598,7 @@ def dense_links(dealt: DataFrame) -> DataFrame:
     """(a, b): a spanning forest of the links between different components in each pair of blocks of
     dealt(grp, lo, hi, sid, root, content)."""
 
-    def work(key: tuple, cols: dict) -> pd.DataFrame:
+    def work(key: tuple, cols: dict) -> dict:
         root, sid = (cols[c].to_numpy() for c in ("root", "sid"))
         sets = [np.frombuffer(x, U64) for x in cols["content"].to_pylist()]
         both, n = intersections(sets), np.array([len(s) for s in sets])
@@ -545,7 +609,7 @@ def dense_links(dealt: DataFrame) -> DataFrame:
                     found.append((sid[i], sid[j]))
                     comp[comp == comp[j]] = comp[i]
         p = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
-        return pd.DataFrame({"a": p[:, 0], "b": p[:, 1]})
+        return {"a": p[:, 0], "b": p[:, 1]}
 
     return gathered(dealt, ["grp", "lo", "hi"], ["sid", "root", "content"], "a long, b long", work)
 
@@ -563,7 +627,10 @@ def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame) -> Data
     """Labels after all links inside groups(grp, sid)."""
     named = groups.join(labels, "sid")
     apart = named.groupBy("grp").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("grp")
-    dealt = written(in_blocks(named.join(apart, "grp", "left_semi")), "groups")
+    named = named.join(apart, "grp", "left_semi")
+    nth = F.row_number().over(Window.partitionBy("sid").orderBy("grp"))
+    known = named.select("sid", "grp", nth.alias("nth")).filter(F.col("nth") <= FIRST).groupBy("sid").agg(F.collect_list("grp").alias("known"))
+    dealt = written(with_pairs(in_blocks(named.join(known, "sid"))), "groups")
     close = written(close_pairs(dealt.join(sets.select("sid", "n_shingles", "bits"), "sid")), "close")
     links = verified(written(close.filter("a is not null").select("a", "b").distinct(), "pairs"), sets)
     dense = close.filter("a is null").select("grp", "lo", "hi")
@@ -591,8 +658,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     wanted = written(wanted, "wanted")
     sets = contents(docs, wanted)
     total = sets.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
-    hot = frequent(sets, max(20, total[0] // HOT_SHARE))
-    found = written(meetings(signature_blobs(sets, hot, max(16, math.ceil(total[1] / PER_BUCKET)))), "meetings")
+    buckets = max(16, math.ceil(total[1] / PER_BUCKET))
+    found = written(meetings(signature_blobs(sets, frequent(sets, buckets), buckets)), "meetings")
     stars = written(hopeful(found.filter("b is not null").select("a", "b").distinct(), sets), "pairs")
     labels = joined_up(sets.select("sid", F.col("sid").alias("root")), written(verified(stars, sets), "links"))
     labels = within_groups(found.filter("b is null").select("grp", F.col("a").alias("sid")).distinct(), labels, sets)

@@ -60,8 +60,7 @@ def result(spark, rows, **kw):
 def test_like_brute_force(spark, seed, hot, monkeypatch):
     rows = corpus(seed)
     if hot:  # most shingles are frequent
-        monkeypatch.setattr(op6, "HOT_SHARE", 10**9)
-        monkeypatch.setattr(op6, "frequent", lambda sets, least, f=op6.frequent: f(sets, 2))
+        monkeypatch.setattr(op6, "HOT_LEAST", 2)
     got = result(spark, rows)
     want = brute(rows)
     assert {d: c for d, (_, c) in got.items()} == want
@@ -95,11 +94,16 @@ def test_groups_in_blocks(spark, block, many, monkeypatch):
 
 def test_all_pairs_of_a_group_meet(spark, monkeypatch):
     monkeypatch.setattr(op6, "GROUP_BLOCK", 5)
-    rows = [(1, i, i, 20, bytes(8)) for i in range(40)]
-    groups = spark.createDataFrame(rows, "grp long, sid long, root long, n_shingles long, bits binary")
+    rows = [(1, i, i, 20, bytes(8), [1]) for i in range(40)] + [(2, i, i, 20, bytes(8), [1] if i < 40 else [2]) for i in range(30, 50)]
+    groups = spark.createDataFrame(rows, "grp long, sid long, root long, n_shingles long, bits binary, known array<long>")
     monkeypatch.setattr(op6, "MANY", 1000)
-    got = {(r["a"], r["b"]) for r in op6.close_pairs(op6.in_blocks(groups)).collect()}
-    assert got == set(combinations(range(40), 2))
+    dealt = op6.in_blocks(groups)
+    some = op6.with_pairs(dealt.drop("n_shingles", "bits"))
+    dealt = some.join(groups.select("grp", "sid", "n_shingles", "bits"), ["grp", "sid"])
+    got = [(r["grp"], r["a"], r["b"]) for r in op6.close_pairs(dealt).collect()]
+    first, second = set(combinations(range(40), 2)), set(combinations(range(30, 50), 2))
+    assert len(got) == len(set(got)) and {p[1:] for p in got if p[0] == 1} == first
+    assert {p[1:] for p in got if p[0] == 2} == second - first  # those that group 1 has are left to it
 
 
 def test_intersections():
@@ -143,8 +147,9 @@ def test_signatures_meet():
         both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
         if len(b) and 100 * both >= 75 * union:
             for share in (0, 0.5, 0.9, 1.0):
-                hot = np.sort(a[rng.random(len(a)) < share])
-                assert set(op6.signatures(a, hot).tolist()) & set(op6.signatures(b, hot).tolist())
+                hot = np.unique(a[rng.random(len(a)) < share] >> np.uint64(64 - op6.HOT_BITS))
+                hot = hot, rng.permutation(len(hot))
+                assert set(op6.signatures(a, *hot).tolist()) & set(op6.signatures(b, *hot).tolist())
             size = min(len(op6.bitmap(a)), len(op6.bitmap(b))) // 8
             far = int(np.bitwise_count(op6.fold(op6.bitmap(a), size) ^ op6.fold(op6.bitmap(b), size)).sum())
             assert far <= union - both <= op6.most_apart(len(a), len(b))
