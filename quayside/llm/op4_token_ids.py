@@ -14,6 +14,7 @@ to give every shard the number of ids before it.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -23,12 +24,13 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, pack, table, unpack, written
+from .common import only, table, written
 from .tokens import encoder as encoder_of
 
 BLOCK = 16_384
 CHUNK_IDS = 262_144
 ROWS = 1000  # texts that a task takes at a time
+SHARD_CHARS = 16 << 20  # characters of text in a shard, about
 CHUNK_SCHEMA = (
     "shard int, chunk int, first long, n_ids long, doc_ids array<long>, doc_sizes array<long>,"
     " block int, bits boolean, width int, plane_ends array<int>, planes binary"
@@ -81,18 +83,24 @@ def decode_chunk(n: int, block: int, bits: bool, width: int, ends: list[int], pl
     return np.concatenate(blocks) if blocks else np.zeros(0, np.uint32)
 
 
+def to_bytes(ids: np.ndarray) -> bytes:
+    """Ids as they are shuffled: their width, then all of them."""
+    return b"\2" + ids.astype("<u2").tobytes() if ids.max(initial=0) < 1 << 16 else b"\4" + ids.astype("<u4").tobytes()
+
+
+def from_bytes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.uint32)
+
+
 def encoded(docs: DataFrame, bounds: list[float], tokenizer: str | None, end_id: int) -> DataFrame:
-    """(shard, doc_id, h, ids): ids packed, h a hash of the text; the shard is the range of doc_id."""
+    """(shard, doc_id, h, ids): h is a hash of the text; the shard is the range of doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, cuts = encoder_of(tokenizer), np.array(bounds)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
-                blobs = []
-                for ids in encoder.encode(part.column("text").to_pylist()):
-                    ids = np.append(ids, np.uint32(end_id))
-                    blobs.append(pack(ids.astype(np.uint16) if ids.max() < 1 << 16 else ids))
+                blobs = [to_bytes(np.append(ids, np.uint32(end_id))) for ids in encoder.encode(part.column("text").to_pylist())]
                 name = part.column("doc_id")
                 shard = np.searchsorted(cuts, name.cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy(zero_copy_only=False), side="right")
                 yield pa.RecordBatch.from_arrays(
@@ -108,8 +116,9 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, bl
     A null text is empty (its ids are the end id alone). Rows of one doc_id stand in the order of
     their texts' hashes, each as a document of its own; rows without doc_id come first.
 
-    Shards are ranges of doc_id, as many as the session has shuffle partitions; their bounds come
-    from approximate quantiles of doc_id, so texts are encoded once, and packed ids are shuffled.
+    Shards are ranges of doc_id, one for each ``SHARD_CHARS`` of text; their bounds come from
+    approximate quantiles of doc_id, so texts are encoded once, and ids are shuffled. Rows of one
+    doc_id are in one shard; a shard's task holds one chunk at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,13 +142,13 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, bl
                 if own != shard:
                     shard, chunk, first = own, 0, 0
                 names.append(name)
-                held.append(unpack(blob)[0].astype(np.uint32))
+                held.append(from_bytes(blob))
                 size += len(held[-1])
         if held:
             yield emit()
 
     docs = only(docs, doc_id="long", text="string")
-    n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, math.ceil((docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0) / SHARD_CHARS))
     bounds = docs.select("doc_id").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
     dealt = encoded(docs, sorted(set(bounds)), tokenizer, end_id).repartition(n, "shard").sortWithinPartitions("shard", "doc_id", "h")
     return written(dealt.mapInArrow(run, CHUNK_SCHEMA), "ids")
