@@ -8,6 +8,11 @@ permitted lengths are compared: for each, the bin is filled (in thought) with th
 that are still waiting and fit, and the length with the least cost a placed token is opened.
 Finally every bin is downsized to the smallest permitted length that holds its contents.
 
+A bin of ``c`` tokens costs ``c + c * c / ATTENTION + BIN_COST``: what a model does for each token, what
+attention does for each pair of them, and what a sequence takes at least. Long bins pay for their
+pairs, short ones for their number, and empty places cost as much as filled ones, so the length that
+is opened depends on the pieces that wait.
+
 A group holds only ids and lengths, its size does not depend on the corpus, and long documents or
 frequent lengths spread over all groups. More groups cost nothing; a few thousand pieces already
 fill bins as well as all of them would.
@@ -30,11 +35,12 @@ from .tokens import encoder as encoder_of
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 GROUP_PIECES = 4096
 ROWS = 1000  # texts that a task takes at a time
-BIN_COST = 16  # of opening a bin, in tokens: sequences have a fixed overhead
+BIN_COST = 16  # of a sequence, in tokens
+ATTENTION = 65_536  # length at which attention costs as much as everything else
 
 
-def cost(capacity: int) -> int:
-    return capacity + BIN_COST
+def cost(capacity: int) -> float:
+    return capacity + capacity * capacity / ATTENTION + BIN_COST
 
 
 def pack_group(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES) -> tuple[list[int], list[int]]:
