@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 
 import numpy as np
 import xxhash
 import zstandard
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 from ..shared import shared_dir, written  # noqa: F401
@@ -37,6 +40,15 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast an object of this package by value: workers need no installed copy to read it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared_value(broadcast: Broadcast) -> object:
+    return pickle.loads(broadcast.value)
+
+
 def worker_cache() -> dict:
     """What a Python worker keeps from task to task. (Functions of this package reach workers by
     value, so their own globals last for one task only.)"""

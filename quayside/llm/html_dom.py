@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Quotes count after an equals sign only. A quoted value may hold ">" if it is no longer than 4096
+#: characters and ends like a value: a quote that is not closed does not take the rest of the page.
+_VALUE = r"""(?:"[^">]*"|'[^'>]*'|"[^"]{0,4096}"(?=[\s/>])|'[^']{0,4096}'(?=[\s/>])|[^\s"'>][^\s>]*+)"""
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]++|=\s*+{_VALUE}?)*+)>", re.S)
 _ATTR = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _TOKEN = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 # HTML element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg object select button canvas audio video head".split())
+RAW = frozenset("script style title textarea iframe xmp".split())  # no markup inside
+HIDDEN = frozenset("noscript template svg math object select button canvas audio video head".split())  # no text of the page
 BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption"
     " nav header footer aside menu form fieldset legend blockquote pre figure figcaption address details summary dialog"
@@ -86,9 +91,13 @@ def parse(page: str) -> list[Node]:
     """Block elements and text runs in page order; node 0 is the root. A run's tag is ``#text``."""
     nodes = [Node("#root", -1)]
     stack: list[tuple[str, int]] = [("#root", 0)]  # (tag, its block node)
+    open_ = Counter()  # elements on the stack
     run: list[str] = []
-    links = [0, 0]  # characters of the run in links; open links
-    at, skip, size = 0, None, len(page)
+    links = [0, 0]  # characters of the run in links; hidden elements that are open
+    at, size = 0, len(page)
+    last = page.rfind(">") + 1  # no tag ends behind it
+    if page.rfind("<!--") >= last:
+        last = size
 
     def flush() -> None:
         if run:
@@ -104,73 +113,90 @@ def parse(page: str) -> list[Node]:
 
     def close(upto: int) -> None:
         for tag, _ in stack[upto:]:
-            if tag == "a":
-                links[1] -= 1
+            open_[tag] -= 1
+            links[1] -= tag in HIDDEN
         del stack[upto:]
 
+    def add(tag: str, node: int) -> None:
+        stack.append((tag, node))
+        open_[tag] += 1
+
     while at < size:
-        m = _TAG.search(page, at)
+        m = _TAG.search(page, at, last)
         end = m.start() if m else size
-        if end > at:
+        if end > at and not links[1]:
             piece = page[at:end]
             run.append(piece)
-            if links[1]:
+            if open_["a"]:
                 links[0] += len(piece.strip())
         if not m:
             break
         at = m.end()
         tag = m[2]
         if tag is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = size
             continue
         tag = tag.lower()
         if m[1]:
-            where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if tag in BLOCK:
+            if tag in BLOCK and not links[1]:
                 flush()
-            if where:
-                if any(t in BLOCK for t, _ in stack[where:]):
+            if open_[tag]:
+                where = next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag)
+                ended = [t for t, _ in stack[where:]]
+                if any(t in BLOCK for t in ended) and (not links[1] or (tag not in HIDDEN and any(t in HIDDEN for t in ended))):
                     flush()
+                if tag in HIDDEN:
+                    run.append(" ")
                 close(where)
             continue
-        if tag in RAW and not m[3].endswith("/"):
-            if tag in ("select", "button", "textarea", "input"):
+        if tag in RAW:
+            if tag == "textarea":
                 nodes[stack[-1][1]].inputs += 1
-            skip = re.compile(rf"</{tag}\s*>" if tag != "head" else r"</head\s*>|(?=<body[\s>])", re.I)
-            stop = skip.search(page, at)
-            if stop:
-                at = stop.end()
-            elif tag != "head":
-                at = size
+            stop = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
+            at = size if stop is None else stop.start()
             run.append(" ")
             continue
-        if tag == "input":
+        if tag in BLOCK and open_["head"]:  # the head ends where the body begins, said or not
+            close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == "head"))
+        if tag in ("input", "select", "button"):
             nodes[stack[-1][1]].inputs += 1
+        if tag in ("select", "button") and open_[tag]:  # one in another closes it
+            close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag))
         if tag == "br":
             run.append(" ")
             continue
         if tag in VOID and tag != "hr":
             continue
+        if tag in HIDDEN:
+            run.append(" ")
+            if not (tag in ("svg", "math") and m[3].endswith("/")):
+                add(tag, stack[-1][1])
+                links[1] += 1
+            continue
+        if links[1]:  # inside a hidden element only its own kind of ends count
+            if tag not in VOID:
+                add(tag, stack[-1][1])
+            continue
         if tag not in BLOCK:
-            if len(stack) < 500:
-                stack.append((tag, stack[-1][1]))
-                links[1] += tag == "a"
+            add(tag, stack[-1][1])
             continue
         flush()
         closing, bounds = CLOSES.get(tag, ({"p"}, {"div", "article", "section", "main", "body", "td", "th", "li", "blockquote", "form", "aside", "footer", "header"}))
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in closing:
-                close(i)
-                break
-            if stack[i][0] in bounds:
-                break
+        if any(open_[t] for t in closing):
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i][0] in closing:
+                    close(i)
+                    break
+                if stack[i][0] in bounds:
+                    break
         if tag == "hr":
             continue
         marks, truth = _marks(m[3])
         parent = stack[-1][1]
-        if len(stack) < 500:
-            nodes[parent].children.append(len(nodes))
-            stack.append((tag, len(nodes)))
-            nodes.append(Node(tag, parent, marks, truth))
+        nodes[parent].children.append(len(nodes))
+        add(tag, len(nodes))
+        nodes.append(Node(tag, parent, marks, truth))
     flush()
     return nodes
 

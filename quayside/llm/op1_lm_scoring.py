@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WordHasher, distinct_sorted, mix, only, pack, spans, table, unpack, written
+from .common import U64, WordHasher, distinct_sorted, mix, only, pack, share, shared_value, spans, table, unpack, written
 
 VOCABULARY: int | None = None  # all words
 COMMON = 65_536  # words whose counts are broadcast
@@ -164,10 +164,10 @@ class Model:
 
 def hot_counts(docs: DataFrame, model: Model) -> DataFrame:
     """(k, t, b): occurrences of bigrams of two hot words."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model = WordHasher(), shared.value
+        hasher, model = WordHasher(), shared_value(shared)
         table = np.zeros((2, HOT * HOT), np.int64)
         for batch in batches:
             for text, good in zip(batch.column("text"), batch.column("target"), strict=True):
@@ -186,12 +186,12 @@ def hot_counts(docs: DataFrame, model: Model) -> DataFrame:
 def postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
     """(bucket, chunk, blob). Negative buckets hold a chunk's documents: ids, tokens and the losses
     of their hot bigrams. Others hold postings of the rest, from ``buckets`` on those with a rare word."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        hasher, model = WordHasher(), shared.value
+        hasher, model = WordHasher(), shared_value(shared)
         part, chunk = TaskContext.get().partitionId(), 0
         docs_, keys_, rows_, times_, rare_, size = [], [], [], [], [], 0
 
@@ -262,12 +262,12 @@ def postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
 
 def bucket_losses(posts: DataFrame, model: Model, buckets: int) -> DataFrame:
     """(chunk, base, blob): documents as they are, and parts of their losses from each bucket."""
-    shared = posts.sparkSession.sparkContext.broadcast(model)
+    shared = share(posts.sparkSession, model)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         if frame["bucket"].iloc[0] < 0:
             return pd.DataFrame({"chunk": frame["chunk"], "base": True, "blob": frame["blob"]})
-        model = shared.value
+        model = shared_value(shared)
         rare = frame["bucket"].iloc[0] >= buckets
         roles, others, key, local, times, own, good = [], [], [], [], [], [], []
         for raw in frame["blob"]:
@@ -294,7 +294,7 @@ def bucket_losses(posts: DataFrame, model: Model, buckets: int) -> DataFrame:
         for r, o in zip(local, own, strict=True):
             part = slice(at, at + len(r))
             at += len(r)
-            blobs.append(pack(o, np.bincount(r, a[part], len(o)).astype(np.float32), np.bincount(r, b[part], len(o)).astype(np.float32)))
+            blobs.append(pack(o, np.bincount(r, a[part], len(o)), np.bincount(r, b[part], len(o))))
         return pd.DataFrame({"chunk": frame["chunk"], "base": False, "blob": blobs})
 
     return posts.groupBy("bucket").applyInPandas(run, "chunk long, base boolean, blob binary")

@@ -30,7 +30,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, table
+from .common import only, share, shared_value, table
 from .html_dom import ATTRIBUTE_TOKENS, GROUPS, Node, decode, features, parse, text_of
 
 SAMPLE = 120
@@ -229,12 +229,14 @@ def extract(pages: DataFrame, trees: Trees) -> DataFrame:
     """(page_id, url, text, n_chars), a row for each row of ``pages(page_id, url, html)``.
 
     A null or empty page has the text ''. Blocks are joined by one line feed; white space in a block,
-    non-breaking space included, is one space. Extra columns are ignored.
+    non-breaking space included, is one space. Extra columns are ignored; repeated rows each give their
+    row. A page of any length is taken whole, by one task. What an element shows only where its own
+    content cannot be shown (in video, audio, canvas, object, noscript) is no text.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(trees)
+    shared = share(pages.sparkSession, trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = shared.value
+        trees = shared_value(shared)
         for batch in batches:
             column, texts = batch.column("html"), []
             for at in range(0, len(column), 64):

@@ -22,6 +22,44 @@ def test_parse():
         parse(odd)
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<div>a <button>no</div><p>b</p>", ["a", "b"]),  # never closed
+    ("<p>a</p><noscript><p>no</p><div>b</div>", ["a"]),
+    ("<div><select><option>no<option>no</div>b", ["b"]),
+    ("<button>no<button>no</button>b", ["b"]),
+    ("<p title=\"it's>one</p><p class=\"x\">two</p>", ["one", "two"]),
+    ("<p title='a > b' class=x>one</p>", ["one"]),
+    ("<p data-x=it's>one</p><p data-y=it's>two</p>", ["one", "two"]),
+    ("<p title=\"never closed>one</p>", ["one"]),
+    ("<p a = = = = = b>one", ["one"]),
+    ("a<script src=x/>var no = 1;</script>b", ["a b"]),
+    ("a<script src='x'>if (1 < 2) '<p>no</p>'</script >b", ["a b"]),
+    ("a<svg width=1/>b<svg><text>no</text></svg>c", ["a b c"]),
+    ("<head><title>no</title><meta x><style>no</style><div>a</div>", ["a"]),
+    ("<html><head><link rel=x></head><body>a<video controls><p>no</p></video>b</body>", ["a b"]),
+    ("a<!-- <p>no</p> no", ["a"]),
+    ("<textarea><p>no</p></textarea>a", ["a"]),
+    ("<b>" * 2000 + "<div>a</div>" + "</b>" * 2000 + "<p>b", ["a", "b"]),
+    ("<div>" * 3000 + "a" + "</div>" * 3000 + "b", ["a", "b"]),
+    ("<ul><li>a<ul><li>b</ul><li>c</ul>d", ["a", "b", "c", "d"]),
+    ("<table><tr><td>a<td>b<tr><td>c</table>", ["a", "b", "c"]),
+    ("<p>a<br/>b<hr>c&nbsp;&#x41;&notaref;", ["a b", "c A\u00acaref;"]),
+])
+def test_texts_of_odd_markup(page, want):
+    nodes = parse(page)
+    assert [n.text for n in nodes if n.tag == "#text"] == want
+    assert all(0 <= n.parent < i for i, n in enumerate(nodes) if i)
+
+
+def test_broken_pages_take_no_long():
+    import time
+
+    began = time.time()
+    for page in ("<p title=\"x" * 50_000, "<" * 200_000, "<a b=" * 60_000, "<p x='\"" * 50_000 + ">", "<!--" * 50_000, "</p>" * 200_000, "<i>" * 100_000 + "<p>" * 3000, "<script>" * 50_000):
+        parse(page)
+    assert time.time() - began < 60
+
+
 def test_decode_is_the_best_consistent_choice():
     rng = random.Random(1)
     for _ in range(40):
