@@ -116,6 +116,20 @@ def expires_at(put_at, ttl_s, default: int | None = None) -> Column:
     return F.timestamp_seconds(F.unix_seconds(_c(put_at)) + ttl)
 
 
+def encode_value(value) -> Column:
+    """A state value as JSON: strings quoted, numbers and booleans bare, null as ``null``; rows,
+    lists and maps by their fields, nulls included."""
+    packed = F.to_json(F.struct(_c(value).alias("v")), {"ignoreNullFields": "false"})
+    return F.regexp_extract(packed, r"(?s)^\{\"v\":(.*)\}$", 1)
+
+
+def decode_value(text, schema: str | None = None) -> Column:
+    """The value of such JSON: of the given type, or a variant, whose fields can be read by path."""
+    if schema is None:
+        return F.try_parse_json(_c(text))
+    return F.from_json(F.concat(F.lit('{"v":'), _c(text), F.lit("}")), f"v {schema}")["v"]
+
+
 def backoff(attempt, base: float = 1.0, factor: float = 2.0, most: float = 60.0, jitter_seed: int | None = None) -> Column:
     """Seconds to wait before the attempt; with a seed, between half and all of it at random."""
     delay = F.least(F.lit(base) * F.pow(F.lit(factor), _c(attempt)), F.lit(float(most)))

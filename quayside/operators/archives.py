@@ -15,52 +15,64 @@ from pyspark.sql import functions as F
 
 from ..functions.names import sniff, strip_suffix
 
-MAX_MEMBERS = 100_000
-MAX_BYTES = 1 << 30  # of one archive's members together; beyond it the row carries an error
+BATCH_BYTES = 32 << 20  # of members that a task holds before it passes them on
+BAD_ARCHIVE = (OSError, EOFError, zipfile.BadZipFile, tarfile.TarError, zlib.error, RuntimeError, NotImplementedError, ValueError)
 
 
-class TooLarge(Exception):
-    pass
-
-
-def members(kind: str, name: str, content: bytes) -> Iterator[tuple[str, bytes]]:
-    """(name, bytes) of the files in an archive."""
-    left = MAX_BYTES
-
-    def read(f) -> bytes:
-        nonlocal left
-        data = f.read(left + 1)
-        left -= len(data)
-        if left < 0:
-            raise TooLarge(f"members exceed {MAX_BYTES} bytes")
-        return data
-
+def members(kind: str, content: bytes, read: bool = True) -> Iterator[tuple[str, int, bytes | None]]:
+    """(name, size, bytes) of the files in a zip or tar, one in memory at a time; a listing
+    (``read`` false) takes sizes from the archive's directory and unpacks nothing."""
     if kind == "zip":
         with zipfile.ZipFile(io.BytesIO(content)) as z:
-            files = [i for i in z.infolist() if not i.is_dir()]
-            if len(files) > MAX_MEMBERS:
-                raise TooLarge(f"more than {MAX_MEMBERS} members")
-            for i in files:
-                with z.open(i) as f:
-                    yield i.filename, read(f)
-    elif kind == "tar":
-        with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as t:
-            for n, i in enumerate(x for x in t if x.isfile()):
-                if n >= MAX_MEMBERS:
-                    raise TooLarge(f"more than {MAX_MEMBERS} members")
-                yield i.name, read(t.extractfile(i))
+            for i in z.infolist():
+                if not i.is_dir():
+                    yield i.filename, i.file_size, z.read(i) if read else None
     else:
-        with gzip.GzipFile(fileobj=io.BytesIO(content)) as f:
-            yield name, read(f)
+        with tarfile.open(fileobj=io.BytesIO(content), mode="r:") as t:
+            for i in t:
+                if i.isfile():
+                    yield i.name, i.size, t.extractfile(i).read() if read else None
+
+
+def unpacked(kind: str, stripped: str, content: bytes, read: bool = True) -> Iterator[tuple[str, int, bytes | None]]:
+    """The files in an archive under their full names; tar.gz is both."""
+    if kind == "gzip":
+        content = gzip.decompress(content)
+        if not _is_tar(content):
+            yield stripped, len(content), content if read else None
+            return
+        kind = "tar"
+    for name, size, body in members(kind, content, read):
+        yield f"{stripped}/{name}", size, body
 
 
 def _is_tar(data: bytes) -> bool:
     return data[257:262] == b"ustar"
 
 
+def _whole(row: dict, read: bool) -> tuple[str | None, list | None]:
+    """(what keeps an archive from being read to its end, its files): all of them or none are passed
+    on. None stands for more files than a task may hold."""
+    found, size = [], 0
+    try:
+        for f in unpacked(row["kind"], row["stripped"], row["content"], read):
+            size += len(f[2] or b"") + 200
+            if size > BATCH_BYTES:
+                found = None
+            if found is not None:
+                found.append(f)
+    except BAD_ARCHIVE as e:
+        return f"{type(e).__name__}: {e}", []
+    return None, found
+
+
 def expand(resources: DataFrame, keep_packed: bool = False, use_zip: bool = True, use_tar_gz: bool = True, contents: bool = True) -> DataFrame:
     """The resources and what was in them: (bid, name, url, content_type, status_code, derived_from,
-    content, error).
+    content, size, error).
+
+    An archive with more than ``BATCH_BYTES`` of members is read twice, once to its end, to see that it
+    is whole, and once to pass its members on: a task holds one archive, one member and one batch,
+    however many members there are.
 
     Archives are told by their first bytes. A member of a zip or tar is named ``{stripped}/{member}``,
     what a gzip held ``{stripped}``; tar.gz is both. A bad archive keeps its original row, with
@@ -74,33 +86,40 @@ def expand(resources: DataFrame, keep_packed: bool = False, use_zip: bool = True
         packed = F.regexp_replace(F.lower("url"), "[?#].*$", "").endswith(".zip") | (F.lower("content_type") == "application/zip")
         wanted = F.when(~F.coalesce(packed, F.lit(False)), wanted)
     df = resources.select(*cols, wanted.alias("kind"), strip_suffix("name", (".tar.gz", ".tgz", ".gz", ".gzip", ".tar", ".zip")).alias("stripped"))
-    schema = "bid string, name string, url string, content_type string, status_code int, derived_from string, content binary, error string"
+    schema = "bid string, name string, url string, content_type string, status_code int, derived_from string, content binary, size long, error string"
+    kinds = {"content": pa.binary(), "status_code": pa.int32(), "size": pa.int64()}
+    arrow = pa.schema([(c, kinds.get(c, pa.string())) for c in [*cols, "size", "error"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = pa.schema([(c, pa.binary() if c == "content" else pa.int32() if c == "status_code" else pa.string()) for c in [*cols, "error"]])
+        held: list[tuple] = []
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*held, strict=True), arrow, strict=True)], schema=arrow)
+
+        size = 0
         for batch in batches:
             for row in batch.to_pylist():
-                error, out = None, []
+                error = None
                 if row["kind"]:
-                    try:
-                        packed = row["kind"]
-                        data = row["content"]
-                        if packed == "gzip":
-                            ((_, inner),) = members("gzip", row["stripped"], data)
-                            packed, data = ("tar", inner) if _is_tar(inner) else ("gzip", data)
-                        found = ((row["stripped"], inner),) if packed == "gzip" else members(packed, row["stripped"], data)
-                        for name, body in found:
-                            full = name if packed == "gzip" else f"{row['stripped']}/{name}"
-                            base = row["url"].rsplit("/", 1)[0] + "/" if row["url"] and "/" in row["url"] else ""
-                            out.append((row["bid"], full, base + full.rsplit("/", 1)[-1], None, row["status_code"], row["name"], body if contents else None, None))
-                    except (OSError, EOFError, zipfile.BadZipFile, tarfile.TarError, zlib.error, TooLarge, RuntimeError, NotImplementedError) as e:
-                        error, out = f"{type(e).__name__}: {e}", []
-                rows = [tuple(row[c] for c in cols) + (error,), *out]
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
+                    base = row["url"].rsplit("/", 1)[0] + "/" if row["url"] and "/" in row["url"] else ""
+                    error, found = _whole(row, contents)
+                    for name, n, body in unpacked(row["kind"], row["stripped"], row["content"], contents) if found is None else found:
+                        held.append((row["bid"], name, base + name.rsplit("/", 1)[-1], None, row["status_code"], row["name"], body, n, None))
+                        size += len(body or b"") + 200
+                        if size > BATCH_BYTES:
+                            yield done()
+                            held, size = [], 0
+                held.append((*(row[c] for c in cols), None if row["content"] is None else len(row["content"]), error))
+                size += len(row["content"] or b"") + 200
+                if size > BATCH_BYTES:
+                    yield done()
+                    held, size = [], 0
+        if held:
+            yield done()
 
     return df.mapInArrow(run, schema)
 
 
 def listing(resources: DataFrame) -> DataFrame:
-    """(derived_from, name) of every member, without contents."""
-    return expand(resources, contents=False).filter("derived_from is not null").select("bid", "derived_from", "name")
+    """(bid, derived_from, name, size) of every member, without contents."""
+    return expand(resources, contents=False).filter("derived_from is not null").select("bid", "derived_from", "name", "size")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import bid_parts, bid_path, object_key, resource_name, safe_name
+from ..shared import written
 
 
 def manifest(resources: DataFrame) -> DataFrame:
@@ -91,20 +92,22 @@ def resource_metadata(resources: DataFrame) -> DataFrame:
 
 
 def write_raw(resources: DataFrame, path: str, config_id: str, run: str, mode: str = "append") -> DataFrame:
-    """Contents, metadata, manifests, discovery and completion records under ``path``, partitioned
-    by registry and day. Returns the summary of the bundles."""
+    """Contents, metadata, manifests, discovery and completion records under ``path``, partitioned by
+    registry and day; ``bundle_path`` is each bundle's place in the layout. Returns the summary of the
+    bundles. Contents are hashed once: the metadata is written first, and all else but the contents
+    comes from the metadata of these bundles."""
     p = bid_parts("bid")
     day = [p["registry"].alias("registry"), F.year(p["bid_ts"]).alias("year"), F.month(p["bid_ts"]).alias("month"), F.day(p["bid_ts"]).alias("day")]
     keys = ("registry", "year", "month", "day")
-    spread = resources.select("*", *day, bid_path("bid").alias("bundle_path"))
-    spread.write.mode(mode).partitionBy(*keys).parquet(f"{path}/content")
-    resource_metadata(resources).select("*", *day).write.mode(mode).partitionBy(*keys).json(f"{path}/metadata")
-    rows = manifest(resources)
-    rows.select("*", *day).write.mode(mode).partitionBy(*keys).json(f"{path}/manifest")
-    summary = bundle_hashes(rows)
-    first = resources.groupBy("bid").agg(F.min_by("url", "name").alias("url"))
-    found = summary.join(first, "bid")
-    discovery_records(found, config_id).select("*", *day).write.mode(mode).partitionBy(*keys).json(f"{path}/discovered")
+    rows = written(resource_metadata(resources), "metadata")
+    at = bid_path("bid").alias("bundle_path")
+    rows.select("*", at, *day).write.mode(mode).partitionBy(*keys).json(f"{path}/metadata")
+    resources.select("*", at, *day).write.mode(mode).partitionBy(*keys).parquet(f"{path}/content")
+    listed = rows.select("bid", "name", "sha256", F.col("bytes_uploaded").alias("size"))
+    listed.select("*", *day).write.mode(mode).partitionBy(*keys).json(f"{path}/manifest")
+    summary = written(bundle_hashes(listed), "summary")
+    first = rows.groupBy("bid").agg(F.min_by("url", "name").alias("url"))
+    discovery_records(summary.join(first, "bid"), config_id).select("*", *day).write.mode(mode).partitionBy(*keys).json(f"{path}/discovered")
     completion_records(summary, config_id, run).select("*", *day).write.mode(mode).partitionBy(*keys).json(f"{path}/completed")
     return summary
 
@@ -128,24 +131,29 @@ def write_objects(resources: DataFrame, path: str, prefix: str, mode: str = "app
 
 
 def complete_once(completed_path: str, callbacks: list[Callable[[DataFrame], None]] | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: appends bundles that are not yet in the completion feed and runs
-    the callbacks on them; running a batch again adds nothing."""
+    """A ``foreachBatch`` function: appends bundles that are not yet in the completion feed and, once
+    they are written, runs the callbacks on them. The feed is partitioned by batch, and a batch's mark
+    beside it says that its callbacks ran: a batch that is run again adds nothing and calls nothing, one
+    that failed half-way is written anew and calls again. Of the feed only the ids are read."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.dropDuplicates(["bid"])
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(completed_path)
-        there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-        new = batch.join(spark.read.parquet(completed_path).select("bid"), "bid", "left_anti") if there else batch
-        new = new.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            if new.take(1):
-                for call in callbacks or ():
-                    call(new)
-                new.write.mode("append").parquet(completed_path)
-        finally:
-            new.unpersist()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        feed, mark = path(completed_path), path(f"{completed_path}-called/{batch_id}")
+        files = feed.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if files.exists(mark):
+            return
+        new = batch.dropDuplicates(["bid"])
+        if files.exists(feed):
+            done = spark.read.parquet(completed_path).filter(F.col("batch_id") != batch_id)
+            new = new.join(done.select("bid"), "bid", "left_anti")
+        new = written(new.withColumn("batch_id", F.lit(batch_id).cast("long")), "completed")
+        if new.take(1):
+            # the batch's own partition is replaced as a whole
+            new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(completed_path)
+            for call in callbacks or ():
+                call(new)
+        files.create(mark).close()
 
     return run
 

@@ -41,16 +41,12 @@ def needs(*required: str, optional: tuple[str, ...] = ()) -> Callable[[dict], No
     return check
 
 
-def column_filter(predicate) -> Callable[[str], Column]:
-    """A user's filter: a function of a Column, or (as a pandas UDF) of a string."""
+def column_filter(predicate, on_columns: bool = True) -> Callable[[str], Column]:
+    """A user's filter: a function of a Column, or (``on_columns`` false; a pandas UDF) of a string."""
 
     def build(name: str) -> Column:
-        try:
-            out = predicate(F.col(name))
-        except Exception:  # a plain Python predicate cannot take a Column
-            out = None
-        if isinstance(out, Column):
-            return out
+        if on_columns:
+            return predicate(F.col(name))
         return F.pandas_udf(lambda s: s.map(predicate).astype(bool), T.BooleanType())(F.col(name))
 
     return build

@@ -51,6 +51,22 @@ def error_class(error: Column) -> Column:
     return F.when(e.rlike("timeout|timed out|connection|network|dns|reset"), "network").when(e.rlike("fatal|denied|unauthor|forbidden|invalid"), "fatal").otherwise("other")
 
 
+def error_rows(log: DataFrame) -> DataFrame:
+    """(item_id, error, error_class, retry_count, ts): a row for each error of log(item_id, error, ts),
+    to be appended; retry_count (0 if the log has none) is carried."""
+    n = F.coalesce(F.col("retry_count"), F.lit(0)) if "retry_count" in log.columns else F.lit(0)
+    return log.filter("error is not null").select("item_id", "error", error_class(F.col("error")).alias("error_class"), n.cast("int").alias("retry_count"), "ts")
+
+
+def result_rows(done: DataFrame, resources: DataFrame) -> DataFrame:
+    """(path, ts, success, bid, bundle_count, bundle_refs) of done(path, ts, bid): a path succeeded if
+    its bundle has resources(bid, name); refs are the names, in order, of one path's bundle."""
+    refs = resources.groupBy("bid").agg(F.count("*").alias("bundle_count"), F.sort_array(F.collect_list("name")).alias("bundle_refs"))
+    out = done.join(refs, "bid", "left")
+    n = F.coalesce("bundle_count", F.lit(0))
+    return out.select("path", "ts", (n > 0).alias("success"), "bid", n.alias("bundle_count"), F.coalesce("bundle_refs", F.array().cast("array<string>")).alias("bundle_refs"))
+
+
 def errors_by_class(errors: DataFrame) -> DataFrame:
     return errors.withColumn("error_class", error_class(F.col("error"))).groupBy("error_class").agg(F.count("*").alias("n"), F.max("ts").alias("last_ts"))
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import encode_value, expires_at, prefixed_key
+from ..schemas import DEFAULT_TTL
+from ..shared import written
 from .filters import not_expired
 
 
@@ -47,6 +50,45 @@ def current(log: DataFrame, as_of: Column) -> DataFrame:
     return view.filter(~F.coalesce("deleted", F.lit(False))) if "deleted" in log.columns else view
 
 
+def puts(values: DataFrame, kind: str, at: Column, prefix: str = "", ttl_s: Column | int | None = None, default_ttl: bool = True) -> DataFrame:
+    """Rows of a put log, (k, v, put_at, expires_at, deleted), of values(k, v): keys get the prefix and
+    kind, v (a string, or any other type, as JSON) expires after ``ttl_s`` seconds, by default after
+    the kind's time to live; without either it stays, and an earlier expiry ends."""
+    ttl = F.lit(ttl_s).cast("long") if isinstance(ttl_s, int) or ttl_s is None else ttl_s
+    v = F.col("v") if dict(values.dtypes)["v"] == "string" else encode_value("v")
+    key = prefixed_key("k", F.lit(f"{prefix}:{kind}" if prefix else kind))
+    when = at.cast("timestamp")
+    return values.select(
+        key.alias("k"), v.alias("v"), when.alias("put_at"), expires_at(when, ttl, DEFAULT_TTL.get(kind) if default_ttl else None).alias("expires_at"), F.lit(False).alias("deleted")
+    )
+
+
+def append(rows: DataFrame, path: str) -> None:
+    """Append to a put log; a later row of a key replaces an earlier one in every view."""
+    rows.write.mode("append").parquet(path)
+
+
+def compact(log: DataFrame, as_of: Column, path: str) -> None:
+    """The sweep: a new log of the keys that are alive at a time, one row each."""
+    current(log, as_of).write.mode("errorifexists").parquet(path)
+
+
+def error_puts(errors: DataFrame, state: DataFrame, at: Column, prefix: str = "") -> DataFrame:
+    """Put rows of errors(item_id, error): each counts one retry more than the error that state(k, v)
+    has for the item, 0 for its first."""
+    key = prefixed_key("item_id", F.lit(f"{prefix}:errors" if prefix else "errors"))
+    had = state.select(F.col("k").alias("_k"), F.from_json("v", "retry_count long")["retry_count"].alias("_n"))
+    both = errors.withColumn("_key", key).join(had, F.col("_key") == F.col("_k"), "left")
+    value = F.struct("item_id", "error", F.coalesce(F.col("_n") + 1, F.lit(0)).alias("retry_count"), F.date_format(at.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))
+    return puts(both.select(F.col("item_id").alias("k"), value.alias("v")), "errors", at, prefix)
+
+
+def failed_items(state: DataFrame, max_retries: int = 3, prefix: str = "") -> DataFrame:
+    """(item_id, error, retry_count) of the saved errors that may be tried again."""
+    own = key_prefix(state, f"{prefix}:errors:" if prefix else "errors:")
+    return own.select(F.from_json("v", "item_id string, error string, retry_count long").alias("e")).select("e.*").filter(F.col("retry_count") < max_retries)
+
+
 def purge(state: DataFrame, as_of: Column) -> DataFrame:
     return state.filter(not_expired(as_of))
 
@@ -95,20 +137,21 @@ def attempts(errors: DataFrame, item: str = "item_id", order: tuple[str, ...] =
 def enqueue(items: DataFrame, order: list[str], ns: str = "ns", base: DataFrame | None = None) -> DataFrame:
     """Consecutive sequence numbers in each namespace, from ``base(ns, next_id)`` or 1.
 
-    Rows are numbered within ranges of the order and shifted by the counts of the ranges before, so
-    a namespace with most of the rows is not sorted in one task.
+    Rows are dealt into ranges of the order and written with their range and place, so that all that
+    follows sees the same ranges; a namespace's rows in a range are numbered from its first place
+    there, shifted by the counts of the ranges before. No namespace is sorted in one task.
     """
     ranged = items.repartitionByRange(*[F.col(c) for c in (ns, *order)]).sortWithinPartitions(ns, *order)
-    ranged = ranged.withColumn("_part", F.spark_partition_id())
-    counts = ranged.groupBy(ns, "_part").count()
+    ranged = written(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()), "ranged")
+    counts = ranged.groupBy(ns, "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
     before = Window.partitionBy(ns).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.select(ns, "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
-    out = ranged.join(F.broadcast(shift), [ns, "_part"])
-    rank = F.row_number().over(Window.partitionBy(ns, "_part").orderBy(*order))
-    out = out.withColumn("seq", rank + F.col("_shift"))
+    shift = counts.select(F.col(ns).alias("_ns"), F.col("_part").alias("_p"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    out = ranged.join(shift, ranged[ns].eqNullSafe(shift["_ns"]) & (ranged["_part"] == shift["_p"]))
+    out = out.withColumn("seq", F.col("_place") - F.col("_first") + 1 + F.col("_shift")).drop("_part", "_place", "_ns", "_p", "_first", "_shift")
     if base is not None:
-        out = out.join(base, ns, "left").withColumn("seq", F.col("seq") + F.coalesce(F.col("next_id") - 1, F.lit(0))).drop("next_id")
-    return out.drop("_part", "_shift")
+        start = base.select(F.col(ns).alias("_ns"), F.col("next_id").alias("_next"))
+        out = out.join(start, out[ns].eqNullSafe(start["_ns"]), "left").withColumn("seq", F.col("seq") + F.coalesce(F.col("_next") - 1, F.lit(0))).drop("_ns", "_next")
+    return out
 
 
 def take(pending: DataFrame, n: int, cap: int | None = None, order: str = "seq") -> DataFrame:

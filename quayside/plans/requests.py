@@ -67,6 +67,42 @@ def resumed(plan: DataFrame, saved_day: dt.date | None, processed: DataFrame | N
     return plan if processed is None else plan.join(processed.select("url"), "url", "left_anti")
 
 
+def kept_days(plan: DataFrame, keep: Column | Callable[[str], bool]) -> DataFrame:
+    """The plan's days that a filter keeps: a Column, or a function of ``yyyy-MM-dd``. A plan has few
+    distinct days, so a function is called once for each of them, in tasks."""
+    if isinstance(keep, Column):
+        return plan.filter(F.coalesce(keep, F.lit(False)))
+    days = plan.select("day").distinct()
+    good = F.pandas_udf(lambda s: s.map(keep).astype(bool), "boolean")
+    return plan.join(days.filter(good(F.date_format("day", "yyyy-MM-dd"))), "day", "left_semi")
+
+
+def resumed_at(plan: DataFrame, day: dt.date, prefix: str | None = None, cursor: str | None = None, reverse: bool = False) -> DataFrame:
+    """A plan(day, prefix, cursor) from a saved position on: days after it whole, the position's day
+    from its prefix on (rows without prefix come first), and its own search from the saved cursor."""
+    later = F.col("day") < F.lit(day) if reverse else F.col("day") > F.lit(day)
+    here = F.col("day") == F.lit(day)
+    at = F.col("prefix").eqNullSafe(F.lit(prefix).cast("string"))
+    rest = F.lit(True) if prefix is None else F.coalesce(F.col("prefix") >= prefix, F.lit(False))
+    return plan.filter(later | (here & rest)).withColumn("cursor", F.when(here & at & F.lit(cursor is not None), F.lit(cursor)).otherwise(F.col("cursor")))
+
+
+def complex_plan(
+    spark: SparkSession, start: dt.date, end: dt.date | None, totals: DataFrame, base_url: str, *, reverse: bool = False, as_of: dt.date | None = None, max_records: int = 20_000,
+    page_size: int = 1000, keep: Column | Callable[[str], bool] | None = None, narrow: Callable[[DataFrame, DataFrame, int], DataFrame] = narrowed,
+    query: Callable[[DataFrame], Column] | None = None, position: tuple[dt.date, str | None, str | None] | None = None, processed: DataFrame | None = None,
+) -> DataFrame:
+    """Days, narrowed where their totals(day, total) are too broad, each with its URL: (ordinal, day,
+    prefix, cursor, url, max_records). ``keep`` filters days, ``narrow`` and ``query`` replace the
+    narrowing and the search, ``position`` is where an earlier run stopped, processed(url) is left out."""
+    plan = day_plan(spark, start, end, reverse, as_of)
+    plan = plan if keep is None else kept_days(plan, keep)
+    plan = narrow(plan, totals, max_records)
+    plan = plan if position is None else resumed_at(plan, *position, reverse=reverse)
+    plan = with_url(plan, base_url, page_size, None if query is None else query(plan))
+    return plan if processed is None else plan.join(processed.select("url"), "url", "left_anti")
+
+
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """pages(..., body) with total, count, next_cursor and the parsed page."""
     p = F.from_json("body", PAGE)
@@ -156,16 +192,21 @@ def cursor_chain(pages: DataFrame, root: Column, max_depth: int | None = None) -
 
 def _branches(pages: DataFrame, max_depth: int) -> DataFrame:
     spark = pages.sparkSession
-    pages.createOrReplaceTempView("_chain_pages")
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(max_depth + 1))
-    return spark.sql("""
+    limit = "spark.sql.cteRecursionLevelLimit"
+    before = spark.conf.get(limit, None)
+    spark.conf.set(limit, str(max_depth + 1))
+    try:
+        walk = spark.sql("""
         WITH RECURSIVE walk(chain, cursor, next_cursor, depth, seen, cyclic) AS (
-          SELECT chain, cursor, next_cursor, 0, array(cursor), false FROM _chain_pages WHERE is_root
+          SELECT chain, cursor, next_cursor, 0, array(cursor), false FROM {pages} WHERE is_root
           UNION ALL
           SELECT p.chain, p.cursor, p.next_cursor, w.depth + 1, array_append(w.seen, p.cursor), array_contains(w.seen, p.cursor)
-          FROM walk w JOIN _chain_pages p ON p.chain = w.chain AND p.cursor = w.next_cursor
+          FROM walk w JOIN {pages} p ON p.chain = w.chain AND p.cursor = w.next_cursor
           WHERE NOT w.cyclic)
-        SELECT chain, cursor, depth, cyclic FROM walk""")
+        SELECT chain, cursor, depth, cyclic FROM walk""", pages=pages)
+        return written(walk, "walk")  # under this limit
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
 
 
 def gaps(observed: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:

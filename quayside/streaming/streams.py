@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
@@ -110,6 +111,18 @@ def fan_out(*consumers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame
     return run
 
 
+def interval_due(last_run: Column, interval_s: int, jitter_s: int = 0, seed: int = 0) -> Column:
+    """When a job that may run once an interval is due again; jitter spreads starts that fall together.
+    A job that never ran is due at once (null)."""
+    wait = F.lit(float(interval_s)) if not jitter_s else F.lit(float(interval_s)) + F.rand(seed) * jitter_s
+    return F.timestamp_micros(F.unix_micros(last_run.cast("timestamp")) + (wait * 1_000_000).cast("long"))
+
+
+def every(writer: DataStreamWriter, interval_s: int) -> DataStreamWriter:
+    """A stream that looks for new input once an interval."""
+    return writer.trigger(processingTime=f"{interval_s} seconds")
+
+
 def next_due(last_run: Column, time_of_day: str, tz: str = "UTC") -> Column:
     """The next time (UTC) that the local clock shows ``HH:mm[:ss]`` after the last run."""
     local = F.from_utc_timestamp(last_run, tz)

@@ -78,7 +78,7 @@ def test_composite_and_registry(spark):
     for bad in (("nothing", {}), ("pattern_filter", {}), ("date_filter", {"start_date": "20250829", "x": 1})):
         with pytest.raises(ValueError):
             r.create(*bad)
-    by_python = registry.column_filter(lambda s: s.endswith("c.txt") and len(s) == 13)
+    by_python = registry.column_filter(lambda s: s.endswith("c.txt") and len(s) == 13, on_columns=False)
     assert df.filter(by_python("n")).count() == 4
 
 
