@@ -32,8 +32,8 @@ rarity. A pair is only missed by the first family if both its sets are of this k
 families together lose nothing.
 
 *Groups.* Sets (not documents: copies have one set) that share a signature are a group. Each member
-is first paired with the group's first member, and the pairs are verified on the exact sets. Groups
-whose members are not all connected by then are compared in blocks. Similar sets share many groups;
+is paired with the group's first member; for each set one such pair is verified on the exact sets,
+which connects most copies. Groups whose members are not all connected by then are compared in blocks. Similar sets share many groups;
 each set knows the ``FIRST`` lowest names of its groups, and a pair is left to the lowest group that
 both know. Where a pair is compared, parity bitmaps, whose Hamming distance never exceeds the true
 difference, leave few pairs of different components, and these are verified. A pair of blocks with
@@ -100,7 +100,7 @@ def places(n: int) -> list[tuple[int, int]]:
 def bitmap(shingles: np.ndarray) -> bytes:
     """Parity bits of the set: bit ``h mod size`` flips for each member. Its size depends on the
     set's size only through the power of two above it, so bitmaps fold onto each other."""
-    size = 1 << max(6, int(len(shingles) * 8 - 1).bit_length())
+    size = 1 << max(6, int(len(shingles) * 4 - 1).bit_length())
     bits = (np.bincount((shingles & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
     return np.packbits(bits, bitorder="little").tobytes()
 
@@ -623,8 +623,8 @@ def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(out, "labels")
 
 
-def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Labels after all links inside groups(grp, sid)."""
+def within_groups(groups: DataFrame, stars: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Labels after all links inside groups(grp, sid), and those of the pairs stars(a, b)."""
     named = groups.join(labels, "sid")
     apart = named.groupBy("grp").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("grp")
     named = named.join(apart, "grp", "left_semi")
@@ -632,7 +632,9 @@ def within_groups(groups: DataFrame, labels: DataFrame, sets: DataFrame) -> Data
     known = named.select("sid", "grp", nth.alias("nth")).filter(F.col("nth") <= FIRST).groupBy("sid").agg(F.collect_list("grp").alias("known"))
     dealt = written(with_pairs(in_blocks(named.join(known, "sid"))), "groups")
     close = written(close_pairs(dealt.join(sets.select("sid", "n_shingles", "bits"), "sid")), "close")
-    links = verified(written(close.filter("a is not null").select("a", "b").distinct(), "pairs"), sets)
+    root = labels.select(F.col("sid").alias("a"), F.col("root").alias("ra")), labels.select(F.col("sid").alias("b"), F.col("root").alias("rb"))
+    open_ = stars.join(root[0], "a").join(root[1], "b").filter("ra <> rb").select("a", "b")
+    links = verified(written(close.filter("a is not null").select("a", "b").union(open_).distinct(), "pairs"), sets)
     dense = close.filter("a is null").select("grp", "lo", "hi")
     if dense.take(1):
         links = links.union(dense_links(dealt.join(dense, ["grp", "lo", "hi"], "left_semi").join(sets.select("sid", "content"), "sid")))
@@ -660,9 +662,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     total = sets.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     buckets = max(16, math.ceil(total[1] / PER_BUCKET))
     found = written(meetings(signature_blobs(sets, frequent(sets, buckets), buckets)), "meetings")
-    stars = written(hopeful(found.filter("b is not null").select("a", "b").distinct(), sets), "pairs")
-    labels = joined_up(sets.select("sid", F.col("sid").alias("root")), written(verified(stars, sets), "links"))
-    labels = within_groups(found.filter("b is null").select("grp", F.col("a").alias("sid")).distinct(), labels, sets)
+    stars = written(hopeful(found.filter("b is not null").select("a", "b").distinct(), sets), "stars")
+    first = written(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+    labels = joined_up(sets.select("sid", F.col("sid").alias("root")), written(verified(first, sets), "links"))
+    rest = stars.join(first, ["a", "b"], "left_anti")
+    labels = within_groups(found.filter("b is null").select("grp", F.col("a").alias("sid")).distinct(), rest, labels, sets)
     discard(found, stars, sets)
     # copies have one set, so they are one node; a component is named by its least document
     own = members.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
