@@ -20,14 +20,16 @@ class PagedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.searches = json.loads(options["searches"])
         self.fetch = cloudpickle.loads(base64.b64decode(options["transport"]))
-        self.max_pages = int(options.get("max_pages", 100_000))
+        self.max_pages = int(options.get("max_pages", 0))
 
     def partitions(self) -> list[InputPartition]:
         return [SearchPartition(s) for s in self.searches]
 
     def read(self, partition: SearchPartition) -> Iterator[tuple]:
         s, cursor, seen = partition.search, partition.search.get("cursor") or "*", set()
-        while cursor and cursor not in seen and len(seen) < self.max_pages:
+        while cursor and cursor not in seen:
+            if self.max_pages and len(seen) == self.max_pages:
+                raise RuntimeError(f"{s['url']} has pages beyond the limit of {self.max_pages}")
             seen.add(cursor)
             status, body = self.fetch(s["url"], cursor)
             yield s["url"], cursor, status, body
@@ -53,9 +55,9 @@ class PagedApi(DataSource):
         return PagedReader(self.options)
 
 
-def read_paged(spark: SparkSession, searches: list[dict], transport: Callable[[str, str], tuple[int, str]], max_pages: int = 100_000) -> DataFrame:
+def read_paged(spark: SparkSession, searches: list[dict], transport: Callable[[str, str], tuple[int, str]], max_pages: int = 0) -> DataFrame:
     """Pages of all searches ({url, cursor}); ``transport(url, cursor)`` gives (status, body) and runs
-    on the executors."""
+    on the executors. A search with more than ``max_pages``, if set, is an error."""
     spark.dataSource.register(PagedApi)
     packed = base64.b64encode(cloudpickle.dumps(transport)).decode()
     options = {"searches": json.dumps(searches), "transport": packed, "max_pages": str(max_pages)}

@@ -369,3 +369,46 @@ def test_unprocessed_is_one_join(spark):
     a = spark.createDataFrame([(str(rng.random()),) for _ in range(50)], "path string")
     plan = state.unprocessed(a, a)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan
+
+
+def test_queue_numbers_with_payload(spark):
+    """Every number once, whatever columns come along and however the rows lie."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 97 == 0, "b").otherwise("hot").alias("ns"), F.xxhash64("id").alias("at"),
+        F.repeat(F.col("id").cast("string"), 5).alias("note"), F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("more"),
+    ).repartition(16)
+    out = state.enqueue(rows, ["at", "id"], base=spark.createDataFrame([("b", 11)], "ns string, next_id long"))
+    got = out.select("ns", "seq", "at", "id", "note").collect()
+    assert len(got) == 20_000
+    for ns, first in (("a", 1), ("b", 11), ("hot", 1)):
+        own = sorted((r["seq"], r["at"], r["id"]) for r in got if r["ns"] == ns)
+        assert [r[0] for r in own] == list(range(first, first + len(own))) and [r[1:] for r in own] == sorted(r[1:] for r in own)
+    assert all(r["note"] == str(r["id"]) * 5 for r in got)
+
+
+def test_archives_of_any_size(spark, monkeypatch):
+
+    monkeypatch.setattr(archives, "BATCH_BYTES", 100_000)
+    f = io.BytesIO()
+    with zipfile.ZipFile(f, "w") as z:
+        for i in range(100_001):
+            z.writestr(f"m{i}", b"")
+    g = io.BytesIO()
+    with zipfile.ZipFile(g, "w") as z:
+        z.writestr("large", b"x" * 300_000)
+        z.writestr("small", b"y")
+    bad = g.getvalue()[:1000] + b"!" + g.getvalue()[1001:]  # one byte of a member
+    rows = [("b", n, f"http://x/{n}", None, 200, None, c) for n, c in (("many.zip", f.getvalue()), ("large.zip", g.getvalue()), ("bad.zip", bad))]
+    out = archives.expand(spark.createDataFrame(rows, RESOURCE)).cache()
+    assert {r["derived_from"]: r["count"] for r in out.groupBy("derived_from").count().collect()} == {None: 3, "many.zip": 100_001, "large.zip": 2}
+    assert [r["name"] for r in out.filter("error is not null").collect()] == ["bad.zip"]
+    assert out.filter("name = 'large/large'").first()["size"] == 300_000
+
+
+def test_chain_of_branches_leaves_the_session_alone(spark):
+    rows = [(1, "a", "b"), (1, "a", "c"), (1, "b", None), (1, "c", None)]
+    pages = spark.createDataFrame(rows, "chain long, cursor string, next_cursor string")
+    before = spark.conf.get("spark.sql.cteRecursionLevelLimit")
+    got = requests.cursor_chain(pages, F.col("cursor") == "a")
+    assert {(r["cursor"], r["depth"]) for r in got.collect()} == {("a", 0), ("b", 1), ("c", 1)}
+    assert spark.conf.get("spark.sql.cteRecursionLevelLimit") == before
