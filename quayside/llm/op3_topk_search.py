@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, table
+from .common import only, table, written
 
 SEGMENTS = (4, 16)  # at each level, coarse to fine
 QUERY_BLOCK = 4096  # queries in one broadcast: 2 MB at 64 components
@@ -101,11 +101,13 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score) from two frames of ``quantised``.
 
     A row is never its own query's candidate (nor is any other row with that vec_id). Ties go to
-    the smaller vec_id; repeated candidate rows each count; a repeated query id is asked once.
+    the smaller vec_id; repeated candidate rows each count; a repeated query id is asked
+    once, with the least of its vectors. Where queries take several blocks, one block is in the driver
+    and on the executors at a time, and its result is written.
     Vectors meet only vectors of their own length. Empty inputs give an empty result.
     """
     spark = candidates.sparkSession
-    queries = queries.dropDuplicates(["vec_id"])
+    queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = math.ceil(queries.count() / QUERY_BLOCK)
     schema = "query_id long, vec_id long, score long"
     parts = []
@@ -138,7 +140,11 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
                     [pa.array(np.repeat(s.ids, n)), pa.array(rows[:, 1]), pa.array(rows[:, 0])], ["query_id", "vec_id", "score"]
                 )
 
-        parts.append(candidates.mapInArrow(run, schema))
+        part = candidates.mapInArrow(run, schema)
+        if blocks > 1:
+            part = written(part, "found")
+            shared.unpersist()
+        parts.append(part)
     out = parts[0] if parts else spark.createDataFrame([], schema)
     for p in parts[1:]:
         out = out.union(p)

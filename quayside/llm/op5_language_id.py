@@ -12,7 +12,7 @@ with the landmarks' presence vectors, features, whitening and ridge weights mult
 matrix, buckets by languages, and a batch of texts is scored by products with it.
 
 The classifier is fitted on a bounded sample of labelled rows: per language the ``SAMPLE`` rows
-whose ids hash lowest, of which ``LANDMARKS`` are landmarks. Their n-grams are taken on the
+whose ids hash lowest, of which ``LANDMARKS`` are landmarks, for ``MAX_LANGUAGES`` at most. Their n-grams are taken on the
 executors, so the driver holds at most 2**17 bucket numbers for each sampled row however long its
 text. Scoring reads every row and whole texts, in tasks, without a shuffle.
 """
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from .common import only, table
 
 SAMPLE = 400  # labelled rows of each language
-LANDMARKS = 64  # of these, landmarks
-MAX_LANGUAGES = 1000
+LANDMARKS = 100  # of these, landmarks
+MAX_LANGUAGES = 1000  # that are learned: those with the most labelled rows
 BUCKET_BITS = 17
 ORDERS = (1, 2, 3, 4)
 RIDGE = 1e-3
@@ -128,13 +128,16 @@ def train(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) ->
     """Fit on a bounded sample of the rows of ``docs(doc_id, text, lang)`` that are not held out.
 
     Each task passes on the first ``sample`` ids of a language at most (a window group limit), so a
-    language of a third of all rows costs no more than any other.
+    language of a third of all rows costs no more than any other. Of more than ``MAX_LANGUAGES``
+    languages the ones with the most labelled rows (ties: the first by name) are learned. Rows that
+    share a doc_id and language each teach.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(), F.lit(False)))
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = usable.filter("doc_id is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    langs = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
+    ids = usable.filter("doc_id is not null").join(F.broadcast(langs), "lang").select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
     ids = ids.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= sample)
-    ids = ids.select("doc_id", F.col("lang").alias("picked")).limit(sample * MAX_LANGUAGES).distinct()
+    ids = ids.select("doc_id", F.col("lang").alias("picked")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,8 +187,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], ke
 
 
 def language_id(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) for every row; extra columns are ignored. held_out is
-    null where doc_id is (such rows are never learned from)."""
+    """(doc_id, held_out, lang_pred, score) for every row; extra columns are ignored, repeated rows each
+    give a row. held_out is null where doc_id is (such rows are never learned from)."""
     docs = only(docs, doc_id="long", text="string", lang="string")
     model = train(docs)
     return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model)

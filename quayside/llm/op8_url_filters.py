@@ -19,7 +19,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, table
+from .common import only, table, written
 
 #: (verdict, host, path), as the contract gives them.
 FIXED_RULES = (
@@ -101,7 +101,8 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
 def judge(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
     """token_sets(tokens), distinct -> (tokens, learned): the class of the surest rule that matches.
     Of equally sure rules, the better supported, then the longer, then a block decides."""
-    rules = rules.withColumn("rule_id", F.xxhash64("rule_tokens", "cls")).withColumn("need", F.size("rule_tokens")).cache()
+    rules = rules.withColumn("rule_id", F.xxhash64("rule_tokens", "cls")).withColumn("need", F.size("rule_tokens"))
+    rules = written(rules, "rules")
     index = rules.select("rule_id", "need", "cls", "confidence", "support", F.explode("rule_tokens").alias("token"))
     if index.count() <= BROADCAST_ROWS:
         index = F.broadcast(index)
@@ -139,5 +140,24 @@ def op8_url_filters(spark, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op8_url_filters": op8_url_filters}
-ORACLE_SQL: dict[str, str] = {}
+def fixed_url_rules(spark, sf_dir: str) -> DataFrame:
+    """What the fixed rules alone say of every page: host, path, rule and verdict, null if none fits."""
+    out = op8_url_filters(spark, sf_dir)
+    return out.withColumn("verdict", F.when(F.col("rule").isNotNull(), F.col("verdict")))
+
+
+QUERIES = {"op8_url_filters": op8_url_filters, "fixed_url_rules": fixed_url_rules}
+
+_PARTS = r"""(SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages)"""
+_RULES = "(VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) r(v, h, p)"
+
+#: The mined rules are not SQL; host, path, the fixed rule and its verdict are.
+ORACLE_SQL = {
+    "fixed_url_rules": f"""
+WITH fit AS (
+  SELECT page_id, host, path, h || p AS rule, v, row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(h || p) DESC, length(h) DESC) AS n
+  FROM {_PARTS} u, {_RULES} WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT u.page_id, u.host, u.path, f.rule, f.v AS verdict FROM {_PARTS} u LEFT JOIN (SELECT DISTINCT * FROM fit WHERE n = 1) f USING (page_id, host, path)
+"""
+}

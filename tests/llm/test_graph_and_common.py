@@ -61,3 +61,10 @@ def test_components(spark, seed):
 
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_unsettled_links_are_an_error(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(path, max_rounds=1)
+    assert components(path).filter("root = 0").count() == 41

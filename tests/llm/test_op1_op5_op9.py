@@ -129,6 +129,35 @@ def test_presence_of_whole_text(monkeypatch):
     assert set(op5.presence("ende").tolist()) <= set(whole)
 
 
+def test_kernel_ridge_like_dense_algebra():
+    """Scores are those of weighted kernel ridge regression with the Nystroem kernel, solved in its dual."""
+    import numpy as np
+
+    rng = random.Random(3)
+    words = {"a": ["kala", "muna", "tiki", "sola"], "b": ["brodt", "grunz", "schelm", "frist"], "c": ["ouais", "eau", "voix", "rue"]}
+    text = lambda k: " ".join(rng.choices([*words[k], "und", "kala"], k=rng.randint(3, 9)))
+    rows = [(k, op5.presence(text(k))) for k in words for _ in range(14)]
+    asked = [op5.presence(text(k)) for k in words for _ in range(5)] + [op5.presence("zz")]
+    langs, weights, offset = op5.fit(rows, landmarks=6)
+    kernel = lambda x, y: np.array([[len(set(p) & set(q)) / math.sqrt(len(p) * len(q)) for q in y] for p in x])
+    marks = [r for k in langs for r in [b for lang, b in rows if lang == k][:6]]
+    inner = np.linalg.pinv(kernel(marks, marks), rcond=1e-8, hermitian=True)
+    at, new = kernel([b for _, b in rows], marks), kernel(asked, marks)
+    k_nn, k_xn = at @ inner @ at.T, new @ inner @ at.T
+    target = np.array([[1.0 if lang == k else -1.0 for k in langs] for lang, _ in rows])
+    w = np.full(len(rows), 1 / len(rows))  # languages of equal size
+    left = np.block([[np.diag(w) @ k_nn + op5.RIDGE * np.eye(len(rows)), w[:, None]], [w[None] @ k_nn, np.ones((1, 1))]])
+    alpha = np.linalg.lstsq(left, np.vstack((w[:, None] * target, (w @ target)[None])), rcond=None)[0]
+    want = k_xn @ alpha[:-1] + alpha[-1]
+    assert np.abs(op5.scores(asked, weights, offset) - want).max() < 2e-3
+
+
+def test_most_labelled_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(op5, "MAX_LANGUAGES", 2)
+    rows = [(i, f"wort {i} hund katze", "de") for i in range(40)] + [(100 + i, f"word {i} dog cat", "en") for i in range(30)] + [(200 + i, "mot chien chat", "fr") for i in range(5)]
+    assert op5.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))[0] == ["de", "en"]
+
+
 def test_language_odd_rows(spark):
     rows = [(i, t, g) for i in range(0, 60, 2) for t, g in ((f"the dog and the cat {i}", "en"),)] + [(i, f"der hund und die katze {i}", "de") for i in range(1, 60, 2)]
     rows += [(100, None, "en"), (101, "", "en"), (102, "12 !?", None), (103, "x", None), (None, "der hund", "de"), (104, "und die katze " * 50_000, None), (1, "der hund und die katze 1", "de")]
