@@ -3,7 +3,8 @@ benchmark leaks, pack what is left into training sequences.
 
 ``STAGES`` holds (name, function) pairs; each function takes ``(spark, docs, sf_dir)`` and returns
 a DataFrame, which ``run`` writes to the shared folder and reads again as the next one's ``docs``.
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``; other columns are left behind in the
+first stage.
 """
 
 from __future__ import annotations
@@ -18,17 +19,18 @@ from quayside.llm.op9_decontamination import contaminated
 from quayside.llm.op10_best_fit_packing import best_fit_packing
 
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
-#: Below this share of the best language a text is no running text of any learned language.
-LEAST_SCORE = 0.3
+#: A text whose best language has less than so many times an even share of the score looks like none
+#: of the learned languages, however many these are.
+LEAST_LIFT = 1.2
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts that are null, have no letter, or look like none of the learned languages. If
     there is nothing to learn from, only the first two are dropped."""
     docs = only(docs, **COLUMNS)
-    model = train(docs)
+    model = train(docs)  # on a bounded sample
     found = predict(docs, model, keep_text=True)
-    good = (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE) if model[0] else F.col("text").rlike(r"\p{L}")
+    good = (F.col("lang_pred") != "und") & (F.col("score") * len(model[0]) >= LEAST_LIFT) if model[0] else F.col("text").rlike(r"\p{L}")
     return found.filter(good).select(*COLUMNS)
 
 
