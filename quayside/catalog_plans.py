@@ -16,14 +16,14 @@ from .streaming import streams
 # ---------------------------------------------------------------- queues and state
 
 
-@query("""SELECT l_returnflag AS ns, l_orderkey, l_linenumber, l_extendedprice, l_comment_like AS note,
-row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber) AS seq
-FROM (SELECT *, l_linestatus || '-' || l_partkey || '-' || l_suppkey AS l_comment_like FROM lineitem)""")
+@query("""SELECT l_returnflag AS ns, l_orderkey, l_linenumber, l_extendedprice, note,
+row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, note, l_extendedprice) AS seq
+FROM (SELECT *, l_linestatus || '-' || l_partkey || '-' || l_suppkey AS note FROM lineitem)""")
 def fifo_numbers_lines(spark, sf_dir):
     """Queue numbers of whole line items, with what they carry."""
     note = F.concat_ws("-", "l_linestatus", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
     rows = read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("ns"), "l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", note.alias("note"))
-    return state.enqueue(rows, ["l_shipdate", "l_orderkey", "l_linenumber"]).drop("l_shipdate")
+    return state.enqueue(rows, ["l_shipdate", "l_orderkey", "l_linenumber", "note", "l_extendedprice"]).drop("l_shipdate")
 
 
 @query("""SELECT event_id, to_json(event_type) AS a, to_json(user_id) AS b, to_json(value > 50) AS c, to_json({'id': event_id, 'kind': event_type}) AS d FROM events""")
