@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans import requests
+from ..sources import files
+from ..streaming.streams import interval_due, next_due
 from . import filters, state
 
 
@@ -63,6 +66,17 @@ def default_registry() -> Registry:
         return lambda name: filters.composite([m(name) for m in made], operation)
 
     r.register("composite_filter", lambda **p: both(p["filters"], p.get("operation", "AND")), needs("filters", optional=("operation",)))
+    # sources of rows: functions of a session
+    r.register("directory_listing", lambda path, recursive=True: lambda spark: files.list_files(spark, path, recursive), needs("path", optional=("recursive",)))
+    r.register("file_loader", lambda path: lambda spark: files.read_files(spark, path), needs("path"))
+    r.register("url_list", lambda urls: lambda spark: files.url_list(spark, urls), needs("urls"))
+    r.register("landed_pages", lambda path: lambda spark: files.landed_pages(spark, path), needs("path"))
+    # gates: functions of the last run's time, to the time of the next
+    r.register("daily_gate", lambda time_of_day, tz="UTC": lambda last: next_due(last, time_of_day, tz), needs("time_of_day", optional=("tz",)))
+    r.register("interval_gate", lambda interval_s, jitter_s=0: lambda last: interval_due(last, interval_s, jitter_s), needs("interval_s", optional=("jitter_s",)))
+    # plans: how broad searches are narrowed, and when a search has a next page
+    r.register("prefix_narrowing", lambda: requests.narrowed, needs())
+    r.register("cursor_pages", lambda max_records=20_000: lambda asked, pages: requests.next_requests(asked, pages, max_records), needs(optional=("max_records",)))
     r.register("mtime_sort", state.sort_by_mtime, needs(optional=("reverse", "nulls_last")))
     r.register("path_sort", state.sort_by_path, needs(optional=("reverse",)))
     return r

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (where the session
-    names none, as in tests) a temporary folder of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where the session names none,
+    a local session (as in tests) gets a temporary folder of our own; on a cluster that is an error."""
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("quayside.scratch.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-quayside-")
         spark.conf.set("quayside.scratch.dir", root)
     return root.rstrip("/")

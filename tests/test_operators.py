@@ -412,3 +412,18 @@ def test_chain_of_branches_leaves_the_session_alone(spark):
     got = requests.cursor_chain(pages, F.col("cursor") == "a")
     assert {(r["cursor"], r["depth"]) for r in got.collect()} == {("a", 0), ("b", 1), ("c", 1)}
     assert spark.conf.get("spark.sql.cteRecursionLevelLimit") == before
+
+
+def test_registered_sources_gates_and_plans(spark, tmp_path):
+    r = registry.default_registry()
+    (tmp_path / "a.txt").write_text("x")
+    assert [x["name"] for x in r.create("directory_listing", {"path": str(tmp_path)})(spark).collect()] == ["a.txt"]
+    assert r.create("url_list", {"urls": ["u", "v"]})(spark).count() == 2
+    t = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5),)], "t timestamp")
+    due = lambda name, p: t.select(F.date_format(r.create(name, p)(F.col("t")), "yyyy-MM-dd HH:mm").alias("d")).first()["d"]
+    assert due("interval_gate", {"interval_s": 90}) == "2024-01-01 05:01" and due("daily_gate", {"time_of_day": "04:00"}) == "2024-01-02 04:00"
+    asked = spark.createDataFrame([(1, None, "*")], "day long, prefix string, cursor string")
+    pages = spark.createDataFrame([(1, None, 5, 5, "c2")], "day long, prefix string, total long, count long, next_cursor string")
+    assert r.create("cursor_pages")(asked, pages).first()["cursor"] == "c2"
+    with pytest.raises(ValueError):
+        r.create("interval_gate", {"interval": 1})
