@@ -22,6 +22,14 @@ COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "stri
 #: A text whose best language has less than so many times an even share of the score looks like none
 #: of the learned languages, however many these are.
 LEAST_LIFT = 1.2
+BROADCAST_IDS = 4_000_000  # 8 bytes each: at most 32 MB
+
+
+def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """``docs`` whose doc_id is not in ``ids``. The distinct ids are written and counted, so texts are
+    shuffled only where there are too many to broadcast."""
+    ids = written(ids.select("doc_id").distinct(), name)
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti")
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +47,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the one whose text hashes lowest. Rows without doc_id stay."""
     docs = only(docs, **COLUMNS)
     classes = written(jaccard_components(docs), "classes")
-    drop = classes.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti")
+    kept = without(docs, classes.filter("component_id <> doc_id"), "drop")
     again = written(docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"), "again")
     if again.take(1):
         few = kept.join(again, "doc_id")
@@ -52,8 +59,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
     docs = only(docs, **COLUMNS)
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(written(leaks, "leaks"), "doc_id", "left_anti").select(*COLUMNS)
+    return without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")), "leaks").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
