@@ -19,9 +19,9 @@ from quayside.llm.op9_decontamination import contaminated
 from quayside.llm.op10_best_fit_packing import best_fit_packing
 
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
-#: A text whose best language has less than so many times an even share of the score looks like none
-#: of the learned languages, however many these are.
-LEAST_LIFT = 1.2
+#: A text whose best language has less than this share of the score, and less than so many times an even
+#: share, looks like none of the learned languages, however many these are.
+LEAST_SCORE, LEAST_LIFT = 0.3, 1.2
 BROADCAST_IDS = 4_000_000  # 8 bytes each: at most 32 MB
 
 
@@ -38,7 +38,7 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = only(docs, **COLUMNS)
     model = train(docs)  # on a bounded sample
     found = predict(docs, model, keep_text=True)
-    good = (F.col("lang_pred") != "und") & (F.col("score") * len(model[0]) >= LEAST_LIFT) if model[0] else F.col("text").rlike(r"\p{L}")
+    good = (F.col("lang_pred") != "und") & (F.col("score") >= min(LEAST_SCORE, LEAST_LIFT / len(model[0]))) if model[0] else F.col("text").rlike(r"\p{L}")
     return found.filter(good).select(*COLUMNS)
 
 
