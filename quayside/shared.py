@@ -33,4 +33,14 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, so that only live ones take disk."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        at = jvm.org.apache.hadoop.fs.Path(df._written_at)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
