@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import only, table, written
+from quayside.llm import groups
+from quayside.llm.common import discard, only, table, written
 from quayside.llm.op5_language_id import predict, train
-from quayside.llm.op6_jaccard_join import jaccard_components
+from quayside.llm.op6_jaccard_join import set_components
 from quayside.llm.op9_decontamination import contaminated
 from quayside.llm.op10_best_fit_packing import best_fit_packing
 
@@ -25,11 +26,16 @@ LEAST_SCORE, LEAST_LIFT = 0.3, 1.2
 BROADCAST_IDS = 4_000_000  # 8 bytes each: at most 32 MB
 
 
-def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """``docs`` whose doc_id is not in ``ids``. The distinct ids are written and counted, so texts are
-    shuffled only where there are too many to broadcast."""
-    ids = written(ids.select("doc_id").distinct(), name)
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti")
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key: decisions are about rows, which may share a doc_id or have none."""
+    return docs.withColumn("key", F.xxhash64(*COLUMNS))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """keyed docs whose (key, doc_id) is not in the written, distinct ``gone``: these are counted, so texts
+    are shuffled only where there are too many to broadcast."""
+    away = gone.select(F.col("key").alias("k"), F.col("doc_id").alias("d"))
+    return docs.join(F.broadcast(away) if away.count() <= BROADCAST_IDS else away, F.expr("key = k AND doc_id <=> d"), "left_anti")
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,23 +49,32 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of every component; of rows that share a doc_id
-    the one whose text hashes lowest. Rows without doc_id stay."""
-    docs = only(docs, **COLUMNS)
-    classes = written(jaccard_components(docs), "classes")
-    kept = without(docs, classes.filter("component_id <> doc_id"), "drop")
-    again = written(docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"), "again")
+    """Keep one row of every component of linked sets: the one with the smallest doc_id (rows without come
+    last), then the smallest key. Rows without words stay; rows that are equal in all columns are
+    one, if they have words."""
+    docs = keyed(only(docs, **COLUMNS))
+    members, labels = set_components(docs.select("key", "doc_id", "text"))
+    rooted = groups.with_roots(members.filter("sid is not null"), labels)
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
+    extra = rooted.join(first, "root").filter("NOT (key = first.key AND doc_id <=> first.doc_id)").select("key", "doc_id").distinct()
+    gone = written(extra, "drop")
+    again = written(members.filter("sid is not null").groupBy("key", "doc_id").count().filter("count > 1").select("key", "doc_id"), "again")
+    kept = without(docs, gone)
     if again.take(1):
-        few = kept.join(again, "doc_id")
-        first = few.groupBy("doc_id").agg(F.min_by(F.struct("text", "lang", "source", "n_chars"), F.xxhash64("text", "lang", "source", "n_chars")).alias("r"))
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(first.select("doc_id", "r.*"))
+        mark = again.select(F.col("key").alias("k"), F.col("doc_id").alias("d"))
+        same = F.expr("key = k AND doc_id <=> d")
+        once = kept.join(mark, same, "left_semi").groupBy("key", "doc_id").agg(F.first(F.struct("text", "lang", "source", "n_chars")).alias("r"))
+        kept = kept.join(mark, same, "left_anti").select(*COLUMNS).unionByName(once.select("doc_id", "r.*"))
+    discard(members, labels)
     return kept.select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
-    docs = only(docs, **COLUMNS)
-    return without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")), "leaks").select(*COLUMNS)
+    docs = keyed(only(docs, **COLUMNS))
+    leaks = contaminated(docs.select(F.col("key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    gone = written(leaks.select(F.col("doc_id").alias("k")).distinct(), "leaks")
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, F.expr("key = k"), "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

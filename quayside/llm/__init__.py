@@ -15,6 +15,7 @@ MODULES = (
     "op8_url_filters",
     "op9_decontamination",
     "op10_best_fit_packing",
+    "op11_minmax_dedup",
     "op12_spelling_variants",
     "op13_lexical_search",
 )

@@ -13,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-from ..shared import shared_dir, written  # noqa: F401
+from ..shared import discard, shared_dir, written  # noqa: F401
 
 U64 = np.uint64
 _MASK = (1 << 64) - 1
@@ -31,15 +31,6 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[(df[c] if c in have else F.lit(None)).cast(t).alias(c) for c, t in columns.items()])
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete written tables that nothing reads any more, so that only live ones take disk."""
-    for df in tables:
-        jvm = df.sparkSession._jvm
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def share(spark: SparkSession, value: object) -> Broadcast:
     """Broadcast an object of this package by value: workers need no installed copy to read it."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -9,7 +9,7 @@ from .common import discard, written
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``links(a long, b long)`` -> ``(node long, root long)``: the smallest node reachable.
+    """``links(a long, b long)`` -> ``(node long, root long)``, written: the smallest node reachable.
 
     Each round hangs every node's neighbours, then its smaller neighbours, on the least of them,
     until nothing changes. A round is two aggregations and two joins on the link table; minima are
@@ -43,6 +43,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"links are not settled after {max_rounds} rounds")
     roots = edges.groupBy("u").agg(F.min("v").alias("root"))
-    return roots.select(F.col("u").alias("node"), "root").union(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    )
+    out = roots.select(F.col("u").alias("node"), "root").union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out = written(out, "roots")
+    discard(edges)
+    return out

@@ -31,17 +31,8 @@ time, in a family of their own, on their whole content: the first ``k + 1`` shin
 rarity. A pair is only missed by the first family if both its sets are of this kind, so the two
 families together lose nothing.
 
-*Groups.* Sets (not documents: copies have one set) that share a signature are a group. Each member
-is paired with the group's first member; for each set one such pair is verified on the exact sets,
-which connects most copies. Groups whose members are not all connected by then are compared in blocks. Similar sets share many groups;
-each set knows the ``FIRST`` lowest names of its groups, and a pair is left to the lowest group that
-both know. Where a pair is compared, parity bitmaps, whose Hamming distance never exceeds the true
-difference, leave few pairs of different components, and these are verified. A pair of blocks with
-many such pairs (sets just below the threshold) gets the exact sets themselves, counts all
-intersections by matrix products, and gives a spanning forest of its links. So every pair that shares
-a signature is settled, without rounds.
-
-Signatures travel as packed blobs, one for each task and bucket. Nothing whole passes the driver.
+*Groups.* Sets (not documents: copies have one set) that share a signature are a group; ``groups.settled`` settles
+every pair that shares one. Signatures travel as packed blobs, one for each task and bucket. Nothing whole passes the driver.
 """
 
 from __future__ import annotations
@@ -54,30 +45,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import U64, WordHasher, discard, distinct_sorted, mix, only, pack, set_id, shingle_hashes, spans, table, unpack, written
-from .graph import components
+from . import groups
+from .common import U64, WordHasher, discard, mix, only, pack, set_id, spans, table, unpack, written
 
-LINK_NUM, LINK_DEN = 75, 100
+RULE = groups.Rule(75, 100)
+WIDTH = 5
 BAND = (4 / 3) ** 4
 PARTS, SPOILT = 3, 1  # partitions of a group, and how many of them a difference may touch
 GROUPS = 0.2  # groups of a band, as a share of its largest size
-GROUP_BLOCK = 2048  # members of a large group that one task compares with as many others
-MANY = 4  # pairs for each member beyond which a pair of blocks gets the exact sets
-COLUMNS = 4096  # of a matrix of members and shingles
 FLUSH = 1_500_000  # shingles or signatures that a task gathers before it emits blobs
 PER_BUCKET = 3_000_000
 HOT_LEAST, HOT_MOST = 8, 2_000_000  # sets that hold a frequent shingle; frequent shingles (16 MB)
 HOT_BITS = 40  # of a shingle's hash that tell whether it is frequent
-FIRST = 8  # groups that a set knows
-BROADCAST_IDS = 4_000_000  # 16 bytes each: at most 64 MB
-
-
-def shingle_set(text: str | None, hasher: WordHasher) -> np.ndarray:
-    return distinct_sorted(shingle_hashes(hasher(text)))
 
 
 def band_of(n: int) -> int:
@@ -97,26 +79,6 @@ def places(n: int) -> list[tuple[int, int]]:
     return found
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
-    """Parity bits of the set: bit ``h mod size`` flips for each member. Its size depends on the
-    set's size only through the power of two above it, so bitmaps fold onto each other."""
-    size = 1 << max(6, int(len(shingles) * 4 - 1).bit_length())
-    bits = (np.bincount((shingles & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
-    return np.packbits(bits, bitorder="little").tobytes()
-
-
-def fold(raw: bytes, size: int) -> np.ndarray:
-    words = np.frombuffer(raw, dtype=U64)
-    while len(words) > size:
-        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
-    return words
-
-
-def most_apart(a, b):
-    """Linked sets of a and b shingles differ in at most this many."""
-    return (a + b) // 7
-
-
 def signatures(shingles: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """All signatures of one set; hot: the first bits of the frequent shingles, sorted; rank: their
     places in order of rarity."""
@@ -165,11 +127,11 @@ def halved(shingles: np.ndarray) -> np.ndarray:
 
 
 def met(docs: DataFrame, buckets: int, bits: int) -> DataFrame:
-    """Rows of three kinds. bucket -2: a document (doc_id, n_shingles, sid; sid is null if it has no
-    words). bucket -1: the sets of a chunk, in order. Others: a chunk's shingles of the bucket, each
+    """Rows of three kinds, of docs(key, doc_id, text). bucket -2: a document (key, doc_id, n_shingles, sid; sid
+    is null if it has no words). bucket -1: the sets of a chunk, in order. Others: a chunk's shingles of the bucket, each
     with the place of the set that has it, or -1 where several sets of the chunk do."""
-    schema = "bucket int, chunk long, doc_id long, n_shingles long, sid long, blob binary"
-    arrow = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("blob", pa.binary())])
+    schema = "bucket int, chunk long, key long, doc_id long, n_shingles long, sid long, blob binary"
+    arrow = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("blob", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held, sids, ns, seen, size = WordHasher(), [], [], [], set(), 0
@@ -190,13 +152,13 @@ def met(docs: DataFrame, buckets: int, bits: int) -> DataFrame:
                     blobs.append(pack(np.diff(h[i:j], prepend=U64(0)), place[i:j].astype(np.uint16) if len(held) < 65_536 else place[i:j]))
             none = pa.nulls(len(names), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int32()), pa.array([chunk] * len(names), pa.int64()), none, none, none, pa.array(blobs, pa.binary())], schema=arrow
+                [pa.array(names, pa.int32()), pa.array([chunk] * len(names), pa.int64()), none, none, none, none, pa.array(blobs, pa.binary())], schema=arrow
             )
 
         for batch in batches:
             n, own = [], []
             for text in batch.column("text"):
-                s = shingle_set(text.as_py(), hasher)
+                s = groups.shingle_set(text.as_py(), hasher, WIDTH)
                 n.append(len(s))
                 own.append(set_id(s) if len(s) else None)
                 if not len(s) or own[-1] in seen:
@@ -212,7 +174,7 @@ def met(docs: DataFrame, buckets: int, bits: int) -> DataFrame:
                     seen.clear()
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([-2] * len(n), pa.int32()), none, batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.nulls(len(n), pa.binary())],
+                [pa.array([-2] * len(n), pa.int32()), none, batch.column("key"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(own, pa.int64()), pa.nulls(len(n), pa.binary())],
                 schema=arrow,
             )
         if sids:
@@ -262,33 +224,6 @@ def partnered(rows: DataFrame) -> DataFrame:
     return named.unionByName(counts).groupBy("chunk").applyInPandas(summed, "sid long").distinct()
 
 
-def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, n_shingles, bits, content) of the written wanted(sid, doc_id), a row for each sid:
-    content is the sorted shingles. doc_id tells which rows to read, the set itself decides."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in batches:
-            found = [(sid, s) for sid, t in zip(batch.column("sid").to_pylist(), batch.column("text"), strict=True)
-                     if len(s := shingle_set(t.as_py(), hasher)) and set_id(s) == sid]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([sid for sid, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int64()),
-                 pa.array([bitmap(s) for _, s in found], pa.binary()), pa.array([s.tobytes() for _, s in found], pa.binary())],
-                ["sid", "n_shingles", "bits", "content"],
-            )
-
-    few = wanted.count() <= BROADCAST_IDS
-    need = wanted.select(F.col("doc_id").alias("want"), "sid")
-    texts = docs.join(F.broadcast(need) if few else need, F.expr("doc_id <=> want")).select("sid", "text")
-    out = written(texts.mapInArrow(run, "sid long, n_shingles long, bits binary, content binary"), "contents")
-    rows, sids = out.agg(F.count("*"), F.countDistinct("sid")).first()
-    if rows == sids:
-        return out
-    once = written(out.dropDuplicates(["sid"]), "contents")  # rows that share a doc_id and a set
-    discard(out)
-    return once
-
-
 def frequent(sets: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """First bits of the shingles that most of sets(content) hold, sorted, and their places in order of
     rarity. (Any set of shingles would be right, and any order.)"""
@@ -326,6 +261,7 @@ def frequent(sets: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     by_count = found.groupBy("c").agg(F.count("*").alias("n")).toPandas().sort_values("c", ascending=False)  # as many rows as different counts
     fits = by_count["c"][by_count["n"].cumsum() <= HOT_MOST]
     got = found.filter(F.col("c") >= (int(fits.iloc[-1]) if len(fits) else 1 << 62)).toPandas().sort_values(["c", "h"])
+    discard(found)
     h = got["h"].to_numpy(np.int64).astype(U64)
     order = np.argsort(h)
     return h[order], order.astype(np.int32)
@@ -389,8 +325,7 @@ def meetings(blobs: DataFrame) -> DataFrame:
         i, n = i[j - i > 1], (j - i)[j - i > 1]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(i, n)
         p = np.stack((np.repeat(i, n), at))[:, at != np.repeat(i, n)]
-        lo, hi = np.sort(length[p], axis=0)
-        p = sid[p[:, LINK_NUM * hi <= LINK_DEN * lo]]  # of sizes that can link
+        p = sid[p[:, RULE.fits(*length[p])]]
         p = p[:, np.lexsort((p[1], p[0]))]
         p = p[:, np.concatenate(([True], (p[:, 1:] != p[:, :-1]).any(axis=0)))[: p.shape[1]]]
         # a group is named by its members: the same members again are nothing new to compare
@@ -410,237 +345,25 @@ def meetings(blobs: DataFrame) -> DataFrame:
     return blobs.groupBy("bucket").applyInPandas(meet, "grp long, a long, b long")
 
 
-# ---------------------------------------------------------------- links
-
-
-@F.pandas_udf(T.BooleanType())
-def may_link(na: pd.Series, nb: pd.Series, ba: pd.Series, bb: pd.Series) -> pd.Series:
-    """Sizes and parity bitmaps allow a link."""
-    out = np.zeros(len(na), bool)
-    for i, (x, y, p, q) in enumerate(zip(na, nb, ba, bb, strict=True)):
-        if LINK_NUM * max(x, y) <= LINK_DEN * min(x, y):
-            size = min(len(p), len(q)) // 8
-            out[i] = int(np.bitwise_count(fold(p, size) ^ fold(q, size)).sum()) <= most_apart(x, y)
-    return pd.Series(out)
-
-
-@F.pandas_udf(T.BooleanType())
-def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-    """The exact test on two sorted shingle sets."""
-    out = np.zeros(len(a), bool)
-    for i, (p, q) in enumerate(zip(a, b, strict=True)):
-        x, y = np.frombuffer(p, U64), np.frombuffer(q, U64)
-        both = len(x) + len(y) - len(distinct_sorted(np.concatenate((x, y))))
-        out[i] = LINK_DEN * both >= LINK_NUM * (len(x) + len(y) - both)
-    return pd.Series(out)
-
-
-def hopeful(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose sizes and bitmaps allow a link."""
-    one = sets.select("sid", "n_shingles", "bits")
-    left = one.select(F.col("sid").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("ba"))
-    right = one.select(F.col("sid").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("bb"))
-    return pairs.join(left, "a").join(right, "b").filter(may_link("na", "nb", "ba", "bb")).select("a", "b")
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the written distinct pairs (a, b) that link."""
-    need = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    some = sets.join(need, "sid", "left_semi")
-    a = some.select(F.col("sid").alias("a"), F.col("content").alias("ca"))
-    b = some.select(F.col("sid").alias("b"), F.col("content").alias("cb"))
-    return pairs.join(a, "a").join(b, "b").filter(linked("ca", "cb")).select("a", "b")
-
-
-def gathered(df: DataFrame, keys: list[str], columns: list[str], schema: str, work) -> DataFrame:
-    """``work(key, columns)``, which returns columns, on each group of keys, a group in memory at a time: rows are dealt and
-    sorted by Spark, and a task takes its groups one after the other."""
-    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64())}
-    arrow = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def done():
-            cols = {c: pa.chunked_array([b.column(c) for b in held]) for c in columns}
-            made = work(key, cols)
-            return pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            names = np.stack([batch.column(k).to_numpy() for k in keys])
-            cut = [0, *(np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1).tolist(), len(batch)]
-            for i, j in zip(cut, cut[1:], strict=False):
-                own = tuple(names[:, i].tolist())
-                if held and own != key:
-                    yield done()
-                    held = []
-                key = own
-                held.append(batch.slice(i, j - i))
-        if held:
-            yield done()
-
-    return df.select(*keys, *columns).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
-
-
-def in_blocks(groups: DataFrame) -> DataFrame:
-    """groups(grp, sid, ...) with lo and hi: a group is dealt into blocks of about ``GROUP_BLOCK``
-    members, and every member gets a row for each pair of blocks that its own is part of."""
-    sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / GROUP_BLOCK).alias("blocks"))
-    dealt = groups.join(sizes, "grp").withColumn("block", F.expr("CASE WHEN blocks = 1 THEN 0L ELSE pmod(xxhash64(sid, grp), blocks) END"))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    return dealt.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
-
-
-def own_pairs(key: tuple, sid: np.ndarray, root: np.ndarray, block: np.ndarray, known: np.ndarray, own: slice) -> np.ndarray:
-    """Which pairs of the rows ``own`` and all rows are to be compared here: of different components,
-    of different blocks if there are two, once each, and no lower group is known to both."""
-    ok = (root[own, None] != root[None]) & (np.arange(own.start, own.start + len(sid[own]))[:, None] < np.arange(len(sid))[None])
-    if key[1] != key[2]:
-        ok &= block[own, None] != block[None]
-    x, y = np.nonzero(ok)
-    for k in range(0, len(x), 1 << 18):
-        p, q = x[k : k + (1 << 18)], y[k : k + (1 << 18)]
-        a, b = known[own][p], known[q]
-        lower = np.zeros(len(p), bool)
-        for i in range(known.shape[1]):
-            lower |= ((a == b[:, i : i + 1]) & (b[:, i : i + 1] < key[0])).any(axis=1)
-        ok[p[lower], q[lower]] = False
-    return ok
-
-
-def known_groups(cols: dict) -> np.ndarray:
-    """A row of the groups that each member knows; the rest is the largest number, lower than none."""
-    rows = cols["known"].combine_chunks()
-    sizes = rows.value_lengths().to_numpy().astype(np.int64)
-    out = np.full((len(sizes), FIRST), np.iinfo(np.int64).max)
-    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = rows.flatten().to_numpy()
-    return out
-
-
-def steps(rows: int) -> Iterator[slice]:
-    width = max(1, 2_000_000 // max(1, rows))
-    return (slice(i, min(i + width, rows)) for i in range(0, rows, width))
-
-
-def with_pairs(dealt: DataFrame) -> DataFrame:
-    """The rows of dealt(grp, lo, hi, block, sid, root, known) that have a pair to compare."""
-
-    def work(key: tuple, cols: dict) -> dict:
-        root, sid, block = (cols[c].to_numpy() for c in ("root", "sid", "block"))
-        known, has = known_groups(cols), np.zeros(len(sid), bool)
-        for own in steps(len(sid)):
-            ok = own_pairs(key, sid, root, block, known, own)
-            has[own] |= ok.any(axis=1)
-            has |= ok.any(axis=0)
-        at = np.flatnonzero(has)
-        grp, lo, hi = (np.full(len(at), k, np.int64) for k in key)
-        return {"grp": grp, "lo": lo, "hi": hi, "block": block[at], "sid": sid[at], "root": root[at], "known": list(known[at])}
-
-    return gathered(dealt, ["grp", "lo", "hi"], ["sid", "root", "block", "known"], "grp long, lo long, hi long, block long, sid long, root long, known array<long>", work)
-
-
-def close_pairs(dealt: DataFrame) -> DataFrame:
-    """(grp, lo, hi, a, b) of dealt(grp, lo, hi, block, sid, root, known, n_shingles, bits): the pairs
-    to compare here that sizes and bitmaps allow; a and b are null where a pair of blocks has more
-    than ``MANY`` for each member."""
-
-    def work(key: tuple, cols: dict) -> dict:
-        n, root, sid, block = (cols[c].to_numpy() for c in ("n_shingles", "root", "sid", "block"))
-        raw, known = cols["bits"].to_pylist(), known_groups(cols)
-        size = min(len(x) for x in raw) // 8
-        bits = np.stack([fold(x, size) for x in raw])
-        many, found = MANY * len(n), []
-        for own in steps(len(n)):
-            x, y = np.nonzero(own_pairs(key, sid, root, block, known, own))
-            x = x + own.start
-            fits = LINK_NUM * np.maximum(n[x], n[y]) <= LINK_DEN * np.minimum(n[x], n[y])
-            x, y = x[fits], y[fits]
-            for k in range(0, len(x), 4_000_000 // size + 1):
-                p, q = x[k : k + 4_000_000 // size + 1], y[k : k + 4_000_000 // size + 1]
-                near = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64) <= most_apart(n[p], n[q])
-                found.append(np.stack((sid[p[near]], sid[q[near]])))
-            if sum(f.shape[1] for f in found) > many:
-                found = None
-                break
-        if found is None:
-            p, gone = np.zeros((2, 1), np.int64), np.ones(1, bool)
-        else:
-            p = np.sort(np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1), axis=0)
-            gone = np.zeros(p.shape[1], bool)
-        grp, lo, hi = (np.full(p.shape[1], k, np.int64) for k in key)
-        return {"grp": grp, "lo": lo, "hi": hi, "a": pd.arrays.IntegerArray(p[0], gone), "b": pd.arrays.IntegerArray(p[1], gone)}
-
-    return gathered(dealt, ["grp", "lo", "hi"], ["sid", "root", "n_shingles", "bits", "block", "known"], "grp long, lo long, hi long, a long, b long", work)
-
-
-def intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """The sizes of all pairs' intersections, by products of a 0/1 matrix of members and shingles."""
-    flat = np.concatenate(sets)
-    member = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    name, column, times = np.unique(flat, return_inverse=True, return_counts=True)
-    keep = times[column] > 1  # others are in no intersection
-    shared = np.cumsum(times > 1) - 1
-    column, member = shared[column[keep]], member[keep]
-    order = np.argsort(column, kind="stable")
-    column, member = column[order], member[order]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    for i in range(0, int((times > 1).sum()), COLUMNS):
-        a, b = np.searchsorted(column, (i, i + COLUMNS))
-        x = np.zeros((len(sets), COLUMNS), np.float32)
-        x[member[a:b], column[a:b] - i] = 1
-        out += x @ x.T
-    return out.astype(np.int64)  # whole numbers far below 2**24: exact
-
-
-def dense_links(dealt: DataFrame) -> DataFrame:
-    """(a, b): a spanning forest of the links between different components in each pair of blocks of
-    dealt(grp, lo, hi, sid, root, content)."""
-
-    def work(key: tuple, cols: dict) -> dict:
-        root, sid = (cols[c].to_numpy() for c in ("root", "sid"))
-        sets = [np.frombuffer(x, U64) for x in cols["content"].to_pylist()]
-        both, n = intersections(sets), np.array([len(s) for s in sets])
-        comp, found = np.unique(root, return_inverse=True)[1], []
-        for i in range(len(n)):
-            for j in np.flatnonzero((LINK_DEN * both[i] >= LINK_NUM * (n + n[i] - both[i])) & (comp != comp[i])).tolist():
-                if comp[j] != comp[i]:
-                    found.append((sid[i], sid[j]))
-                    comp[comp == comp[j]] = comp[i]
-        p = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
-        return {"a": p[:, 0], "b": p[:, 1]}
-
-    return gathered(dealt, ["grp", "lo", "hi"], ["sid", "root", "content"], "a long, b long", work)
-
-
-def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """labels(sid, root) after more links (a, b): only the roots are connected anew."""
-    ends = links.join(labels.select(F.col("sid").alias("a"), F.col("root").alias("ra")), "a")
-    ends = ends.join(labels.select(F.col("sid").alias("b"), F.col("root").alias("rb")), "b")
-    up = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).withColumnRenamed("root", "up")
-    out = labels.join(up, labels.root == up.node, "left").select("sid", F.coalesce("up", labels.root).alias("root"))
-    return written(out, "labels")
-
-
-def within_groups(groups: DataFrame, stars: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Labels after all links inside groups(grp, sid), and those of the pairs stars(a, b)."""
-    named = groups.join(labels, "sid")
-    apart = named.groupBy("grp").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("grp")
-    named = named.join(apart, "grp", "left_semi")
-    nth = F.row_number().over(Window.partitionBy("sid").orderBy("grp"))
-    known = named.select("sid", "grp", nth.alias("nth")).filter(F.col("nth") <= FIRST).groupBy("sid").agg(F.collect_list("grp").alias("known"))
-    dealt = written(with_pairs(in_blocks(named.join(known, "sid"))), "groups")
-    close = written(close_pairs(dealt.join(sets.select("sid", "n_shingles", "bits"), "sid")), "close")
-    root = labels.select(F.col("sid").alias("a"), F.col("root").alias("ra")), labels.select(F.col("sid").alias("b"), F.col("root").alias("rb"))
-    open_ = stars.join(root[0], "a").join(root[1], "b").filter("ra <> rb").select("a", "b")
-    links = verified(written(close.filter("a is not null").select("a", "b").union(open_).distinct(), "pairs"), sets)
-    dense = close.filter("a is null").select("grp", "lo", "hi")
-    if dense.take(1):
-        links = links.union(dense_links(dealt.join(dense, ["grp", "lo", "hi"], "left_semi").join(sets.select("sid", "content"), "sid")))
-    out = joined_up(labels, written(links.distinct(), "links"))
-    discard(dealt, close)
-    return out
+def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members(key, doc_id, n_shingles, sid), labels(sid, root)), both written, of docs(key, doc_id, text): a row for
+    each document, with the id of its set, and the root of each set that may have a partner. The key
+    tells where a set's text is read again; rows may share one."""
+    rows, chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()
+    shingles = chars // 5 + rows  # about; it only sets the sizes of tasks, and how often hashes meet by chance
+    bits = min(60, max(30, (64 * shingles).bit_length()))
+    seen = written(met(docs, max(16, math.ceil(shingles / 2 / PER_BUCKET)), bits), "met")
+    members = written(seen.filter("bucket = -2").select("key", "doc_id", "n_shingles", "sid"), "members")
+    of_set = members.filter("sid is not null").groupBy("sid").agg(F.min("key").alias("key"))
+    wanted = written(of_set.join(partnered(seen), "sid"), "wanted")
+    discard(seen)
+    sets = groups.contents(docs, wanted, WIDTH)
+    total = sets.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    buckets = max(16, math.ceil(total[1] / PER_BUCKET))
+    found = written(meetings(signature_blobs(sets, frequent(sets, buckets), buckets)), "meetings")
+    labels = groups.settled(found.filter("b is not null").select("a", "b"), found.filter("b is null").select("grp", F.col("a").alias("sid")).distinct(), sets, RULE)
+    discard(wanted, found, sets)
+    return members, labels
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -651,30 +374,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ignored; an empty table gives an empty result.
     """
     docs = only(docs, doc_id="long", text="string")
-    rows, chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()
-    shingles = chars // 5 + rows  # about; it only sets the sizes of tasks, and how often hashes meet by chance
-    bits = min(60, max(30, (64 * shingles).bit_length()))
-    seen = written(met(docs, max(16, math.ceil(shingles / 2 / PER_BUCKET)), bits), "members")
-    members = seen.filter("bucket = -2").select("doc_id", "n_shingles", "sid")
-    wanted = members.join(partnered(seen), "sid").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    wanted = written(wanted, "wanted")
-    sets = contents(docs, wanted)
-    total = sets.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
-    buckets = max(16, math.ceil(total[1] / PER_BUCKET))
-    found = written(meetings(signature_blobs(sets, frequent(sets, buckets), buckets)), "meetings")
-    stars = written(hopeful(found.filter("b is not null").select("a", "b").distinct(), sets), "stars")
-    first = written(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
-    labels = joined_up(sets.select("sid", F.col("sid").alias("root")), written(verified(first, sets), "links"))
-    rest = stars.join(first, ["a", "b"], "left_anti")
-    labels = within_groups(found.filter("b is null").select("grp", F.col("a").alias("sid")).distinct(), rest, labels, sets)
-    discard(found, stars, sets)
-    # copies have one set, so they are one node; a component is named by its least document
-    own = members.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
-    named = own.join(labels, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = named.select("sid", "root").join(roots, "root").select("sid", "component_id")
-    out = members.join(by_set, "sid", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    members, labels = set_components(docs.select(F.col("doc_id").alias("key"), "doc_id", "text"))
+    out = written(groups.component_ids(members, labels), "components")
+    discard(members, labels)
+    return out
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:

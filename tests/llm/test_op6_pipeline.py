@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from quayside.llm import groups
 from quayside.llm import op6_jaccard_join as op6
 from quayside.llm.common import words_of
 
@@ -81,11 +82,13 @@ def near_threshold(n=60, seed=4):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize(("block", "many"), [(2048, 4), (7, 4), (7, 0), (2048, -1)])
-def test_groups_in_blocks(spark, block, many, monkeypatch):
-    """Pairs of blocks, with bitmaps or with the exact sets, settle all pairs of a group."""
-    monkeypatch.setattr(op6, "GROUP_BLOCK", block)
-    monkeypatch.setattr(op6, "MANY", many)
+@pytest.mark.parametrize(("block", "many", "size"), [(2048, 4, 1 << 25), (7, 4, 1 << 25), (2048, 0, 5000), (2048, -1, 1 << 25)])
+def test_groups_in_blocks(spark, block, many, size, monkeypatch):
+    """Pairs of blocks (of few members, or of few bytes), with bitmaps or with the exact sets, settle all
+    pairs of a group."""
+    monkeypatch.setattr(groups, "GROUP_BLOCK", block)
+    monkeypatch.setattr(groups, "BLOCK_BYTES", size)
+    monkeypatch.setattr(groups, "MANY", many)
     rows = near_threshold()
     want = brute(rows)
     assert 1 < len(set(want.values())) < len(want)
@@ -93,14 +96,13 @@ def test_groups_in_blocks(spark, block, many, monkeypatch):
 
 
 def test_all_pairs_of_a_group_meet(spark, monkeypatch):
-    monkeypatch.setattr(op6, "GROUP_BLOCK", 5)
+    monkeypatch.setattr(groups, "GROUP_BLOCK", 5)
     rows = [(1, i, i, 20, bytes(8), [1]) for i in range(40)] + [(2, i, i, 20, bytes(8), [1] if i < 40 else [2]) for i in range(30, 50)]
-    groups = spark.createDataFrame(rows, "grp long, sid long, root long, n_shingles long, bits binary, known array<long>")
-    monkeypatch.setattr(op6, "MANY", 1000)
-    dealt = op6.in_blocks(groups)
-    some = op6.with_pairs(dealt.drop("n_shingles", "bits"))
-    dealt = some.join(groups.select("grp", "sid", "n_shingles", "bits"), ["grp", "sid"])
-    got = [(r["grp"], r["a"], r["b"]) for r in op6.close_pairs(dealt).collect()]
+    rows = spark.createDataFrame(rows, "grp long, sid long, root long, n_shingles long, bits binary, known array<long>")
+    monkeypatch.setattr(groups, "MANY", 1000)
+    some = groups.with_pairs(groups.in_blocks(rows).drop("bits"))
+    dealt = some.join(rows.select("grp", "sid", "n_shingles", "bits"), ["grp", "sid"])
+    got = [(r["grp"], r["a"], r["b"]) for r in groups.close_pairs(dealt, op6.RULE).collect()]
     first, second = set(combinations(range(40), 2)), set(combinations(range(30, 50), 2))
     assert len(got) == len(set(got)) and {p[1:] for p in got if p[0] == 1} == first
     assert {p[1:] for p in got if p[0] == 2} == second - first  # those that group 1 has are left to it
@@ -111,11 +113,11 @@ def test_intersections():
 
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 300, n)).astype(np.uint64) for n in (1, 5, 80, 200, 80)]
-    op6.COLUMNS, before = 16, op6.COLUMNS
+    groups.COLUMNS, before = 16, groups.COLUMNS
     try:
-        got = op6.intersections(sets)
+        got = groups.intersections(sets)
     finally:
-        op6.COLUMNS = before
+        groups.COLUMNS = before
     for i, j in combinations(range(5), 2):
         assert got[i, j] == len(np.intersect1d(sets[i], sets[j]))
 
@@ -124,7 +126,7 @@ def test_sets_with_partners_stay(spark):
     """A set with a link to a different one is never settled early; lone ones are."""
     rows = [*near_threshold(20), *((100 + i, t) for i, t in corpus(5, 60)), *((1000 + i, " ".join(f"{i}w{k}" for k in range(90))) for i in range(50))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    seen = op6.met(docs, 4, 40).cache()
+    seen = op6.met(docs.select(F.col("doc_id").alias("key"), "doc_id", "text"), 4, 40).cache()
     kept = {r["sid"] for r in op6.partnered(seen).collect()}
     of = {r["doc_id"]: r["sid"] for r in seen.filter("bucket = -2").collect()}
     sets = {d: shingles(t) for d, t in rows}
@@ -150,9 +152,9 @@ def test_signatures_meet():
                 hot = np.unique(a[rng.random(len(a)) < share] >> np.uint64(64 - op6.HOT_BITS))
                 hot = hot, rng.permutation(len(hot))
                 assert set(op6.signatures(a, *hot).tolist()) & set(op6.signatures(b, *hot).tolist())
-            size = min(len(op6.bitmap(a)), len(op6.bitmap(b))) // 8
-            far = int(np.bitwise_count(op6.fold(op6.bitmap(a), size) ^ op6.fold(op6.bitmap(b), size)).sum())
-            assert far <= union - both <= op6.most_apart(len(a), len(b))
+            size = min(len(groups.bitmap(a)), len(groups.bitmap(b))) // 8
+            far = int(np.bitwise_count(groups.fold(groups.bitmap(a), size) ^ groups.fold(groups.bitmap(b), size)).sum())
+            assert far <= union - both <= op6.RULE.apart(len(a) + len(b))
 
 
 def test_odd_rows(spark):
@@ -186,6 +188,22 @@ def test_pipeline(spark, sf_dir):
     assert over.count() == 0
 
 
+def test_pipeline_decides_by_rows(spark, tmp_path):
+    """Texts that share a doc_id stay, near copies and leaks without doc_id go."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, key string, component_id string"
+    word = lambda k, n: " ".join(f"{k}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n))
+    item = word("item", 40)
+    rows = [(1, word("one", 60)), (1, word("two", 60)), (2, word("tri", 90)), (None, word("tri", 90) + " end"), (None, word("four", 50)), (None, f"{word('five', 30)} {item} {word('six', 30)}"),
+            (3, f"{word('seven', 30)} {item}"), (4, word("very", 30_000))]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t), "k", "c") for d, t in rows], schema)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    once = corpus_pipeline.one_of_each(spark, df, str(tmp_path))
+    assert sorted((r["doc_id"] or -1, r["text"][:3]) for r in once.collect()) == [(-1, "fiv"), (-1, "fou"), (1, "one"), (1, "two"), (2, "tri"), (3, "sev"), (4, "ver")]
+    left = corpus_pipeline.decontaminate(spark, once, str(tmp_path))
+    assert sorted((r["doc_id"] or -1, r["text"][:3]) for r in left.collect()) == [(-1, "fou"), (1, "one"), (1, "two"), (2, "tri"), (4, "ver")]
+
+
 def test_pipeline_odd_rows(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     rows = [(1, "the cat sat on the mat today", "en", "s", 1), (1, "the cat sat on the mat today", "en", "s", 1), (2, None, None, None, None), (3, "", "en", "s", 0),
