@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import bid_parts, bid_path, object_key, resource_name, safe_name
 from ..shared import written
+from .ordered import folded_sha256
 
 
 def manifest(resources: DataFrame) -> DataFrame:
@@ -17,9 +18,11 @@ def manifest(resources: DataFrame) -> DataFrame:
 
 
 def bundle_hashes(manifest_rows: DataFrame, by: str = "bid") -> DataFrame:
-    """Summary and hash of each bundle: the hash of its resources' hashes in the order of names."""
-    h = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "sha256"))), lambda x: x["sha256"]), "")
-    return manifest_rows.groupBy(by).agg(F.count("*").alias("resources_count"), F.sum("size").alias("total_bytes"), F.sha2(h, 256).alias("bundle_hash"))
+    """Summary and hash of each bundle: the hash of its resources' hashes in the order of names, folded piece by piece,
+    however many they are. A resource without content counts, and has no part in the hash."""
+    rows = written(manifest_rows.select(by, "name", F.coalesce("sha256", F.lit("")).alias("sha256"), "size"), "hashed")
+    out = folded_sha256(rows, by, ["name", "sha256"], "sha256", "size")
+    return out.select(by, F.col("n").alias("resources_count"), F.col("total").alias("total_bytes"), F.col("sha256").alias("bundle_hash"))
 
 
 def load_bundle(resources: DataFrame, bid: str) -> DataFrame:

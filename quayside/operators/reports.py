@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import written
+from .ordered import in_ranges, running
+
 
 def run_summary(log: DataFrame) -> DataFrame:
     """log(run_id, status, error): processed and failed counts and distinct errors; a run failed if
@@ -46,6 +49,38 @@ def rate_compliance(requests: DataFrame, limit: int, every: str = "1 second") ->
     return per.groupBy("source").agg(F.max("count").alias("most"), F.count_if(F.col("count") > limit).alias("windows_over"))
 
 
+def sliding_rates(requests: DataFrame, limit: int, every_us: int = 1_000_000) -> DataFrame:
+    """(source, requests, most, starts_over, shortest_gap_us) of requests(source, ts): the most requests in any stretch of ``every_us``
+    (the end not counted), how many requests begin one with more than ``limit``, and the shortest time between two.
+
+    A sweep with two ends in range order: each time is an event, and so is each time ``every_us`` later; what has come before the
+    later one, less what had come before the earlier one, is the stretch's number. Running sums carry over from
+    range to range, so a busy source is not one task and a long stretch copies no rows. Requests of one
+    microsecond are one row. Requests without a time are left out; those without a source are one source.
+    """
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    per = requests.filter("ts is not null").groupBy("source", at.alias("us")).agg(F.count("*").alias("n"))
+    rows = written(running(per, "source", ["us"], "n", "before"), "times")
+    both = rows.select("source", "us", F.lit(1).alias("kind"), "n", F.lit(None).cast("long").alias("starts"), "before")
+    both = both.unionByName(rows.select("source", (F.col("us") + every_us).alias("us"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("n"), F.col("n").alias("starts"), "before"))
+    swept = running(both, "source", ["us", "kind"], "n", "reached").filter("kind = 0").withColumn("here", F.col("reached") - F.col("before"))
+    rates = swept.groupBy("source").agg(
+        F.sum("starts").alias("requests"), F.max("here").alias("most"), F.coalesce(F.sum(F.when(F.col("here") > limit, F.col("starts"))), F.lit(0)).alias("starts_over")
+    )
+    return rates.join(shortest_gaps(rows), rates["source"].eqNullSafe(F.col("_source")), "left").drop("_source")
+
+
+def shortest_gaps(times: DataFrame) -> DataFrame:
+    """(_source, shortest_gap_us) of the written, distinct times(source, us, n): 0 where a time has several requests, null for a lone request."""
+    ranged = in_ranges(times.select("source", "us", "n"), "source", ["us"])
+    last = F.lag("us").over(Window.partitionBy("_part", "source").orderBy("_place"))
+    inner = ranged.select("source", F.when(F.col("n") > 1, 0).otherwise(F.col("us") - last).alias("gap"))
+    ends = ranged.groupBy("source", "_part").agg(F.min("us").alias("first"), F.max("us").alias("last"))  # a row for each range
+    over = F.lag("last").over(Window.partitionBy("source").orderBy("_part"))
+    gaps = inner.unionByName(ends.select("source", (F.col("first") - over).alias("gap")))
+    return gaps.groupBy(F.col("source").alias("_source")).agg(F.min("gap").alias("shortest_gap_us"))
+
+
 def error_class(error: Column) -> Column:
     e = F.lower(error)
     return F.when(e.rlike("timeout|timed out|connection|network|dns|reset"), "network").when(e.rlike("fatal|denied|unauthor|forbidden|invalid"), "fatal").otherwise("other")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import encode_value, expires_at, prefixed_key
 from ..schemas import DEFAULT_TTL
 from ..shared import written
 from .filters import not_expired
+from .ordered import numbered
 
 
 def known(*sets: DataFrame, key: str = "path") -> DataFrame:
@@ -130,24 +131,16 @@ def merge_states(updates: DataFrame, key: str = "k", order: tuple[str, ...] = ("
 
 
 def attempts(errors: DataFrame, item: str = "item_id", order: tuple[str, ...] = ("ts",)) -> DataFrame:
-    """Error rows with retry_count: 0 for an item's first error."""
-    return errors.withColumn("retry_count", F.row_number().over(Window.partitionBy(item).orderBy(*order)) - 1)
+    """Error rows with retry_count: 0 for an item's first error. No item's errors meet in one task."""
+    return numbered(errors, item, list(order), "_nth").withColumn("retry_count", (F.col("_nth") - 1).cast("int")).drop("_nth")
 
 
 def enqueue(items: DataFrame, order: list[str], ns: str = "ns", base: DataFrame | None = None) -> DataFrame:
     """Consecutive sequence numbers in each namespace, from ``base(ns, next_id)`` or 1.
 
-    Rows are dealt into ranges of the order and written with their range and place, so that all that
-    follows sees the same ranges; a namespace's rows in a range are numbered from its first place
-    there, shifted by the counts of the ranges before. No namespace is sorted in one task.
+    No namespace is sorted in one task.
     """
-    ranged = items.repartitionByRange(*[F.col(c) for c in (ns, *order)]).sortWithinPartitions(ns, *order)
-    ranged = written(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()), "ranged")
-    counts = ranged.groupBy(ns, "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
-    before = Window.partitionBy(ns).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.select(F.col(ns).alias("_ns"), F.col("_part").alias("_p"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    out = ranged.join(shift, ranged[ns].eqNullSafe(shift["_ns"]) & (ranged["_part"] == shift["_p"]))
-    out = out.withColumn("seq", F.col("_place") - F.col("_first") + 1 + F.col("_shift")).drop("_part", "_place", "_ns", "_p", "_first", "_shift")
+    out = numbered(items, ns, order)
     if base is not None:
         start = base.select(F.col(ns).alias("_ns"), F.col("next_id").alias("_next"))
         out = out.join(start, out[ns].eqNullSafe(start["_ns"]), "left").withColumn("seq", F.col("seq") + F.coalesce(F.col("_next") - 1, F.lit(0))).drop("_ns", "_next")

@@ -37,6 +37,47 @@ def narrowed(plan: DataFrame, totals: DataFrame, max_records: int = 20_000) -> D
     return wide.unionByName(rest)
 
 
+def prefix_tree(days: DataFrame, totals_of: Callable[[DataFrame], DataFrame], max_records: int = 20_000, length: int = 9, alphabet: str = "0123456789") -> DataFrame:
+    """(day, prefix, total), written: the days whose total is within the limit with a null prefix, and of the others the shortest
+    prefixes that are. ``totals_of`` gives (day, prefix, total) of searches(day, prefix); searches without a total, or with 0,
+    have nothing to fetch and give no row.
+
+    The tree is split level by level: one round of searches (or one aggregation, see ``counted``) for all prefixes of
+    one length that are still too broad, of all days together, so it takes no more rounds than ids have signs. A whole id that is
+    still too broad cannot be narrowed, and prefixes that have less than the one they split (ids that are shorter, or have
+    other signs) would lose records: both are errors.
+    """
+    signs = F.array(*[F.lit(c) for c in alphabet])
+    todo, leaves, due = days.select("day", F.lit(None).cast("string").alias("prefix")).distinct(), None, 0
+    for size in range(length + 1):
+        level = written(totals_of(todo).select("day", "prefix", F.col("total").cast("long").alias("total")).filter("total > 0"), "level")
+        have, wide = level.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum(F.when(too_broad("total", max_records), F.col("total"))), F.lit(0))).first()
+        if have < due:
+            raise RuntimeError(f"prefixes of {size} signs have {have} of the {due} records of those they split")
+        due = wide
+        fits = level.filter(~too_broad("total", max_records))
+        leaves = fits if leaves is None else leaves.unionByName(fits)
+        broad = level.filter(too_broad("total", max_records))
+        if not broad.take(1):
+            return written(leaves, "leaves")
+        if size == length:
+            raise RuntimeError(f"ids of {length} signs have more than {max_records} records")
+        todo = broad.select("day", F.explode(signs).alias("sign"), "prefix").select("day", F.concat(F.coalesce("prefix", F.lit("")), "sign").alias("prefix"))
+    raise AssertionError("not reached")
+
+
+def counted(ids: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """The totals of a table of ids(day, id), for ``prefix_tree``: prefixes are counted before they are joined."""
+
+    def totals(searches: DataFrame) -> DataFrame:
+        size = F.length(F.coalesce("prefix", F.lit("")))
+        n = searches.agg(F.max(size)).first()[0] or 0  # a level's prefixes have one length
+        per = ids.groupBy("day", F.substring("id", 1, n).alias("_p")).agg(F.count("*").alias("total")) if n else ids.groupBy("day", F.lit("").alias("_p")).agg(F.count("*").alias("total"))
+        return searches.withColumn("_p", F.coalesce("prefix", F.lit(""))).join(per, ["day", "_p"]).select("day", "prefix", "total")
+
+    return totals
+
+
 def next_prefix(prefix) -> Column:
     """The prefix after this one: ``00`` after none, ``99`` is the last; a longer prefix that ends in 9
     loses that digit before it counts up. Leading zeros are kept."""
