@@ -1,4 +1,4 @@
-"""Registered queries on layered archives, paged sources, prefix trees, sliding rates, large bundles."""
+"""Registered queries on layered archives, paged sources, prefix trees, sliding rates, large bundles, durable state, timers."""
 
 from __future__ import annotations
 
@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .catalog import query, read
-from .catalog_writes import _TURNS, _packed, _place
+from .catalog_writes import _TURNS, _packed, _place, _settled
 from .operators import archives, bundles, reports, state
+from .operators.store import Queue, StateStore
 from .plans import requests
 from .shared import written
 from .sources import paged
+from .streaming import streams
 
 # ---------------------------------------------------------------- archives
 
@@ -222,3 +224,82 @@ def large_bundles(spark, sf_dir):
     some = F.concat(F.lit("orders-"), (F.col("l_orderkey") % 50).cast("string"))
     lines = li.select(F.explode(F.array(F.lit("all"), some)).alias("bid"), name.alias("name"), content.alias("content"))
     return bundles.bundle_hashes(bundles.manifest(lines))
+
+
+# ---------------------------------------------------------------- durable state
+
+_PUTS = "(SELECT CAST(user_id AS VARCHAR) AS k, event_type AS v, ts, event_id % 4 AS round, event_type = 'error' AS deleted FROM events)"
+_LAST = f"(SELECT k, v, ts, deleted FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC, round DESC, v DESC) AS r FROM {_PUTS} AS p) AS q WHERE r = 1)"
+_SPAN = "(SELECT max(ts) AS hi FROM events)"
+
+
+def _rounds(spark, sf_dir):
+    """Events as puts of users' states in four rounds; a state lives for two days, an error deletes it."""
+    e = read(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    puts = e.select(F.col("user_id").cast("string").alias("k"), F.col("event_type").alias("v"), F.col("at").alias("put_at"), (F.col("at") + F.expr("INTERVAL 2 DAYS")).alias("expires_at"),
+                    (F.col("event_type") == "error").alias("deleted"), (F.col("event_id") % 4).alias("round"))
+    return [puts.filter(F.col("round") == i).drop("round") for i in range(4)], e.agg(F.max("at")).first()[0]
+
+
+@query(f"""SELECT k, v, n FROM (SELECT k, v FROM {_LAST} AS l, {_SPAN} AS s WHERE NOT deleted AND ts + INTERVAL 2 DAYS > hi) AS a
+JOIN (SELECT CAST(user_id AS VARCHAR) AS k, count(*) AS n FROM events GROUP BY 1) AS b USING (k)""")
+def levelled_state(spark, sf_dir):
+    """The store after four puts with merges and a sweep: the states that are alive, asked for by key."""
+    rounds, now = _rounds(spark, sf_dir)
+    store = StateStore(spark, _place(spark, "state"), buckets=16, runs=2)
+    for puts in rounds:
+        store.put(puts)
+    store.sweep(F.lit(now))
+    keys = read(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("k")).agg(F.count("*").alias("n"))
+    return store.get(keys, F.lit(now)).filter("v IS NOT NULL").select("k", "v", "n")
+
+
+@query(f"SELECT c_custkey, c_name FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT k FROM {_LAST} AS l, {_SPAN} AS s WHERE NOT deleted AND ts + INTERVAL 2 DAYS > hi)")
+def unprocessed_by_filters(spark, sf_dir):
+    """Customers without a state that is alive: filters rule most out, and of the rest only their buckets are read."""
+    rounds, now = _rounds(spark, sf_dir)
+    store = StateStore(spark, _place(spark, "state"), buckets=16, runs=8)
+    for puts in rounds[:2]:
+        store.put(puts)
+    store.put(rounds[2].unionByName(rounds[3]))
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("k"), "c_custkey", "c_name")
+    return store.unprocessed(c, F.lit(now)).select("c_custkey", "c_name")
+
+
+_NUMBERED = """(SELECT o_orderpriority AS ns, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey % 2, o_orderdate, o_orderkey) AS seq FROM orders)"""
+
+
+@query(f"SELECT ns, o_orderkey, seq, n, next_id FROM {_NUMBERED} AS q JOIN (SELECT o_orderpriority AS ns, count(*) - 100 AS n, count(*) + 1 AS next_id FROM orders GROUP BY 1) AS c USING (ns) WHERE seq > 100 AND seq <= 400")
+def durable_queue(spark, sf_dir):
+    """Orders queued in two batches by priority; a hundred of each are taken, and the next three hundred looked at."""
+    q = Queue(spark, _place(spark, "queue"))
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("ns"), "o_orderkey", "o_orderdate")
+    for part in (0, 1):
+        q.enqueue(o.filter(F.col("o_orderkey") % 2 == part), ["o_orderdate", "o_orderkey"])
+    q.dequeue(60)
+    q.compact()
+    q.dequeue(40)
+    waiting = q.counters().select(F.col("ns").alias("_ns"), F.col("size").alias("n"), "next_id")
+    return q.peek(300).join(waiting, F.expr("ns <=> _ns")).select("ns", "o_orderkey", "seq", "n", "next_id")
+
+
+@query("""WITH e AS (SELECT user_id, epoch_us(ts) // 1000 AS ms, (SELECT max(epoch_us(ts) // 1000) FROM events) AS hi FROM events),
+g AS (SELECT *, CASE WHEN ms - lag(ms) OVER w <= 7200000 THEN 0 ELSE 1 END AS begins FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ms)),
+s AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ms) AS s FROM g)
+SELECT user_id AS key, min(ms) AS since_ms, max(ms) + 7200000 AS expired_ms, count(*) AS n FROM s GROUP BY user_id, s, hi HAVING max(ms) + 7200000 <= hi""")
+def expired_by_timers(spark, sf_dir):
+    """Users who fell silent for two hours, as timers (and later rows) tell; events land a quarter of their time after the other."""
+    path = _place(spark, "timed")
+    e = read(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    lo, hi = e.agg(F.min("ts"), F.max("ts")).first()
+    quarter = F.least(F.lit(3), F.floor(4 * (F.unix_micros("ts") - F.unix_micros(F.lit(lo))) / (F.unix_micros(F.lit(hi)) - F.unix_micros(F.lit(lo)))))
+    for i in range(4):
+        e.filter(quarter == i).coalesce(1).write.parquet(f"{path}/{i}")
+    conf, provider = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, provider)
+    try:
+        stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+        return _settled(streams.expired_keys(stream, "user_id", "ts", 7_200_000))
+    finally:
+        spark.conf.set(conf, before)

@@ -45,14 +45,15 @@ _PAGES = f"(SELECT *, {_BID} AS bid, lpad(page_id || '', 9, '0') || '.html' AS n
 'raw/web/data/year=' || substr(bid, 12, 4) || '/month=' || substr(bid, 16, 2) || '/day=' || substr(bid, 18, 2) || '/' || substr(bid, 20, 2) || '-' || substr(bid, 22, 2) || '-' || substr(bid, 24, 2) || '-' || right(bid, 8) AS bundle_path
 FROM {_PAGES} GROUP BY bid""")
 def raw_layout(spark, sf_dir):
-    """All five parts of the raw layout, written and read again."""
+    """All five parts of the raw layout, written twice under one name, and read again."""
     path = _place(spark, "raw")
-    bundles.write_raw(_resources(spark, sf_dir), path, "pages", "run")
-    content = spark.read.parquet(f"{path}/content").groupBy("bid", "bundle_path").agg(F.sum(F.octet_length("content").cast("long")).alias("total_bytes"))
-    done = spark.read.json(f"{path}/completed").select("bid", "bundle_hash", "resources_count")
-    found = spark.read.json(f"{path}/discovered").select("bid", "primary_url")
-    listed = spark.read.json(f"{path}/manifest").groupBy("bid").count().withColumnRenamed("count", "resources_count")
-    meta = spark.read.json(f"{path}/metadata").groupBy("bid").count().withColumnRenamed("count", "resources_count")
+    for _ in range(2):
+        bundles.write_raw(_resources(spark, sf_dir), path, "pages", "run")
+    content = bundles.read_raw(spark, path, "content").groupBy("bid", "bundle_path").agg(F.sum(F.octet_length("content").cast("long")).alias("total_bytes"))
+    done = bundles.read_raw(spark, path, "completed").select("bid", "bundle_hash", "resources_count")
+    found = bundles.read_raw(spark, path, "discovered").select("bid", "primary_url")
+    listed = bundles.read_raw(spark, path, "manifest").groupBy("bid").count().withColumnRenamed("count", "resources_count")
+    meta = bundles.read_raw(spark, path, "metadata").groupBy("bid").count().withColumnRenamed("count", "resources_count")
     return content.join(done, "bid").join(found, "bid").join(listed, ["bid", "resources_count"], "left_semi").join(meta, ["bid", "resources_count"], "left_semi")
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import bid_parts, bid_path, object_key, resource_name, safe_name
-from ..shared import written
+from ..shared import discard, written
+from .commits import Commits
 from .ordered import folded_sha256
 
 
@@ -94,25 +95,59 @@ def resource_metadata(resources: DataFrame) -> DataFrame:
     return resources.select("bid", "name", F.sha2("content", 256).alias("sha256"), size, "url", "content_type", "status_code")
 
 
-def write_raw(resources: DataFrame, path: str, config_id: str, run: str, mode: str = "append") -> DataFrame:
-    """Contents, metadata, manifests, discovery and completion records under ``path``, partitioned by
+RAW_PARTS = ("metadata", "content", "manifest", "discovered", "completed")
+
+
+def write_raw(resources: DataFrame, path: str, config_id: str, run: str, batch: str | None = None) -> DataFrame:
+    """Contents, metadata, manifests, discovery and completion records under ``path``, partitioned by batch,
     registry and day; ``bundle_path`` is each bundle's place in the layout. Returns the summary of the
     bundles. Contents are hashed once: the metadata is written first, and all else but the contents
-    comes from the metadata of these bundles."""
+    comes from the metadata of these bundles.
+
+    All five parts of a batch (by default, of the run) are there together: they are staged in partitions of the batch, and
+    seen by ``read_raw`` once the batch's mark is put in place. What a batch that failed has left is replaced when it is
+    run again; a batch that is committed adds nothing.
+    """
+    spark, batch = resources.sparkSession, run if batch is None else batch
+    marks = Commits(spark, f"{path}/_committed")
+    if not marks.has(batch):
+        for part in RAW_PARTS:
+            marks.remove(f"{path}/{part}/batch={batch}")
+        _stage_raw(resources, path, config_id, run, batch)
+        marks.create(batch, {"run": run, "config_id": config_id})
+    return read_raw(spark, path, "completed", batch).select("bid", "resources_count", "total_bytes", "bundle_hash")
+
+
+def _stage_raw(resources: DataFrame, path: str, config_id: str, run: str, batch: str) -> None:
     p = bid_parts("bid")
     day = [p["registry"].alias("registry"), F.year(p["bid_ts"]).alias("year"), F.month(p["bid_ts"]).alias("month"), F.day(p["bid_ts"]).alias("day")]
     keys = ("registry", "year", "month", "day")
+
+    def stage(rows: DataFrame, part: str, kind: str = "json") -> None:
+        rows.select("*", *day).write.partitionBy(*keys).format(kind).save(f"{path}/{part}/batch={batch}")
+
     rows = written(resource_metadata(resources), "metadata")
     at = bid_path("bid").alias("bundle_path")
-    rows.select("*", at, *day).write.mode(mode).partitionBy(*keys).json(f"{path}/metadata")
-    resources.select("*", at, *day).write.mode(mode).partitionBy(*keys).parquet(f"{path}/content")
+    stage(rows.select("*", at), "metadata")
+    stage(resources.select("*", at), "content", "parquet")
     listed = rows.select("bid", "name", "sha256", F.col("bytes_uploaded").alias("size"))
-    listed.select("*", *day).write.mode(mode).partitionBy(*keys).json(f"{path}/manifest")
+    stage(listed, "manifest")
     summary = written(bundle_hashes(listed), "summary")
     first = rows.groupBy("bid").agg(F.min_by("url", "name").alias("url"))
-    discovery_records(summary.join(first, "bid"), config_id).select("*", *day).write.mode(mode).partitionBy(*keys).json(f"{path}/discovered")
-    completion_records(summary, config_id, run).select("*", *day).write.mode(mode).partitionBy(*keys).json(f"{path}/completed")
-    return summary
+    stage(discovery_records(summary.join(first, "bid"), config_id), "discovered")
+    stage(completion_records(summary, config_id, run).join(summary.select("bid", "total_bytes"), "bid"), "completed")
+    discard(rows, summary)
+
+
+def read_raw(spark: SparkSession, path: str, part: str, batch: str | None = None) -> DataFrame:
+    """A part of the raw layout (one of ``RAW_PARTS``): the rows of committed batches only, or of one batch. Batches are
+    partitions, so others are not opened."""
+    committed = [n for n in Commits(spark, f"{path}/_committed").names() if batch in (None, n)]
+    if not committed:
+        raise FileNotFoundError(f"no batch is committed in {path}")
+    reader = spark.read.option("basePath", f"{path}/{part}")
+    places = [f"{path}/{part}/batch={n}" for n in sorted(committed)]
+    return reader.parquet(*places) if part == "content" else reader.json(places)
 
 
 def write_flat(resources: DataFrame, path: str, mode: str = "append") -> None:

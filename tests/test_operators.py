@@ -344,9 +344,9 @@ def test_raw_layout(spark, tmp_path):
     res = spark.createDataFrame([(bid, "n1", "https://h/n1", "text/plain", 200, None, b"abc"), (bid, "n2", "https://h/n2", "text/plain", 200, None, b"de")], RESOURCE)
     bundles.write_raw(res, str(tmp_path), "us_fl", "run1")
     base = "registry=us_fl/year=2025/month=9/day=18"
-    assert all((tmp_path / k / base).is_dir() for k in ("content", "metadata", "manifest", "discovered", "completed"))
+    assert all((tmp_path / k / "batch=run1" / base).is_dir() for k in bundles.RAW_PARTS)
     h = hashlib.sha256("".join(hashlib.sha256(b).hexdigest() for b in (b"abc", b"de")).encode()).hexdigest()
-    done = spark.read.json(f"{tmp_path}/completed").first()
+    done = bundles.read_raw(spark, str(tmp_path), "completed").first()
     assert (done["bundle_hash"], done["resources_count"], done["run_id"]) == (h, 2, "run1")
     meta = bundles.write_objects(res, str(tmp_path / "o"), "p").first()
     assert meta["uploaded_keys"] == [f"p/{bid}/n1", f"p/{bid}/n2"]
