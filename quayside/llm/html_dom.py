@@ -8,9 +8,9 @@ from collections import Counter
 
 import numpy as np
 
-#: Quotes count after an equals sign only. A quoted value may hold ">" if it is no longer than 4096
-#: characters and ends like a value: a quote that is not closed does not take the rest of the page.
-_VALUE = r"""(?:"[^">]*"|'[^'>]*'|"[^"]{0,4096}"(?=[\s/>])|'[^']{0,4096}'(?=[\s/>])|[^\s"'>][^\s>]*+)"""
+#: Quotes count after an equals sign only. A quoted value of any length may hold ">" if it ends like a value: a quote that is
+#: not closed, or only by the opening quote of a later value, does not take the rest of the page.
+_VALUE = r"""(?:"[^">]*"|'[^'>]*'|"[^"]*"(?=[\s/>])|'[^']*'(?=[\s/>])|[^\s"'>][^\s>]*+)"""
 _TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]++|=\s*+{_VALUE}?)*+)>", re.S)
 _ATTR = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _TOKEN = re.compile(r"[a-z]+")
@@ -19,7 +19,7 @@ _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 # HTML element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea iframe xmp".split())  # no markup inside
-HIDDEN = frozenset("noscript template svg math object select button canvas audio video head".split())  # no text of the page
+HIDDEN = frozenset("noscript template svg annotation annotation-xml object select button canvas audio video head".split())  # no text of the page
 BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption"
     " nav header footer aside menu form fieldset legend blockquote pre figure figcaption address details summary dialog"
@@ -57,7 +57,7 @@ ATTRIBUTE_TOKENS = (
 )
 _WHICH = {w: i for i, words in enumerate(ATTRIBUTE_TOKENS) for w in words}
 _GROUP = {t: i for i, tags in enumerate(GROUPS) for t in tags}
-N_FEATURES = 2 * len(GROUPS) + 3 * len(ATTRIBUTE_TOKENS) + 23
+N_FEATURES = 2 * len(GROUPS) + 3 * len(ATTRIBUTE_TOKENS) + 30
 
 
 class Node:
@@ -170,7 +170,7 @@ def parse(page: str) -> list[Node]:
             continue
         if tag in HIDDEN:
             run.append(" ")
-            if not (tag in ("svg", "math") and m[3].endswith("/")):
+            if not (tag == "svg" and m[3].endswith("/")):
                 add(tag, stack[-1][1])
                 links[1] += 1
             continue
@@ -245,14 +245,19 @@ def features(nodes: list[Node]) -> np.ndarray:
     total = max(1.0, chars[0])
     c = 2 * g + 3 * a
     place, like = [0] * n, [1] * n
-    for node in nodes:
+    kin = [(0.0, 0.0, 0.0, 0.0)] * n  # of the siblings of the same kind: characters, in links, signs that end clauses, the most characters
+    best = [0.0] * n  # the most characters of a child
+    for i, node in enumerate(nodes):
         if node.children:
-            times: dict[str, int] = {}
+            alike: dict[tuple, list[int]] = {}
             for at, j in enumerate(node.children):
                 place[j] = at
-                times[nodes[j].tag] = times.get(nodes[j].tag, 0) + 1
-            for j in node.children:
-                like[j] = times[nodes[j].tag]
+                alike.setdefault((nodes[j].tag, nodes[j].marks), []).append(j)
+            for own in alike.values():
+                sums = sum(chars[j] for j in own), sum(links[j] for j in own), sum(stops[j] for j in own), max(chars[j] for j in own)
+                for j in own:
+                    like[j], kin[j] = len(own), sums
+            best[i] = max(chars[j] for j in node.children)
     for i, node in enumerate(nodes):
         p = max(0, node.parent)
         family = nodes[p].children if i else [0]
@@ -265,23 +270,68 @@ def features(nodes: list[Node]) -> np.ndarray:
             stops[i] / max(1.0, words[i]), links[i] / max(1.0, chars[i]), np.log1p(chars[i] / max(1.0, tags[i])), np.log1p(tags[i]), np.log1p(runs[i]),
             inputs[i], chars[i] / total, chars[i] / max(1.0, chars[p]), links[p] / max(1.0, chars[p]), np.log1p(chars[p]), np.log1p(s),
             same / s, at / s, np.log1p(mean), np.log1p(left), np.log1p(right), before[i] / total, len(node.children),
+            np.log1p(kin[i][0] / same), kin[i][1] / max(1.0, kin[i][0]), np.log1p(kin[i][2]), np.log1p(kin[i][3]), kin[i][0] / total, np.log1p(best[p]), np.log1p(best[i]),
         )
     return x
 
 
+# Tags that stand beside each other in one text.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure table tr td th".split())
+TIES = (2.0, 1.0, 0.5)  # between siblings of one kind in prose, between two kinds in prose, between others of one kind
+
+
+def tie(nodes: list[Node], a: int, b: int) -> float:
+    """What it costs, as a difference of log-probabilities, if of two neighbouring siblings only one is kept. Prose is an
+    element of ``PROSE``, or one that holds nothing but a run of text, most of it not in links."""
+    x, y = nodes[a], nodes[b]
+    if x.marks != y.marks:
+        return 0.0
+    prose = True
+    for node in (x, y):
+        one = nodes[node.children[0]] if len(node.children) == 1 else None
+        alone = one is not None and one.tag == "#text"
+        prose &= (node.tag in PROSE or alone) and not (alone and 2 * one.link_chars > len(one.text))
+    if x.tag == y.tag:
+        return TIES[0] if prose else TIES[2]
+    return TIES[1] if prose else 0.0
+
+
 def decode(nodes: list[Node], p: np.ndarray) -> list[bool]:
-    """The likeliest choice of nodes in which none is kept without its parent (whence no ancestor
-    and descendant contradict each other)."""
+    """The likeliest choice of nodes in which none is kept without its parent, and no element without one of its children
+    (whence no ancestor and descendant contradict each other), less the ties of neighbouring siblings that part.
+    One pass up the tree, with one along each row of children, and one pass down."""
     p = np.clip(p.astype(np.float64), 1e-6, 1 - 1e-6)
     drop, keep = np.log1p(-p).tolist(), np.log(p).tolist()
-    for i in range(len(nodes) - 1, 0, -1):  # keep: with the best choice below; drop: all below dropped
-        q = nodes[i].parent
-        keep[q] += max(keep[i], drop[i])
-        drop[q] += drop[i]
+    never = -np.inf
+    # along a row: 0 none kept so far, 1 some kept but not the last, 2 the last kept; which state each came from
+    come: list[tuple[int, int]] = [(0, 0)] * len(nodes)
+    last = [0] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):  # keep: with the best choice below; drop: all below dropped
+        none, some, end = 0.0, never, never
+        before, gone = None, 0.0
+        for c in nodes[i].children:
+            t = 0.0 if before is None else tie(nodes, before, c)
+            to_some = (some, 1) if some >= end - t else (end - t, 2)
+            to_end = max((none - t, 0), (some - t, 1), (end, 2))
+            come[c] = to_some[1], to_end[1]
+            none, some, end = none + drop[c], to_some[0] + drop[c], to_end[0] + keep[c]
+            gone += drop[c]
+            before = c
+        if nodes[i].children:
+            best = max((some, 1), (end, 2), (none, 0) if i == 0 else (never, 0))
+            keep[i] += best[0]
+            last[i] = best[1]
+        elif nodes[i].tag != "#text":
+            keep[i] = never
+        drop[i] += gone
     chosen = [False] * len(nodes)
     chosen[0] = True
-    for i in range(1, len(nodes)):
-        chosen[i] = chosen[nodes[i].parent] and keep[i] > drop[i]
+    for i, node in enumerate(nodes):
+        if chosen[i]:
+            state = last[i]
+            for c in reversed(node.children):
+                chosen[c] = state == 2
+                state = 0 if state == 0 else come[c][state - 1]
     return chosen
 
 

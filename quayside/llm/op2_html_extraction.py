@@ -34,9 +34,9 @@ from .common import only, share, shared_value, table
 from .html_dom import ATTRIBUTE_TOKENS, GROUPS, Node, decode, features, parse, text_of
 
 SAMPLE = 120
-COMPOSED = 240
+COMPOSED = 800
 SAMPLE_CHARS = 200_000  # longer pages are not used for training
-TREES, DEPTH = 20, 5
+TREES, DEPTH = 30, 6
 _OUTSIDE = set(GROUPS[6]) | set(GROUPS[7])
 
 # Fillers for composed pages where a sample has no text to borrow.
@@ -83,65 +83,116 @@ def compose(rng: random.Random, texts: list[str]) -> str:
     """A page of random layout; elements of the main text carry data-truth."""
     esc = lambda t: html.escape(t, quote=False)
     say = lambda: esc(rng.choice(texts))
-    few = lambda lo, hi: " ".join(rng.choice(texts).split()[: rng.randint(lo, hi)]) or "text"
-    named = rng.random() < 0.6  # elements with telling names
-    marked = rng.random() < 0.8  # attributes with telling tokens
+    few = lambda lo, hi: esc(" ".join(rng.choice(texts).split()[: rng.randint(lo, hi)]) or "text")
+    chance = lambda x: rng.random() < x
+    named = chance(0.55)  # elements with telling names
+    marked = chance(0.75)  # attributes with telling tokens
+    plain = not named and chance(0.4)  # no attributes at all
+
+    def attr(kind: int, always: bool = False) -> str:
+        if plain or not (named is False or always or chance(0.85)):
+            return ""
+        token = rng.choice(ATTRIBUTE_TOKENS[kind]) if marked or chance(0.5) else rng.choice(("box", "c1", "row", "x7", "wrap", "col"))
+        if kind and chance(0.15):
+            token = rng.choice(ATTRIBUTE_TOKENS[0]) + "-" + token
+        elif not kind and chance(0.3):
+            token += "-" + rng.choice(("side", "wrap", "area", "left", "inner", "main", "body", "column", "1"))
+        return f" {rng.choice(('class', 'id', 'class'))}=\"{token}{rng.choice(('', '-box', ' wide', '-1', ''))}\""
 
     def box(tag: str, kind: int, body: str) -> str:
         tag = tag if named else "div"
-        token = rng.choice(ATTRIBUTE_TOKENS[kind]) if marked or (not named and rng.random() < 0.7) else rng.choice(("box", "c1", "row", "x7"))
-        attr = rng.choice(("class", "id", "class")) + f'="{token}{rng.choice(("", "-box", " wide", "-1"))}"' if rng.random() < 0.85 or not named else ""
-        return f"<{tag} {attr}>{body}</{tag}>"
+        return f"<{tag}{attr(kind)}>{body}</{tag}>"
 
-    def link_list(n: int) -> str:
-        items = "".join(f'<li><a href="/{i}">{esc(rng.choice(SHORT) if rng.random() < 0.5 else few(1, 4))}</a></li>' for i in range(n))
-        return f"<ul>{items}</ul>"
+    def links(lo: int, hi: int, between: str = " ") -> str:
+        return between.join(f'<a href="/{i}">{esc(rng.choice(SHORT)) if chance(0.5) else few(1, 4)}</a>' for i in range(rng.randint(lo, hi)))
+
+    def link_list(lo: int, hi: int) -> str:
+        if chance(0.3):
+            return links(lo, hi, rng.choice((" ", " | ", "<br>", " &gt; ")))
+        return "<ul>" + "".join(f"<li>{a}</li>" for a in links(lo, hi, "\n").split("\n")) + "</ul>"
+
+    para = lambda t: f"<p>{t}</p>" if chance(0.6) else t
+    legal = lambda: rng.choice(("&copy; ", "Copyright ", "", "")) + (esc(rng.choice(SHORT)) if chance(0.2) else few(1, 10))
 
     def junk(i: int) -> str:
-        para = lambda t: f"<p>{t}</p>" if rng.random() < 0.6 else t
         return (
-            lambda: box("nav", 1, link_list(rng.randint(3, 8))),
-            lambda: box("div", 2, para(say()) if rng.random() < 0.7 else esc(few(3, 12))),
-            lambda: box("section", 3, "<h3>Comments</h3>" + "".join(f"<div><b>{esc(few(1, 2))}</b>{para(say())}</div>" for _ in range(rng.randint(1, 5)))),
-            lambda: box("footer", 4, para("&copy; " + esc(few(3, 10)))),
-            lambda: box("header", 5, esc(few(1, 5)) + (link_list(3) if rng.random() < 0.4 else "")),
-            lambda: box("aside", 6, f"<h4>{esc(few(1, 3))}</h4>" + (link_list(rng.randint(2, 6)) if rng.random() < 0.6 else para(say()))),
-            lambda: box("div", 7, para(esc(few(6, 25))) + (f'<a href="#">{esc(few(1, 2))}</a>' if rng.random() < 0.5 else "")),
-            lambda: box("form", 8, f"<label>{esc(few(1, 3))}</label><input type=text><button>Send</button>{para(esc(few(2, 8)))}"),
+            lambda: box("nav", 1, link_list(2, 8)),
+            lambda: box("div", 2, para(say()) if chance(0.7) else few(3, 12)),
+            lambda: box("section", 3, f"<h3>{rng.choice(('Comments', few(1, 2)))}</h3>" + "".join(f"<div{attr(3)}><b>{few(1, 2)}</b>{para(say() if chance(0.7) else few(4, 20))}</div>" for _ in range(rng.randint(1, 5)))),
+            lambda: box("footer", 4, para(legal()) if chance(0.7) else links(1, 4, " | ")),
+            lambda: box("header", 5, (links(1, 1) if chance(0.5) else few(1, 5)) + (link_list(2, 5) if chance(0.5) else "")),
+            lambda: box("aside", 6, f"<h4>{few(1, 3)}</h4>" + (link_list(2, 6) if chance(0.7) else para(say()))),
+            lambda: box("div", 7, para(few(6, 25)) + (f'<a href="#">{few(1, 2)}</a>' if chance(0.5) else "")),
+            lambda: box("form", 8, f"<label>{few(1, 5)}</label><input type=text><button>Send</button>{para(few(2, 8)) if chance(0.6) else ''}"),
+            lambda: box("div", 8, links(1, 4)),
+            lambda: box("div", 1, " ".join(f'<a href="/p{i}">{i}</a>' for i in range(1, rng.randint(3, 6))) + (f" <a href='/n'>{few(1, 1)}</a>" if chance(0.5) else "")),
         )[i]()
 
-    some = lambda kinds, chance: "".join(junk(k) for k in kinds if rng.random() < chance)
-    parts = []
-    for _ in range(rng.choice((1, 2, 3, 5, 8, 12))):
-        kind = rng.random()
-        text = say() if rng.random() < 0.8 else esc(few(1, 12))
-        if kind < 0.12:
-            parts.append(f"<h2>{esc(few(2, 8))}</h2>")
-        elif kind < 0.2:
-            parts.append("<ul>" + "".join(f"<li>{esc(few(3, 15))}</li>" for _ in range(rng.randint(2, 5))) + "</ul>")
-        elif kind < 0.26:
-            parts.append(f"<blockquote><p>{text}</p></blockquote>")
-        elif kind < 0.3:
-            parts.append("<table>" + "".join(f"<tr><td>{esc(few(1, 4))}</td><td>{esc(few(1, 6))}</td></tr>" for _ in range(3)) + "</table>")
-        elif kind < 0.4:
-            parts.append(f"<p><b>{text}<br>")
-        elif kind < 0.5:
-            parts.append(f"<div>{text}</div>")
-        elif kind < 0.6:
-            parts.append(f'<p>{text} <a href="/x">{esc(few(1, 3))}</a> {esc(few(2, 9))}</p>')
-        else:
-            parts.append(f"<p>{text}</p>")
-        if rng.random() < 0.12:
-            parts.append(f'<div data-truth="0">{some((1, 2, 5, 6, 7), 0.3)}</div>' if rng.random() < 0.3 else some((1, 5, 6, 7), 0.3).replace(" ", ' data-truth="0" ', 1))
-    title = f"<h1>{esc(few(3, 10))}</h1>" if rng.random() < 0.8 else ""
-    main = f'<div data-truth="1">{title}{"".join(parts)}</div>' if rng.random() < 0.3 else ""
-    if not main:
-        tag = rng.choice(("article", "main", "div", "section")) if named else "div"
-        token = f' class="{rng.choice(ATTRIBUTE_TOKENS[0])}"' if tag == "div" and marked else ""
-        main = f'<{tag}{token} data-truth="1">{title}{"".join(parts)}</{tag}>'
-    if rng.random() < 0.4:
-        main = f"<div>{main}{some((2, 5, 6), 0.4)}</div>"
+    some = lambda kinds, x: "".join(junk(k) for k in kinds if chance(x))
+    mark = lambda part, truth: re.sub(r"^<(\w+)", rf'<\1 data-truth="{truth}"', part)
+    inside = lambda kinds: mark(junk(rng.choice(kinds)), 0)
+
+    def text_part(bare: bool) -> str:
+        """A part of the main text; in a bare layout paragraphs are div elements."""
+        kind, text = rng.random(), say() if chance(0.75) else few(1, 12)
+        block = "div" if bare else "p"
+        if kind < 0.1:
+            return f"<h2>{few(2, 8)}</h2>"
+        if kind < 0.17:
+            return "<ul>" + "".join(f"<li>{few(3, 15)}</li>" for _ in range(rng.randint(2, 5))) + "</ul>"
+        if kind < 0.21:
+            return f"<blockquote><p>{text}</p></blockquote>"
+        if kind < 0.26:
+            return "<table>" + "".join(f"<tr><td>{few(1, 4)}</td><td>{few(1, 6)}</td></tr>" for _ in range(rng.randint(2, 4))) + "</table>"
+        if kind < 0.29:
+            return "<dl>" + "".join(f"<dt>{few(1, 2)}</dt><dd>{few(4, 15)}</dd>" for _ in range(rng.randint(1, 3))) + "</dl>"
+        if kind < 0.32:
+            return f"<pre>{few(3, 20)}</pre>"
+        if kind < 0.35:
+            return f"<figure><img src=x><figcaption>{few(3, 10)}</figcaption></figure>"
+        if kind < 0.42:
+            return f"<p><b>{text}<br>" if not bare else f"<div>{text}<br><br>{say()}</div>"
+        if kind < 0.5:
+            return f'<{block}>{text} <a href="/x">{few(1, 6)}</a> {few(2, 9)}</{block}>'
+        if kind < 0.53:
+            return f"<{block}>{text} <math><mi>{few(1, 1)}</mi><mo>=</mo><mn>2</mn></math> {few(2, 9)}</{block}>"
+        return f"<{block}>{text}</{block}>"
+
+    bare, parts = chance(0.25), []
+    for _ in range(rng.choice((1, 2, 3, 3, 4, 5, 8, 12))):
+        parts.append(text_part(bare))
+        if chance(0.1):
+            parts.append(inside((1, 2, 5, 6, 7, 8)))
+    if chance(0.15):
+        parts.append(inside((2, 3, 5, 8, 9)))
+    title = f"<h1>{few(1, 10)}</h1>" if chance(0.85) else ""
+    if title and chance(0.15):
+        title = f"<{'header' if named else 'div'}{attr(5) if chance(0.5) else attr(0)}>{title}</{'header' if named else 'div'}>"
+    if chance(0.1):
+        parts.insert(0, inside((8,)))
+    if chance(0.2):
+        parts = [f"<section>{''.join(parts[k : k + 2])}</section>" for k in range(0, len(parts), 2)]
     top, bottom = some((0, 4, 1, 6, 7), 0.5), some((5, 1, 2, 6, 7, 3), 0.45)
+    layout = rng.random()
+    if layout < 0.15:  # no element around the main text
+        own = "".join(x if 'data-truth="0"' in x.split(">", 1)[0] else mark(x, 1) for x in (title, *parts))
+        return f"<html><head><title>x</title></head><body>{top if chance(0.6) else ''}{own}{bottom if chance(0.6) else ''}</body></html>"
+    text = title + "".join(parts)
+    if chance(0.08):  # one run of text
+        text = (title if chance(0.5) else "") + "<br><br>".join(say() for _ in range(rng.randint(1, 5)))
+    if layout < 0.3:  # a table for a layout
+        cell = f'<td data-truth="1">{text}</td>'
+        side = f"<td{attr(1)}>{link_list(2, 7)}</td>" if chance(0.8) else ""
+        after = f"<td>{junk(5)}</td>" if chance(0.3) else ""
+        head = f"<tr><td colspan=2>{links(1, 4, ' | ') if chance(0.6) else junk(4)}</td></tr>" if chance(0.5) else ""
+        foot = f"<tr><td colspan=2>{legal()}</td></tr>" if chance(0.5) else ""
+        return f"<html><body>{top if chance(0.3) else ''}<table>{head}<tr>{side}{cell}{after}</tr>{foot}</table>{bottom if chance(0.3) else ''}</body></html>"
+    tag = rng.choice(("article", "main", "div", "section")) if named else "div"
+    main = f'<{tag}{attr(0, True) if tag == "div" or chance(0.3) else ""} data-truth="1">{text}</{tag}>'
+    if chance(0.35):  # columns
+        main = f"<div{attr(0) if chance(0.5) else ''}>{some((0, 5), 0.5)}{main}{some((2, 5, 6), 0.4)}</div>"
+    for _ in range(rng.choice((0, 0, 0, 1, 2))):
+        main = f"<div{attr(0) if chance(0.5) else ''}>{main}</div>"
     return f"<html><head><title>x</title></head><body>{top}{main}{bottom}</body></html>"
 
 
