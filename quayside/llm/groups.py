@@ -30,7 +30,7 @@ from .common import U64, WordHasher, discard, distinct_sorted, set_id, shingle_h
 from .graph import components
 
 GROUP_BLOCK = 2048  # members of a large group that one task compares with as many others
-BLOCK_BYTES = 32 << 20  # of their sets
+BLOCK_BYTES = 16 << 20  # of their sets
 MANY = 4  # pairs for each member beyond which a pair of blocks gets the exact sets
 COLUMNS = 4096  # of a matrix of members and shingles
 FIRST = 8  # groups that a set knows

@@ -57,7 +57,7 @@ BAND = (4 / 3) ** 4
 PARTS, SPOILT = 3, 1  # partitions of a group, and how many of them a difference may touch
 GROUPS = 0.2  # groups of a band, as a share of its largest size
 FLUSH = 1_500_000  # shingles or signatures that a task gathers before it emits blobs
-PER_BUCKET = 3_000_000
+PER_BUCKET = 2_000_000
 HOT_LEAST, HOT_MOST = 8, 2_000_000  # sets that hold a frequent shingle; frequent shingles (16 MB)
 HOT_BITS = 40  # of a shingle's hash that tell whether it is frequent
 
@@ -191,14 +191,16 @@ def partnered(rows: DataFrame) -> DataFrame:
         for i, raw in enumerate(frame["blob"]):
             d, p = unpack(raw)
             h.append(np.cumsum(d, dtype=U64))
-            place.append(np.where(p == np.iinfo(p.dtype).max, -1, p.astype(np.int64)) if p.dtype == np.uint16 else p.astype(np.int64))
+            place.append(np.where(p == np.iinfo(p.dtype).max, -1, p.astype(np.int32)) if p.dtype == np.uint16 else p)
             row.append(np.full(len(p), i, np.int32))
         sizes = [int(p.max(initial=-1)) + 1 for p in place]
-        h, place, row = np.concatenate(h), np.concatenate(place), np.concatenate(row)
+        h = np.concatenate(h)
         order = np.argsort(h)
-        h, place, row = h[order], place[order], row[order]
+        h = h[order]
         begin, end = spans(h)
-        one = begin[end - begin == 1]
+        one = order[begin[end - begin == 1]]
+        del h, order
+        place, row = np.concatenate(place), np.concatenate(row)
         one = one[place[one] >= 0]
         base = np.concatenate(([0], np.cumsum(sizes)))
         counts = np.bincount(base[row[one]] + place[one], minlength=base[-1])
