@@ -45,7 +45,7 @@ class Encoder:
     text, like one that holds the string of a special token, goes through the tokenizer as a whole.
     """
 
-    LIMIT = 2_000_000  # pieces kept: about 50 bytes each
+    LIMIT = 1_000_000  # pieces kept: about 50 bytes each
     BASE = 0x9E3779B97F4A7C15 | 1
     BATCH = 2 << 20
     LEARN = 20_000  # pieces that go through the tokenizer together
