@@ -8,8 +8,9 @@ is ``(|q|**2 + |c|**2 - distance**2) / 2``, so a lower bound of the distance is
 the score, and a candidate survives a level if that bound reaches the query's k-th best score so
 far.
 
-Queries go in blocks of bounded size, each broadcast; the candidates are read once for each block
-and stay where they are. A task keeps k rows a query; only these are shuffled and ranked.
+Vectors are read and quantised once, and written. Queries go in blocks of at most ``QUERY_BLOCK``, dealt by a hash, each
+broadcast; the written candidates are read once for each block, and stay where they are. A task compares ``ASKED`` of a block
+with ``ROWS`` candidates at a time and keeps k rows a query; only these are shuffled and ranked.
 """
 
 from __future__ import annotations
@@ -25,16 +26,16 @@ from pyspark.sql import functions as F
 from .common import only, table, written
 
 SEGMENTS = (4, 16)  # at each level, coarse to fine
-QUERY_BLOCK = 4096  # queries in one broadcast: 2 MB at 64 components
-ROWS = 2048  # candidates in one product
+QUERY_BLOCK = 65_536  # queries in one broadcast: 32 MB at 64 components
+ASKED, ROWS = 2048, 2048  # in one product
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of each component; rows with a null id, vector or component,
-    a non-finite component, or no component are left out."""
+    """(vec_id, v): floor(scale * x) of each component; rows with a null id, vector or component, or
+    a non-finite component are left out."""
     v = only(vectors, vec_id="long", embedding="array<double>")
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-    v = v.filter(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", fine))
+    v = v.filter(F.col("vec_id").isNotNull() & F.forall("embedding", fine))
     return v.select("vec_id", F.transform("embedding", lambda x: F.floor(x * scale)).alias("v"))
 
 
@@ -53,6 +54,7 @@ class Search:
     """The k best candidates of each query, as batches of candidates come by."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        vectors = vectors if vectors.shape[1] else np.zeros((len(ids), 1), np.int64)  # products of empty vectors are 0
         self.ids, self.q, self.k = ids, vectors, k
         self.stats = [segment_stats(vectors.astype(np.float64), s) for s in SEGMENTS]
         self.norm = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
@@ -61,6 +63,7 @@ class Search:
         self.compared = self.exact = 0
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        vectors = vectors if vectors.shape[1] else np.zeros((len(ids), 1), np.int64)
         c = vectors.astype(np.float64)
         norm = np.sqrt((c * c).sum(axis=1))
         slack = 1e-9 * (self.norm[:, None] * norm[None, :]) + 1e-6  # of rounding
@@ -104,11 +107,13 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     the smaller vec_id; repeated candidate rows each count; a repeated query id is asked
     once, with the least of its vectors. Where queries take several blocks, one block is in the driver
     and on the executors at a time, and its result is written.
-    Vectors meet only vectors of their own length. Empty inputs give an empty result.
+    Vectors meet only vectors of their own length (empty ones meet with a score of 0). Empty inputs give an empty result.
     """
     spark = candidates.sparkSession
-    queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = written(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     blocks = math.ceil(queries.count() / QUERY_BLOCK)
+    if blocks > 1:
+        candidates = written(candidates, "candidates")
     schema = "query_id long, vec_id long, score long"
     parts = []
     for b in range(blocks):
@@ -117,10 +122,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
         ids, vectors = rows["vec_id"].to_numpy(), rows["v"].to_pylist()
         for n, v in enumerate(vectors):
             by_size.setdefault(len(v), []).append(n)
-        shared = spark.sparkContext.broadcast({d: (ids[at], np.array([vectors[n] for n in at], np.int64)) for d, at in by_size.items()})
+        shared = spark.sparkContext.broadcast({d: (ids[at], np.array([vectors[n] for n in at], np.int64).reshape(len(at), d)) for d, at in by_size.items()})
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            search = {d: Search(i, v, k) for d, (i, v) in shared.value.items()}
+            search = {d: [Search(i[lo : lo + ASKED], v[lo : lo + ASKED], k) for lo in range(0, len(i), ASKED)] for d, (i, v) in shared.value.items()}
             for batch in batches:
                 ids, column = batch.column("vec_id").to_numpy(), batch.column("v")
                 size = np.diff(column.offsets.to_numpy())
@@ -132,8 +137,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
                     at = np.flatnonzero(size == d)
                     for lo in range(0, len(at), ROWS):
                         some = at[lo : lo + ROWS]
-                        search[d].add(ids[some], flat[first[some][:, None] + np.arange(d)])
-            for s in search.values():
+                        vectors = flat[first[some][:, None] + np.arange(d)]
+                        for s in search[d]:
+                            s.add(ids[some], vectors)
+            for s in (s for own in search.values() for s in own):
                 n = [len(x) for x in s.best]
                 rows = np.concatenate(s.best) if s.best else np.zeros((0, 2), np.int64)
                 yield pa.RecordBatch.from_arrays(

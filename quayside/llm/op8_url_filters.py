@@ -80,7 +80,8 @@ def url_tokens(host: Column, path: Column, url: Column) -> Column:
 
 
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, min_count: int = MIN_COUNT) -> DataFrame:
-    """labelled(tokens, cls) -> (rule_tokens, cls, confidence, support)."""
+    """labelled(tokens, cls) -> (rule_tokens, cls, confidence, support). A rule needs ``min_count`` labelled URLs behind it, whatever
+    share of them that is, and ``min_support`` of them, so fewer than ``min_count`` teach none."""
     baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("class:"), "cls"))).alias("items"))
     schema = "rule_tokens array<string>, cls string, confidence double, support double"
     n = baskets.count()
@@ -99,21 +100,22 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
 
 
 def judge(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """token_sets(tokens), distinct -> (tokens, learned): the class of the surest rule that matches.
-    Of equally sure rules, the better supported, then the longer, then a block decides."""
+    """token_sets(tokens), distinct -> (tokens, learned): the surest rule that matches, with its class, confidence and
+    support. Of equally sure rules, the better supported, then the longer, then a block decides."""
     rules = rules.withColumn("rule_id", F.xxhash64("rule_tokens", "cls")).withColumn("need", F.size("rule_tokens"))
     rules = written(rules, "rules")
-    index = rules.select("rule_id", "need", "cls", "confidence", "support", F.explode("rule_tokens").alias("token"))
+    index = rules.select("rule_id", "need", "cls", "confidence", "support", F.array_join("rule_tokens", " & ").alias("rule"), F.explode("rule_tokens").alias("token"))
     if index.count() <= BROADCAST_ROWS:
         index = F.broadcast(index)
     hits = token_sets.select("tokens", F.explode("tokens").alias("token")).join(index, "token")
-    full = hits.groupBy("tokens", "rule_id", "need", "cls", "confidence", "support").count().filter("count = need")
-    best = F.max_by("cls", F.struct("confidence", "support", "need", "cls"))
+    full = hits.groupBy("tokens", "rule_id", "need", "cls", "confidence", "support", "rule").count().filter("count = need")
+    best = F.max_by(F.struct("cls", "rule", "confidence", "support"), F.struct("confidence", "support", "need", "cls", "rule"))
     return full.groupBy("tokens").agg(best.alias("learned"))
 
 
 def url_filter(pages: DataFrame, labels: DataFrame, rules=FIXED_RULES) -> DataFrame:
-    """(page_id, host, path, rule, verdict), a row for each row of ``pages(page_id, url)``.
+    """(page_id, host, path, rule, verdict, learned_rule, confidence, support), a row for each row of
+    ``pages(page_id, url)``; the last three are the surest learned rule that matches, whether or not a fixed one decides.
 
     The label of a page is the row of ``labels(doc_id, quality, toxic)`` with its id: block if
     quality is 0 or toxic is 1. A null url, or one without ``://``, has empty host and path, fits no
@@ -132,8 +134,9 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules=FIXED_RULES) -> DataFr
     learned = judge(parts.filter(F.size("tokens") > 0).select("tokens").distinct(), mine_rules(taught))
     out = parts.join(learned, "tokens", "left").withColumn("fixed", fixed_rule(F.col("host"), F.col("path"), rules))
     return out.select(
-        "page_id", "host", "path", F.col("fixed.rule").alias("rule"), F.coalesce("fixed.verdict", "learned", F.lit("allow")).alias("verdict")
-    )
+        "page_id", "host", "path", F.col("fixed.rule").alias("rule"), F.coalesce("fixed.verdict", "learned.cls", F.lit("allow")).alias("verdict"),
+        F.col("learned.rule").alias("learned_rule"), F.col("learned.confidence").alias("confidence"), F.col("learned.support").alias("support"),
+    )
 
 
 def op8_url_filters(spark, sf_dir: str) -> DataFrame:
@@ -142,7 +145,7 @@ def op8_url_filters(spark, sf_dir: str) -> DataFrame:
 
 def fixed_url_rules(spark, sf_dir: str) -> DataFrame:
     """What the fixed rules alone say of every page: host, path, rule and verdict, null if none fits."""
-    out = op8_url_filters(spark, sf_dir)
+    out = op8_url_filters(spark, sf_dir).select("page_id", "host", "path", "rule", "verdict")
     return out.withColumn("verdict", F.when(F.col("rule").isNotNull(), F.col("verdict")))
 
 

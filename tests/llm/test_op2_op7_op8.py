@@ -236,6 +236,10 @@ def test_learned_rules_like_brute_force(spark):
     sure = {(s, c): conf for s, c, conf, _ in rules}
     rules = [r for r in rules if not any(sure.get((tuple(x for x in r[0] if x != g), r[1]), -1) >= r[2] for g in r[0])]
     for r in op8.url_filter(pages, lab, rules=()).collect():
-        fits = [(conf, sup, len(s), c) for s, c, conf, sup in rules if set(s) <= set(toks[r["page_id"]])]
+        fits = [(conf, sup, len(s), c, " & ".join(s)) for s, c, conf, sup in rules if set(s) <= set(toks[r["page_id"]])]
         assert r["verdict"] == (max(fits)[3] if fits else "allow")
+        assert (r["learned_rule"], r["confidence"], r["support"]) == ((max(fits)[4], pytest.approx(max(fits)[0]), pytest.approx(max(fits)[1])) if fits else (None, None, None))
+    # labels that say nothing of the URLs' parts teach no rule: the verdicts change with the labels
+    plain = spark.createDataFrame([(d, 1, 0) for d, _, _ in labels], "doc_id long, quality int, toxic int")
+    assert {r["verdict"] for r in op8.url_filter(pages, plain, rules=()).collect()} == {"allow"}
     assert any(c == "block" and len(s) > 1 for s, c, _, _ in rules)

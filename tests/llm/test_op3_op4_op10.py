@@ -171,7 +171,10 @@ def test_pack_documents(spark):
 # ---------------------------------------------------------------- op3
 
 
-def test_search_like_brute_force(spark):
+@pytest.mark.parametrize(("block", "queries", "rows_"), [(65_536, 2048, 2048), (5, 2, 100)])
+def test_search_like_brute_force(spark, block, queries, rows_, monkeypatch):
+    for name, value in (("QUERY_BLOCK", block), ("ASKED", queries), ("ROWS", rows_)):
+        monkeypatch.setattr(op3, name, value)
     rng = np.random.default_rng(3)
     v = rng.normal(size=(600, 24)) / 5
     v[100:130] = v[100]  # ties
@@ -186,6 +189,13 @@ def test_search_like_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_search_of_empty_vectors(spark):
+    rows = [(50, []), (51, []), (52, []), (53, [0.5]), (100, [0.5]), (150, None)]
+    q = op3.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = sorted(map(tuple, op3.top_k(q.filter("vec_id % 50 = 0"), q).collect()))
+    assert got == [(50, 1, 51, 0), (50, 2, 52, 0), (100, 1, 53, 128 * 128)]
+
+
 def test_search_prunes():
     rng = np.random.default_rng(1)
     centre = rng.normal(size=(20, 8)).repeat(8, axis=1) * 300
