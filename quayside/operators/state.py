@@ -24,6 +24,18 @@ def unprocessed(items: DataFrame, known_keys: DataFrame, key: str = "path") -> D
     return items.join(known_keys.select(key), key, "left_anti")
 
 
+def save_processed(store, keys: DataFrame, at: Column, prefix: str = "", ttl_s: int | None = None, key: str = "path") -> list[int]:
+    """Add keys to the persisted set of processed items in a ``StateStore``; they stay for ``ttl_s``, by default for the kind's time to live."""
+    values = keys.select(F.col(key).cast("string").alias("k"), F.lit("1").alias("v")).filter("k is not null").distinct()
+    return store.put(puts(values, "processed", at, prefix, ttl_s))
+
+
+def load_processed(store, as_of: Column, prefix: str = "", key: str = "path") -> DataFrame:
+    """The persisted set at a time, as a column of keys."""
+    start = f"{prefix}:processed:" if prefix else "processed:"
+    return key_prefix(store.view(as_of), start).select(F.substr("k", F.lit(len(start) + 1)).alias(key))
+
+
 def modified_since(listing: DataFrame, seen: DataFrame, key: str = "path") -> DataFrame:
     """Rows never seen, or modified after the last time seen; seen(key, last_mtime)."""
     last = seen.groupBy(key).agg(F.max("last_mtime").alias("last_mtime"))

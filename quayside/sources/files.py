@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import mint_bid
+
 
 def list_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """(path, name, mtime, length). Contents are not read: the column is pruned from the scan."""
@@ -19,6 +21,17 @@ def read_files(spark: SparkSession, path: str, keep: Column | None = None) -> Da
     return df if keep is None else df.filter(keep)
 
 
+def file_resources(spark: SparkSession, path: str, registry: str, loaded_at: Column, keep: Column | None = None) -> DataFrame:
+    """Each file as a bundle of one resource, (bid, name, url, content_type, status_code, derived_from, content) with its mtime and
+    length: the bundle's id is minted from the registry, the time of loading and the path; the url is the path."""
+    df = read_files(spark, path, keep)
+    none = F.lit(None).cast("string")
+    return df.select(
+        mint_bid(F.lit(registry), loaded_at, F.col("path")).alias("bid"), F.element_at(F.split("path", "/"), -1).alias("name"), F.col("path").alias("url"), none.alias("content_type"),
+        F.lit(200).alias("status_code"), none.alias("derived_from"), "content", "mtime", "length",
+    )
+
+
 def explicit_files(wanted: DataFrame, listing: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(found, missing) of wanted(path)."""
     return wanted.join(listing, "path"), wanted.join(listing.select("path"), "path", "left_anti")

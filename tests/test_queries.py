@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from quayside import catalog, catalog_flows, catalog_plans, catalog_writes  # noqa: F401
+from quayside import catalog, catalog_flows, catalog_plans, catalog_sources, catalog_writes  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
