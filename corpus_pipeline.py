@@ -24,6 +24,13 @@ COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "stri
 #: share, looks like none of the learned languages, however many these are.
 LEAST_SCORE, LEAST_LIFT = 0.3, 1.2
 BROADCAST_IDS = 4_000_000  # 8 bytes each: at most 32 MB
+BATCH_BYTES = 8 << 20  # of texts that a Python worker is given at a time
+
+
+def documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The columns of documents. Batches are bounded by bytes from here on: ten thousand texts are too much at once if they are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return only(docs, **COLUMNS)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -41,7 +48,7 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts that are null, have no letter, or look like none of the learned languages. If
     there is nothing to learn from, only the first two are dropped."""
-    docs = only(docs, **COLUMNS)
+    docs = documents(spark, docs)
     model = train(docs)  # on a bounded sample
     found = predict(docs, model, keep_text=True)
     good = (F.col("lang_pred") != "und") & (F.col("score") >= min(LEAST_SCORE, LEAST_LIFT / len(model[0]))) if model[0] else F.col("text").rlike(r"\p{L}")
@@ -52,7 +59,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of every component of linked sets: the one with the smallest doc_id (rows without come
     last), then the smallest key. Rows without words stay; rows that are equal in all columns are
     one, if they have words."""
-    docs = keyed(only(docs, **COLUMNS))
+    docs = keyed(documents(spark, docs))
     members, labels = set_components(docs.select("key", "doc_id", "text"))
     rooted = groups.with_roots(members.filter("sid is not null"), labels)
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
@@ -71,7 +78,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
-    docs = keyed(only(docs, **COLUMNS))
+    docs = keyed(documents(spark, docs))
     leaks = contaminated(docs.select(F.col("key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     gone = written(leaks.select(F.col("doc_id").alias("k")).distinct(), "leaks")
     return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, F.expr("key = k"), "left_anti").select(*COLUMNS)
@@ -79,7 +86,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of a document: its bin and its place there."""
-    return best_fit_packing(docs)
+    return best_fit_packing(documents(spark, docs))
 
 
 STAGES = [
