@@ -12,9 +12,10 @@ with the landmarks' presence vectors, features, whitening and ridge weights mult
 matrix, buckets by languages, and a batch of texts is scored by products with it.
 
 The classifier is fitted on a bounded sample of labelled rows: per language the ``SAMPLE`` rows
-whose ids hash lowest, of which ``LANDMARKS`` are landmarks, for ``MAX_LANGUAGES`` at most. Their n-grams are taken on the
-executors, so the driver holds at most 2**17 bucket numbers for each sampled row however long its
-text. Scoring reads every row and whole texts, in tasks, without a shuffle.
+whose ids hash lowest, of which ``LANDMARKS`` are landmarks, for ``MAX_LANGUAGES`` at most. Where many languages would make that
+more than ``SAMPLE_IN_ALL`` rows and ``LANDMARKS_IN_ALL`` landmarks, every language has an even share of these.
+N-grams are taken on the executors, and the driver holds 16 KB at most of a sampled row however long its
+text, one bit for each bucket and landmark, and the weights. Scoring reads every row and whole texts, in tasks, without a shuffle.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from .common import only, table
 
 SAMPLE = 400  # labelled rows of each language
 LANDMARKS = 100  # of these, landmarks
+SAMPLE_IN_ALL, LANDMARKS_IN_ALL = 20_000, 2_000
 MAX_LANGUAGES = 1000  # that are learned: those with the most labelled rows
 BUCKET_BITS = 17
 ORDERS = (1, 2, 3, 4)
@@ -83,31 +85,69 @@ def presence(text: str | None) -> np.ndarray:
     return b[np.concatenate(([True], b[1:] != b[:-1]))].astype(np.int64)
 
 
-def fit(rows: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages, weights buckets x languages, offset of each language) from labelled presences."""
+def compact(buckets: np.ndarray) -> bytes:
+    """Sorted buckets as 32-bit numbers, or as one bit each of all where that is no longer."""
+    if 4 * len(buckets) < _N // 8:
+        return buckets.astype(np.int32).tobytes()
+    bits = np.zeros(_N, bool)
+    bits[buckets] = True
+    return np.packbits(bits).tobytes()
+
+
+def listed(found: bytes) -> np.ndarray:
+    """The buckets of ``compact``."""
+    if len(found) < _N // 8:
+        return np.frombuffer(found, np.int32)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8)))
+
+
+def shares(languages: int, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> tuple[int, int]:
+    """Rows and landmarks that each of so many languages gets."""
+    return min(sample, max(2, SAMPLE_IN_ALL // max(languages, 1))), min(landmarks, max(2, LANDMARKS_IN_ALL // max(languages, 1)))
+
+
+def fit(rows: list[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(languages, weights buckets x languages, offset of each language) from labelled presences,
+    each as ``compact`` gives it. Sums over rows are taken block by block."""
     langs = sorted({lang for lang, _ in rows})
-    y = np.array([langs.index(lang) for lang, _ in rows])
+    number = {lang: k for k, lang in enumerate(langs)}
+    y = np.array([number[lang] for lang, _ in rows])
     chosen = np.concatenate([np.flatnonzero(y == k)[:landmarks] for k in range(len(langs))])
-    z = np.zeros((_N, len(chosen)), np.float32)  # landmarks' unit presence vectors
+    bits = np.zeros((_N, (len(chosen) + 7) // 8), np.uint8)  # landmarks' presences: a bit each
+    norm = np.zeros(len(chosen))
     for j, i in enumerate(chosen):
-        z[rows[i][1], j] = 1 / np.sqrt(len(rows[i][1]))
-    k_mm = (z.T @ z).astype(np.float64)
-    value, vector = np.linalg.eigh(k_mm)
+        b = listed(rows[i][1])
+        bits[b, j // 8] |= np.uint8(128 >> j % 8)
+        norm[j] = np.sqrt(len(b))
+
+    def kernel(i: int) -> np.ndarray:
+        """Of row i with every landmark."""
+        b, met = listed(rows[i][1]), np.zeros(len(chosen), np.int64)
+        for at in range(0, len(b), 2048):  # a few MB at a time
+            met += np.unpackbits(bits[b[at : at + 2048]], axis=1, count=len(chosen)).sum(axis=0, dtype=np.uint16)
+        return met / (norm * np.sqrt(len(b)))
+
+    value, vector = np.linalg.eigh(np.stack([kernel(i) for i in chosen]))
     ok = value > 1e-8 * value[-1]
     whiten = vector[:, ok] / np.sqrt(value[ok])
-    k_nm = np.zeros((len(rows), len(chosen)))
-    for i, (_, b) in enumerate(rows):
-        for at in range(0, len(b), 4096):  # a few MB at a time
-            k_nm[i] += z[b[at : at + 4096]].sum(axis=0)
-        k_nm[i] /= np.sqrt(len(b))
-    phi = k_nm @ whiten
-    size = np.bincount(y, minlength=len(langs))
-    weight = (1 / size[y]) / len(langs)  # every language counts alike
-    target = np.where(y[:, None] == np.arange(len(langs)), 1.0, -1.0)
-    mean, aim = weight @ phi, weight @ target
-    a, t = phi - mean, target - aim
-    beta = np.linalg.solve(a.T @ (a * weight[:, None]) + ridge * np.eye(a.shape[1]), a.T @ (t * weight[:, None]))
-    return langs, z @ (whiten @ beta).astype(np.float32), (aim - mean @ beta).astype(np.float32)
+    weight = (1 / np.bincount(y, minlength=len(langs)))[y] / len(langs)  # every language counts alike
+    square, mean = np.zeros((whiten.shape[1],) * 2), np.zeros(whiten.shape[1])
+    cross, aim = np.zeros((whiten.shape[1], len(langs))), np.zeros(len(langs))
+    for at in range(0, len(rows), 1024):
+        block = slice(at, at + 1024)
+        phi = np.stack([kernel(i) for i in range(at, min(at + 1024, len(rows)))]) @ whiten
+        target = np.where(y[block, None] == np.arange(len(langs)), 1.0, -1.0)
+        weighted = phi * weight[block, None]
+        square += phi.T @ weighted
+        cross += weighted.T @ target
+        mean += weighted.sum(axis=0)
+        aim += weight[block] @ target
+    beta = np.linalg.solve(square - np.outer(mean, mean) + ridge * np.eye(len(mean)), cross - np.outer(mean, aim))
+    part = ((whiten @ beta) / norm[:, None]).astype(np.float32)
+    weights = np.empty((_N, len(langs)), np.float32)
+    for at in range(0, _N, 4096):
+        weights[at : at + 4096] = np.unpackbits(bits[at : at + 4096], axis=1, count=len(chosen)).astype(np.float32) @ part
+    return langs, weights, (aim - mean @ beta).astype(np.float32)
 
 
 def scores(buckets: list[np.ndarray], weights: np.ndarray, offset: np.ndarray) -> np.ndarray:
@@ -130,24 +170,28 @@ def train(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) ->
     Each task passes on the first ``sample`` ids of a language at most (a window group limit), so a
     language of a third of all rows costs no more than any other. Of more than ``MAX_LANGUAGES``
     languages the ones with the most labelled rows (ties: the first by name) are learned. Rows that
-    share a doc_id and language each teach.
+    share a doc_id and language each teach. Without labelled rows the model has no language.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(), F.lit(False)))
+    langs = [r["lang"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    if not langs:
+        return [], np.zeros((_N, 0), np.float32), np.zeros(0, np.float32)
+    sample, landmarks = shares(len(langs), sample, landmarks)
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    langs = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
-    ids = usable.filter("doc_id is not null").join(F.broadcast(langs), "lang").select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    known = docs.sparkSession.createDataFrame([(lang,) for lang in langs], "lang string")
+    ids = usable.filter("doc_id is not null").join(F.broadcast(known), "lang").select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
     ids = ids.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= sample)
     ids = ids.select("doc_id", F.col("lang").alias("picked")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [presence(t.as_py()).astype(np.int32).tobytes() for t in batch.column("text")]
+            found = [compact(presence(t.as_py())) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id"), pa.array(found, pa.binary())], ["lang", "doc_id", "found"])
 
     # at most sample * languages ids: a bounded broadcast
     picked = usable.join(F.broadcast(ids), "doc_id").filter("lang = picked").select("lang", "doc_id", "text")
     got = picked.mapInArrow(run, "lang string, doc_id long, found binary").toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])
-    rows = [(lang.as_py(), np.frombuffer(b.as_buffer(), np.int32)) for lang, b in zip(got["lang"], got["found"], strict=True) if len(b.as_buffer())]
+    rows = [(lang.as_py(), b.as_buffer()) for lang, b in zip(got["lang"], got["found"], strict=True) if len(b.as_buffer())]
     if not rows:
         return [], np.zeros((_N, 0), np.float32), np.zeros(0, np.float32)
     return fit(rows, landmarks)

@@ -138,7 +138,7 @@ def test_kernel_ridge_like_dense_algebra():
     text = lambda k: " ".join(rng.choices([*words[k], "und", "kala"], k=rng.randint(3, 9)))
     rows = [(k, op5.presence(text(k))) for k in words for _ in range(14)]
     asked = [op5.presence(text(k)) for k in words for _ in range(5)] + [op5.presence("zz")]
-    langs, weights, offset = op5.fit(rows, landmarks=6)
+    langs, weights, offset = op5.fit([(k, op5.compact(b)) for k, b in rows], landmarks=6)
     kernel = lambda x, y: np.array([[len(set(p) & set(q)) / math.sqrt(len(p) * len(q)) for q in y] for p in x])
     marks = [r for k in langs for r in [b for lang, b in rows if lang == k][:6]]
     inner = np.linalg.pinv(kernel(marks, marks), rcond=1e-8, hermitian=True)
@@ -152,6 +152,28 @@ def test_kernel_ridge_like_dense_algebra():
     assert np.abs(op5.scores(asked, weights, offset) - want).max() < 2e-3
 
 
+def test_compact_presences():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for n in (1, 100, 4095, 4096, 50_000, 1 << op5.BUCKET_BITS):
+        b = np.sort(rng.choice(1 << op5.BUCKET_BITS, n, replace=False))
+        assert len(op5.compact(b)) <= 1 << (op5.BUCKET_BITS - 3) and op5.listed(op5.compact(b)).tolist() == b.tolist()
+
+
+def test_many_languages_share_the_bounds():
+    """Of two hundred composed languages each has 100 rows and 10 landmarks; unseen texts are told apart."""
+    assert op5.shares(4) == (400, 100) and op5.shares(200) == (100, 10) and op5.shares(1000) == (20, 2)
+    rng = random.Random(5)
+    lexicon = {f"l{k:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzäöüéèñçß", k=rng.randint(2, 8))) for _ in range(60)] for k in range(200)}
+    text = lambda g: " ".join(rng.choices(lexicon[g], k=40))
+    sample, landmarks = 12, op5.shares(200)[1]
+    langs, weights, offset = op5.fit([(g, op5.compact(op5.presence(text(g)))) for g in lexicon for _ in range(sample)], landmarks)
+    asked = [g for g in lexicon for _ in range(2)]
+    best = op5.scores([op5.presence(text(g)) for g in asked], weights, offset).argmax(axis=1)
+    assert sum(langs[k] == g for k, g in zip(best, asked, strict=True)) >= 0.97 * len(asked)
+
+
 def test_most_labelled_languages_are_learned(spark, monkeypatch):
     monkeypatch.setattr(op5, "MAX_LANGUAGES", 2)
     rows = [(i, f"wort {i} hund katze", "de") for i in range(40)] + [(100 + i, f"word {i} dog cat", "en") for i in range(30)] + [(200 + i, "mot chien chat", "fr") for i in range(5)]
