@@ -205,7 +205,6 @@ def features(nodes: list[Node]) -> np.ndarray:
     """A row for each node: its element, attribute tokens (own, inherited, of its subtree), depth,
     density of text, links and elements in the subtree, its place among its siblings and in the page."""
     n, g, a = len(nodes), len(GROUPS), len(ATTRIBUTE_TOKENS)
-    x = np.zeros((n, N_FEATURES), np.float32)
     chars = [0.0] * n
     words = [0.0] * n
     stops = [0.0] * n
@@ -215,19 +214,20 @@ def features(nodes: list[Node]) -> np.ndarray:
     inputs = [0.0] * n
     depth = [0] * n
     before = [0.0] * n
+    group, group_above = [0] * n, [0] * n  # a bit for each group, and for each kind of tokens
+    mark, mark_above = [0] * n, [0] * n
     seen = 0.0
     for i, node in enumerate(nodes):
         p = node.parent
         if p >= 0:
             depth[i] = depth[p] + 1
-            x[i, g : 2 * g] = np.maximum(x[p, g : 2 * g], x[p, :g])
-            x[i, 2 * g + a : 2 * g + 2 * a] = np.maximum(x[p, 2 * g + a : 2 * g + 2 * a], x[p, 2 * g : 2 * g + a])
+            group_above[i] = group_above[p] | group[p]
+            mark_above[i] = mark_above[p] | mark[p]
         k = _GROUP.get(node.tag)
         if k is not None:
-            x[i, k] = 1
+            group[i] = 1 << k
         for k in node.marks:
-            x[i, 2 * g + k] = 1
-            x[i, 2 * g + 2 * a + k] = 1
+            mark[i] |= 1 << k
         before[i] = seen
         if node.tag == "#text":
             t = node.text
@@ -237,13 +237,18 @@ def features(nodes: list[Node]) -> np.ndarray:
         else:
             tags[i] = 1
             inputs[i] = node.inputs
+    mark_below = mark.copy()
     for i in range(n - 1, 0, -1):  # children stand after their parents
         p = nodes[i].parent
-        for v in (chars, words, stops, links, tags, runs, inputs):
-            v[p] += v[i]
-        np.maximum(x[p, 2 * g + 2 * a : 2 * g + 3 * a], x[i, 2 * g + 2 * a : 2 * g + 3 * a], out=x[p, 2 * g + 2 * a : 2 * g + 3 * a])
+        chars[p] += chars[i]
+        words[p] += words[i]
+        stops[p] += stops[i]
+        links[p] += links[i]
+        tags[p] += tags[i]
+        runs[p] += runs[i]
+        inputs[p] += inputs[i]
+        mark_below[p] |= mark_below[i]
     total = max(1.0, chars[0])
-    c = 2 * g + 3 * a
     place, like = [0] * n, [1] * n
     kin = [(0.0, 0.0, 0.0, 0.0)] * n  # of the siblings of the same kind: characters, in links, signs that end clauses, the most characters
     best = [0.0] * n  # the most characters of a child
@@ -258,21 +263,28 @@ def features(nodes: list[Node]) -> np.ndarray:
                 for j in own:
                     like[j], kin[j] = len(own), sums
             best[i] = max(chars[j] for j in node.children)
-    for i, node in enumerate(nodes):
-        p = max(0, node.parent)
-        family = nodes[p].children if i else [0]
-        s, at, same = len(family), place[i], like[i]
-        mean = chars[p] / max(1, s)
-        left = chars[family[at - 1]] if at else 0.0
-        right = chars[family[at + 1]] if at + 1 < s else 0.0
-        x[i, c:] = (
-            node.tag == "#text", depth[i], np.log1p(chars[i]), np.log1p(words[i]), chars[i] / max(1.0, words[i]),
-            stops[i] / max(1.0, words[i]), links[i] / max(1.0, chars[i]), np.log1p(chars[i] / max(1.0, tags[i])), np.log1p(tags[i]), np.log1p(runs[i]),
-            inputs[i], chars[i] / total, chars[i] / max(1.0, chars[p]), links[p] / max(1.0, chars[p]), np.log1p(chars[p]), np.log1p(s),
-            same / s, at / s, np.log1p(mean), np.log1p(left), np.log1p(right), before[i] / total, len(node.children),
-            np.log1p(kin[i][0] / same), kin[i][1] / max(1.0, kin[i][0]), np.log1p(kin[i][2]), np.log1p(kin[i][3]), kin[i][0] / total, np.log1p(best[p]), np.log1p(best[i]),
-        )
-    return x
+    left, right, family = [0.0] * n, [0.0] * n, [1] * n
+    for node in nodes:
+        row = node.children
+        for at, j in enumerate(row):
+            family[j] = len(row)
+            if at:
+                left[j] = chars[row[at - 1]]
+                right[row[at - 1]] = chars[j]
+    p = np.maximum([node.parent for node in nodes], 0)
+    chars_, words_, links_, stops_, tags_, best_ = (np.array(v, np.float64) for v in (chars, words, links, stops, tags, best))
+    s, same, kin_ = np.array(family, np.float64), np.array(like, np.float64), np.array(kin, np.float64)
+    some, of_kin = np.maximum(chars_, 1), kin_[:, 0]
+    bits = lambda values, width: (np.array(values)[:, None] >> np.arange(width)) & 1
+    rest = (
+        [node.tag == "#text" for node in nodes], depth, np.log1p(chars_), np.log1p(words_), chars_ / np.maximum(words_, 1),
+        stops_ / np.maximum(words_, 1), links_ / some, np.log1p(chars_ / np.maximum(tags_, 1)), np.log1p(tags_), np.log1p(runs),
+        inputs, chars_ / total, chars_ / some[p], links_[p] / some[p], np.log1p(chars_[p]), np.log1p(s),
+        same / s, np.array(place) / s, np.log1p(chars_[p] / s), np.log1p(left), np.log1p(right), np.array(before) / total, [len(node.children) for node in nodes],
+        np.log1p(of_kin / same), kin_[:, 1] / np.maximum(of_kin, 1), np.log1p(kin_[:, 2]), np.log1p(kin_[:, 3]), of_kin / total, np.log1p(best_[p]), np.log1p(best_),
+    )
+    named = (bits(group, g), bits(group_above, g), bits(mark, a), bits(mark_above, a), bits(mark_below, a))
+    return np.concatenate((*named, np.stack(rest, axis=1)), axis=1).astype(np.float32)
 
 
 # Tags that stand beside each other in one text.
