@@ -55,50 +55,13 @@ def dedup_with_ttl(stream: DataFrame, key: str, ttl_seconds: int) -> DataFrame:
     )
 
 
-class _Expiring(StatefulProcessor):
-    """Emits a key when it has been silent for its time to live. The timer is set anew by each row; where a later row comes
-    before the timer could fire, the row itself shows that the key had expired."""
-
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("alive", "since long, due long, rows long")
-
-    def _emit(self, key) -> pd.DataFrame:
-        since, due, rows = self.state.get()
-        return pd.DataFrame({"key": [key[0]], "since_ms": [since], "expired_ms": [due], "n": [rows]})
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        times = sorted(t for frame in rows for t in frame["ms"].tolist())
-        for t in times:
-            since, due, n = self.state.get() if self.state.exists() else (t, None, 0)
-            if due is not None and t > due:
-                yield self._emit(key)
-                since, n = t, 0
-            self.state.update((min(since, t), max(due or 0, t + self.ttl_ms), n + 1))
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        if times:
-            self.handle.registerTimer(self.state.get()[1])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            yield self._emit(key)
-            self.state.clear()
-
-    def close(self) -> None:
-        pass
-
-
 def expired_keys(stream: DataFrame, key: str, ts: str, ttl_ms: int, late: str = "0 seconds") -> DataFrame:
     """(key, since_ms, expired_ms, n): every stretch of a key's rows (n of them, from ``since_ms``) after which it was silent for
-    ``ttl_ms``, once event time, less ``late``, has passed its end. Rows of a batch may come in any order; state is three
-    numbers a key, and goes when the timer fires. (Needs the RocksDB state store.)"""
-    out = f"key {dict(stream.dtypes)[key]}, since_ms long, expired_ms long, n long"
-    rows = stream.withWatermark(ts, late).select(F.col(key).alias("key"), ts, F.unix_millis(ts).alias("ms"))
-    return rows.groupBy("key").transformWithStateInPandas(statefulProcessor=_Expiring(ttl_ms), outputStructType=out, outputMode="Append", timeMode="EventTime")
+    ``ttl_ms``, once event time, less ``late``, has passed its end. Rows of a batch may come in any order; a stretch that is not over
+    is one row of state, and goes when it is given out. Rows without a time take no part."""
+    rows = stream.select(F.col(key).alias("key"), F.timestamp_millis(F.unix_millis(ts)).alias("ts")).withWatermark("ts", late)
+    stretches = rows.groupBy("key", F.session_window("ts", f"{ttl_ms} milliseconds").alias("at")).agg(F.count("*").alias("n"))
+    return stretches.select("key", F.unix_millis("at.start").alias("since_ms"), F.unix_millis("at.end").alias("expired_ms"), "n")
 
 
 class _Modified(StatefulProcessor):

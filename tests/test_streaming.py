@@ -78,3 +78,14 @@ def test_next_due(spark):
     df = spark.createDataFrame([(t(2024, 1, 31, 23),), (t(2024, 1, 31, 1),)], "x timestamp")
     got = df.select(F.date_format(streams.next_due(F.col("x"), "06:00", "Europe/Paris"), "yyyy-MM-dd HH:mm").alias("d")).collect()
     assert [r["d"] for r in got] == ["2024-02-01 05:00", "2024-01-31 05:00"]
+
+
+def test_expiry_is_not_row_by_row(spark, tmp_path):
+    """No row goes through Python; rows without a time take no part, one that comes at the end itself belongs to the stretch."""
+    t = lambda ms: dt.datetime(2024, 1, 1) + dt.timedelta(milliseconds=ms)
+    rows = [("a", t(0)), ("a", t(10_000)), ("a", t(20_001)), ("a", None), (None, t(5)), ("z", t(90_000))]
+    spark.createDataFrame(rows, "k string, ts timestamp").coalesce(1).write.parquet(f"{tmp_path}/in")
+    out = streams.expired_keys(spark.readStream.schema("k string, ts timestamp").parquet(f"{tmp_path}/in"), "k", "ts", 10_000)
+    assert "TransformWithState" not in out._jdf.queryExecution().toString()
+    got = sorted(((r["key"], r["n"], r["expired_ms"] - r["since_ms"]) for r in run(out, spark, "silent", rows=3)), key=str)
+    assert got == [("a", 1, 10_000), ("a", 2, 20_000), (None, 1, 10_000)]
