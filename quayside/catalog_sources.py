@@ -179,7 +179,7 @@ def daily_due(spark, sf_dir):
 def _in_turn(frame: DataFrame, path: str, parts: int, part, kind: str = "parquet") -> None:
     """Lands a file for each part, one after the other, so that their times differ."""
     for i in range(parts):
-        frame.filter(part == i).coalesce(1).write.format(kind).save(f"{path}/{i}")
+        frame.filter(part == i).repartition(1).write.format(kind).save(f"{path}/{i}")
         time.sleep(0.05)
 
 

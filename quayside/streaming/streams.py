@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -65,22 +65,23 @@ def expired_keys(stream: DataFrame, key: str, ts: str, ttl_ms: int, late: str =
 
 
 class _Modified(StatefulProcessor):
-    """Passes rows whose mtime is later than the last that passed."""
+    """Passes rows with a time after the last that passed in earlier batches, one of each time; rows of a batch may come in any order."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "mtime timestamp")
+    def __init__(self, place: int):
+        self.place = place
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(self.last.get()[0]) if self.last.exists() else None
-        for frame in rows:
-            frame = frame.sort_values("mtime")
-            new = frame if last is None else frame[frame["mtime"] > last]
-            new = new[new["mtime"] > new["mtime"].cummax().shift().fillna(pd.Timestamp(0))] if len(new) else new
-            if len(new):
-                last = new["mtime"].iloc[-1]
-                yield new
-        if last is not None:
-            self.last.update((last.to_pydatetime(),))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "us long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        last, passed = self.last.get(), set()
+        for row in rows:
+            at = row[self.place]
+            if at is not None and (last is None or at > last[0]) and at not in passed:
+                passed.add(at)
+                yield row
+        if passed:
+            self.last.update((max(passed),))
 
     def close(self) -> None:
         pass
@@ -88,9 +89,11 @@ class _Modified(StatefulProcessor):
 
 def modified_since(stream: DataFrame, key: str = "path") -> DataFrame:
     """Files that were never seen, or are newer than when last seen; state is one time a path."""
-    return stream.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=_Modified(), outputStructType=stream.schema, outputMode="Append", timeMode="None"
+    rows = stream.withColumn("mtime", F.unix_micros(F.col("mtime").cast("timestamp")))
+    new = rows.groupBy(key).transformWithState(
+        statefulProcessor=_Modified(rows.columns.index("mtime")), outputStructType=rows.schema, outputMode="Append", timeMode="None"
     )
+    return new.withColumn("mtime", F.timestamp_micros("mtime").cast(stream.schema["mtime"].dataType))
 
 
 def running_counters(stream: DataFrame) -> DataFrame:

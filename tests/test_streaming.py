@@ -89,3 +89,16 @@ def test_expiry_is_not_row_by_row(spark, tmp_path):
     assert "TransformWithState" not in out._jdf.queryExecution().toString()
     got = sorted(((r["key"], r["n"], r["expired_ms"] - r["since_ms"]) for r in run(out, spark, "silent", rows=3)), key=str)
     assert got == [("a", 1, 10_000), ("a", 2, 20_000), (None, 1, 10_000)]
+
+
+def test_modified_since_in_large_batches(spark, tmp_path):
+    """A path's rows of one batch may be more than an Arrow batch has, in any order: each time passes once. Times may lie before 1970."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        rows = spark.range(20).selectExpr("'f' AS path", "timestamp_seconds((id % 10 - 5) * 7 % 10) AS mtime")
+        rows.orderBy(F.desc("mtime")).coalesce(1).write.parquet(f"{tmp_path}/in")
+        src = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+        got = run(streams.modified_since(src), spark, "modified_large", rows=10)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r["mtime"] for r in got) == sorted(r["mtime"] for r in rows.distinct().collect()) and len(got) == rows.distinct().count()
