@@ -37,15 +37,15 @@ def narrowed(plan: DataFrame, totals: DataFrame, max_records: int = 20_000) -> D
     return wide.unionByName(rest)
 
 
-def prefix_tree(days: DataFrame, totals_of: Callable[[DataFrame], DataFrame], max_records: int = 20_000, length: int = 9, alphabet: str = "0123456789") -> DataFrame:
+def prefix_tree(days: DataFrame, totals_of: Callable[[DataFrame], DataFrame], max_records: int = 20_000, length: int = 9, alphabet: str = "0123456789", broad_ids: bool = False) -> DataFrame:
     """(day, prefix, total), written: the days whose total is within the limit with a null prefix, and of the others the shortest
     prefixes that are. ``totals_of`` gives (day, prefix, total) of searches(day, prefix); searches without a total, or with 0,
     have nothing to fetch and give no row.
 
     The tree is split level by level: one round of searches (or one aggregation, see ``counted``) for all prefixes of
     one length that are still too broad, of all days together, so it takes no more rounds than ids have signs. A whole id that is
-    still too broad cannot be narrowed, and prefixes that have less than the one they split (ids that are shorter, or have
-    other signs) would lose records: both are errors.
+    still too broad cannot be narrowed: an error, or with ``broad_ids`` a row like others, whose total tells that it is too broad.
+    Prefixes that have less than the one they split (ids that are shorter, or have other signs) would lose records: an error.
     """
     signs = F.array(*[F.lit(c) for c in alphabet])
     todo, leaves, due = days.select("day", F.lit(None).cast("string").alias("prefix")).distinct(), None, 0
@@ -55,6 +55,8 @@ def prefix_tree(days: DataFrame, totals_of: Callable[[DataFrame], DataFrame], ma
         if have < due:
             raise RuntimeError(f"prefixes of {size} signs have {have} of the {due} records of those they split")
         due = wide
+        if size == length and broad_ids:
+            return written(level if leaves is None else leaves.unionByName(level), "leaves")
         fits = level.filter(~too_broad("total", max_records))
         leaves = fits if leaves is None else leaves.unionByName(fits)
         broad = level.filter(too_broad("total", max_records))

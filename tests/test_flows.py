@@ -191,3 +191,19 @@ def test_stream_resumes_in_searches(spark, tmp_path):
     want = sorted(p for d in range(1, 5) for q in ("00", "01", "12") for p in pages(dt.date(2024, 1, d), q))
     assert sorted(p for _, rows in landed for p in rows) == want and [n for n, _ in landed] == [0, 1, 2]
     assert landed[1][1] == broken[0] and asked(log) == sorted([*want, *broken[0]])
+
+
+def test_prefix_leaves_with_broad_ids(spark, tmp_path):
+    """Whole ids that are too broad end no search for the leaves beside them, and are told where they are asked for."""
+    day = dt.date(2024, 1, 1)
+    ids = spark.createDataFrame([(day, "123")] * 5 + [(day, "124")] * 2 + [(day, "200")], "day date, id string")
+    got = requests.prefix_tree(ids.select("day"), requests.counted(ids), 4, 3, broad_ids=True)
+    assert sorted((r["prefix"], r["total"]) for r in got.collect()) == [("123", 5), ("124", 2), ("2", 1)]
+    from quayside import catalog, catalog_flows  # noqa: F401
+
+    keys = [3000 * i for i in range(41)] + [3, 6] + list(range(1, 600, 3))
+    spark.createDataFrame([(k, dt.datetime(2024, 5, 1)) for k in keys], "o_orderkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    leaves = [tuple(r) for r in catalog.QUERIES["prefix_leaves"](spark, str(tmp_path)).collect()]
+    texts = [f"{k % 1000 if k % 3 == 0 else k * 7919 % 1_000_000:06}" for k in keys]
+    assert ("2024", "000003", 1) in leaves and sum(n for _, _, n in leaves) == len(texts) - 41
+    assert all(sum(x.startswith(p) for x in texts) == n <= 40 < sum(x.startswith(p[:-1]) for x in texts) for _, p, n in leaves)
