@@ -51,6 +51,15 @@ def running(rows: DataFrame, key: str, order: list[str], value: str, name: str)
     return out.withColumn(name, F.col("_own") + F.col("_carry")).drop("_part", "_place", "_own", "_k", "_p", "_carry")
 
 
+def halved(text: str) -> tuple[bool, bytes]:
+    """(whether these are the bytes that a hexadecimal text stands for, the text's bytes or these)."""
+    try:
+        raw = bytes.fromhex(text)
+    except ValueError:
+        return False, text.encode()
+    return (True, raw) if raw.hex() == text else (False, text.encode())
+
+
 def folded_sha256(rows: DataFrame, key: str, order: list[str], text: str, size: str) -> DataFrame:
     """(key, n, total, sha256): for each key the SHA-256 of ``text`` (ASCII, never null) of its rows in order, one after the other, how
     many there are, and the sum of ``size``.
@@ -60,13 +69,13 @@ def folded_sha256(rows: DataFrame, key: str, order: list[str], text: str, size:
     """
     kind = dict(rows.dtypes)[key]
     ranged = in_ranges(rows.select(key, *order, F.col(text).alias("_text"), F.col(size).alias("_size")), key, order)
-    arrow = pa.schema([("_key", pa.string()), ("_part", pa.int32()), ("_nth", pa.int64()), ("_n", pa.int64()), ("_total", pa.int64()), ("_piece", pa.binary())])
+    arrow = pa.schema([("_key", pa.string()), ("_part", pa.int32()), ("_nth", pa.int64()), ("_n", pa.int64()), ("_total", pa.int64()), ("_hex", pa.bool_()), ("_piece", pa.binary())])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at, nth = {"n": 0, "total": 0, "size": 0, "text": []}, None, 0
 
         def done() -> pa.RecordBatch:
-            row = (at[1], at[0], nth, held["n"], held["total"], "".join(held["text"]).encode())
+            row = (at[1], at[0], nth, held["n"], held["total"], *halved("".join(held["text"])))
             held.update(n=0, total=0, size=0, text=[])
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
 
@@ -91,18 +100,18 @@ def folded_sha256(rows: DataFrame, key: str, order: list[str], text: str, size:
             return pa.RecordBatch.from_arrays([pa.array([at], pa.string()), pa.array([n], pa.int64()), pa.array([total], pa.int64()), pa.array([digest.hexdigest()])], ["_key", "n", "total", "sha256"])
 
         for batch in batches:
-            for own, count, size, piece in zip(*(batch.column(c) for c in ("_key", "_n", "_total", "_piece")), strict=True):
+            for own, count, size, half, piece in zip(*(batch.column(c) for c in ("_key", "_n", "_total", "_hex", "_piece")), strict=True):
                 if not began or own.as_py() != at:
                     if began:
                         yield done()
                     at, n, total, digest, began = own.as_py(), 0, 0, hashlib.sha256(), True
                 n += count.as_py()
                 total += size.as_py()
-                digest.update(piece.as_buffer())
+                digest.update(piece.as_py().hex().encode() if half.as_py() else piece.as_buffer())
         if began:
             yield done()
 
     by_range = ranged.select(F.col(key).cast("string").alias("_key"), "_part", "_place", "_text", "_size").repartition("_part").sortWithinPartitions("_part", "_place")
-    made = by_range.drop("_place").mapInArrow(pieces, "_key string, _part int, _nth long, _n long, _total long, _piece binary")
+    made = by_range.drop("_place").mapInArrow(pieces, "_key string, _part int, _nth long, _n long, _total long, _hex boolean, _piece binary")
     whole = made.repartition("_key").sortWithinPartitions("_key", "_part", "_nth").mapInArrow(fold, "_key string, n long, total long, sha256 string")
     return whole.select(F.col("_key").cast(kind).alias(key), "n", "total", "sha256")
