@@ -207,3 +207,25 @@ def test_prefix_leaves_with_broad_ids(spark, tmp_path):
     texts = [f"{k % 1000 if k % 3 == 0 else k * 7919 % 1_000_000:06}" for k in keys]
     assert ("2024", "000003", 1) in leaves and sum(n for _, _, n in leaves) == len(texts) - 41
     assert all(sum(x.startswith(p) for x in texts) == n <= 40 < sum(x.startswith(p[:-1]) for x in texts) for _, p, n in leaves)
+
+
+@pytest.mark.parametrize("group_bytes", [0, 400, 1 << 20])
+def test_small_bundles_are_not_folded(spark, group_bytes, monkeypatch):
+    """All, some or no bundles folded, of hashes that are hexadecimal or not; each fold's rows are counted."""
+    import hashlib
+
+    seen = []
+    fold = bundles.folded_sha256
+    monkeypatch.setattr(bundles, "folded_sha256", lambda rows, *a: seen.append(rows.count()) or fold(rows, *a))
+    monkeypatch.setattr(bundles, "GROUP_BYTES", group_bytes, raising=False)
+    monkeypatch.setattr(ordered, "CHUNK_BYTES", 200)
+    rng = random.Random(7)
+    hex_ = lambda i: hashlib.sha256(str(i % 13).encode()).hexdigest()
+    rows = [(b, rng.choice(["n1", "n2", None, f"m{i}"]), rng.choice([hex_(i), "AB", "x", "a b", None]) if b == "odd" else hex_(i), rng.choice([None, i]))
+            for b, n in (("one", 1), ("few", 4), ("odd", 30), (None, 3), ("many", 60)) for i in range(n)]
+    got = {r["bid"]: (r["resources_count"], r["total_bytes"], r["bundle_hash"]) for r in bundles.bundle_hashes(spark.createDataFrame(rows, "bid string, name string, sha256 string, size long").repartition(5)).collect()}
+    for bid in ("one", "few", "odd", None, "many"):
+        own = sorted(((n is not None, n or "", h or ""), s or 0) for b, n, h, s in rows if b == bid)
+        assert got[bid] == (len(own), sum(s for _, s in own), hashlib.sha256("".join(h for (_, _, h), _ in own).encode()).hexdigest())
+    assert len(got) == 5 and seen == {0: [98], 400: [90], 1 << 20: []}[group_bytes]
+    assert ordered.halved(hex_(1)) == (True, bytes.fromhex(hex_(1))) and ordered.halved("AB") == (False, b"AB") and ordered.halved("ab cd") == (False, b"ab cd")
