@@ -96,25 +96,25 @@ def completion_feed(spark, sf_dir):
 def _packed(spark, sf_dir, kind: str) -> DataFrame:
     """Each source's conversations' turns in archives: one archive a turn, its text in two members."""
 
+    def archive(name: str, body: bytes) -> bytes:
+        f = io.BytesIO()
+        if kind == "zip":
+            with zipfile.ZipFile(f, "w") as z:
+                z.writestr("d/a.txt", body)
+                z.writestr("b.txt", name)
+        else:
+            with tarfile.open(fileobj=f, mode="w") as t:
+                for member, data in (("d/a.txt", body), ("b.txt", name.encode())):
+                    info = tarfile.TarInfo(member)
+                    info.size = len(data)
+                    t.addfile(info, io.BytesIO(data))
+        data = f.getvalue() if kind != "tar.gz" else gzip.compress(f.getvalue(), 1, mtime=0)
+        return data[: len(data) // 2] if name.endswith("7") and kind == "tar.gz" else data
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for name, body in zip(b.column("name").to_pylist(), b.column("body").to_pylist(), strict=True):
-                f = io.BytesIO()
-                if kind == "zip":
-                    with zipfile.ZipFile(f, "w") as z:
-                        z.writestr("d/a.txt", body)
-                        z.writestr("b.txt", name)
-                else:
-                    with tarfile.open(fileobj=f, mode="w") as t:
-                        for member, data in (("d/a.txt", body), ("b.txt", name.encode())):
-                            info = tarfile.TarInfo(member)
-                            info.size = len(data)
-                            t.addfile(info, io.BytesIO(data))
-                data = f.getvalue() if kind != "tar.gz" else gzip.compress(f.getvalue(), 1, mtime=0)
-                out.append(data[: len(data) // 2] if name.endswith("7") and kind == "tar.gz" else data)
-            yield pa.RecordBatch.from_arrays([b.column("name"), pa.array(out, pa.binary())], ["name", "content"])
+        return archives.packed((name.as_py(), archive(name.as_py(), body.as_py())) for b in batches for name, body in zip(b.column("name"), b.column("body"), strict=True))
 
+    archives.bounded(spark)
     c = read(spark, sf_dir, "conversations").select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("body")
     )

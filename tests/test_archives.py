@@ -137,3 +137,16 @@ def test_table_function(spark):
         assert [(r["archive"], r["error"] is not None) for r in got if r["derived_from"] is None] == [("bad.gz", True)]
         assert {(r["member"], r["derived_from"]): bytes(r["body"]) for r in got if r["derived_from"]} == whole
         assert {r["archive"] for r in got if r["derived_from"]} == {"p.zip"}
+
+
+def test_archives_are_packed_in_batches(spark, sf_dir, monkeypatch):
+    """What is made, and what a worker is given, is bounded by bytes, not by rows alone."""
+    from quayside import catalog_writes
+
+    batches = list(archives.packed((str(i), b"x" * 100) for i in range(7)))
+    assert [b.num_rows for b in batches] == [7]
+    monkeypatch.setattr(archives, "BATCH_BYTES", 700)
+    assert [b.num_rows for b in archives.packed((str(i), b"x" * 100) for i in range(7))] == [3, 3, 1] and list(archives.packed(iter(()))) == []
+    catalog_writes._packed(spark, sf_dir, "tar")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 700
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
