@@ -95,9 +95,7 @@ def archive_gunzip(spark, sf_dir):
     """Every document is packed by gzip in one job and unpacked by the engine in the next."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            packed = [gzip.compress(x.as_py(), 1, mtime=0) for x in b.column("content")]
-            yield pa.RecordBatch.from_arrays([b.column("name"), pa.array(packed, pa.binary())], ["name", "content"])
+        return archives.packed((name.as_py(), gzip.compress(x.as_py(), 1, mtime=0)) for b in batches for name, x in zip(b.column("name"), b.column("content"), strict=True))
 
     docs = _files(spark, sf_dir)
     packed = docs.select(F.concat("name", F.lit(".gz")).alias("name"), "content").mapInArrow(run, "name string, content binary")
@@ -116,14 +114,13 @@ def archive_members(spark, sf_dir):
     import zipfile
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for name, body in zip(b.column("member"), b.column("content"), strict=True):
-                f = io.BytesIO()
-                with zipfile.ZipFile(f, "w") as z:
-                    z.writestr(name.as_py(), body.as_py())
-                out.append(f.getvalue())
-            yield pa.RecordBatch.from_arrays([b.column("name"), pa.array(out, pa.binary())], ["name", "content"])
+        def made(member: str, body: bytes) -> bytes:
+            f = io.BytesIO()
+            with zipfile.ZipFile(f, "w") as z:
+                z.writestr(member, body)
+            return f.getvalue()
+
+        return archives.packed((name.as_py(), made(member.as_py(), body.as_py())) for b in batches for name, member, body in zip(*(b.column(c) for c in ("name", "member", "content")), strict=True))
 
     turns = read(spark, sf_dir, "conversations").select(
         F.concat(F.lit("conv-"), F.col("conv_id").cast("string"), F.lit(".zip")).alias("name"),
