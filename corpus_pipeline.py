@@ -24,6 +24,7 @@ COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "stri
 #: share, looks like none of the learned languages, however many these are.
 LEAST_SCORE, LEAST_LIFT = 0.3, 1.2
 BROADCAST_IDS = 4_000_000  # 8 bytes each: at most 32 MB
+KEPT_PIECES = 1_000_000  # of the encoder, beside what the workers of the stages before have left in memory
 BATCH_BYTES = 8 << 20  # of texts that a Python worker is given at a time
 
 
@@ -86,7 +87,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of a document: its bin and its place there."""
-    return best_fit_packing(documents(spark, docs))
+    return best_fit_packing(documents(spark, docs), kept=KEPT_PIECES)
 
 
 STAGES = [

@@ -99,11 +99,11 @@ def pack_group(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES) ->
     return where, [caps[bisect_left(caps, max(1, u))] for u in used]
 
 
-def token_counts(docs: DataFrame, tokenizer: str | None = None, end: int = 1) -> DataFrame:
-    """(doc_id, n_tokens): ids of each whole text and ``end`` end marks."""
+def token_counts(docs: DataFrame, tokenizer: str | None = None, end: int = 1, kept: int | None = None) -> DataFrame:
+    """(doc_id, n_tokens): ids of each whole text and ``end`` end marks. A worker's encoder keeps ``kept`` pieces at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer)
+        encoder = encoder_of(tokenizer, kept)
         for batch in batches:
             parts = (batch.column("text").slice(at, ROWS).to_pylist() for at in range(0, len(batch), ROWS))
             n = [len(x) + end for part in parts for x in encoder.encode(part)]
@@ -144,9 +144,9 @@ def pack_lengths(counts: DataFrame, capacities: tuple[int, ...] = CAPACITIES, gr
     )
 
 
-def best_fit_packing(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, tokenizer: str | None = None) -> DataFrame:
+def best_fit_packing(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, tokenizer: str | None = None, kept: int | None = None) -> DataFrame:
     """Pack ``docs(doc_id, text)``. A null or empty text is one end mark; extra columns are ignored."""
-    counts = written(token_counts(only(docs, doc_id="long", text="string"), tokenizer), "counts")
+    counts = written(token_counts(only(docs, doc_id="long", text="string"), tokenizer, kept=kept), "counts")
     return pack_lengths(counts, capacities)
 
 

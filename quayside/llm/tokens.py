@@ -19,11 +19,12 @@ def default_path() -> str:
     return public_tokenizers.path(DEFAULT)
 
 
-def encoder(path: str | None = None) -> Encoder:
-    """This worker's encoder, with the pieces that earlier tasks met."""
+def encoder(path: str | None = None, kept: int | None = None) -> Encoder:
+    """This worker's encoder, with the pieces that earlier tasks met (so many at most, if given)."""
     cache = worker_cache()
     if ("encoder", path) not in cache:
         cache["encoder", path] = Encoder(path)
+    cache["encoder", path].LIMIT = kept or Encoder.LIMIT
     return cache["encoder", path]
 
 

@@ -212,3 +212,9 @@ def test_search_prunes():
 def test_search_empty(spark):
     none = op3.quantised(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert op3.top_k(none, none).collect() == []
+
+
+def test_pieces_kept_are_given_by_the_caller():
+    from quayside.llm import tokens
+
+    assert tokens.encoder(kept=7).LIMIT == 7 and tokens.encoder().LIMIT == tokens.Encoder.LIMIT and tokens.encoder(kept=7) is tokens.encoder()
