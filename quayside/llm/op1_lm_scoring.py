@@ -12,16 +12,15 @@ documents and whole texts.
   is scored there, so documents do not vouch for themselves.
 
 Unigram counts of the ``COMMON`` most frequent words and the counts of bigrams of two ``HOT`` words are small
-tables of fixed size; both are broadcast, and such bigrams are scored where the text is read. They
-are the most frequent ones, so no other bigram is in more than a small share of the text. Counts of
-all the others, which grow with the corpus, are never gathered in one place: postings (bigram,
-document, times) go, packed, to buckets by bigram; a bucket adds up its counts and sends each
-document's part of the losses back, summed, to the chunk that the document came from.
-
-Of the other words ("rare" here, whatever their number) no count is gathered either. A bigram with a
-rare word goes to a bucket of that word, of its second one if both are rare: all bigrams that end in
-a word meet there, and their times add up to its unigram count. If both are rare, a second posting
-goes to a bucket of the first one, whose count is known there, for the loss's denominator.
+tables of fixed size; both are broadcast. Counts of all other bigrams and words, which grow with the
+corpus, are never gathered in one place. Texts go, as numbers of words, to chunks of ``FLUSH`` words. A
+chunk sends each of its distinct bigrams and words without known count once, with its times, to buckets;
+a bucket adds up and answers in the same order, so an answer is only counts. The chunk then scores its
+documents on its own. What moves for a chunk is bounded by its distinct bigrams and words, whatever
+the number of buckets, and a bigram has one entry a chunk, however frequent it is.
+
+Bigrams of two words with ids go to buckets by ranges of equal expected weight, all others by ranges of a
+64-bit hash: keys of a bucket are neighbours, so their differences pack as well in many buckets as in few.
 """
 
 from __future__ import annotations
@@ -43,8 +42,8 @@ HOT = 512
 MU = 100.0
 UNKNOWN, START, FIRST = 0, 1, 2  # ids; words follow by falling frequency
 RARE = U64(1 << 63)  # marks the hash of a word that has no id
-POSTINGS_PER_BUCKET = 1_000_000
-FLUSH = 1_500_000  # postings or words that a task holds
+POSTINGS_PER_BUCKET = 2_000_000
+FLUSH = 1_500_000  # words of a chunk
 BROADCAST_IDS = 2_000_000
 
 
@@ -119,47 +118,57 @@ class Model:
         i = np.minimum(np.searchsorted(self.key, h), len(self.key) - 1)
         return np.where(self.key[i] == h, self.id_of[i].astype(U64), other)
 
-    def bigrams(self, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """A document's distinct bigrams of ids (before << 20 | word) and their times; those with a
-        rare word (before, word) and their times."""
-        w = self.tokens(h)
-        before = np.concatenate((np.array([START], U64), w[:-1]))
-        rare = (before | w) >= RARE
-        keys = np.sort((before[~rare] << U64(20) | w[~rare]).astype(np.int64))
-        begin, end = spans(keys)
-        x, y = before[rare], w[rare]
-        _, at, times = np.unique(mix(x) * U64(3) + mix(y ^ RARE), return_index=True, return_counts=True)
-        return keys[begin], end - begin, x[at], y[at], times
-
-    def losses(self, keys: np.ndarray, times: np.ndarray, counts: list[np.ndarray], own: list[np.ndarray]) -> list[np.ndarray]:
-        """Loss of all occurrences under each model; own: how many of a model's are the document's."""
-        before, word = keys >> 20, keys & 0xFFFFF
+    def losses(self, x: np.ndarray, y: np.ndarray, times: np.ndarray, counts: list, own: list, uni: list) -> list[np.ndarray]:
+        """Loss of all occurrences of bigrams (x, y) under each model; own: how many of a model's are the document's."""
         out = []
         for m in (0, 1):
-            p = (self.uni[m][word] - own[m] + 1) / (self.total[m] + self.size)
-            out.append(-times * np.log((counts[m] - own[m] + MU * p) / (np.maximum(self.uni[m][before] - own[m], 0) + MU)))
+            p = (uni[m][y] - own[m] + 1) / (self.total[m] + self.size)
+            out.append(-times * np.log((counts[m] - own[m] + MU * p) / (np.maximum(uni[m][x] - own[m], 0) + MU)))
         return out
 
-
-    def rare_losses(self, role: np.ndarray, rare: np.ndarray, other: np.ndarray, times: np.ndarray, good: np.ndarray) -> list[np.ndarray]:
-        """As losses, of all postings of some rare words. Role 0: bigrams (other, rare), without the
-        denominator if other is rare, too; 1: (rare, other); 2: only the denominator of role 0."""
-        ends, full = role == 0, role < 2
-        known = other < RARE
-        _, word = np.unique(rare, return_inverse=True)
-        _, pair = np.unique(mix(rare) * U64(3) + mix(other ^ RARE) + role.astype(U64), return_inverse=True)
-        at = np.where(known, other, U64(0)).astype(np.int64)
-        out = []
-        for m in (0, 1):
-            own = times * (good == (m == 0))
-            seen = np.bincount(word, own * ends)[word] if len(word) else own
-            pairs = np.bincount(pair, own)[pair] if len(pair) else own
-            p = (np.where(ends, seen, self.uni[m][at]) - own + 1) / (self.total[m] + self.size)
-            before = np.where(ends, self.uni[m][at], seen)
-            loss = np.where(~ends | known, np.log(np.maximum(before - own, 0) + MU), 0.0)
-            # (the count of a rare word includes the document's own, so p is above 0 where it counts)
-            out.append(times * (loss - np.log(np.where(full, pairs - own + MU * p, 1.0))))
-        return out
+    def ranges(self) -> tuple[np.ndarray, ...]:
+        """Where a word's bigrams begin in a line of all that are neither hot nor rare, were words independent;
+        their weight; and the part of it before each second word, if the first is hot or not."""
+        uni = (self.uni[0] + self.uni[1]).astype(float)
+        uni[UNKNOWN] *= not self.open
+        word = uni * (np.arange(len(uni)) != START)
+        cold = word * (np.arange(len(uni)) >= HOT)
+        weight = uni * np.where(np.arange(len(uni)) < HOT, cold.sum() / max(word.sum(), 1), 1.0)
+        return np.cumsum(weight) - weight, weight, *((np.cumsum(z) - z) / max(z.sum(), 1) for z in (cold, word))
+
+    def buckets(self) -> tuple[int, int]:
+        """Numbers of buckets for bigrams of words with ids, and for rare bigrams and words: at most so many
+        entries come as there are tokens of the kind."""
+        rare = sum(self.total) - sum(int(u[FIRST:].sum()) for u in self.uni) if self.open else 0
+        return tuple(max(8, math.ceil(n / POSTINGS_PER_BUCKET)) for n in (self.ranges()[1].sum(), 3 * rare))
+
+
+def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Ids, target flags and lengths of documents with up to ``FLUSH`` words, and the hashes of all their words."""
+
+    def held():
+        return doc, np.array(good, bool), np.array([len(h) for h in words], np.int64), np.concatenate(words)
+
+    hasher, size = WordHasher(), 0
+    doc, good, words = [], [], []
+    for batch in batches:
+        for d, text, g in zip(batch.column("doc_id"), batch.column("text"), batch.column("target"), strict=True):
+            doc.append(d.as_py())
+            good.append(g.as_py())
+            words.append(hasher(text.as_py()))
+            size += len(words[-1])
+            if size > FLUSH or len(doc) >= 100_000:
+                yield held()
+                doc, good, words, size = [], [], [], 0
+    if doc:
+        yield held()
+
+
+def befores(words: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The word before each word, in documents of so many words."""
+    before = np.concatenate((words[:1], words[:-1]))
+    before[(np.cumsum(size) - size)[size > 0]] = START
+    return before
 
 
 def hot_counts(docs: DataFrame, model: Model) -> DataFrame:
@@ -167,156 +176,146 @@ def hot_counts(docs: DataFrame, model: Model) -> DataFrame:
     shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model = WordHasher(), shared_value(shared)
+        model = shared_value(shared)
         table = np.zeros((2, HOT * HOT), np.int64)
-        for batch in batches:
-            for text, good in zip(batch.column("text"), batch.column("target"), strict=True):
-                h = hasher(text.as_py())
-                if len(h):
-                    keys, times = model.bigrams(h)[:2]
-                    before, word = keys >> 20, keys & 0xFFFFF
-                    hot = (before < HOT) & (word < HOT)
-                    table[0 if good.as_py() else 1, before[hot] * HOT + word[hot]] += times[hot]
+        for _, good, size, h in chunks_of(batches):
+            word = model.tokens(h)
+            before = befores(word, size)
+            hot, good = (before < HOT) & (word < HOT), np.repeat(good, size)
+            for m in (0, 1):
+                some = hot & (good == (m == 0))
+                table[m] += np.bincount((before[some] * U64(HOT) + word[some]).astype(np.int64), minlength=HOT * HOT)
         k = np.flatnonzero(table.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(table[0, k]), pa.array(table[1, k])], ["k", "t", "b"])
 
-    return docs.select("text", "target").mapInArrow(run, "k long, t long, b long").groupBy("k").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    return docs.mapInArrow(run, "k long, t long, b long").groupBy("k").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
 
 
-def postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """(bucket, chunk, blob). Negative buckets hold a chunk's documents: ids, tokens and the losses
-    of their hot bigrams. Others hold postings of the rest, from ``buckets`` on those with a rare word."""
+def chunks(docs: DataFrame, model: Model) -> DataFrame:
+    """(chunk, blob): ids, flags and lengths of documents, their words as ids, and the hashes of words
+    without id, which are numbered on from the last id."""
     shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        hasher, model = WordHasher(), shared_value(shared)
-        part, chunk = TaskContext.get().partitionId(), 0
-        docs_, keys_, rows_, times_, rare_, size = [], [], [], [], [], 0
+        model, part = shared_value(shared), TaskContext.get().partitionId()
+        for i, (doc, good, size, h) in enumerate(chunks_of(batches)):
+            word = model.tokens(h)
+            rare = word >= RARE
+            names = distinct_sorted(word[rare])
+            word[rare] = len(model.uni[0]) + np.searchsorted(names, word[rare])
+            ids, null = np.array([x or 0 for x in doc], np.int64), np.array([x is None for x in doc], np.uint8)
+            blob = pack(ids, null, good.astype(np.uint8), size, word.astype(np.uint32), np.diff(names, prepend=U64(0)))
+            yield pa.RecordBatch.from_arrays([pa.array([part * 1_000_000 + i]), pa.array([blob], pa.binary())], ["chunk", "blob"])
+
+    return docs.mapInArrow(run, "chunk long, blob binary")
+
+
+class Chunk:
+    """A chunk's documents, their distinct bigrams (x, y), and what it asks of the buckets: counts of ``dense``
+    bigrams by key, then of the ``rare`` bigrams and of words without id in the ``order`` of their hashes."""
+
+    def __init__(self, blob: bytes, known: int):
+        self.doc, self.null, good, self.size, word, gaps = unpack(blob)
+        names, self.good = np.cumsum(gaps, dtype=U64), good.astype(bool)
+        self.row = np.repeat(np.arange(len(self.size)), self.size)
+        pairs, self.at = np.unique(befores(word, self.size).astype(U64) << U64(32) | word, return_inverse=True)
+        self.x, self.y = (pairs >> U64(32)).astype(np.int64), (pairs & U64(0xFFFFFFFF)).astype(np.int64)
+        self.hot = np.flatnonzero((self.x < HOT) & (self.y < HOT))
+        rare = (self.x >= known) | (self.y >= known)
+        self.dense, self.rare = np.flatnonzero(~rare & ((self.x >= HOT) | (self.y >= HOT))), np.flatnonzero(rare)
+        x, y = (np.where(z < known, z.astype(U64), np.append(names, U64(0))[np.maximum(z - known, 0)]) for z in (self.x[rare], self.y[rare]))
+        hashes = np.concatenate((mix(x) * U64(3) + mix(y ^ RARE), mix(names)))
+        self.order = np.argsort(hashes, kind="stable")
+        self.keys, self.hashes, self.n_names = pairs[self.dense], hashes[self.order], len(names)
+        self.word, self.known = word, known
+
+    def times(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Of dense keys, and of hashes: occurrences in the chunk's target and background documents."""
+        dense, hashed, good = [], [], self.good[self.row]
+        for some in (good, ~good):
+            pairs = np.bincount(self.at[some], minlength=len(self.x))
+            names = self.word[some & (self.word >= self.known)] - self.known
+            dense.append(pairs[self.dense])
+            hashed.append(np.concatenate((pairs[self.rare], np.bincount(names, minlength=self.n_names)))[self.order])
+        return dense, hashed
+
+
+def postings(parts: DataFrame, model: Model) -> DataFrame:
+    """(bucket, chunk, piece, blob): keys in order and their times in each model. A chunk's pieces
+    are numbered in the order of its keys, and of its hashes after them."""
+    shared = share(parts.sparkSession, model)
 
-        def emit():
-            name = part * 1_000_000 + chunk
-            d = np.array([x[0] if x[0] is not None else 0 for x in docs_], np.int64)
-            null = np.array([x[0] is None for x in docs_], np.uint8)
-            n, a, b = (np.array([x[i] for x in docs_], np.float64) for i in (1, 2, 3))
-            good = np.array([x[4] for x in docs_], np.uint8)
-            out = [(-1 - name, pack(d, null, n, a, b))]
-            if keys_:
-                key, times = np.concatenate(keys_).astype(U64), np.concatenate(times_)
-                row = np.repeat(np.array(rows_, np.uint32), [len(k) for k in keys_])
-                bucket = (mix(key) % U64(buckets)).astype(np.int64)
-                order = np.lexsort((key, bucket))
-                key, times, row, bucket = key[order], times[order], row[order], bucket[order]
-                for i, j in zip(*spans(bucket), strict=True):
-                    own, local = np.unique(row[i:j], return_inverse=True)
-                    blob = pack(np.diff(key[i:j], prepend=U64(0)), local.astype(np.uint32), times[i:j].astype(np.uint32), own, good[own])
-                    out.append((int(bucket[i]), blob))
-            if rare_:
-                x, y, times = (np.concatenate([r[i] for r in rare_]) for i in (1, 2, 3))
-                row = np.repeat(np.array([r[0] for r in rare_], np.uint32), [len(r[1]) for r in rare_])
-                last, two = y >= RARE, (x & y) >= RARE
-                role = np.concatenate((np.where(last, 0, 1), np.full(two.sum(), 2))).astype(np.uint8)
-                word, other = np.concatenate((np.where(last, y, x), x[two])), np.concatenate((np.where(last, x, y), y[two]))
-                times, row = (np.concatenate((z, z[two])) for z in (times, row))
-                bucket = (mix(word) % U64(buckets)).astype(np.int64) + buckets
-                order = np.lexsort((word, bucket))
-                role, word, other, times, row, bucket = (z[order] for z in (role, word, other, times, row, bucket))
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        model, out = shared_value(shared), []
+        begin, weight, cold, word = model.ranges()
+        n_dense, n_hashed = model.buckets()
+        for chunk, raw in zip(frame["chunk"], frame["blob"], strict=True):
+            c, piece = Chunk(raw, len(model.uni[0])), 0
+            x, y = c.x[c.dense], c.y[c.dense]
+            place = (begin[x] + weight[x] * np.where(x < HOT, cold[y], word[y])) / max(weight.sum(), 1)
+            dense = np.minimum((place * n_dense).astype(np.int64), n_dense - 1)
+            hashed = n_dense + ((c.hashes >> U64(32)) * U64(n_hashed) >> U64(32)).astype(np.int64)
+            for bucket, keys, (t, b) in zip((dense, hashed), (c.keys, c.hashes), c.times(), strict=True):
                 for i, j in zip(*spans(bucket), strict=True):
-                    own, local = np.unique(row[i:j], return_inverse=True)
-                    blob = pack(role[i:j], np.diff(word[i:j], prepend=U64(0)), other[i:j], local.astype(np.uint32), times[i:j].astype(np.uint32), own, good[own])
-                    out.append((int(bucket[i]), blob))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), pa.array([name] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary())],
-                ["bucket", "chunk", "blob"],
-            )
+                    blob = pack(np.diff(keys[i:j], prepend=U64(0)), t[i:j].astype(np.uint32), b[i:j].astype(np.uint32))
+                    out.append((bucket[i], chunk, piece, blob))
+                    piece += 1
+        return pd.DataFrame(out, columns=["bucket", "chunk", "piece", "blob"])
 
-        for batch in batches:
-            for doc, text, good in zip(batch.column("doc_id"), batch.column("text"), batch.column("target"), strict=True):
-                h, good = hasher(text.as_py()), good.as_py()
-                a = b = 0.0
-                if len(h):
-                    keys, times, *rare = model.bigrams(h)
-                    before, word = keys >> 20, keys & 0xFFFFF
-                    hot = (before < HOT) & (word < HOT)
-                    at = before[hot] * HOT + word[hot]
-                    own = [times[hot] if good else 0, 0 if good else times[hot]]
-                    a, b = (float(x.sum()) for x in model.losses(keys[hot], times[hot], [model.hot[0][at], model.hot[1][at]], own))
-                    keys_.append(keys[~hot])
-                    times_.append(times[~hot])
-                    rows_.append(len(docs_))
-                    size += len(keys_[-1])
-                    if len(rare[0]):
-                        rare_.append((len(docs_), *rare))
-                        size += 2 * len(rare[0])
-                docs_.append((doc.as_py(), len(h), a, b, good))
-                if size > FLUSH or len(docs_) >= 100_000:
-                    yield emit()
-                    docs_, keys_, rows_, times_, rare_, size = [], [], [], [], [], 0
-                    chunk += 1
-        if docs_:
-            yield emit()
+    return parts.groupBy("chunk").applyInPandas(run, "bucket long, chunk long, piece long, blob binary")
 
-    return docs.mapInArrow(run, "bucket long, chunk long, blob binary")
 
-
-def bucket_losses(posts: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """(chunk, base, blob): documents as they are, and parts of their losses from each bucket."""
-    shared = share(posts.sparkSession, model)
+def bucket_counts(posts: DataFrame) -> DataFrame:
+    """(chunk, piece, blob): for each key of a piece, in its order, the times of all chunks in each model."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        if frame["bucket"].iloc[0] < 0:
-            return pd.DataFrame({"chunk": frame["chunk"], "base": True, "blob": frame["blob"]})
-        model = shared_value(shared)
-        rare = frame["bucket"].iloc[0] >= buckets
-        roles, others, key, local, times, own, good = [], [], [], [], [], [], []
+        keys, times = [], ([], [])
         for raw in frame["blob"]:
-            if rare:
-                role, d, other, r, t, o, g = unpack(raw)
-                roles.append(role)
-                others.append(other)
-            else:
-                d, r, t, o, g = unpack(raw)
-            key.append(np.cumsum(d, dtype=U64))
-            local.append(r)
-            times.append(t.astype(np.int64))
-            own.append(o)
-            good.append(g[r])
-        k, t, g = np.concatenate(key), np.concatenate(times), np.concatenate(good).astype(bool)
-        if rare:
-            a, b = model.rare_losses(np.concatenate(roles), k, np.concatenate(others), t, g)
-        else:
-            known = distinct_sorted(k)
-            i = np.searchsorted(known, k)
-            counts = [np.bincount(i, t * c, len(known)).astype(np.int64)[i] for c in (g, ~g)]
-            a, b = model.losses(k.astype(np.int64), t, counts, [t * g, t * ~g])
-        blobs, at = [], 0
-        for r, o in zip(local, own, strict=True):
-            part = slice(at, at + len(r))
-            at += len(r)
-            blobs.append(pack(o, np.bincount(r, a[part], len(o)), np.bincount(r, b[part], len(o))))
-        return pd.DataFrame({"chunk": frame["chunk"], "base": False, "blob": blobs})
-
-    return posts.groupBy("bucket").applyInPandas(run, "chunk long, base boolean, blob binary")
-
-
-def chunk_scores(parts: DataFrame) -> DataFrame:
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        base = frame["base"].to_numpy(bool)
-        doc, null, n, a, b = unpack(frame["blob"][base].iloc[0])
-        for raw in frame["blob"][~base]:
-            row, x, y = unpack(raw)
-            a[row] += x
-            b[row] += y
-        some = n > 0
-        a, b = (np.where(some, x / np.maximum(n, 1), np.nan) for x in (a, b))
-        out = pd.DataFrame({"n_tokens": n.astype(np.int64), "loss_target": a.round(6), "loss_background": b.round(6), "score": (a - b).round(6)})
-        out.insert(0, "doc_id", pd.array(np.where(null == 1, 0, doc), "Int64"))
-        out.loc[null == 1, "doc_id"] = pd.NA
+            d, *t = unpack(raw)
+            keys.append(np.cumsum(d, dtype=U64))
+            for m in (0, 1):
+                times[m].append(t[m])
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        counts = [np.split(np.bincount(at, np.concatenate(t)).astype(np.int64)[at], cuts) for t in times]
+        return pd.DataFrame({"chunk": frame["chunk"], "piece": frame["piece"], "blob": [pack(t, b) for t, b in zip(*counts, strict=True)]})
+
+    return posts.groupBy("bucket").applyInPandas(run, "chunk long, piece long, blob binary")
+
+
+def chunk_scores(parts: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
+    shared = share(parts.sparkSession, model)
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        model = shared_value(shared)
+        c = Chunk(left["blob"].iloc[0], len(model.uni[0]))
+        got = [unpack(raw) for raw in right.sort_values("piece")["blob"]]
+        pairs, uni = [], []
+        for m in (0, 1):
+            told = np.concatenate([np.zeros(0, np.int64), *(g[m] for g in got)])
+            if len(left) != 1 or len(told) != len(c.keys) + len(c.hashes):
+                raise RuntimeError("the documents changed while they were scored")
+            hashed = np.zeros(len(c.hashes), np.int64)
+            hashed[c.order] = told[len(c.keys) :]
+            n = np.zeros(len(c.x), np.int64)
+            n[c.hot] = model.hot[m][c.x[c.hot] * HOT + c.y[c.hot]]
+            n[c.dense], n[c.rare] = told[: len(c.keys)], hashed[: len(c.rare)]
+            pairs.append(n)
+            uni.append(np.concatenate((model.uni[m], hashed[len(c.rare) :])))
+        found, times = np.unique(c.row * len(c.x) + c.at, return_counts=True)  # a document's distinct bigrams
+        row, at = np.divmod(found, max(len(c.x), 1))
+        own = [times * (c.good[row] == (m == 0)) for m in (0, 1)]
+        losses = model.losses(c.x[at], c.y[at], times, [n[at] for n in pairs], own, uni)
+        a, b = (np.where(c.size > 0, np.bincount(row, z, len(c.size)) / np.maximum(c.size, 1), np.nan) for z in losses)
+        out = pd.DataFrame({"n_tokens": c.size, "loss_target": a.round(6), "loss_background": b.round(6), "score": (a - b).round(6)})
+        out.insert(0, "doc_id", pd.array(np.where(c.null == 1, 0, c.doc), "Int64"))
+        out.loc[c.null == 1, "doc_id"] = pd.NA
         return out
 
     kinds = "doc_id long, n_tokens long, loss_target double, loss_background double, score double"
-    return parts.groupBy("chunk").applyInPandas(run, kinds)
+    return parts.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInPandas(run, kinds)
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -340,8 +339,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     for m, c in enumerate(("t", "b")):
         model.hot[m] = np.zeros(HOT * HOT, np.int64)
         model.hot[m][hot["k"].to_numpy(np.int64)] = hot[c].to_numpy(np.int64)
-    buckets = max(8, math.ceil(0.6 * sum(total) / POSTINGS_PER_BUCKET))
-    return chunk_scores(bucket_losses(postings(docs, model, buckets), model, buckets)).replace(float("nan"), None)
+    parts = chunks(docs, model)  # both uses read one shuffle
+    return chunk_scores(parts, bucket_counts(postings(parts, model)), model).replace(float("nan"), None)
 
 
 def op1_lm_scoring(spark, sf_dir: str) -> DataFrame:

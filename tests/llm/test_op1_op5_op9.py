@@ -92,6 +92,42 @@ def test_more_words_than_are_broadcast(spark):
     assert got[1] == got[2] < got[3] - 0.001
 
 
+def shuffled(spark) -> int:
+    """Bytes that shuffles have written so far."""
+    jsc = spark.sparkContext._jsc.sc()
+    jsc.listenerBus().waitUntilEmpty(30_000)
+    executors = jsc.statusStore().executorList(True)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_more_buckets_move_no_more(spark, monkeypatch):
+    """A larger corpus has more buckets, but what a document sends and gets back stays the same, as do the scores."""
+    monkeypatch.setattr(op1, "COMMON", 1000)
+    monkeypatch.setattr(op1, "HOT", 16)
+    rng = random.Random(11)
+    words, weights = [f"w{j}" for j in range(4000)], [1 / (j + 1) for j in range(4000)]
+    rows = [(i, " ".join(rng.choices(words, weights=weights, k=150))) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2).cache()
+    good = spark.createDataFrame([(i,) for i in range(300)], "doc_id long")
+    moved, got = [], []
+    for most in (20_000, 1_000):
+        monkeypatch.setattr(op1, "POSTINGS_PER_BUCKET", most)
+        before = shuffled(spark)
+        got.append(sorted(map(tuple, op1.cross_entropy_difference(df, good).collect())))
+        moved.append(shuffled(spark) - before)
+    df.unpersist()
+    assert got[0] == got[1] and moved[1] < 1.3 * moved[0]
+    want = {r[0]: r[1:] for r in brute_scores(rows, set(range(300)), {w for _, t in rows for w in words_of(t)})}
+    for d, n, *loss in (r[:4] for r in got[1]):
+        assert n == want[d][0] and loss == pytest.approx(want[d][1:], abs=2e-5)
+
+
+def test_chunks_without_words(spark):
+    docs = spark.createDataFrame([(1, None), (2, " "), (None, "")], "doc_id long, text string").coalesce(1)
+    got = op1.cross_entropy_difference(docs, docs.select("doc_id")).collect()
+    assert sorted((r["doc_id"] or 0, *r[1:]) for r in got) == [(i, 0, None, None, None) for i in range(3)]
+
+
 def test_no_documents(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert op1.cross_entropy_difference(none, none.select("doc_id")).collect() == []
