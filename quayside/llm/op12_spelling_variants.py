@@ -21,7 +21,8 @@ has letters, and nothing but near pairs is made. Both ways give every pair of th
 *Forms and roots.* A word's form is its near word of largest n, if that is at least twice the word's n. Forms
 grow at each step, so chains have at most log2(n) of them; pointers double until none moves.
 
-Native: DataFrame functions only. The tables that are joined have a few rows for each distinct word.
+Native: DataFrame functions only. The tables that are joined have a few rows for each distinct word, and are
+shuffled: Spark would judge them by the compressed files of words they come from, and broadcast what is many times that.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ ONE_IN = 97  # runs lose a code point
 LEAST_LENGTH, LEAST_COUNT = 5, 3
 RATIO = 2  # a form is so many times as frequent
 HOT_PAIRS = 16_384  # of a key beyond which words meet without one code point
-BROADCAST_KEYS = 100_000
+BROADCAST_KEYS, BROADCAST_BYTES = 100_000, 4 << 20  # hot keys, and their grams
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -45,6 +46,11 @@ def without(word: Column, i: Column) -> Column:
     return F.concat(F.substr(word, F.lit(1), i.cast("int")), F.substr(word, i.cast("int") + 2))
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """The table, never broadcast in a join."""
+    return df.hint("merge")
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) of ``docs(doc_id, text)``. Null and empty texts have no runs; a null doc_id counts as
     an empty string; rows that repeat count each; extra columns are ignored."""
@@ -87,13 +93,13 @@ def near_pairs(words: DataFrame) -> DataFrame:
     left, right = chunks(words), grams(words)
     sides = left.select(*key, F.lit(1).alias("c"), F.lit(0).alias("g")).unionByName(right.select(*key, F.lit(0).alias("c"), F.lit(1).alias("g")))
     hot = written(sides.groupBy(*key).agg(F.sum("c").alias("c"), F.sum("g").alias("g")).filter(F.col("c") * F.col("g") > HOT_PAIRS).select(*key), "hot")
-    n_hot = hot.count()
+    n_hot, gram_bytes = hot.agg(F.count("*"), F.sum(F.octet_length("gram"))).first()
     cold = left, right
     if n_hot:
-        keys = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
+        keys = F.broadcast(hot) if n_hot <= BROADCAST_KEYS and gram_bytes <= BROADCAST_BYTES else shuffled(hot)
         cold = tuple(side.join(keys, key, "left_anti") for side in (left, right))
     proper = (F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))
-    pairs = cold[0].join(cold[1], key).filter(proper & (F.levenshtein("a", "b", 1) == 1)).select("a", "na", "b", "nb")
+    pairs = cold[0].join(shuffled(cold[1]), key).filter(proper & (F.levenshtein("a", "b", 1) == 1)).select("a", "na", "b", "nb")
     if n_hot:
         some, others = left.join(keys, key, "left_semi").select("a", "na").distinct(), right.join(keys, key, "left_semi").select("b", "nb").distinct()
 
@@ -102,8 +108,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
             return F.transform(F.sequence(F.lit(0), F.length(name) - 1), lambda i: F.struct(i.alias("place"), without(F.col(name), i).alias("rest")))
 
         gone = others.select("b", "nb", F.inline(holes("b")))
-        same = some.select("a", "na", F.inline(holes("a"))).join(gone, ["place", "rest"]).filter("a < b")
-        longer = some.withColumn("rest", F.col("a")).join(gone.drop("place").distinct(), "rest")
+        same = some.select("a", "na", F.inline(holes("a"))).join(shuffled(gone), ["place", "rest"]).filter("a < b")
+        longer = some.withColumn("rest", F.col("a")).join(shuffled(gone.drop("place").distinct()), "rest")
         pairs = pairs.unionByName(same.select("a", "na", "b", "nb")).unionByName(longer.select("a", "na", "b", "nb"))
     return pairs.distinct()
 
@@ -112,7 +118,7 @@ def roots(forms: DataFrame) -> DataFrame:
     """(word, root) of forms(word, form): where following forms ends. Pointers double, each round written."""
     at = written(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
-        ahead = at.select(F.col("word").alias("root"), F.col("root").alias("far"))
+        ahead = shuffled(at.select(F.col("word").alias("root"), F.col("root").alias("far")))
         if not at.join(ahead, "root", "left_semi").take(1):
             return at
         last, at = at, written(at.join(ahead, "root", "left").select("word", F.coalesce("far", "root").alias("root")), "roots")
@@ -126,11 +132,11 @@ def spelling_variants(words: DataFrame) -> DataFrame:
     pairs = written(near_pairs(words), "near")
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), F.col("nb").alias("m")).union(pairs.select("b", "a", "na"))
     best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("m")).alias("m"), "other")).alias("best"))
-    found = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.col("best.other").alias("other"), (-F.col("best.m")).alias("m"))
+    found = words.join(shuffled(best), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.col("best.other").alias("other"), (-F.col("best.m")).alias("m"))
     has = F.col("m") >= RATIO * F.col("n")
     found = written(found.select("word", "n", "n_near", F.when(has, F.col("other")).alias("form"), F.when(has, F.col("m")).alias("form_n")), "forms")
     end = roots(found.filter("form is not null"))
-    out = found.join(end, "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
+    out = found.join(shuffled(end), "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
     discard(pairs)
     return out
 

@@ -3,7 +3,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pytest
@@ -176,6 +176,31 @@ def test_no_words(spark):
     assert op12.spelling_variants(op12.written(op12.word_counts(df), "words")).collect() == []
 
 
+def test_no_table_that_grows_is_broadcast(spark, monkeypatch):
+    """With every broadcast an error: words that differ in their first letter have forms, and all chunks are hot, or none."""
+    words = ["".join(w) for w in product("abcd", repeat=5)]
+    df = spark.createDataFrame([(w, 3 << ord(w[0]) - ord("a")) for w in words], "word string, n long")
+    want = sorted((w, 3 << i, 15, None if i == 3 else "d" + w[1:], None if i == 3 else 24, "d" + w[1:]) for w in words for i in ["abcd".index(w[0])])
+    monkeypatch.setattr(op12, "BROADCAST_KEYS", 0)
+    before = spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1b")
+    try:
+        for hot in (1, 16_384):
+            monkeypatch.setattr(op12, "HOT_PAIRS", hot)
+            assert sorted(tuple(r) for r in op12.spelling_variants(op12.written(df, "words")).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.maxBroadcastTableSize", before)
+
+
+def test_hot_chunks_of_many_bytes_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(op12, "HOT_PAIRS", 1)
+    words = op12.written(spark.createDataFrame([("abcdefgh" * 20 + c, 3) for c in "uvwx"], "word string, n long"), "words")
+    plan = lambda: op12.near_pairs(words)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan()
+    monkeypatch.setattr(op12, "BROADCAST_BYTES", 50)
+    assert "Broadcast" not in plan() and op12.near_pairs(words).count() == 6
+
+
 def test_long_chain_of_forms(spark):
     forms = spark.createDataFrame([(f"w{i:03}", f"w{i + 1:03}") for i in range(100)], "word string, form string")
     assert {r["root"] for r in op12.roots(forms).collect()} == {"w100"}
