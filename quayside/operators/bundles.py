@@ -21,13 +21,15 @@ def manifest(resources: DataFrame) -> DataFrame:
 GROUP_BYTES = 1 << 20  # of a bundle's names and hashes that are put in order as one group
 
 
-def bundle_hashes(manifest_rows: DataFrame, by: str = "bid") -> DataFrame:
+def bundle_hashes(manifest_rows: DataFrame, by: str = "bid", at_rest: bool = False) -> DataFrame:
     """Summary and hash of each bundle: the hash of its resources' hashes in the order of names. Bundles of up to ``GROUP_BYTES`` are
     a group each, larger ones are folded piece by piece, however large they are. A resource without content counts,
-    and has no part in the hash."""
-    rows = written(manifest_rows.select(by, "name", F.coalesce("sha256", F.lit("")).alias("sha256"), "size"), "hashed")
+    and has no part in the hash. The rows are written, unless they are ``at_rest``: made from tables, at little cost each time."""
+    rows = manifest_rows.select(by, "name", F.coalesce("sha256", F.lit("")).alias("sha256"), "size")
+    if not at_rest:
+        rows = written(rows, "hashed")
     bytes_ = F.sum(F.octet_length("sha256") + F.coalesce(F.octet_length("name"), F.lit(0)) + 16)
-    large = written(rows.groupBy(F.col(by).alias("_by")).agg(bytes_.alias("_bytes")).filter(F.col("_bytes") > GROUP_BYTES).select("_by"), "large")
+    large = written(rows.groupBy(F.col(by).alias("_by")).agg(bytes_.alias("_bytes")).filter(F.col("_bytes") > GROUP_BYTES), "large")
     found = F.count("*").alias("resources_count"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes")
     joined = F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("name", "sha256"))), lambda x: x["sha256"]))
     small = rows
@@ -37,7 +39,7 @@ def bundle_hashes(manifest_rows: DataFrame, by: str = "bid") -> DataFrame:
     out = small.groupBy(by).agg(*found, F.sha2(joined.cast("binary"), 256).alias("bundle_hash"))
     if not some:
         return out
-    folded = folded_sha256(rows.join(large, same, "left_semi"), by, ["name", "sha256"], "sha256", "size")
+    folded = folded_sha256(rows.join(large, same, "left_semi"), by, ["name", "sha256"], "sha256", "size", large)
     return out.unionByName(folded.select(by, F.col("n").alias("resources_count"), F.col("total").alias("total_bytes"), F.col("sha256").alias("bundle_hash")))
 
 

@@ -5,14 +5,18 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..shared import written
+from ..shared import discard, written
 
 CHUNK_BYTES = 1 << 20  # of a fold's input in one row
+ROUND_BYTES = 256 << 20  # of keys that are folded at once, at least
 
 
 def in_ranges(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -60,36 +64,69 @@ def halved(text: str) -> tuple[bool, bytes]:
     return (True, raw) if raw.hex() == text else (False, text.encode())
 
 
-def folded_sha256(rows: DataFrame, key: str, order: list[str], text: str, size: str) -> DataFrame:
+def halves(text: Column) -> tuple[Column, Column]:
+    """As ``halved``, of a column."""
+    raw = F.unhex(text)
+    whole = F.coalesce(F.lower(F.hex(raw)) == text, F.lit(False))
+    return whole, F.when(whole, raw).otherwise(text.cast("binary"))
+
+
+def in_rounds(sizes: DataFrame, key: str, size: str) -> tuple[DataFrame, int]:
+    """(_of, _round) of sizes(key, size), and the number of rounds: the largest first, each round about as much as the largest key, or a
+    quarter of all (at most that and one key more), and no less than ``ROUND_BYTES``."""
+    total, most = sizes.agg(F.sum(size), F.max(size)).first()
+    bound = max(most, -(-total // 4), ROUND_BYTES)
+    named = sizes.select(F.col(key).alias("_of"), F.col(size).alias("_size"), (-F.col(size)).alias("_down"), F.lit("").alias("_all"))
+    if total <= bound:
+        return named.select("_of", F.lit(0).cast("long").alias("_round")), 1
+    before = running(named, "_all", ["_down", "_of"], "_size", "_before")
+    return written(before.select("_of", F.floor(F.col("_before") / bound).cast("long").alias("_round")), "rounds"), (total - 1) // bound + 1
+
+
+def folded_sha256(rows: DataFrame, key: str, order: list[str], text: str, size: str, sizes: DataFrame | None = None) -> DataFrame:
     """(key, n, total, sha256): for each key the SHA-256 of ``text`` (ASCII, never null) of its rows in order, one after the other, how
     many there are, and the sum of ``size``.
 
     Each range joins the texts of a key's run in pieces of ``CHUNK_BYTES``; then a key's pieces, not its rows, go through one
     task in order, a piece in memory at a time. So only that a digest must see all bytes in order is left in one task.
+    Hexadecimal texts are moved as the bytes they stand for. ``sizes(_by, _bytes)`` are the keys' sizes, by which they are folded in
+    rounds; the shuffle files of a round's ranges are gone before its pieces are folded, and those of a round before the next.
     """
     kind = dict(rows.dtypes)[key]
-    ranged = in_ranges(rows.select(key, *order, F.col(text).alias("_text"), F.col(size).alias("_size")), key, order)
     arrow = pa.schema([("_key", pa.string()), ("_part", pa.int32()), ("_nth", pa.int64()), ("_n", pa.int64()), ("_total", pa.int64()), ("_hex", pa.bool_()), ("_piece", pa.binary())])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at, nth = {"n": 0, "total": 0, "size": 0, "text": []}, None, 0
+        held, at, nth, n, total, length = [], None, 0, 0, 0, 0
 
         def done() -> pa.RecordBatch:
-            row = (at[1], at[0], nth, held["n"], held["total"], *halved("".join(held["text"])))
-            held.update(n=0, total=0, size=0, text=[])
+            row = (at[0], part, nth, n, total, at[1], b"".join(held))
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
 
         for batch in batches:
-            for own, part, text, size in zip(*(batch.column(c).to_pylist() for c in ("_key", "_part", "_text", "_size")), strict=True):
-                if (part, own) != at or held["size"] >= CHUNK_BYTES:
-                    if held["n"]:
+            if not batch.num_rows:
+                continue
+            part, raw = batch.column("_part")[0].as_py(), batch.column("_raw")
+            ends = np.frombuffer(raw.buffers()[1], np.int32, len(raw) + 1, 4 * raw.offset)
+            data = memoryview(raw.buffers()[2] or b"")
+            own, half = batch.column("_key").dictionary_encode("encode"), batch.column("_hex").to_numpy(zero_copy_only=False)
+            added = np.concatenate(([0], np.cumsum(batch.column("_size").fill_null(0).to_numpy())))
+            mark = own.indices.to_numpy() * 2 + half
+            cuts = [0, *(np.flatnonzero(mark[1:] != mark[:-1]) + 1).tolist(), len(mark)]
+            for i, end in pairwise(cuts):
+                if at != (now := (own[i].as_py(), bool(half[i]))):
+                    if n:
+                        yield done()
+                        held, nth, n, total, length = [], nth + 1, 0, 0, 0
+                    at = now
+                while i < end:
+                    j = min(max(int(np.searchsorted(ends, ends[i] + CHUNK_BYTES - length)), i + 1), end)
+                    held.append(bytes(data[ends[i] : ends[j]]))
+                    n, total, length = n + j - i, total + int(added[j] - added[i]), length + int(ends[j] - ends[i])
+                    i = j
+                    if length >= CHUNK_BYTES:
                         yield done()
-                    nth, at = (nth + 1 if (part, own) == at else 0), (part, own)
-                held["n"] += 1
-                held["total"] += size or 0
-                held["size"] += len(text)
-                held["text"].append(text)
-        if held["n"]:
+                        held, nth, n, total, length = [], nth + 1, 0, 0, 0
+        if n:
             yield done()
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +148,17 @@ def folded_sha256(rows: DataFrame, key: str, order: list[str], text: str, size:
         if began:
             yield done()
 
-    by_range = ranged.select(F.col(key).cast("string").alias("_key"), "_part", "_place", "_text", "_size").repartition("_part").sortWithinPartitions("_part", "_place")
-    made = by_range.drop("_place").mapInArrow(pieces, "_key string, _part int, _nth long, _n long, _total long, _hex boolean, _piece binary")
-    whole = made.repartition("_key").sortWithinPartitions("_key", "_part", "_nth").mapInArrow(fold, "_key string, n long, total long, sha256 string")
-    return whole.select(F.col("_key").cast(kind).alias(key), "n", "total", "sha256")
+    whole, raw = halves(F.col(text))
+    again = F.when(F.col("_hex"), F.lower(F.hex("_raw"))).otherwise(F.col("_raw").cast("string"))  # the text, for its order
+    rounds, count = in_rounds(sizes, "_by", "_bytes") if sizes is not None else (None, 1)
+    out = []
+    for i in range(count):
+        of = rows if count == 1 else rows.join(rounds.filter(F.col("_round") == i).select("_of"), F.col(key).eqNullSafe(F.col("_of")), "left_semi")
+        moved = of.select(F.col(key).cast("string").alias("_key"), *[F.col(c).alias(f"_by_{c}") for c in order if c != text], whole.alias("_hex"), raw.alias("_raw"), F.col(size).cast("long").alias("_size"))
+        by = ["_key", *[again if c == text else F.col(f"_by_{c}") for c in order]]
+        ranged = moved.repartitionByRange(*by).sortWithinPartitions(*by).select("_key", F.spark_partition_id().alias("_part"), "_hex", "_raw", "_size")
+        made = written(ranged.mapInArrow(pieces, "_key string, _part int, _nth long, _n long, _total long, _hex boolean, _piece binary"), "pieces", clean=True)
+        folded = made.repartition("_key").sortWithinPartitions("_key", "_part", "_nth").mapInArrow(fold, "_key string, n long, total long, sha256 string")
+        out.append(written(folded.select(F.col("_key").cast(kind).alias(key), "n", "total", "sha256"), "folded", clean=True))
+        discard(made)
+    return reduce(DataFrame.unionByName, out)

@@ -21,18 +21,28 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, *partition_by: str, clean: bool = False) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
     Cuts lineage with files that outlive a lost executor; the schema is given on reading, so an
-    empty table keeps its columns.
+    empty table keeps its columns. With ``clean`` the shuffle files of the writing go with its end, not when
+    the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quayside-{name}-{uuid.uuid4().hex[:12]}"
     w = df.write.option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    if clean:
+        spark.conf.set(CLEANUP, True)
+    try:
+        w.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out

@@ -1,10 +1,13 @@
 import datetime as dt
 import json
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from quayside import catalog, catalog_flows, shared  # noqa: F401  (catalog_flows registers)
 from quayside.operators import bundles, ordered, reports, state
 from quayside.plans import requests
 from quayside.sources import paged
@@ -229,3 +232,46 @@ def test_small_bundles_are_not_folded(spark, group_bytes, monkeypatch):
         assert got[bid] == (len(own), sum(s for _, s in own), hashlib.sha256("".join(h for (_, _, h), _ in own).encode()).hexdigest())
     assert len(got) == 5 and seen == {0: [98], 400: [90], 1 << 20: []}[group_bytes]
     assert ordered.halved(hex_(1)) == (True, bytes.fromhex(hex_(1))) and ordered.halved("AB") == (False, b"AB") and ordered.halved("ab cd") == (False, b"ab cd")
+
+
+@pytest.mark.parametrize("round_bytes", [0, 1 << 28])
+def test_a_fold_writes_no_rows(spark, sf_dir, round_bytes, monkeypatch):
+    """All bundles folded, in rounds or at once: of the tables written none has a row for each line, and only one of pieces is there at a time."""
+    wrote, plain = [], ordered.written
+
+    def seen(df, name, *a, **b):
+        out = plain(df, name, *a, **b)
+        wrote.append((name, out.count(), out))
+        return out
+
+    monkeypatch.setattr(bundles, "GROUP_BYTES", 0)
+    monkeypatch.setattr(ordered, "ROUND_BYTES", round_bytes, raising=False)
+    for module in (bundles, ordered):
+        monkeypatch.setattr(module, "written", seen)
+    got = catalog.QUERIES["large_bundles"](spark, sf_dir)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert max(n for _, n, _ in wrote) < lines / 10 and got.count() == 51
+    of = [out for name, _, out in wrote if name == "pieces"]
+    assert len(of) == (1 if round_bytes else 2) and not any(os.path.exists(x._written_at.removeprefix("file:")) for x in of)
+
+
+def test_rounds_of_a_fold(spark, monkeypatch):
+    """The largest key, or a quarter of all, bounds a round; every key is in one, null too."""
+    monkeypatch.setattr(ordered, "ROUND_BYTES", 10)
+    for sizes, want in (([9, 1], [10]), ([50, 20, 20, 10], [50, 50]), ([10] * 8, [20] * 4), ([7, 3, 3, 3], [10, 6]), ([100], [100])):
+        keys = [None, *map(str, range(1, len(sizes)))]
+        rounds, n = ordered.in_rounds(spark.createDataFrame(list(zip(keys, sizes, strict=True)), "_by string, _bytes long").repartition(3), "_by", "_bytes")
+        of = {r["_of"]: r["_round"] for r in rounds.collect()}
+        sums = [sum(s for k, s in zip(keys, sizes, strict=True) if of[k] == i) for i in range(n)]
+        assert len(of) == len(sizes) and sum(sums) == sum(sizes) and sums == want
+
+
+def test_shuffle_files_go_with_a_clean_table(spark):
+    files = lambda: {f for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split() if f.endswith(".data")}
+    held, conf = files(), spark.conf.get(shared.CLEANUP)
+    out = shared.written(spark.range(1000).repartition(3, "id"), "clean", clean=True)
+    for _ in range(100):
+        if not files() - held:
+            break
+        time.sleep(0.1)
+    assert not files() - held and out.count() == 1000 and spark.conf.get(shared.CLEANUP) == conf
