@@ -17,6 +17,8 @@ from ..shared import discard, written
 
 CHUNK_BYTES = 1 << 20  # of a fold's input in one row
 ROUND_BYTES = 256 << 20  # of keys that are folded at once, at least
+#: Pieces are written and read in groups of about 8 MB, whose size is looked at with every row: writers and readers hold a group at once.
+SMALL_GROUPS = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 
 
 def in_ranges(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -157,7 +159,7 @@ def folded_sha256(rows: DataFrame, key: str, order: list[str], text: str, size:
         moved = of.select(F.col(key).cast("string").alias("_key"), *[F.col(c).alias(f"_by_{c}") for c in order if c != text], whole.alias("_hex"), raw.alias("_raw"), F.col(size).cast("long").alias("_size"))
         by = ["_key", *[again if c == text else F.col(f"_by_{c}") for c in order]]
         ranged = moved.repartitionByRange(*by).sortWithinPartitions(*by).select("_key", F.spark_partition_id().alias("_part"), "_hex", "_raw", "_size")
-        made = written(ranged.mapInArrow(pieces, "_key string, _part int, _nth long, _n long, _total long, _hex boolean, _piece binary"), "pieces", clean=True)
+        made = written(ranged.mapInArrow(pieces, "_key string, _part int, _nth long, _n long, _total long, _hex boolean, _piece binary"), "pieces", clean=True, **SMALL_GROUPS)
         folded = made.repartition("_key").sortWithinPartitions("_key", "_part", "_nth").mapInArrow(fold, "_key string, n long, total long, sha256 string")
         out.append(written(folded.select(F.col("_key").cast(kind).alias(key), "n", "total", "sha256"), "folded", clean=True))
         discard(made)

@@ -24,16 +24,16 @@ def shared_dir(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str, *partition_by: str, clean: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, *partition_by: str, clean: bool = False, **options: object) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
     Cuts lineage with files that outlive a lost executor; the schema is given on reading, so an
     empty table keeps its columns. With ``clean`` the shuffle files of the writing go with its end, not when
-    the driver happens to collect its garbage.
+    the driver happens to collect its garbage. ``options`` are those of the writer.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quayside-{name}-{uuid.uuid4().hex[:12]}"
-    w = df.write.option("compression", "zstd")
+    w = df.write.option("compression", "zstd").options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
     before = spark.conf.get(CLEANUP)

@@ -275,3 +275,16 @@ def test_shuffle_files_go_with_a_clean_table(spark):
             break
         time.sleep(0.1)
     assert not files() - held and out.count() == 1000 and spark.conf.get(shared.CLEANUP) == conf
+
+
+def test_pieces_are_in_small_groups(spark):
+    """Forty rows of 1 MB that cannot be compressed: no group of rows is much above 8 MB."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rng = random.Random(1)
+    df = spark.createDataFrame([(i, bytearray(rng.randbytes(1 << 20))) for i in range(40)], "i int, piece binary").coalesce(1)
+    out = shared.written(df, "pieces", **ordered.SMALL_GROUPS)
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(out._written_at.removeprefix("file:") + "/*.parquet")]
+    assert max(m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)) < 12 << 20 and out.count() == 40
